@@ -1,0 +1,89 @@
+"""Hot join keys: find them with one sketch pass, then spread them over many tasks.
+
+A lookup join shuffles its child by the lookup key, so one key that holds a
+large share of the rows (or a large share of NULL keys) would end in one task.
+``find_hot_keys`` names such keys; ``spread_join`` gives their rows a salt
+taken from the row content and repeats the few matching parent rows once per
+salt value.  The hot keys decide only where rows travel, never the result.
+Keys below the sketch's notice are left to adaptive execution.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALT = "__salt"
+# Inputs whose key column is smaller than this are joined without looking for hot keys.
+CHECK_BYTES_SETTING = "spark.tallymart.skewCheckBytes"
+CHECK_BYTES = 256 * 1024 * 1024
+# A key is hot from twice the average shuffle partition on, and always from this share of the rows on.
+MAX_SHARE = 0.05
+MAX_HOT_KEYS = 1000
+SKETCH_ITEMS = 20_000
+MAX_SALTS = 1024
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    values: tuple = ()
+    nulls: bool = False
+
+    def __bool__(self) -> bool:
+        return bool(self.values) or self.nulls
+
+
+NO_HOT_KEYS = HotKeys()
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    """Size that Catalyst's own statistics give for the plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def find_hot_keys(df: DataFrame, key: str, min_bytes: int | None = None) -> HotKeys:
+    """Keys whose rows would outweigh two average shuffle partitions.
+
+    Reads the key column only and returns one row: a mergeable frequent-item
+    sketch, the number of rows and the number of NULL keys.  At most
+    MAX_HOT_KEYS values reach the driver.  Small inputs are not read at all.
+    """
+    keys = df.select(key)
+    if min_bytes is None:
+        min_bytes = int(df.sparkSession.conf.get(CHECK_BYTES_SETTING, str(CHECK_BYTES)))
+    if _planned_bytes(keys) < min_bytes:
+        return NO_HOT_KEYS
+    seen = keys.agg(
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(key).isNull()).alias("n_null"),
+    ).first()
+    limit = max(1, seen["n"] * min(MAX_SHARE, 2 / _partitions(df)))
+    values = tuple(item["item"] for item in seen["top"] or [] if item["count"] >= limit)
+    return HotKeys(values, seen["n_null"] >= limit)
+
+
+def spread_join(
+    child: DataFrame, parent: DataFrame, key: str, how: str = "left", hot: HotKeys = NO_HOT_KEYS
+) -> DataFrame:
+    """Equi join on ``key`` (inner, left, left_semi or left_anti) with the child's hot keys spread out."""
+    if not hot:
+        return child.join(parent, key, how)
+    salts = min(_partitions(child), MAX_SALTS)
+    is_hot = F.col(key).isin(list(hot.values)) if hot.values else F.lit(False)
+    spread = (is_hot | F.col(key).isNull()) if hot.nulls else is_hot
+    row_salt = F.pmod(F.xxhash64(*child.columns), F.lit(salts)).cast("int")
+    salted_child = child.withColumn(SALT, F.when(spread, row_salt).otherwise(F.lit(0)))
+    salted_parent = parent.withColumn(
+        SALT,
+        F.explode(
+            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        ),
+    )
+    return salted_child.join(salted_parent, [key, SALT], how).drop(SALT)
