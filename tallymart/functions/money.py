@@ -34,6 +34,15 @@ def exact_sum(*names: str) -> Column:
     return cents / CENTS + rest / (CENTS * MILLIONTHS_PER_CENT)
 
 
+def rounded_ratio(amount: Column, n: Column, digits: int = 2) -> Column:
+    """amount / n rounded half away from zero; NULL for n = 0.
+
+    Divided as DECIMAL, because a DOUBLE quotient can fall just below a tie.
+    """
+    ratio = F.try_divide(amount.cast("decimal(24,6)"), n.cast("decimal(12,0)"))
+    return F.round(ratio, digits).cast("double")
+
+
 def exact_avg(name: str) -> Column:
     """Mean of a DOUBLE money column over its non-NULL values."""
     return F.try_divide(exact_sum(name), F.count(name))

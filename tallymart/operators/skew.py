@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
-# Inputs whose key column is smaller than this are joined without looking for hot keys.
+# A frame read from less than this (on storage) is joined without looking for hot keys.
 CHECK_BYTES_SETTING = "spark.tallymart.skewCheckBytes"
-CHECK_BYTES = 256 * 1024 * 1024
+CHECK_BYTES = 1024 * 1024 * 1024
 # A key is hot from twice the average shuffle partition on, and always from this share of the rows on.
 MAX_SHARE = 0.05
 MAX_HOT_KEYS = 1000
@@ -42,9 +42,11 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _planned_bytes(df: DataFrame) -> int:
-    """Size that Catalyst's own statistics give for the plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables and files a frame is read from, by Spark's own statistics."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    return sum(int(str(size)) for size in sizes)
 
 
 def find_hot_keys(df: DataFrame, key: str, min_bytes: int | None = None) -> HotKeys:
@@ -54,12 +56,11 @@ def find_hot_keys(df: DataFrame, key: str, min_bytes: int | None = None) -> HotK
     sketch, the number of rows and the number of NULL keys.  At most
     MAX_HOT_KEYS values reach the driver.  Small inputs are not read at all.
     """
-    keys = df.select(key)
     if min_bytes is None:
         min_bytes = int(df.sparkSession.conf.get(CHECK_BYTES_SETTING, str(CHECK_BYTES)))
-    if _planned_bytes(keys) < min_bytes:
+    if input_bytes(df) < min_bytes:
         return NO_HOT_KEYS
-    seen = keys.agg(
+    seen = df.select(key).agg(
         F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(key).isNull()).alias("n_null"),

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions import exact_avg, exact_sum
+from tallymart.functions import exact_sum, rounded_ratio
 from tallymart.operators.skew import HotKeys, find_hot_keys, spread_join
-from tallymart.plans.silver import Silver
+from tallymart.plans.silver import Silver, SilverPlan
 
 PERSON = "customer_unique_id"
 PERSON_ADDRESS = [PERSON, "customer_city", "customer_state"]
 
 
-def sales(silver: Silver) -> DataFrame:
+def sales(silver: Silver | SilverPlan) -> DataFrame:
     """Items drive; orders, products and sellers only add attributes (NULL where unknown)."""
     items = silver.order_items.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
@@ -51,7 +51,7 @@ def sales(silver: Silver) -> DataFrame:
     )
 
 
-def _item_totals(silver: Silver) -> DataFrame:
+def _item_totals(silver: Silver | SilverPlan) -> DataFrame:
     return silver.order_items.groupBy("order_id").agg(
         F.count("order_item_id").alias("items"),
         exact_sum("price").alias("product_value"),
@@ -59,11 +59,11 @@ def _item_totals(silver: Silver) -> DataFrame:
     )
 
 
-def _payment_counts(silver: Silver) -> DataFrame:
+def _payment_counts(silver: Silver | SilverPlan) -> DataFrame:
     return silver.order_payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("payments"))
 
 
-def _review_scores(silver: Silver) -> DataFrame:
+def _review_scores(silver: Silver | SilverPlan) -> DataFrame:
     """Valid scores only; the mean of an order is rounded before it enters the person's mean."""
     return (
         silver.order_reviews.filter(F.col("review_score_int").isNotNull())
@@ -76,7 +76,7 @@ def _review_scores(silver: Silver) -> DataFrame:
 
 
 def _per_customer_order(
-    silver: Silver, order_facts: list[DataFrame], hot: dict[str, HotKeys]
+    silver: Silver | SilverPlan, order_facts: list[DataFrame], hot: dict[str, HotKeys]
 ) -> DataFrame:
     """One row per (customer, order) plus one order-less row per customer.
 
@@ -107,7 +107,7 @@ def _sales_metrics(orders: DataFrame, group: list[str], *extra: Column) -> DataF
         exact_sum("product_value", "freight").alias("total_spend"),
     )
     # A group without orders has no spend: NULL instead of a division by zero.
-    average = F.round(F.try_divide("total_spend", "total_orders"), 2)
+    average = rounded_ratio(F.col("total_spend"), F.col("total_orders"))
     return totals.withColumn("average_order_value", average)
 
 
@@ -115,11 +115,11 @@ def _engagement_metrics(orders: DataFrame) -> DataFrame:
     return orders.groupBy(PERSON).agg(
         F.sum("payments").alias("total_payments"),
         F.sum("reviews").alias("total_reviews"),
-        F.round(exact_avg("score"), 2).alias("average_review_score"),
+        rounded_ratio(exact_sum("score"), F.count("score")).alias("average_review_score"),
     )
 
 
-def customers(silver: Silver, grain: str = "address") -> DataFrame:
+def customers(silver: Silver | SilverPlan, grain: str = "address") -> DataFrame:
     """Customer mart.
 
     ``grain="address"`` (default): one row per person, city and state; payment and
@@ -163,7 +163,7 @@ def customers(silver: Silver, grain: str = "address") -> DataFrame:
     )
 
 
-def deliveries(silver: Silver) -> DataFrame:
+def deliveries(silver: Silver | SilverPlan) -> DataFrame:
     """Delivery columns of the orders; no join, no aggregation."""
     return silver.orders.select(
         "order_id",
@@ -185,10 +185,27 @@ def deliveries(silver: Silver) -> DataFrame:
 
 @dataclass(frozen=True)
 class Gold:
+    """The three marts as tables."""
+
     sales: DataFrame
     customers: DataFrame
     deliveries: DataFrame
 
 
-def gold_from_silver(silver: Silver) -> Gold:
-    return Gold(sales(silver), customers(silver), deliveries(silver))
+class GoldPlan:
+    """The marts as lazy plans over the silver entities, each built when it is first asked for."""
+
+    def __init__(self, silver: Silver | SilverPlan) -> None:
+        self._silver = silver
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return sales(self._silver)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self._silver)
+
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        return deliveries(self._silver)

@@ -19,7 +19,9 @@ from tallymart.functions import (
 )
 from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFilter
 from tallymart.operators.paging import page, top
-from tallymart.plans.gold import Gold
+from tallymart.plans.gold import Gold, GoldPlan
+
+Marts = Gold | GoldPlan
 
 ALL_SALES, ALL_CUSTOMERS, ALL_DELIVERIES = SalesFilter(), CustomerFilter(), DeliveryFilter()
 
@@ -81,7 +83,7 @@ def option_lists(options: DataFrame) -> dict[str, list[str]]:
 # --- sales -----------------------------------------------------------------
 
 
-def _sales(gold: Gold, chosen: SalesFilter) -> DataFrame:
+def _sales(gold: Marts, chosen: SalesFilter) -> DataFrame:
     return gold.sales.filter(chosen.predicate())
 
 
@@ -138,11 +140,11 @@ def _revenue_by_seller_state(sales: DataFrame) -> DataFrame:
     )
 
 
-def sales_date_bounds(gold: Gold) -> DataFrame:
+def sales_date_bounds(gold: Marts) -> DataFrame:
     return _day_bounds(gold.sales)
 
 
-def sales_filter_options(gold: Gold) -> DataFrame:
+def sales_filter_options(gold: Marts) -> DataFrame:
     return _options(
         gold.sales,
         {
@@ -153,7 +155,7 @@ def sales_filter_options(gold: Gold) -> DataFrame:
     )
 
 
-def overview_kpis(gold: Gold) -> DataFrame:
+def overview_kpis(gold: Marts) -> DataFrame:
     customers = gold.customers.agg(_rows("n"))
     delivery = gold.deliveries.agg(_or_zero(F.avg("delivery_days")).alias("days"))
     return (
@@ -175,27 +177,27 @@ def overview_kpis(gold: Gold) -> DataFrame:
     )
 
 
-def overview_revenue_over_time(gold: Gold) -> DataFrame:
+def overview_revenue_over_time(gold: Marts) -> DataFrame:
     return _revenue_by_month(gold.sales)
 
 
-def overview_revenue_by_category(gold: Gold, limit: int = 10) -> DataFrame:
+def overview_revenue_by_category(gold: Marts, limit: int = 10) -> DataFrame:
     return _revenue_by_category(gold.sales, limit)
 
 
-def overview_uncategorized_sales(gold: Gold) -> DataFrame:
+def overview_uncategorized_sales(gold: Marts) -> DataFrame:
     return _uncategorized(gold.sales)
 
 
-def overview_orders_by_status(gold: Gold) -> DataFrame:
+def overview_orders_by_status(gold: Marts) -> DataFrame:
     return _orders_by_status(gold.sales)
 
 
-def overview_revenue_by_seller_state(gold: Gold) -> DataFrame:
+def overview_revenue_by_seller_state(gold: Marts) -> DataFrame:
     return _revenue_by_seller_state(gold.sales)
 
 
-def sales_kpis(gold: Gold, chosen: SalesFilter = ALL_SALES) -> DataFrame:
+def sales_kpis(gold: Marts, chosen: SalesFilter = ALL_SALES) -> DataFrame:
     return (
         _per_order(_sales(gold, chosen))
         .agg(
@@ -217,26 +219,26 @@ def sales_kpis(gold: Gold, chosen: SalesFilter = ALL_SALES) -> DataFrame:
     )
 
 
-def sales_revenue_over_time(gold: Gold, chosen: SalesFilter = ALL_SALES) -> DataFrame:
+def sales_revenue_over_time(gold: Marts, chosen: SalesFilter = ALL_SALES) -> DataFrame:
     return _revenue_by_month(_sales(gold, chosen))
 
 
 def sales_revenue_by_category(
-    gold: Gold, chosen: SalesFilter = ALL_SALES, limit: int = 15
+    gold: Marts, chosen: SalesFilter = ALL_SALES, limit: int = 15
 ) -> DataFrame:
     return _revenue_by_category(_sales(gold, chosen), limit)
 
 
-def sales_uncategorized_summary(gold: Gold, chosen: SalesFilter = ALL_SALES) -> DataFrame:
+def sales_uncategorized_summary(gold: Marts, chosen: SalesFilter = ALL_SALES) -> DataFrame:
     """A category filter contradicts "no category": the counts are then 0."""
     return _uncategorized(_sales(gold, chosen))
 
 
-def sales_revenue_by_seller_state(gold: Gold, chosen: SalesFilter = ALL_SALES) -> DataFrame:
+def sales_revenue_by_seller_state(gold: Marts, chosen: SalesFilter = ALL_SALES) -> DataFrame:
     return _revenue_by_seller_state(_sales(gold, chosen))
 
 
-def sales_top_sellers(gold: Gold, chosen: SalesFilter = ALL_SALES, limit: int = 10) -> DataFrame:
+def sales_top_sellers(gold: Marts, chosen: SalesFilter = ALL_SALES, limit: int = 10) -> DataFrame:
     ranked = (
         _sales(gold, chosen)
         .groupBy("seller_id")
@@ -245,12 +247,12 @@ def sales_top_sellers(gold: Gold, chosen: SalesFilter = ALL_SALES, limit: int =
     return top(ranked, limit, F.desc_nulls_last("revenue"), F.asc("seller_id"))
 
 
-def sales_order_status_distribution(gold: Gold, chosen: SalesFilter = ALL_SALES) -> DataFrame:
+def sales_order_status_distribution(gold: Marts, chosen: SalesFilter = ALL_SALES) -> DataFrame:
     return _orders_by_status(_sales(gold, chosen))
 
 
 def sales_detail(
-    gold: Gold, chosen: SalesFilter = ALL_SALES, limit: int = 25, offset: int = 0
+    gold: Marts, chosen: SalesFilter = ALL_SALES, limit: int = 25, offset: int = 0
 ) -> DataFrame:
     rows = _sales(gold, chosen).drop("customer_id")
     return page(
@@ -275,15 +277,15 @@ def sales_detail(
 # --- customers -------------------------------------------------------------
 
 
-def _customers(gold: Gold, chosen: CustomerFilter) -> DataFrame:
+def _customers(gold: Marts, chosen: CustomerFilter) -> DataFrame:
     return gold.customers.filter(chosen.predicate())
 
 
-def customer_filter_options(gold: Gold) -> DataFrame:
+def customer_filter_options(gold: Marts) -> DataFrame:
     return _options(gold.customers, {"customer_state": "customer_states"})
 
 
-def customer_kpis(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
+def customer_kpis(gold: Marts, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
     return _customers(gold, chosen).agg(
         _rows("total_customers"),
         _or_zero(exact_sum("total_spend")).alias("total_customer_spend"),
@@ -294,7 +296,7 @@ def customer_kpis(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFra
     )
 
 
-def customer_count_by_state(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
+def customer_count_by_state(gold: Marts, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
     return (
         _customers(gold, chosen)
         .groupBy("customer_state")
@@ -303,7 +305,7 @@ def customer_count_by_state(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS)
     )
 
 
-def customer_spend_by_state(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
+def customer_spend_by_state(gold: Marts, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
     return (
         _customers(gold, chosen)
         .groupBy("customer_state")
@@ -313,7 +315,7 @@ def customer_spend_by_state(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS)
 
 
 def customer_order_frequency_distribution(
-    gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS
+    gold: Marts, chosen: CustomerFilter = ALL_CUSTOMERS
 ) -> DataFrame:
     return (
         _customers(gold, chosen)
@@ -324,7 +326,7 @@ def customer_order_frequency_distribution(
 
 
 def customer_spending_distribution(
-    gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS
+    gold: Marts, chosen: CustomerFilter = ALL_CUSTOMERS
 ) -> DataFrame:
     label, ordinal = spend_band(F.col("total_spend"))
     return (
@@ -336,7 +338,7 @@ def customer_spending_distribution(
     )
 
 
-def new_customers_over_time(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
+def new_customers_over_time(gold: Marts, chosen: CustomerFilter = ALL_CUSTOMERS) -> DataFrame:
     return (
         _customers(gold, chosen)
         .filter(F.col("first_order_date").isNotNull())
@@ -347,7 +349,7 @@ def new_customers_over_time(gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS)
 
 
 def customer_detail(
-    gold: Gold, chosen: CustomerFilter = ALL_CUSTOMERS, limit: int = 25, offset: int = 0
+    gold: Marts, chosen: CustomerFilter = ALL_CUSTOMERS, limit: int = 25, offset: int = 0
 ) -> DataFrame:
     rows = _customers(gold, chosen).drop(
         "total_product_value", "total_freight_value", "total_payments"
@@ -368,19 +370,19 @@ def customer_detail(
 # --- deliveries ------------------------------------------------------------
 
 
-def _deliveries(gold: Gold, chosen: DeliveryFilter) -> DataFrame:
+def _deliveries(gold: Marts, chosen: DeliveryFilter) -> DataFrame:
     return gold.deliveries.filter(chosen.predicate())
 
 
-def delivery_date_bounds(gold: Gold) -> DataFrame:
+def delivery_date_bounds(gold: Marts) -> DataFrame:
     return _day_bounds(gold.deliveries)
 
 
-def delivery_filter_options(gold: Gold) -> DataFrame:
+def delivery_filter_options(gold: Marts) -> DataFrame:
     return _options(gold.deliveries, {"order_status": "order_statuses"})
 
 
-def delivery_kpis(gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataFrame:
+def delivery_kpis(gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataFrame:
     late = F.col("days_late")
     return _deliveries(gold, chosen).agg(
         _rows("total_orders"),
@@ -394,7 +396,7 @@ def delivery_kpis(gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataFr
 
 
 def delivery_time_distribution(
-    gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES
+    gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES
 ) -> DataFrame:
     first, last = two_day_bucket(F.col("delivery_days"))
     return (
@@ -414,7 +416,7 @@ def delivery_band_labels(distribution: DataFrame) -> DataFrame:
 
 
 def delivery_status_distribution(
-    gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES
+    gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES
 ) -> DataFrame:
     label, ordinal = delivery_timing(F.col("days_late"))
     return (
@@ -428,7 +430,7 @@ def delivery_status_distribution(
 
 
 def average_delivery_days_over_time(
-    gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES
+    gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES
 ) -> DataFrame:
     return (
         _deliveries(gold, chosen)
@@ -440,7 +442,7 @@ def average_delivery_days_over_time(
 
 
 def average_days_late_by_seller_state(
-    gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES
+    gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES
 ) -> DataFrame:
     """An order sold from several states counts once in each; no sales filter applies."""
     delivered = (
@@ -461,7 +463,7 @@ def average_days_late_by_seller_state(
     )
 
 
-def late_orders_by_month(gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataFrame:
+def late_orders_by_month(gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataFrame:
     return (
         _deliveries(gold, chosen)
         .filter((F.col("days_late") > 0) & F.col("order_delivered_customer_date").isNotNull())
@@ -485,14 +487,14 @@ def _delivery_flag_counts() -> list[Column]:
     ]
 
 
-def delivery_quality_flags(gold: Gold, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataFrame:
+def delivery_quality_flags(gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataFrame:
     return _deliveries(gold, chosen).agg(*_delivery_flag_counts())
 
 
 # --- state of the marts ----------------------------------------------------
 
 
-def _marts(gold: Gold) -> dict[str, DataFrame]:
+def _marts(gold: Marts) -> dict[str, DataFrame]:
     return {"sales": gold.sales, "customers": gold.customers, "deliveries": gold.deliveries}
 
 
@@ -505,11 +507,11 @@ def _labelled(parts: dict[str, DataFrame]) -> DataFrame:
     return union
 
 
-def gold_table_counts(gold: Gold) -> DataFrame:
+def gold_table_counts(gold: Marts) -> DataFrame:
     return _labelled({name: df.agg(_rows("row_count")) for name, df in _marts(gold).items()})
 
 
-def gold_freshness(gold: Gold) -> DataFrame:
+def gold_freshness(gold: Marts) -> DataFrame:
     newest = {
         "sales": "order_purchase_timestamp",
         "customers": "last_order_date",
@@ -523,7 +525,7 @@ def gold_freshness(gold: Gold) -> DataFrame:
     )
 
 
-def gold_null_counts(gold: Gold) -> DataFrame:
+def gold_null_counts(gold: Marts) -> DataFrame:
     """NULLs of the watched fields: one aggregate per mart, then turned into long form."""
     watched = {
         "sales": ["product_category_name", "seller_state"],
@@ -543,7 +545,7 @@ def gold_null_counts(gold: Gold) -> DataFrame:
     return _labelled(long).orderBy("table_name", "field_name")
 
 
-def quality_indicators(gold: Gold) -> DataFrame:
+def quality_indicators(gold: Marts) -> DataFrame:
     """Flag counts of the deliveries beside the uncategorized sales, one scan of each mart."""
     unknown = F.col("product_category_name").isNull()
     uncategorized = gold.sales.agg(

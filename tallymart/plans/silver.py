@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tallymart.operators import rules as r
 from tallymart.operators.lookups import orphan, orphan_or_unknown, with_parent
 from tallymart.operators.rules import Rule, apply_rules
 from tallymart.operators.skew import find_hot_keys
-from tallymart.sources.adapters import Bronze
+from tallymart.sources.adapters import Bronze, BronzePlan
 
 # Allowed domains.
 ORDER_STATUSES = [
@@ -417,6 +418,8 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
 
 @dataclass(frozen=True)
 class Silver:
+    """The seven entities as tables."""
+
     orders: DataFrame
     order_items: DataFrame
     customers: DataFrame
@@ -426,17 +429,37 @@ class Silver:
     order_reviews: DataFrame
 
 
-def silver_from_bronze(bronze: Bronze) -> Silver:
-    """All seven entities as lazy plans."""
-    silver_orders = orders(bronze.orders)
-    return Silver(
-        orders=silver_orders,
-        order_items=order_items(
-            bronze.order_items, silver_orders, bronze.products, bronze.sellers
-        ),
-        customers=customers(bronze.customers),
-        products=products(bronze.products),
-        sellers=sellers(bronze.sellers),
-        order_payments=order_payments(bronze.order_payments, silver_orders),
-        order_reviews=order_reviews(bronze.order_reviews, silver_orders),
-    )
+class SilverPlan:
+    """The seven entities as lazy plans over bronze, each built when it is first asked for."""
+
+    def __init__(self, bronze: Bronze | BronzePlan) -> None:
+        self._bronze = bronze
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return orders(self._bronze.orders)
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        bronze = self._bronze
+        return order_items(bronze.order_items, self.orders, bronze.products, bronze.sellers)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self._bronze.customers)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self._bronze.products)
+
+    @cached_property
+    def sellers(self) -> DataFrame:
+        return sellers(self._bronze.sellers)
+
+    @cached_property
+    def order_payments(self) -> DataFrame:
+        return order_payments(self._bronze.order_payments, self.orders)
+
+    @cached_property
+    def order_reviews(self) -> DataFrame:
+        return order_reviews(self._bronze.order_reviews, self.orders)

@@ -161,14 +161,20 @@ def adapt(source: DataFrame, entity: str) -> DataFrame:
     return source.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
-def bronze_from_star_schema(spark: SparkSession, folder: str) -> Bronze:
-    """Lazy bronze entities over ``<folder>/<table>.parquet``."""
-    return Bronze(
-        **{
-            entity: adapt(spark.read.parquet(f"{folder}/{table}.parquet"), entity)
-            for entity, (table, _) in ADAPTERS.items()
-        }
-    )
+class BronzePlan:
+    """Bronze entities over ``<folder>/<table>.parquet``; a file is opened when it is first needed."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark = spark
+        self._folder = folder
+
+    def __getattr__(self, entity: str) -> DataFrame:
+        if entity not in ADAPTERS:
+            raise AttributeError(entity)
+        table, _ = ADAPTERS[entity]
+        frame = adapt(self._spark.read.parquet(f"{self._folder}/{table}.parquet"), entity)
+        setattr(self, entity, frame)
+        return frame
 
 
 def bronze_from_layer(spark: SparkSession, layer: str) -> Bronze:
