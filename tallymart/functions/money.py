@@ -21,8 +21,8 @@ MILLIONTHS_PER_CENT = 10_000
 
 def _parts(amount: Column) -> tuple[Column, Column]:
     scaled = amount * CENTS
-    cents = F.round(scaled).cast("bigint")
-    rest = F.round((scaled - cents) * MILLIONTHS_PER_CENT).cast("bigint")
+    cents = F.rint(scaled).cast("bigint")
+    rest = F.rint((scaled - cents) * MILLIONTHS_PER_CENT).cast("bigint")
     return F.sum(cents), F.sum(rest)
 
 

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.sources.tables import input_bytes
+
 SALT = "__salt"
 # A frame read from less than this (on storage) is joined without looking for hot keys.
 CHECK_BYTES_SETTING = "spark.tallymart.skewCheckBytes"
@@ -42,13 +44,6 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables and files a frame is read from, by Spark's own statistics."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-    return sum(int(str(size)) for size in sizes)
-
-
 def find_hot_keys(df: DataFrame, key: str, min_bytes: int | None = None) -> HotKeys:
     """Keys whose rows would outweigh two average shuffle partitions.
 

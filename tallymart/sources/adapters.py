@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymart.sources.tables import spread_small_scan
+
 # Entity -> (source table, output column -> expression).
 ADAPTERS: dict[str, tuple[str, dict[str, str]]] = {
     "orders": (
@@ -172,7 +174,8 @@ class BronzePlan:
         if entity not in ADAPTERS:
             raise AttributeError(entity)
         table, _ = ADAPTERS[entity]
-        frame = adapt(self._spark.read.parquet(f"{self._folder}/{table}.parquet"), entity)
+        source = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        frame = adapt(spread_small_scan(source), entity)
         setattr(self, entity, frame)
         return frame
 
