@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from tempfile import gettempdir
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators import integrity as ig
@@ -92,9 +92,52 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+def _delivered() -> Column:
+    return F.col("order_status") == "delivered"
+
+
+def _arrived() -> Column:
+    return F.col("order_delivered_customer_date").isNotNull()
+
+
+def _item_signs() -> dict[str, Column]:
+    return {
+        "negative_price": F.col("price") < 0,
+        "zero_price": F.col("price") == 0,
+        "negative_freight": F.col("freight_value") < 0,
+        "zero_freight": F.col("freight_value") == 0,
+    }
+
+
+PRODUCT_SIZES = ["product_length_cm", "product_height_cm", "product_width_cm"]
+PRODUCT_TEXT = ["product_name_length", "product_description_length", "product_photos_qty"]
+
+
+def _product_validity() -> dict[str, Column]:
+    return {
+        **{c.replace("product_", "negative_"): F.col(c) < 0 for c in PRODUCT_TEXT},
+        "non_positive_weight": F.col("product_weight_g") <= 0,
+        **{f"non_positive_{c.split('_')[1]}": F.col(c) <= 0 for c in PRODUCT_SIZES},
+    }
+
+
+def _zip_limits() -> dict[str, Column]:
+    prefix = F.col("seller_zip_code_prefix")
+    return {"zip_below_1000": prefix < 1000, "zip_above_99999": prefix > 99999}
+
+
+def _day_ranges() -> list[Column]:
+    return [
+        F.min("delivery_days").alias("min_delivery_days"),
+        F.max("delivery_days").alias("max_delivery_days"),
+        F.count_if(F.col("delivery_days").isNull()).alias("delivery_days_nulls"),
+        F.min("days_late").alias("min_days_late"),
+        F.max("days_late").alias("max_days_late"),
+        F.count_if(F.col("days_late").isNull()).alias("days_late_nulls"),
+    ]
+
+
 def profile_queries() -> dict[str, Query]:
-    delivered = F.col("order_status") == "delivered"
-    arrived = F.col("order_delivered_customer_date")
     stages = (
         "order_purchase_timestamp",
         "order_approved_at",
@@ -107,20 +150,6 @@ def profile_queries() -> dict[str, Query]:
             lambda b: pf.missing_by_group(b.orders, "order_status", column, "order_count", name)
         )
 
-    sizes = ["product_length_cm", "product_height_cm", "product_width_cm"]
-    lengths = ["product_name_length", "product_description_length", "product_photos_qty"]
-    item_signs = {
-        "negative_price": F.col("price") < 0,
-        "zero_price": F.col("price") == 0,
-        "negative_freight": F.col("freight_value") < 0,
-        "zero_freight": F.col("freight_value") == 0,
-    }
-    product_validity = {
-        **{c.replace("product_", "negative_"): F.col(c) < 0 for c in lengths},
-        "non_positive_weight": F.col("product_weight_g") <= 0,
-        **{f"non_positive_{c.split('_')[1]}": F.col(c) <= 0 for c in sizes},
-    }
-    seller_zip = F.col("seller_zip_code_prefix")
     return {
         "profile_orders_row_count": _bronze(lambda b: pf.row_count(b.orders)),
         "profile_orders_completeness": _bronze(
@@ -145,10 +174,10 @@ def profile_queries() -> dict[str, Query]:
         ),
         "profile_orders_timestamp_disorder": _bronze(lambda b: pf.out_of_order(b.orders, *stages)),
         "profile_orders_delivered_without_date": _bronze(
-            lambda b: pf.share(b.orders, delivered, arrived.isNull())
+            lambda b: pf.share(b.orders, _delivered(), ~_arrived())
         ),
         "profile_orders_undelivered_with_date": _bronze(
-            lambda b: pf.share(b.orders, ~delivered, arrived.isNotNull())
+            lambda b: pf.share(b.orders, ~_delivered(), _arrived())
         ),
         "profile_orders_missing_delivery_by_status": by_status(
             "order_delivered_customer_date", "missing_delivery_date"
@@ -162,7 +191,7 @@ def profile_queries() -> dict[str, Query]:
         "profile_items_row_count": _bronze(lambda b: pf.row_count(b.order_items)),
         "profile_items_null_counts": _bronze(lambda b: pf.null_counts(b.order_items)),
         "profile_items_sign_combinations": _bronze(
-            lambda b: pf.combination_counts(b.order_items, item_signs)
+            lambda b: pf.combination_counts(b.order_items, _item_signs())
         ),
         "profile_items_distribution": _bronze(
             lambda b: pf.distribution(b.order_items, ["price", "freight_value"])
@@ -171,10 +200,10 @@ def profile_queries() -> dict[str, Query]:
             lambda b: pf.null_counts(b.products, [c for c in b.products.columns if c != "product_id"])
         ),
         "profile_products_numeric_validity": _silver(
-            lambda s: pf.conditional_counts(s.products, product_validity)
+            lambda s: pf.conditional_counts(s.products, _product_validity())
         ),
         "profile_products_distribution": _silver(
-            lambda s: pf.distribution(s.products, [*lengths, "product_weight_g", *sizes])
+            lambda s: pf.distribution(s.products, [*PRODUCT_TEXT, "product_weight_g", *PRODUCT_SIZES])
         ),
         "profile_products_weight_flag": _silver(
             lambda s: pf.value_counts(s.products, "non_positive_weight")
@@ -187,7 +216,7 @@ def profile_queries() -> dict[str, Query]:
                 "product_id",
                 "product_category_name",
                 "product_weight_g",
-                *sizes,
+                *PRODUCT_SIZES,
                 "product_photos_qty",
             )
         ),
@@ -202,10 +231,7 @@ def profile_queries() -> dict[str, Query]:
             )
         ),
         "profile_sellers_zip_range": _bronze(
-            lambda b: pf.conditional_counts(
-                b.sellers,
-                {"zip_below_1000": seller_zip < 1000, "zip_above_99999": seller_zip > 99999},
-            )
+            lambda b: pf.conditional_counts(b.sellers, _zip_limits())
         ),
         "profile_sellers_states": _bronze(lambda b: pf.distinct_values(b.sellers, "seller_state")),
         "profile_sellers_state_flag": _silver(
@@ -328,15 +354,9 @@ def entity_queries() -> dict[str, Query]:
     for entity in FLAGS:
         found[f"silver_{entity}"] = _silver(lambda s, e=entity: getattr(s, e))
         found[f"dq_{entity}"] = _silver(lambda s, e=entity: rules.summarise(getattr(s, e), FLAGS[e]))
-    days = [
-        F.min("delivery_days").alias("min_delivery_days"),
-        F.max("delivery_days").alias("max_delivery_days"),
-        F.count_if(F.col("delivery_days").isNull()).alias("delivery_days_nulls"),
-        F.min("days_late").alias("min_days_late"),
-        F.max("days_late").alias("max_days_late"),
-        F.count_if(F.col("days_late").isNull()).alias("days_late_nulls"),
-    ]
-    found["dq_orders"] = _silver(lambda s: rules.summarise(s.orders, FLAGS["orders"], days))
+    found["dq_orders"] = _silver(
+        lambda s: rules.summarise(s.orders, FLAGS["orders"], _day_ranges())
+    )
     found["dq_order_payments_final"] = _silver(
         lambda s: ig.grain_check(
             s.order_payments,

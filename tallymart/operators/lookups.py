@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +31,11 @@ def with_parent(
     marker: str = FOUND,
     carry: dict[str, Column] | None = None,
     hot: HotKeys = NO_HOT_KEYS,
+    salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join on the distinct parent keys; ``marker`` is TRUE where a parent exists, else NULL."""
     lookup = parent_keys(parent, key, carry).withColumn(marker, F.lit(True))
-    return spread_join(child, lookup, key, "left", hot)
+    return spread_join(child, lookup, key, "left", hot, salt_from)
 
 
 def orphan(key: str, marker: str = FOUND) -> Column:

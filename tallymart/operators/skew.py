@@ -10,6 +10,7 @@ Keys below the sketch's notice are left to adaptive execution.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -25,7 +26,9 @@ CHECK_BYTES = 1024 * 1024 * 1024
 MAX_SHARE = 0.05
 MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 20_000
-MAX_SALTS = 1024
+# Several salts per partition even out the hash of (key, salt) over the partitions.
+SALTS_PER_PARTITION = 8
+MAX_SALTS = 16_384
 
 
 @dataclass(frozen=True)
@@ -61,20 +64,31 @@ def find_hot_keys(df: DataFrame, key: str, min_bytes: int | None = None) -> HotK
         F.count_if(F.col(key).isNull()).alias("n_null"),
     ).first()
     limit = max(1, seen["n"] * min(MAX_SHARE, 2 / _partitions(df)))
-    values = tuple(item["item"] for item in seen["top"] or [] if item["count"] >= limit)
+    frequent = [item["item"] for item in seen["top"] or [] if item["count"] >= limit]
+    values = tuple(value for value in frequent if value is not None)
     return HotKeys(values, seen["n_null"] >= limit)
 
 
 def spread_join(
-    child: DataFrame, parent: DataFrame, key: str, how: str = "left", hot: HotKeys = NO_HOT_KEYS
+    child: DataFrame,
+    parent: DataFrame,
+    key: str,
+    how: str = "left",
+    hot: HotKeys = NO_HOT_KEYS,
+    salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Equi join on ``key`` (inner, left, left_semi or left_anti) with the child's hot keys spread out."""
+    """Equi join on ``key`` (inner, left, left_semi or left_anti) with the child's hot keys spread out.
+
+    The salt is a hash of the columns ``salt_from`` (default: all of the child's),
+    so a task that is run again sends each row to the same place.  Naming the
+    columns of the original child keeps later additions to it prunable.
+    """
     if not hot:
         return child.join(parent, key, how)
-    salts = min(_partitions(child), MAX_SALTS)
+    salts = min(SALTS_PER_PARTITION * _partitions(child), MAX_SALTS)
     is_hot = F.col(key).isin(list(hot.values)) if hot.values else F.lit(False)
     spread = (is_hot | F.col(key).isNull()) if hot.nulls else is_hot
-    row_salt = F.pmod(F.xxhash64(*child.columns), F.lit(salts)).cast("int")
+    row_salt = F.pmod(F.xxhash64(*(salt_from or child.columns)), F.lit(salts)).cast("int")
     salted_child = child.withColumn(SALT, F.when(spread, row_salt).otherwise(F.lit(0)))
     salted_parent = parent.withColumn(
         SALT,

@@ -30,7 +30,7 @@ def sales(silver: Silver | SilverPlan) -> DataFrame:
     }
     wide = reduce(
         lambda facts, key: spread_join(
-            facts, parents[key], key, "left", find_hot_keys(items, key)
+            facts, parents[key], key, "left", find_hot_keys(items, key), items.columns
         ),
         parents,
         items,
@@ -85,13 +85,14 @@ def _per_customer_order(
     the order side, where one customer may hold most rows, be split.  Order
     facts are aggregated to one row per order before they are joined.
     """
+    base = ["order_id", "customer_id", "order_purchase_timestamp"]
     orders = reduce(
-        lambda left, facts: spread_join(left, facts, "order_id", "left", hot["order_id"]),
+        lambda left, facts: spread_join(left, facts, "order_id", "left", hot["order_id"], base),
         order_facts,
-        silver.orders.select("order_id", "customer_id", "order_purchase_timestamp"),
+        silver.orders.select(*base),
     )
     customers = silver.customers.select("customer_id", *PERSON_ADDRESS)
-    placed = spread_join(orders, customers, "customer_id", "inner", hot["customer_id"])
+    placed = spread_join(orders, customers, "customer_id", "inner", hot["customer_id"], base)
     return placed.unionByName(customers, allowMissingColumns=True)
 
 

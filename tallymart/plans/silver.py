@@ -213,6 +213,7 @@ def order_items(
         marker="order_found",
         carry={"purchased_at": F.max("order_purchase_timestamp")},
         hot=find_hot_keys(standard, "order_id"),
+        salt_from=standard.columns,
     )
     with_product = with_parent(
         with_order,
@@ -220,6 +221,7 @@ def order_items(
         "product_id",
         marker="product_found",
         hot=find_hot_keys(standard, "product_id"),
+        salt_from=standard.columns,
     )
     with_seller = with_parent(
         with_product,
@@ -227,6 +229,7 @@ def order_items(
         "seller_id",
         marker="seller_found",
         hot=find_hot_keys(standard, "seller_id"),
+        salt_from=standard.columns,
     )
     checked = apply_rules(
         with_seller,
@@ -335,6 +338,7 @@ def order_payments(bronze_payments: DataFrame, silver_orders: DataFrame) -> Data
         "order_id",
         marker="order_found",
         hot=find_hot_keys(standard, "order_id"),
+        salt_from=standard.columns,
     ).withColumn("invalid_order_reference", orphan_or_unknown("order_id", "order_found"))
     return checked.select(*standard.columns, *FLAGS["order_payments"])
 
@@ -397,6 +401,7 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
         "order_id",
         marker="order_found",
         hot=find_hot_keys(standard, "order_id"),
+        salt_from=standard.columns,
     ).withColumn(
         "invalid_order_reference",
         orphan("order_id", "order_found") & F.col("order_id").rlike(ID_PATTERN),

@@ -56,15 +56,14 @@ class IngestResult:
 
 
 def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the ``*.csv`` files of a folder; file contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select("path")
-        .orderBy("path")
+    """Paths of the ``*.csv`` files of a folder on any Hadoop file system, empty files included."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(
+        file.getPath().toString()
+        for file in files
+        if file.isFile() and file.getPath().getName().endswith(".csv")
     )
-    return [row["path"] for row in files.collect()]
 
 
 def table_name(file_name: str, prefix: str = "^olist_", suffix: str = "_dataset$") -> str:
