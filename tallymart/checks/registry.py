@@ -92,38 +92,25 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path)
 
 
-def _delivered() -> Column:
-    return F.col("order_status") == "delivered"
-
-
-def _arrived() -> Column:
-    return F.col("order_delivered_customer_date").isNotNull()
-
-
-def _item_signs() -> dict[str, Column]:
-    return {
-        "negative_price": F.col("price") < 0,
-        "zero_price": F.col("price") == 0,
-        "negative_freight": F.col("freight_value") < 0,
-        "zero_freight": F.col("freight_value") == 0,
-    }
-
-
+DELIVERED = "order_status = 'delivered'"
+UNDELIVERED = "order_status <> 'delivered'"
+ITEM_SIGNS = {
+    "negative_price": "price < 0",
+    "zero_price": "price = 0",
+    "negative_freight": "freight_value < 0",
+    "zero_freight": "freight_value = 0",
+}
 PRODUCT_SIZES = ["product_length_cm", "product_height_cm", "product_width_cm"]
 PRODUCT_TEXT = ["product_name_length", "product_description_length", "product_photos_qty"]
-
-
-def _product_validity() -> dict[str, Column]:
-    return {
-        **{c.replace("product_", "negative_"): F.col(c) < 0 for c in PRODUCT_TEXT},
-        "non_positive_weight": F.col("product_weight_g") <= 0,
-        **{f"non_positive_{c.split('_')[1]}": F.col(c) <= 0 for c in PRODUCT_SIZES},
-    }
-
-
-def _zip_limits() -> dict[str, Column]:
-    prefix = F.col("seller_zip_code_prefix")
-    return {"zip_below_1000": prefix < 1000, "zip_above_99999": prefix > 99999}
+PRODUCT_VALIDITY = {
+    **{c.replace("product_", "negative_"): f"{c} < 0" for c in PRODUCT_TEXT},
+    "non_positive_weight": "product_weight_g <= 0",
+    **{f"non_positive_{c.split('_')[1]}": f"{c} <= 0" for c in PRODUCT_SIZES},
+}
+ZIP_LIMITS = {
+    "zip_below_1000": "seller_zip_code_prefix < 1000",
+    "zip_above_99999": "seller_zip_code_prefix > 99999",
+}
 
 
 def _day_ranges() -> list[Column]:
@@ -138,6 +125,7 @@ def _day_ranges() -> list[Column]:
 
 
 def profile_queries() -> dict[str, Query]:
+    arrived = "order_delivered_customer_date"
     stages = (
         "order_purchase_timestamp",
         "order_approved_at",
@@ -174,10 +162,10 @@ def profile_queries() -> dict[str, Query]:
         ),
         "profile_orders_timestamp_disorder": _bronze(lambda b: pf.out_of_order(b.orders, *stages)),
         "profile_orders_delivered_without_date": _bronze(
-            lambda b: pf.share(b.orders, _delivered(), ~_arrived())
+            lambda b: pf.share(b.orders, DELIVERED, f"{arrived} IS NULL")
         ),
         "profile_orders_undelivered_with_date": _bronze(
-            lambda b: pf.share(b.orders, ~_delivered(), _arrived())
+            lambda b: pf.share(b.orders, UNDELIVERED, f"{arrived} IS NOT NULL")
         ),
         "profile_orders_missing_delivery_by_status": by_status(
             "order_delivered_customer_date", "missing_delivery_date"
@@ -191,7 +179,7 @@ def profile_queries() -> dict[str, Query]:
         "profile_items_row_count": _bronze(lambda b: pf.row_count(b.order_items)),
         "profile_items_null_counts": _bronze(lambda b: pf.null_counts(b.order_items)),
         "profile_items_sign_combinations": _bronze(
-            lambda b: pf.combination_counts(b.order_items, _item_signs())
+            lambda b: pf.combination_counts(b.order_items, ITEM_SIGNS)
         ),
         "profile_items_distribution": _bronze(
             lambda b: pf.distribution(b.order_items, ["price", "freight_value"])
@@ -200,7 +188,7 @@ def profile_queries() -> dict[str, Query]:
             lambda b: pf.null_counts(b.products, [c for c in b.products.columns if c != "product_id"])
         ),
         "profile_products_numeric_validity": _silver(
-            lambda s: pf.conditional_counts(s.products, _product_validity())
+            lambda s: pf.conditional_counts(s.products, PRODUCT_VALIDITY)
         ),
         "profile_products_distribution": _silver(
             lambda s: pf.distribution(s.products, [*PRODUCT_TEXT, "product_weight_g", *PRODUCT_SIZES])
@@ -231,7 +219,7 @@ def profile_queries() -> dict[str, Query]:
             )
         ),
         "profile_sellers_zip_range": _bronze(
-            lambda b: pf.conditional_counts(b.sellers, _zip_limits())
+            lambda b: pf.conditional_counts(b.sellers, ZIP_LIMITS)
         ),
         "profile_sellers_states": _bronze(lambda b: pf.distinct_values(b.sellers, "seller_state")),
         "profile_sellers_state_flag": _silver(
@@ -255,10 +243,9 @@ def profile_queries() -> dict[str, Query]:
             lambda s: pf.conditional_counts(
                 s.order_reviews,
                 {
-                    "valid_typed_scores": F.col("review_score_int").isNotNull(),
-                    "missing_scores": F.col("review_score").isNull(),
-                    "invalid_scores": F.col("review_score").isNotNull()
-                    & F.col("review_score_int").isNull(),
+                    "valid_typed_scores": "review_score_int IS NOT NULL",
+                    "missing_scores": "review_score IS NULL",
+                    "invalid_scores": "review_score IS NOT NULL AND review_score_int IS NULL",
                 },
             )
         ),
@@ -266,9 +253,9 @@ def profile_queries() -> dict[str, Query]:
             lambda s: pf.conditional_counts(
                 s.order_reviews,
                 {
-                    "valid_creation_timestamps": F.col("review_creation_ts").isNotNull(),
-                    "valid_answer_timestamps": F.col("review_answer_ts").isNotNull(),
-                    "answer_before_creation": F.col("answer_before_creation"),
+                    "valid_creation_timestamps": "review_creation_ts IS NOT NULL",
+                    "valid_answer_timestamps": "review_answer_ts IS NOT NULL",
+                    "answer_before_creation": "answer_before_creation",
                 },
             )
         ),

@@ -9,29 +9,32 @@ fraction of a DECIMAL sum.  An overflow raises under ANSI mode.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CENTS = 100
-MILLIONTHS_PER_CENT = 10_000
 
+def _cents(name: str) -> str:
+    return f"CAST(rint({name} * 100D) AS BIGINT)"
+
+
+def _rest(name: str) -> str:
+    return f"CAST(rint(({name} * 100D - {_cents(name)}) * 10000D) AS BIGINT)"
 
-def _parts(amount: Column) -> tuple[Column, Column]:
-    scaled = amount * CENTS
-    cents = F.rint(scaled).cast("bigint")
-    rest = F.rint((scaled - cents) * MILLIONTHS_PER_CENT).cast("bigint")
-    return F.sum(cents), F.sum(rest)
+
+def _sum_text(*names: str) -> str:
+    cents = " + ".join(f"sum({_cents(name)})" for name in names)
+    rest = " + ".join(f"sum({_rest(name)})" for name in names)
+    return f"(({cents}) / 100D + ({rest}) / 1000000D)"
 
 
 def exact_sum(*names: str) -> Column:
     """Sum of one DOUBLE money column, or of several added up; NULL if one of them has no value."""
-    parts = [_parts(F.col(name)) for name in names]
-    cents = reduce(add, (p[0] for p in parts))
-    rest = reduce(add, (p[1] for p in parts))
-    return cents / CENTS + rest / (CENTS * MILLIONTHS_PER_CENT)
+    return F.expr(_sum_text(*names))
+
+
+def exact_avg(name: str) -> Column:
+    """Mean of a DOUBLE money column over its non-NULL values."""
+    return F.expr(f"try_divide({_sum_text(name)}, count({name}))")
 
 
 def rounded_ratio(amount: Column, n: Column, digits: int = 2) -> Column:
@@ -41,8 +44,3 @@ def rounded_ratio(amount: Column, n: Column, digits: int = 2) -> Column:
     """
     ratio = F.try_divide(amount.cast("decimal(24,6)"), n.cast("decimal(12,0)"))
     return F.round(ratio, digits).cast("double")
-
-
-def exact_avg(name: str) -> Column:
-    """Mean of a DOUBLE money column over its non-NULL values."""
-    return F.try_divide(exact_sum(name), F.count(name))

@@ -38,11 +38,11 @@ def with_parent(
     return spread_join(child, lookup, key, "left", hot, salt_from)
 
 
-def orphan(key: str, marker: str = FOUND) -> Column:
-    """Flag of a key that is present but has no parent."""
-    return F.col(key).isNotNull() & F.col(marker).isNull()
+def orphan(key: str, marker: str = FOUND) -> str:
+    """Predicate of a key that is present but has no parent."""
+    return f"({key} IS NOT NULL AND {marker} IS NULL)"
 
 
-def orphan_or_unknown(key: str, marker: str = FOUND) -> Column:
+def orphan_or_unknown(key: str, marker: str = FOUND) -> str:
     """As ``orphan``, but NULL where the key itself is NULL."""
-    return F.when(F.col(key).isNotNull(), F.col(marker).isNull())
+    return f"if({key} IS NULL, NULL, {marker} IS NULL)"

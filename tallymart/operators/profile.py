@@ -29,15 +29,15 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     """Rows and NULLs per column, in one pass over the named (default: all) columns."""
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns or df.columns],
+        *[F.expr(f"count_if({c} IS NULL) AS {c}_nulls") for c in columns or df.columns],
     )
 
 
-def conditional_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
-    """Rows and the number of rows that meet each condition."""
+def conditional_counts(df: DataFrame, conditions: dict[str, str]) -> DataFrame:
+    """Rows and the number of rows that meet each condition (SQL predicates by output name)."""
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(test).alias(name) for name, test in conditions.items()],
+        *[F.expr(f"count_if({test}) AS {name}") for name, test in conditions.items()],
     )
 
 
@@ -59,24 +59,25 @@ def missing_by_group(df: DataFrame, group: str, column: str, total: str, name: s
     )
 
 
-def combination_counts(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
-    """Rows per combination of computed booleans."""
-    return df.select(*[test.alias(name) for name, test in flags.items()]).groupBy(*flags).count()
+def combination_counts(df: DataFrame, flags: dict[str, str]) -> DataFrame:
+    """Rows per combination of computed booleans (SQL predicates by output name)."""
+    tests = [f"{test} AS {name}" for name, test in flags.items()]
+    return df.selectExpr(*tests).groupBy(*flags).count()
 
 
-def share(df: DataFrame, base: Column, part: Column) -> DataFrame:
+def share(df: DataFrame, base: str, part: str) -> DataFrame:
     """Rows in ``base``, those that also meet ``part``, and the percentage (NULL for an empty base)."""
-    return df.agg(
-        F.count_if(base).alias("base_rows"), F.count_if(base & part).alias("part_rows")
-    ).withColumn(
-        "percentage", F.try_divide(F.col("part_rows") * F.lit(100.0), F.col("base_rows"))
+    counts = df.agg(
+        F.expr(f"count_if({base}) AS base_rows"),
+        F.expr(f"count_if(({base}) AND ({part})) AS part_rows"),
     )
+    return counts.selectExpr("*", "try_divide(part_rows * 100.0D, base_rows) AS percentage")
 
 
 def out_of_order(df: DataFrame, *columns: str) -> DataFrame:
     """Rows in which a later stage has an earlier timestamp than the stage before it."""
     steps = zip(columns, columns[1:])
-    return df.filter(any_of(F.col(later) < F.col(earlier) for earlier, later in steps))
+    return df.filter(any_of(f"{later} < {earlier}" for earlier, later in steps))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -132,7 +132,7 @@ KEYS: dict[str, tuple[str, ...]] = {
 
 
 def trimmed(*names: str) -> list[Column]:
-    return [F.trim(name).alias(name) for name in names]
+    return [F.expr(f"trim({name}) AS {name}") for name in names]
 
 
 def order_rules() -> list[Rule]:
@@ -146,7 +146,7 @@ def order_rules() -> list[Rule]:
     return [
         Rule("is_valid_status", r.in_domain("order_status", ORDER_STATUSES)),
         *disorder,
-        Rule("has_timestamp_anomaly", r.any_of(rule.test for rule in disorder)),
+        Rule("has_timestamp_anomaly", r.any_of(rule.predicate for rule in disorder)),
         Rule("missing_delivery_timestamp", r.missing_when(delivered, "order_status", "delivered")),
         Rule("missing_carrier_timestamp", r.missing_when(carrier, "order_status", "delivered")),
         Rule("missing_estimated_delivery_date", r.missing("order_estimated_delivery_date")),
@@ -339,8 +339,9 @@ def order_payments(bronze_payments: DataFrame, silver_orders: DataFrame) -> Data
         marker="order_found",
         hot=find_hot_keys(standard, "order_id"),
         salt_from=standard.columns,
-    ).withColumn("invalid_order_reference", orphan_or_unknown("order_id", "order_found"))
-    return checked.select(*standard.columns, *FLAGS["order_payments"])
+    )
+    reference = Rule("invalid_order_reference", orphan_or_unknown("order_id", "order_found"))
+    return apply_rules(checked, [reference]).select(*standard.columns, *FLAGS["order_payments"])
 
 
 def review_rules() -> list[Rule]:
@@ -402,11 +403,12 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
         marker="order_found",
         hot=find_hot_keys(standard, "order_id"),
         salt_from=standard.columns,
-    ).withColumn(
-        "invalid_order_reference",
-        orphan("order_id", "order_found") & F.col("order_id").rlike(ID_PATTERN),
     )
-    return checked.select(
+    known_form = f"order_id RLIKE {r.literal(ID_PATTERN)}"
+    reference = Rule(
+        "invalid_order_reference", f"{orphan('order_id', 'order_found')} AND {known_form}"
+    )
+    return apply_rules(checked, [reference]).select(
         "review_id",
         "order_id",
         "review_score",

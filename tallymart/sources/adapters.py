@@ -175,7 +175,7 @@ class BronzePlan:
             raise AttributeError(entity)
         table, _ = ADAPTERS[entity]
         source = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
-        frame = adapt(spread_small_scan(source), entity)
+        frame = adapt(spread_small_scan(source, source.columns[0]), entity)
         setattr(self, entity, frame)
         return frame
 

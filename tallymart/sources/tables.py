@@ -53,17 +53,18 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(size)) for size in sizes)
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
+def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     """Use all cores for a table that is worth it but has too few row groups to be split.
 
     Applies only below one full-sized split per core, so the exchange stays small;
-    larger tables bring enough splits of their own.
+    larger tables bring enough splits of their own.  Hashing an id needs none of the
+    sorting that makes a round-robin exchange repeatable.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = input_bytes(df)
     if MIN_SPREAD_BYTES <= size < cores * FULL_SPLIT_BYTES:
-        return df.repartition(cores)
+        return df.repartition(cores, key)
     return df
 
 

@@ -66,14 +66,22 @@ def test_profiles(pairs):
     assert [r[0] for r in pf.distinct_values(pairs, "k").collect()] == [None, "a", "b"]
     assert pf.preview(pairs, 2).count() == 2
     assert pf.row_count(pairs).first()[0] == 6
-    combos = pf.combination_counts(pairs, {"big": F.col("n") > 1})
+    combos = pf.combination_counts(pairs, {"big": "n > 1"})
     assert rows(combos) == [(None, 2), (False, 3), (True, 1)]
 
 
 def test_share_of_nothing_is_null(pairs):
-    is_a = F.col("k") == "a"
-    assert tuple(pf.share(pairs, is_a, F.col("n").isNull()).first())[:2] == (3, 1)
-    assert tuple(pf.share(pairs, F.lit(False), is_a).first()) == (0, 0, None)
+    assert tuple(pf.share(pairs, "k = 'a'", "n IS NULL").first())[:2] == (3, 1)
+    assert tuple(pf.share(pairs, "false", "k = 'a'").first()) == (0, 0, None)
+
+
+def test_rule_literals_are_quoted(spark):
+    from tallymart.operators.rules import in_domain, malformed
+
+    values = ["o'brien", "back\\slash", 'say "x"']
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert df.filter(in_domain("v", values)).count() == 3
+    assert df.filter(malformed("v", r"^\w+\\\w+$")).count() == 2
 
 
 def test_out_of_order_ignores_unknown_stages(spark):
