@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from tempfile import gettempdir
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +16,12 @@ from tallymart.plans import gold as marts
 from tallymart.plans import reports
 from tallymart.plans.gold import GoldPlan
 from tallymart.plans.silver import FLAGS, SilverPlan
-from tallymart.session import tune
+from tallymart.session import shared_folder, tune
 from tallymart.sources.adapters import BronzePlan
 from tallymart.sources.ingest import read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
 # Filter values of the ``*_filtered`` queries; the SQL side spells the same values out.
 SALES_FILTER = SalesFilter(
     start_date="1996-01-01",
@@ -48,16 +45,6 @@ DELIVERY_FILTER = DeliveryFilter(
 )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors reach.  A local session may do without the setting, a cluster not."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    return f"{gettempdir()}/tallymart"
-
-
 def _bronze(query: Callable[[BronzePlan], DataFrame]) -> Query:
     return lambda spark, folder: query(BronzePlan(tune(spark), folder))
 

@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tallymart.session import ensure_checkpoint_dir
 
 # The page sizes offered for detail tables.
 PAGE_SIZES = (25, 50, 100)
+# Pages that end beyond this row are cut out of a range-sorted copy instead of one task's heap.
+HEAP_ROWS = 100_000
+# monotonically_increasing_id() keeps the row number within its partition in the low 33 bits.
+ROW_NUMBER_MASK = (1 << 33) - 1
+PART, ROW = "__part", "__row"
 
 
 @dataclass(frozen=True)
@@ -32,5 +42,47 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 
 def page(df: DataFrame, limit: int, offset: int, *order: Column) -> DataFrame:
-    """Rows offset+1 .. offset+limit of a total order."""
-    return df.orderBy(*order).offset(max(0, int(offset))).limit(max(1, int(limit)))
+    """Rows offset+1 .. offset+limit of a total order.
+
+    Spark finds such rows by passing the first offset+limit ones through a single
+    task.  That is right for the first pages; a page far down is taken from
+    ``SortedPages`` instead.
+    """
+    limit, offset = max(1, int(limit)), max(0, int(offset))
+    if offset + limit <= HEAP_ROWS:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    return SortedPages(df, *order).page(limit, offset)
+
+
+class SortedPages:
+    """Any page of a totally ordered result, however far down, for one distributed sort.
+
+    The rows are range-partitioned, sorted and numbered within their partition,
+    and this copy is checkpointed in the shared folder.  A page then needs the
+    row count of each partition (one number per partition on the driver) and
+    reads only the one or two partitions it lies in.  Keep the object to serve
+    further pages of the same result.
+    """
+
+    def __init__(self, df: DataFrame, *order: Column) -> None:
+        ensure_checkpoint_dir(df.sparkSession)
+        self._columns = df.columns
+        self._rows = (
+            df.repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .withColumn(PART, F.spark_partition_id())
+            .withColumn(ROW, F.monotonically_increasing_id().bitwiseAND(ROW_NUMBER_MASK))
+            .checkpoint()
+        )
+        counts = self._rows.groupBy(PART).count().collect()
+        self._sizes = sorted((r[PART], r["count"]) for r in counts)
+
+    def page(self, limit: int, offset: int) -> DataFrame:
+        pieces, start = [], 0
+        for part, size in self._sizes:
+            first, last = max(offset - start, 0), min(offset + limit - start, size) - 1
+            if first <= last:
+                pieces.append((F.col(PART) == part) & F.col(ROW).between(first, last))
+            start += size
+        wanted = reduce(or_, pieces, F.lit(False))
+        return self._rows.filter(wanted).orderBy(PART, ROW).select(*self._columns)

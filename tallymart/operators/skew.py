@@ -47,26 +47,30 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def find_hot_keys(df: DataFrame, key: str, min_bytes: int | None = None) -> HotKeys:
-    """Keys whose rows would outweigh two average shuffle partitions.
+def find_hot_keys(df: DataFrame, *keys: str, min_bytes: int | None = None) -> dict[str, HotKeys]:
+    """For each key column the values whose rows would outweigh two average shuffle partitions.
 
-    Reads the key column only and returns one row: a mergeable frequent-item
-    sketch, the number of rows and the number of NULL keys.  At most
-    MAX_HOT_KEYS values reach the driver.  Small inputs are not read at all.
+    One pass reads the key columns only and returns one row: a mergeable
+    frequent-item sketch and the number of NULLs per key.  At most MAX_HOT_KEYS
+    values per key reach the driver.  Small inputs are not read at all.
     """
     if min_bytes is None:
         min_bytes = int(df.sparkSession.conf.get(CHECK_BYTES_SETTING, str(CHECK_BYTES)))
     if input_bytes(df) < min_bytes:
-        return NO_HOT_KEYS
-    seen = df.select(key).agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(key).isNull()).alias("n_null"),
-    ).first()
+        return {key: NO_HOT_KEYS for key in keys}
+    sketches = [
+        F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {SKETCH_ITEMS}) AS top_{key}") for key in keys
+    ]
+    nulls = [F.expr(f"count_if({key} IS NULL) AS nulls_{key}") for key in keys]
+    seen = df.select(*keys).agg(F.count(F.lit(1)).alias("n"), *sketches, *nulls).first()
     limit = max(1, seen["n"] * min(MAX_SHARE, 2 / _partitions(df)))
-    frequent = [item["item"] for item in seen["top"] or [] if item["count"] >= limit]
-    values = tuple(value for value in frequent if value is not None)
-    return HotKeys(values, seen["n_null"] >= limit)
+
+    def hot(key: str) -> HotKeys:
+        frequent = [item["item"] for item in seen[f"top_{key}"] or [] if item["count"] >= limit]
+        values = tuple(value for value in frequent if value is not None)
+        return HotKeys(values, seen[f"nulls_{key}"] >= limit)
+
+    return {key: hot(key) for key in keys}
 
 
 def spread_join(

@@ -28,10 +28,9 @@ def sales(silver: Silver | SilverPlan) -> DataFrame:
         "product_id": silver.products.select("product_id", "product_category_name"),
         "seller_id": silver.sellers.select("seller_id", "seller_state"),
     }
+    hot = find_hot_keys(items, *parents)
     wide = reduce(
-        lambda facts, key: spread_join(
-            facts, parents[key], key, "left", find_hot_keys(items, key), items.columns
-        ),
+        lambda facts, key: spread_join(facts, parents[key], key, "left", hot[key], items.columns),
         parents,
         items,
     )
@@ -131,7 +130,7 @@ def customers(silver: Silver | SilverPlan, grain: str = "address") -> DataFrame:
     Sales and engagement are two branches that meet at the person: a report that
     needs only one of them makes Catalyst drop the other with all of its scans.
     """
-    hot = {key: find_hot_keys(silver.orders, key) for key in ("order_id", "customer_id")}
+    hot = find_hot_keys(silver.orders, "order_id", "customer_id")
     bought = _per_customer_order(silver, [_item_totals(silver)], hot)
     if grain == "address":
         metrics = _sales_metrics(bought, PERSON_ADDRESS)
@@ -146,7 +145,7 @@ def customers(silver: Silver | SilverPlan, grain: str = "address") -> DataFrame:
         _engagement_metrics(engaged),
         PERSON,
         "left",
-        find_hot_keys(silver.customers, PERSON),
+        find_hot_keys(silver.customers, PERSON)[PERSON],
     )
     return combined.select(
         *PERSON_ADDRESS,

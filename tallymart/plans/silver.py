@@ -206,13 +206,14 @@ def order_items(
         "freight_value",
     )
     flagged = apply_rules(standard, order_item_rules())
+    hot = find_hot_keys(standard, "order_id", "product_id", "seller_id")
     with_order = with_parent(
         flagged,
         silver_orders,
         "order_id",
         marker="order_found",
         carry={"purchased_at": F.max("order_purchase_timestamp")},
-        hot=find_hot_keys(standard, "order_id"),
+        hot=hot["order_id"],
         salt_from=standard.columns,
     )
     with_product = with_parent(
@@ -220,7 +221,7 @@ def order_items(
         bronze_products,
         "product_id",
         marker="product_found",
-        hot=find_hot_keys(standard, "product_id"),
+        hot=hot["product_id"],
         salt_from=standard.columns,
     )
     with_seller = with_parent(
@@ -228,7 +229,7 @@ def order_items(
         bronze_sellers,
         "seller_id",
         marker="seller_found",
-        hot=find_hot_keys(standard, "seller_id"),
+        hot=hot["seller_id"],
         salt_from=standard.columns,
     )
     checked = apply_rules(
@@ -337,7 +338,7 @@ def order_payments(bronze_payments: DataFrame, silver_orders: DataFrame) -> Data
         silver_orders,
         "order_id",
         marker="order_found",
-        hot=find_hot_keys(standard, "order_id"),
+        hot=find_hot_keys(standard, "order_id")["order_id"],
         salt_from=standard.columns,
     )
     reference = Rule("invalid_order_reference", orphan_or_unknown("order_id", "order_found"))
@@ -401,7 +402,7 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
         silver_orders,
         "order_id",
         marker="order_found",
-        hot=find_hot_keys(standard, "order_id"),
+        hot=find_hot_keys(standard, "order_id")["order_id"],
         salt_from=standard.columns,
     )
     known_form = f"order_id RLIKE {r.literal(ID_PATTERN)}"

@@ -1,29 +1,45 @@
-"""Session settings the library relies on.  They only fill gaps: a value the cluster sets is kept."""
+"""Session settings the library relies on."""
 
 from __future__ import annotations
 
+from tempfile import mkdtemp
+
 from pyspark.sql import SparkSession
 
-# Runtime settings that matter for large inputs.  Adaptive execution splits
-# skewed join partitions, merges small ones and switches a join to broadcast
-# once the measured size of a side allows it.
-RUNTIME = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-}
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+# Spark's own defaults already turn adaptive execution, the splitting of skewed join
+# partitions and the merging of small partitions on.  This one lets a skewed join be
+# split even where the next operator would otherwise have reused its partitioning.
+RUNTIME = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings that the application did not set itself."""
-    given = {key for key, _ in spark.sparkContext.getConf().getAll()}
+    """Apply the runtime settings that the application was not started with."""
     for key, value in RUNTIME.items():
-        if key not in given:
+        if not spark.sparkContext.getConf().contains(key):
             spark.conf.set(key, value)
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors reach.  A local session may do without the setting, a cluster not."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
+    folder = mkdtemp(prefix="tallymart-")
+    spark.conf.set(CHECKPOINT_DIR, folder)
+    return folder
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint()`` usable without touching a directory that is already set."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (

@@ -190,6 +190,28 @@ def test_pages(spark):
     assert top(df, 0, *order).count() == 1
 
 
+def test_pages_far_down(spark, monkeypatch):
+    """Past the heap limit a page comes from the range-sorted copy and is the same page."""
+    from tallymart.operators import paging
+
+    df = spark.range(5000).select((F.col("id") % 11).alias("v"), "id").repartition(7)
+    order = (F.desc("v"), F.asc("id"))
+    whole = [tuple(r) for r in df.orderBy(*order).collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pages = paging.SortedPages(df, *order)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(pages._sizes) > 1
+    border = pages._sizes[0][1]
+    for offset in (0, border - 10, border, 4990, 5000):
+        found = pages.page(25, offset)
+        assert found.columns == ["v", "id"]
+        assert [tuple(r) for r in found.collect()] == whole[offset : offset + 25]
+    monkeypatch.setattr(paging, "HEAP_ROWS", 1000)
+    assert [tuple(r) for r in page(df, 50, 990, *order).collect()] == whole[990:1040]
+
+
 @pytest.mark.parametrize(
     "total, size, asked, expected",
     [

@@ -29,10 +29,9 @@ def parent(spark):
 
 
 def test_hot_keys_are_found_above_the_size_limit_only(child):
-    assert find_hot_keys(child, "key", min_bytes=0) == HotKeys(("hot",), nulls=True)
-    assert not find_hot_keys(child, "key", min_bytes=10**30)
-    even = child.select(F.col("n").cast("string").alias("key"))
-    assert not find_hot_keys(even, "key", min_bytes=0)
+    found = find_hot_keys(child, "key", "n", min_bytes=0)
+    assert found == {"key": HotKeys(("hot",), nulls=True), "n": HotKeys()}
+    assert not find_hot_keys(child, "key", min_bytes=10**30)["key"]
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
@@ -58,7 +57,7 @@ def test_hot_rows_reach_many_tasks(spark, child, parent):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        hot = find_hot_keys(child, "key", min_bytes=0)
+        hot = find_hot_keys(child, "key", min_bytes=0)["key"]
         assert largest_task(HotKeys()) >= 3000
         assert largest_task(hot) < 1200
     finally:
@@ -72,14 +71,17 @@ def test_builders_give_the_same_rows_with_salting(spark, tiny, tiny_silver, tiny
     from tallymart.plans.gold import GoldPlan
     from tallymart.plans.silver import SilverPlan
 
+    entities, names = ("order_items", "order_payments", "order_reviews"), ("sales", "customers")
+    plain = {name: rows(getattr(tiny_silver, name)) for name in entities}
+    plain |= {name: rows(getattr(tiny_gold, name)) for name in names}
     spark.conf.set(CHECK_BYTES_SETTING, "0")
     try:
         silver = SilverPlan(tiny)
         gold = GoldPlan(silver)
-        assert find_hot_keys(silver.orders, "customer_id")
-        for entity in ("order_items", "order_payments", "order_reviews"):
-            assert rows(getattr(silver, entity)) == rows(getattr(tiny_silver, entity))
-        for mart in ("sales", "customers"):
-            assert rows(getattr(gold, mart)) == rows(getattr(tiny_gold, mart))
+        assert find_hot_keys(silver.orders, "customer_id")["customer_id"]
+        for entity in entities:
+            assert rows(getattr(silver, entity)) == plain[entity]
+        for mart in names:
+            assert rows(getattr(gold, mart)) == plain[mart]
     finally:
         spark.conf.set(CHECK_BYTES_SETTING, NEVER)
