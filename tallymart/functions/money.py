@@ -42,5 +42,5 @@ def rounded_ratio(amount: Column, n: Column, digits: int = 2) -> Column:
 
     Divided as DECIMAL, because a DOUBLE quotient can fall just below a tie.
     """
-    ratio = F.try_divide(amount.cast("decimal(24,6)"), n.cast("decimal(12,0)"))
+    ratio = F.try_divide(amount.cast("decimal(24,6)"), n.cast("decimal(15,0)"))
     return F.round(ratio, digits).cast("double")

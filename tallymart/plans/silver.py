@@ -195,7 +195,8 @@ def order_items(
     """Parents are looked up by distinct key, so a duplicate parent cannot multiply items.
 
     The orders lookup brings the marker and the purchase time at once; where an
-    order id occurs twice, the latest purchase time is the one compared.
+    order id occurs twice, the latest purchase time is the one compared.  Flags
+    are added after the joins, so that the shuffled rows stay narrow.
     """
     standard = bronze_items.select(
         *trimmed("order_id"),
@@ -205,10 +206,9 @@ def order_items(
         "price",
         "freight_value",
     )
-    flagged = apply_rules(standard, order_item_rules())
     hot = find_hot_keys(standard, "order_id", "product_id", "seller_id")
     with_order = with_parent(
-        flagged,
+        standard,
         silver_orders,
         "order_id",
         marker="order_found",
@@ -235,6 +235,7 @@ def order_items(
     checked = apply_rules(
         with_seller,
         [
+            *order_item_rules(),
             Rule("invalid_order_reference", orphan("order_id", "order_found")),
             Rule("invalid_product_reference", orphan("product_id", "product_found")),
             Rule("invalid_seller_reference", orphan("seller_id", "seller_found")),
@@ -333,8 +334,8 @@ def order_payments(bronze_payments: DataFrame, silver_orders: DataFrame) -> Data
         "payment_installments",
         "payment_value",
     )
-    checked = with_parent(
-        apply_rules(standard, payment_rules()),
+    joined = with_parent(
+        standard,
         silver_orders,
         "order_id",
         marker="order_found",
@@ -342,7 +343,8 @@ def order_payments(bronze_payments: DataFrame, silver_orders: DataFrame) -> Data
         salt_from=standard.columns,
     )
     reference = Rule("invalid_order_reference", orphan_or_unknown("order_id", "order_found"))
-    return apply_rules(checked, [reference]).select(*standard.columns, *FLAGS["order_payments"])
+    checked = apply_rules(joined, [*payment_rules(), reference])
+    return checked.select(*standard.columns, *FLAGS["order_payments"])
 
 
 def review_rules() -> list[Rule]:
@@ -390,15 +392,8 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
             "review_answer_timestamp",
         )
     )
-    typed = standard.withColumns(
-        {
-            "review_score_int": typed_score("review_score"),
-            "review_creation_ts": parsed_timestamp("review_creation_date"),
-            "review_answer_ts": parsed_timestamp("review_answer_timestamp"),
-        }
-    )
-    checked = with_parent(
-        apply_rules(typed, review_rules()),
+    joined = with_parent(
+        standard,
         silver_orders,
         "order_id",
         marker="order_found",
@@ -409,7 +404,14 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
     reference = Rule(
         "invalid_order_reference", f"{orphan('order_id', 'order_found')} AND {known_form}"
     )
-    return apply_rules(checked, [reference]).select(
+    typed = joined.withColumns(
+        {
+            "review_score_int": typed_score("review_score"),
+            "review_creation_ts": parsed_timestamp("review_creation_date"),
+            "review_answer_ts": parsed_timestamp("review_answer_timestamp"),
+        }
+    )
+    return apply_rules(typed, [*review_rules(), reference]).select(
         "review_id",
         "order_id",
         "review_score",

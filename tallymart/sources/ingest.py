@@ -31,14 +31,19 @@ AUDIT_SCHEMA = T.StructType(
 MULTILINE = {"multiLine": "true", "escape": '"'}
 
 
+# Affixes of the data set's file names (regular expressions), dropped to get
+# the table name.
+FILE_PREFIX = "^olist_"
+FILE_SUFFIX = "_dataset$"
+
+
 @dataclass(frozen=True)
 class IngestOptions:
     layer: str = "bronze"
     audit_table: str = "ingestion_audit"
     fmt: str = DEFAULT_FORMAT
-    # Affixes dropped from a file name to get its table name (regular expressions).
-    prefix: str = "^olist_"
-    suffix: str = "_dataset$"
+    prefix: str = FILE_PREFIX
+    suffix: str = FILE_SUFFIX
     # Reader options added to header and inferSchema.
     reader: dict[str, str] = field(default_factory=dict)
     # Explicit schema per table name; saves the inference pass over the file.
@@ -66,7 +71,7 @@ def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
     )
 
 
-def table_name(file_name: str, prefix: str = "^olist_", suffix: str = "_dataset$") -> str:
+def table_name(file_name: str, prefix: str = FILE_PREFIX, suffix: str = FILE_SUFFIX) -> str:
     stem = file_name.removesuffix(".csv")
     return re.sub(suffix, "", re.sub(prefix, "", stem))
 
