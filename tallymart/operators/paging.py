@@ -61,7 +61,8 @@ class SortedPages:
     and this copy is checkpointed in the shared folder.  A page then needs the
     row count of each partition (one number per partition on the driver) and
     reads only the one or two partitions it lies in.  Keep the object to serve
-    further pages of the same result.
+    further pages of the same result.  The order should end with a key: rows that
+    agree in every order column cannot be separated by range.
     """
 
     def __init__(self, df: DataFrame, *order: Column) -> None:

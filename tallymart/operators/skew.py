@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.sources.tables import input_bytes
+from tallymart.sources.tables import UNKNOWN_BYTES, input_bytes
 
 SALT = "__salt"
 # A frame read from less than this (on storage) is joined without looking for hot keys.
@@ -24,6 +24,10 @@ CHECK_BYTES_SETTING = "spark.tallymart.skewCheckBytes"
 CHECK_BYTES = 1024 * 1024 * 1024
 # A key is hot from twice the average shuffle partition on, and always from this share of the rows on.
 MAX_SHARE = 0.05
+# The sketches see about this much of the input: a hot key shows up in any fair sample, and a
+# sketch of few rows is small enough for one task to merge those of all scan tasks.
+SAMPLE_BYTES = 4 * 1024 * 1024 * 1024
+SAMPLE_SEED = 17
 MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 20_000
 # Several salts per partition even out the hash of (key, salt) over the partitions.
@@ -50,19 +54,24 @@ def _partitions(df: DataFrame) -> int:
 def find_hot_keys(df: DataFrame, *keys: str, min_bytes: int | None = None) -> dict[str, HotKeys]:
     """For each key column the values whose rows would outweigh two average shuffle partitions.
 
-    One pass reads the key columns only and returns one row: a mergeable
-    frequent-item sketch and the number of NULLs per key.  At most MAX_HOT_KEYS
-    values per key reach the driver.  Small inputs are not read at all.
+    One pass reads the key columns only and returns one row: per key a mergeable
+    frequent-item sketch and the number of NULLs, taken from a sample of large
+    inputs.  At most MAX_HOT_KEYS values per key reach the driver.  Small inputs
+    are not read at all.
     """
     if min_bytes is None:
         min_bytes = int(df.sparkSession.conf.get(CHECK_BYTES_SETTING, str(CHECK_BYTES)))
-    if input_bytes(df) < min_bytes:
+    size = input_bytes(df)
+    if size < min_bytes:
         return {key: NO_HOT_KEYS for key in keys}
+    seen_keys = df.select(*keys)
+    if SAMPLE_BYTES < size < UNKNOWN_BYTES:
+        seen_keys = seen_keys.sample(SAMPLE_BYTES / size, seed=SAMPLE_SEED)
     sketches = [
         F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {SKETCH_ITEMS}) AS top_{key}") for key in keys
     ]
     nulls = [F.expr(f"count_if({key} IS NULL) AS nulls_{key}") for key in keys]
-    seen = df.select(*keys).agg(F.count(F.lit(1)).alias("n"), *sketches, *nulls).first()
+    seen = seen_keys.agg(F.count(F.lit(1)).alias("n"), *sketches, *nulls).first()
     limit = max(1, seen["n"] * min(MAX_SHARE, 2 / _partitions(df)))
 
     def hot(key: str) -> HotKeys:

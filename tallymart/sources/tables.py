@@ -12,6 +12,8 @@ DEFAULT_FORMAT = "parquet"
 SCHEMA_REPLACING = {"delta"}
 MIN_SPREAD_BYTES = 1024 * 1024
 FULL_SPLIT_BYTES = 128 * 1024 * 1024
+# Spark reports the largest BIGINT for inputs whose size it cannot know.
+UNKNOWN_BYTES = 1 << 62
 
 
 def create_layer(spark: SparkSession, layer: str) -> None:

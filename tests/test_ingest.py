@@ -93,3 +93,14 @@ def test_explicit_schema_and_reader_options(spark, folder):
     ingest_folder(spark, str(folder), options)
     assert dict(spark.table("raw2.sellers").dtypes)["zip"] == "string"
     assert spark.table("raw2.reviews").count() == 2
+
+
+def test_header_only_and_ambiguous_files(spark, tmp_path):
+    (tmp_path / "nothing_yet.csv").write_text("a,b\n")
+    (tmp_path / "twice.csv").write_text("a,a\n1,2\n")
+    (tmp_path / "archive.csv").mkdir()
+    results = ingest_folder(spark, str(tmp_path), IngestOptions(layer="raw3"))
+    found = {r.source_file: (r.status, r.rows_read) for r in results}
+    assert found["nothing_yet.csv"] == (SUCCESS, 0)
+    assert spark.table("raw3.nothing_yet").columns == ["a", "b"]
+    assert set(found) == {"nothing_yet.csv", "twice.csv"}

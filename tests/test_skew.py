@@ -34,6 +34,17 @@ def test_hot_keys_are_found_above_the_size_limit_only(child):
     assert not find_hot_keys(child, "key", min_bytes=10**30)["key"]
 
 
+def test_hot_keys_of_a_large_input_are_found_in_a_sample(spark, child, tmp_path, monkeypatch):
+    from tallymart.operators import skew
+    from tallymart.sources.tables import input_bytes
+
+    child.write.parquet(str(tmp_path / "child"))
+    stored = spark.read.parquet(str(tmp_path / "child"))
+    monkeypatch.setattr(skew, "SAMPLE_BYTES", input_bytes(stored) // 10)
+    found = find_hot_keys(stored, "key", "n", min_bytes=0)
+    assert found == {"key": HotKeys(("hot",), nulls=True), "n": HotKeys()}
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("hot", [HotKeys(("hot",)), HotKeys((), True), HotKeys(("hot", "k5"), True)])
 def test_same_rows_as_a_plain_join(child, parent, how, hot):
