@@ -5,6 +5,9 @@ runs of the same job can differ in the last digits.  Here an amount is split
 into whole cents and a remainder counted in millionths; both are summed as
 BIGINT, which is exact in any order, stays in whole-stage codegen and costs a
 fraction of a DECIMAL sum.  An overflow raises under ANSI mode.
+
+Values that are no amounts (NaN, infinities, anything beyond LARGEST) are added
+as DOUBLE on the side, so they show in the result as they would in a plain sum.
 """
 
 from __future__ import annotations
@@ -13,18 +16,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Amounts up to here fit into BIGINT cents.
+LARGEST = "9e16D"
+
+
+def _amount(name: str) -> str:
+    return f"CASE WHEN abs({name}) < {LARGEST} THEN {name} WHEN {name} IS NOT NULL THEN 0D END"
+
+
 def _cents(name: str) -> str:
-    return f"CAST(rint({name} * 100D) AS BIGINT)"
+    return f"CAST(rint(({_amount(name)}) * 100D) AS BIGINT)"
 
 
 def _rest(name: str) -> str:
-    return f"CAST(rint(({name} * 100D - {_cents(name)}) * 10000D) AS BIGINT)"
+    return f"CAST(rint((({_amount(name)}) * 100D - {_cents(name)}) * 10000D) AS BIGINT)"
+
+
+def _beyond(name: str) -> str:
+    return f"if(abs({name}) < {LARGEST}, 0D, {name})"
 
 
 def _sum_text(*names: str) -> str:
     cents = " + ".join(f"sum({_cents(name)})" for name in names)
     rest = " + ".join(f"sum({_rest(name)})" for name in names)
-    return f"(({cents}) / 100D + ({rest}) / 1000000D)"
+    beyond = " + ".join(f"sum({_beyond(name)})" for name in names)
+    return f"(({cents}) / 100D + ({rest}) / 1000000D + ({beyond}))"
 
 
 def exact_sum(*names: str) -> Column:
@@ -38,9 +54,9 @@ def exact_avg(name: str) -> Column:
 
 
 def rounded_ratio(amount: Column, n: Column, digits: int = 2) -> Column:
-    """amount / n rounded half away from zero; NULL for n = 0.
+    """amount / n rounded half away from zero; NULL for n = 0 and for what is no amount.
 
     Divided as DECIMAL, because a DOUBLE quotient can fall just below a tie.
     """
-    ratio = F.try_divide(amount.cast("decimal(24,6)"), n.cast("decimal(15,0)"))
+    ratio = F.try_divide(amount.try_cast("decimal(24,6)"), n.cast("decimal(15,0)"))
     return F.round(ratio, digits).cast("double")

@@ -29,9 +29,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    folder = mkdtemp(prefix="tallymart-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return mkdtemp(prefix="tallymart-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -39,3 +39,16 @@ def test_ratio_rounds_ties_away_from_zero(spark):
     assert found == expected
     zero = spark.createDataFrame([(1.0, 0), (None, 0)], "x double, n bigint")
     assert [r[0] for r in zero.select(rounded_ratio(F.col("x"), F.col("n"))).collect()] == [None, None]
+
+
+def test_values_that_are_no_amounts_show_in_the_sum(spark):
+    df = spark.createDataFrame(
+        [(float("nan"), 1.5, 1e300), (2.0, float("-inf"), 1.0), (None, 0.1, None)],
+        "x double, y double, z double",
+    )
+    total = df.agg(exact_sum("x"), exact_sum("y"), exact_sum("z"), exact_avg("z")).first()
+    assert math.isnan(total[0]) and tuple(total)[1:] == (float("-inf"), 1e300, 5e299)
+    only_nan = df.filter("isnan(x)").agg(exact_sum("x")).first()[0]
+    assert math.isnan(only_nan)
+    ratio = df.select(rounded_ratio(F.col("x"), F.lit(2))).collect()
+    assert [r[0] for r in ratio] == [None, 1.0, None]
