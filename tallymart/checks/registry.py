@@ -50,9 +50,7 @@ def _bronze(query: Callable[[BronzePlan], DataFrame]) -> Query:
 
 
 def _silver(query: Callable[[SilverPlan], DataFrame]) -> Query:
-    return lambda spark, folder: query(
-        SilverPlan(BronzePlan(tune(spark), folder))
-    )
+    return lambda spark, folder: query(SilverPlan(BronzePlan(tune(spark), folder)))
 
 
 def _both(query: Callable[[BronzePlan, SilverPlan], DataFrame]) -> Query:

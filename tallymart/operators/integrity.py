@@ -8,19 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators.rules import count_flags
-from tallymart.operators.skew import NO_HOT_KEYS, HotKeys, spread_join
+from tallymart.operators.skew import find_hot_keys, spread_join
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Distinct child keys without a parent.  Copies of a key are merged before the shuffle."""
-    return child.select(key).distinct().join(parent.select(key), key, "left_anti")
+    return child.select(key).distinct().join(parent.select(key).distinct(), key, "left_anti")
 
 
-def orphan_rows(
-    child: DataFrame, parent: DataFrame, key: str, hot: HotKeys = NO_HOT_KEYS
-) -> DataFrame:
+def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Every child row without a parent, rows with a NULL key included."""
-    return spread_join(child, parent.select(key), key, "left_anti", hot)
+    hot = find_hot_keys(child, key)[key]
+    return spread_join(child, parent.select(key).distinct(), key, "left_anti", hot)
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
