@@ -1,4 +1,4 @@
-"""Staging in the shared folder, bounded label samples, folds."""
+"""Staging in the shared folder, samples to train on, folds."""
 
 from __future__ import annotations
 
@@ -47,12 +47,19 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int) -> Da
     )
 
 
-def bounded(df: DataFrame, rows: int, characters: int) -> list:
-    """At most ``rows`` rows, chosen by a hash of id and text, each with its text cut to
-    ``characters`` for training only; the same rows at every parallelism."""
+def sample(df: DataFrame, rows: int, characters: int) -> list:
+    """About ``rows`` rows (all if there are fewer), chosen by a hash of id and text; the text
+    of each is cut to ``characters``.  For training only: the bounds are the callers' documented
+    parameters.  The same rows come at every parallelism, in the order of that hash."""
+    n = df.select("doc_id").count()
+    part = min(1.0, rows / max(n, 1))
+    mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     return (
-        df.orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-        .limit(rows)
+        df.where(mark < int(part * (1 << 30)))
         .withColumn("text", F.substring("text", 1, characters))
+        .orderBy(F.xxhash64("doc_id", "text"), "doc_id")
         .collect()
     )
+
+
+bounded = sample
