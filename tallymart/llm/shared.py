@@ -60,6 +60,3 @@ def sample(df: DataFrame, rows: int, characters: int) -> list:
         .orderBy(F.xxhash64("doc_id", "text"), "doc_id")
         .collect()
     )
-
-
-bounded = sample

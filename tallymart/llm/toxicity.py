@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import bounded, fold, labelled
+from tallymart.llm.shared import fold, labelled, sample
 
 #: Words of a window and the step between windows.
 WINDOW, STEP = 32, 24
@@ -343,7 +343,7 @@ def train(pairs: list[tuple[str, int]]) -> Network:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
     """Train on at most ``TRAIN_ROWS`` labelled documents outside the held-out fold."""
-    rows = bounded(labelled(docs, labels, "toxic", 5), TRAIN_ROWS, TRAIN_CHARACTERS)
+    rows = sample(labelled(docs, labels, "toxic", 5), TRAIN_ROWS, TRAIN_CHARACTERS)
     return train([(r.text, r.y) for r in rows])
 
 

@@ -19,6 +19,8 @@ _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE_VALUES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes of tokens: ASCII letters and digits, and all bytes of other characters.
+TOKEN_BYTES = np.array([i >= 128 or chr(i).isalnum() for i in range(256)])
 BYTE_BASE, WORD_BASE, SECOND_BASE = (
     0x9E3779B97F4A7C15,
     0xD1342543DE82EF95,
@@ -84,8 +86,13 @@ class Block:
         return run_hash(sums, self.starts, self.ends, BYTE_BASE)
 
 
-def blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[Block]:
-    """Cut a text column into blocks of about ``limit`` bytes; a longer text is a block of its own."""
+def blocks(
+    column: pa.Array, limit: int = 1 << 20, solid_bytes: np.ndarray = ~_SPACE
+) -> Iterator[Block]:
+    """Cut a text column into blocks of about ``limit`` bytes; a longer text is a block of its own.
+
+    Words are runs of ``solid_bytes``; by default of all but white space.  A null is empty.
+    """
     column = pc.fill_null(column, "").cast(pa.large_string())
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -99,12 +106,13 @@ def blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[Block]:
     while row < n:
         to = int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1
         to = min(max(to, row + 1), n)
-        yield cut(row, data[offsets[row] : offsets[to]], offsets[row : to + 1] - offsets[row])
+        part = data[offsets[row] : offsets[to]]
+        yield cut(row, part, offsets[row : to + 1] - offsets[row], solid_bytes)
         row = to
 
 
-def cut(first: int, data: np.ndarray, offsets: np.ndarray) -> Block:
-    solid = ~_SPACE[data]
+def cut(first: int, data: np.ndarray, offsets: np.ndarray, solid_bytes: np.ndarray) -> Block:
+    solid = solid_bytes[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     stops = solid.copy()
