@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import byte_bpe, language, quality, toxicity
+from tallymart.llm import byte_bpe, decontamination, exact_dedup, language, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -25,6 +29,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(spark, docs, ranks, public_tokenizers.PATTERN))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(spark, docs, benchmark)
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language(spark, table(spark, sf_dir, "documents"))
 
@@ -35,12 +44,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_dedup": op1_exact_dedup,
         "op2_quality": op2_quality,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_decontamination": op6_decontamination,
         "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
     }
 
 
+EXACT_DEDUP_SQL = """
+with texts as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') as norm from documents)
+select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+  doc_id = min(doc_id) over same as kept, sha256(norm) as text_sha256
+from texts window same as (partition by norm)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_exact_dedup": EXACT_DEDUP_SQL}
