@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import byte_bpe, decontamination, exact_dedup, language, quality, toxicity
+from tallymart.llm import byte_bpe, decontamination, exact_dedup, language, quality, substring_dedup, toxicity
+from tallymart.llm.shared import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -34,6 +36,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(spark, docs, benchmark)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language(spark, table(spark, sf_dir, "documents"))
 
@@ -48,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality": op2_quality,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_decontamination": op6_decontamination,
+        "op7_substring_dedup": op7_substring_dedup,
         "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
     }

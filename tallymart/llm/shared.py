@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
 import uuid
+from pathlib import Path
+from shutil import make_archive, rmtree
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +64,18 @@ def sample(df: DataFrame, rows: int, characters: int) -> list:
         .orderBy(F.xxhash64("doc_id", "text"), "doc_id")
         .collect()
     )
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once an application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp()  # the driver serves the archive from there to its end
+        atexit.register(rmtree, folder, ignore_errors=True)
+        to = f"{folder}/{package.name}_text"
+        context.addPyFile(make_archive(to, "zip", package.parent, package.name))
