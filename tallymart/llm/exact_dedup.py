@@ -52,6 +52,8 @@ def state_after(spark: SparkSession, arrivals: DataFrame, folder: str) -> DataFr
     arrivals.write.mode("append").parquet(f"{folder}/arrivals")
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    # many small stores: no room set aside on disk for each
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *PLACE)
     query = (
         session.readStream.schema(arrivals.schema)
@@ -65,9 +67,9 @@ def state_after(spark: SparkSession, arrivals: DataFrame, folder: str) -> DataFr
         .start()
     )
     query.awaitTermination()
-    kept = spark.read.format("statestore").load(f"{folder}/state")
+    kept = session.read.format("statestore").load(f"{folder}/state")
     value = [F.col(f"value.`{name}`") for name in kept.schema["value"].dataType.fieldNames()]
-    return kept.select("key.digest", value[0].alias("first"), value[1].alias("n"))
+    return stage(kept.select("key.digest", value[0].alias("first"), value[1].alias("n")), "state", spark)
 
 
 def group(
@@ -87,7 +89,7 @@ def group(
     located = with_place(docs)
     text = normalised(F.col("text"))
     arrivals = located.select("doc_id", *PLACE, digest(text).alias("digest"))
-    state = stage(state_after(spark, arrivals, folder), "state")
+    state = state_after(spark, arrivals, folder)
     seen = spark.read.schema(arrivals.schema).parquet(f"{folder}/arrivals")
     placed = seen.join(state, "digest")
 
