@@ -52,6 +52,8 @@ def state_after(spark: SparkSession, arrivals: DataFrame, folder: str) -> DataFr
     arrivals.write.mode("append").parquet(f"{folder}/arrivals")
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    partitions = "spark.sql.shuffle.partitions"
+    session.conf.set(partitions, spark.conf.get(partitions))
     # many small stores: no room set aside on disk for each
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *PLACE)
