@@ -14,14 +14,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.llm.rows import PLACE, located, without
 from tallymart.llm.shared import shared_folder, stage
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PLACE = ("file", "row")
 
 
 def normalised(text: Column) -> Column:
@@ -33,19 +32,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def with_place(docs: DataFrame) -> DataFrame:
-    """id, text and locator of each row; a frame that is no file scan is staged first."""
-    try:
-        found = docs.select(
-            "doc_id", "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-        )
-        found.schema  # noqa: B018  analysed here
-        return found
-    except AnalysisException:
-        staged = stage(docs.select("doc_id", "text"), "documents")
-        return with_place(staged)
-
-
 def state_after(spark: SparkSession, arrivals: DataFrame, folder: str) -> DataFrame:
     """Append arrivals to the folder's table, stream them into the state, and read it:
     digest, first (struct of no_id, doc_id, file, row), n."""
@@ -88,16 +74,16 @@ def group(
     and text are not read.
     """
     folder = folder or f"{shared_folder(spark)}/exact_dedup"
-    located = with_place(docs)
+    placed_rows = located(docs)
     text = normalised(F.col("text"))
-    arrivals = located.select("doc_id", *PLACE, digest(text).alias("digest"))
+    arrivals = placed_rows.select("doc_id", *PLACE, digest(text).alias("digest"))
     state = state_after(spark, arrivals, folder)
     seen = spark.read.schema(arrivals.schema).parquet(f"{folder}/arrivals")
     placed = seen.join(state, "digest")
 
     # hits: the bytes of every row whose digest was met more than once
     often = state.where("n > 1").select("digest", "first")
-    texts = located.select("doc_id", *PLACE, text.alias("text"), digest(text).alias("digest"))
+    texts = placed_rows.select("doc_id", *PLACE, text.alias("text"), digest(text).alias("digest"))
     hits = stage(texts.join(often.hint("shuffle_hash"), "digest"), "hits")
     is_first = F.expr("file = first.file and row = first.row")
     firsts = hits.where(is_first).select("digest", F.col("text").alias("first_text"))
@@ -130,16 +116,4 @@ def exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 def keep_first(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows that stay, with their columns as they were."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    two = {"doc_id": names[docs.columns.index("doc_id")], "text": names[docs.columns.index("text")]}
-    try:
-        plain.select("_metadata.row_index").schema  # noqa: B018
-    except AnalysisException:
-        plain = stage(plain, "documents")
-    view = plain.select(*[F.col(old).alias(new) for new, old in two.items()])
-    dropped = group(spark, view).where("not kept").select(*PLACE)
-    whole = plain.select(
-        *names, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-    )
-    return whole.join(dropped, list(PLACE), "left_anti").select(*names).toDF(*docs.columns)
+    return without(docs, lambda view: group(spark, view).where("not kept").select(*PLACE))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import byte_bpe, decontamination, exact_dedup, language, quality, substring_dedup, toxicity
+from tallymart.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language, quality, substring_dedup, toxicity
 from tallymart.llm.shared import ship
 
 
@@ -23,6 +23,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_duplicates(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_quality": op2_quality,
+        "op3_jaccard_join": op3_jaccard_join,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_decontamination": op6_decontamination,
         "op7_substring_dedup": op7_substring_dedup,
