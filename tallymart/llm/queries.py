@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language, quality, substring_dedup, toxicity
+from tallymart.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language, quality, substring_dedup, surrogates, toxicity
 from tallymart.llm.shared import ship
 
 
+#: Key of the registered query; a real job passes its own secret.
+SURROGATE_KEY = "registered-query"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -28,6 +32,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links")
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.surrogates(spark, table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_quality": op2_quality,
         "op3_jaccard_join": op3_jaccard_join,
+        "op4_surrogates": op4_surrogates,
         "op5_byte_bpe": op5_byte_bpe,
         "op6_decontamination": op6_decontamination,
         "op7_substring_dedup": op7_substring_dedup,
