@@ -21,7 +21,7 @@ from tallymart.llm.shared import fold, sample
 
 SLOTS = 1 << 15
 #: Bound on the training sample: rows expected, and characters of each (training only).
-TRAIN_ROWS, TRAIN_CHARACTERS = 6000, 3000
+TRAIN_ROWS, TRAIN_CHARACTERS = 4000, 3000
 EPOCHS, ALPHA, BETA, L1, L2 = 2, 0.5, 1.0, 0.02, 0.01
 UNKNOWN = "und"
 _tables: list[np.ndarray] = []
@@ -68,9 +68,9 @@ class Model:
     temperature: float = 1.0
 
     def vector(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(n)
+        at = np.flatnonzero(n).astype(np.int32)
         x = (1 + np.log(n[at])) * self.idf[at]
-        return at, x / max(np.sqrt((x * x).sum()), 1e-12)
+        return at, (x / max(np.sqrt((x * x).sum()), 1e-12)).astype(np.float32)
 
     def logits(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
         return x @ self.weights[at] + self.bias
@@ -90,15 +90,18 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 def train(rows: list[tuple[str, str]], idf: np.ndarray) -> Model:
     """Fit on (text, language) pairs; every fifth one is kept for the temperature."""
-    found = [(counts(text), lang) for text, lang in rows]
-    found = [(n, lang) for n, lang in found if n is not None]
-    languages = sorted({lang for _, lang in found})
-    k = len(languages)
-    model = Model(languages, idf, np.zeros((SLOTS, k)), np.zeros(k))
-    if not found:
+    model = Model([], idf, np.zeros((SLOTS, 0)), np.zeros(0))
+    vectors, of = [], []
+    for text, lang in rows:
+        n = counts(text)
+        if n is not None:
+            vectors.append(model.vector(n))  # only the slots that occur
+            of.append(lang)
+    if not of:
         return model
-    vectors = [model.vector(n) for n, _ in found]
-    y = np.array([languages.index(lang) for _, lang in found])
+    languages = model.languages = sorted(set(of))
+    k = len(languages)
+    y = np.array([languages.index(lang) for lang in of])
     z, squares = np.zeros((SLOTS + 1, k)), np.zeros((SLOTS + 1, k))
     learn = [i for i in range(len(y)) if i % 5 or len(y) < 50]
     order = np.random.default_rng(3)
