@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language, quality, substring_dedup, surrogates, toxicity
+from tallymart.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language, quality, secrets_scan, substring_dedup, surrogates, toxicity
 from tallymart.llm.shared import ship
 
 
@@ -53,6 +53,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.report(secrets_scan.secrets(spark, table(spark, sf_dir, "documents")))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language(spark, table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_byte_bpe": op5_byte_bpe,
         "op6_decontamination": op6_decontamination,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_secrets": op8_secrets,
         "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
     }
