@@ -36,12 +36,15 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.surrogates(spark, table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
-def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ranks() -> tuple[dict[bytes, int], str]:
+    """Ranks and pattern of the public tokenizer."""
     import public_tokenizers
 
-    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    docs = table(spark, sf_dir, "documents")
-    return byte_bpe.digests(byte_bpe.encode(spark, docs, ranks, public_tokenizers.PATTERN))
+    return byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.encode(spark, table(spark, sf_dir, "documents"), *ranks()))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
