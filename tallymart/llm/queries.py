@@ -91,6 +91,47 @@ select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_siz
 from texts window same as (partition by norm)
 """
 
+JACCARD_SQL = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+grams as (
+  select doc_id, w[i:i + 4] as g from words, range(1, len(w) - 3) t(i) where len(w) >= 5
+  union select doc_id, w from words where len(w) between 1 and 4),
+sets as (
+  select words.doc_id, coalesce(s, []) as s, coalesce(n, 0) as n from words left join (
+    select doc_id, list(g order by g) as s, count(*) as n from (select distinct * from grams) group by doc_id) using (doc_id)),
+nodes as (select doc_id, n, min(doc_id) over (partition by s) as node from sets),
+node_grams as (select distinct node, n, g from grams join nodes using (doc_id) where node = doc_id),
+links as (
+  select a.node as a, b.node as b from node_grams a join node_grams b on a.g = b.g and a.node != b.node
+  group by a.node, b.node, a.n, b.n having 5 * count(*) >= 4 * (a.n + b.n - count(*))),
+reach as (select node as a, node as b from nodes union select reach.a, links.b from reach join links on reach.b = links.a),
+classes as (select a as node, min(b) as class_id from reach group by a)
+select doc_id, class_id, (select count(*) from links where a = node) as n_links
+from nodes join classes using (node)
+"""
+
+SUBSTRING_SQL = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, i, array_to_string(w[i:i + 19], ' ') as k from words, range(1, len(w) - 18) t(i) where len(w) >= 20),
+repeated as (
+  select doc_id, i from windows qualify row_number() over (partition by k order by doc_id, i) > 1),
+covered as (select distinct doc_id, i + j as place from repeated, range(0, 20) r(j)),
+kept as (
+  select doc_id, string_agg(word, ' ' order by place) as t, count(*) as n
+  from (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as place from words)
+  anti join covered using (doc_id, place) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(t, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP_SQL}
+    return {
+        "op1_exact_dedup": EXACT_DEDUP_SQL,
+        "op3_jaccard_join": JACCARD_SQL,
+        "op7_substring_dedup": SUBSTRING_SQL,
+    }

@@ -80,7 +80,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 order = np.lexsort((anchor, text))
                 text, anchor = text[order], anchor[order]
                 same = (anchor[1:] == anchor[:-1]) & (text[1:] == text[:-1])
-                one = np.concatenate([[True][: len(text)], ~same])
+                one = np.ones(len(text), bool)
+                one[1:] = ~same
                 back = np.flatnonzero(one[:-1] & same) if len(one) else np.zeros(0, np.int64)
                 data = block.data.tobytes()
                 edges = block.offsets.tolist()
