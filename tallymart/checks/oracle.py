@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from tallymart.plans.silver import ORDER_STATUSES, PAYMENT_TYPES
 from tallymart.sources.adapters import ADAPTERS, adapter_sql
 
 STATES = (
@@ -51,8 +52,7 @@ SILVER = {
                 trim(order_status) AS order_status, order_purchase_timestamp, order_approved_at,
                 order_delivered_carrier_date, order_delivered_customer_date,
                 order_estimated_delivery_date,
-                COALESCE(trim(order_status) IN ('approved','canceled','created','delivered',
-                    'invoiced','processing','shipped','unavailable'), FALSE) AS is_valid_status,
+                COALESCE(trim(order_status) IN (@statuses@), FALSE) AS is_valid_status,
                 COALESCE(order_purchase_timestamp > order_approved_at, FALSE)
                     AS approval_before_purchase,
                 COALESCE(order_approved_at > order_delivered_carrier_date, FALSE)
@@ -128,8 +128,7 @@ SILVER = {
             COALESCE(payment_type, '') = '' AS missing_payment_type,
             payment_installments IS NULL AS missing_payment_installments,
             payment_value IS NULL AS missing_payment_value,
-            COALESCE(payment_type NOT IN ('boleto','credit_card','debit_card','not_defined',
-                'voucher'), FALSE) AS invalid_payment_type,
+            COALESCE(payment_type NOT IN (@payment_types@), FALSE) AS invalid_payment_type,
             COALESCE(payment_installments <= 0, FALSE) AS invalid_payment_installments,
             COALESCE(payment_value < 0, FALSE) AS negative_payment_value,
             order_id NOT IN (SELECT order_id FROM s_orders WHERE order_id IS NOT NULL)
@@ -224,7 +223,20 @@ GOLD["g_deliveries"] = """
             missing_delivery_timestamp, missing_carrier_timestamp, missing_estimated_delivery_date
         FROM s_orders"""
 
-CTES = {**{f"b_{entity}": adapter_sql(entity) for entity in ADAPTERS}, **SILVER, **GOLD}
+# The allowed values come from the one list of each domain.
+DOMAINS = {"@statuses@": ORDER_STATUSES, "@payment_types@": PAYMENT_TYPES}
+
+
+def _with_domains(text: str) -> str:
+    for mark, values in DOMAINS.items():
+        text = text.replace(mark, ", ".join(f"'{value}'" for value in values))
+    return text
+
+
+CTES = {
+    **{f"b_{entity}": adapter_sql(entity) for entity in ADAPTERS},
+    **{name: _with_domains(text) for name, text in {**SILVER, **GOLD}.items()},
+}
 
 
 def with_ctes(body: str) -> str:
@@ -327,6 +339,7 @@ def profile_sql() -> dict[str, str]:
             {hits("product_length_cm <= 0")} AS non_positive_length,
             {hits("product_height_cm <= 0")} AS non_positive_height,
             {hits("product_width_cm <= 0")} AS non_positive_width FROM s_products""",
+        "profile_items_distribution": _quartiles("b_order_items", ["price", "freight_value"]),
         "profile_products_distribution": _quartiles(
             "s_products", [*lengths, "product_weight_g", *sizes]
         ),
@@ -687,6 +700,5 @@ def report_sql() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    """``profile_items_distribution`` has none: its quantiles are approximate by definition."""
     parts = {**profile_sql(), **integrity_sql(), **entity_sql(), **report_sql()}
     return {name: with_ctes(body) for name, body in parts.items()}

@@ -16,7 +16,7 @@ from tallymart.plans import gold as marts
 from tallymart.plans import reports
 from tallymart.plans.gold import GoldPlan
 from tallymart.plans.silver import FLAGS, SilverPlan
-from tallymart.session import shared_folder, tune
+from tallymart.session import shared_folder
 from tallymart.sources.adapters import BronzePlan
 from tallymart.sources.ingest import read_csv
 
@@ -46,16 +46,16 @@ DELIVERY_FILTER = DeliveryFilter(
 
 
 def _bronze(query: Callable[[BronzePlan], DataFrame]) -> Query:
-    return lambda spark, folder: query(BronzePlan(tune(spark), folder))
+    return lambda spark, folder: query(BronzePlan(spark, folder))
 
 
 def _silver(query: Callable[[SilverPlan], DataFrame]) -> Query:
-    return lambda spark, folder: query(SilverPlan(BronzePlan(tune(spark), folder)))
+    return lambda spark, folder: query(SilverPlan(BronzePlan(spark, folder)))
 
 
 def _both(query: Callable[[BronzePlan, SilverPlan], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        bronze = BronzePlan(tune(spark), folder)
+        bronze = BronzePlan(spark, folder)
         return query(bronze, SilverPlan(bronze))
 
     return run
@@ -63,7 +63,7 @@ def _both(query: Callable[[BronzePlan, SilverPlan], DataFrame]) -> Query:
 
 def _gold(query: Callable[..., DataFrame], *args, **options) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        gold = GoldPlan(SilverPlan(BronzePlan(tune(spark), folder)))
+        gold = GoldPlan(SilverPlan(BronzePlan(spark, folder)))
         return query(gold, *args, **options)
 
     return run
@@ -71,7 +71,7 @@ def _gold(query: Callable[..., DataFrame], *args, **options) -> Query:
 
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Payments written as CSV to the shared folder and read back with header and inferred types."""
-    payments = BronzePlan(tune(spark), folder).order_payments
+    payments = BronzePlan(spark, folder).order_payments
     path = f"{shared_folder(spark)}/csv-{uuid.uuid4()}"
     payments.write.option("header", "true").csv(path)
     return read_csv(spark, path)

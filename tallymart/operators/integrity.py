@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators.rules import count_flags
-from tallymart.operators.skew import find_hot_keys, spread_join
+from tallymart.operators.lookups import split_join
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -18,8 +18,7 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Every child row without a parent, rows with a NULL key included."""
-    hot = find_hot_keys(child, key)[key]
-    return spread_join(child, parent.select(key).distinct(), key, "left_anti", hot)
+    return split_join(child, parent.select(key).distinct(), key, "left_anti")
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -1,17 +1,34 @@
-"""Many-to-one lookups that never change the number of child rows."""
+"""Many-to-one lookups that never change the number of child rows.
 
-from __future__ import annotations
+A lookup shuffles its child by the key, so a key (or NULL) that holds a large share of the
+rows would end in one task.  Adaptive execution splits such a partition, but only where both
+sides of the join come straight from an exchange that Spark added for the join.  A parent
+that has been aggregated by the key has its own partitioning and gets no such exchange.
+``split_join`` therefore joins on the key and its length: equal keys have equal lengths, so
+the result is that of a join on the key, and both sides are dealt anew.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.operators.skew import NO_HOT_KEYS, HotKeys, spread_join
+from tallymart.operators.rules import quoted
 
 FOUND = "__found"
 
 
+def split_join(child: DataFrame, parent: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join on a string key (inner, left, left_semi or left_anti) whose hot keys can be split."""
+    left, right = child.alias("child"), parent.alias("parent")
+    mine, theirs = F.col(f"child.{quoted(key)}"), F.col(f"parent.{quoted(key)}")
+    joined = left.join(right, (mine == theirs) & (F.length(mine) == F.length(theirs)), how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    others = [F.col(f"parent.{quoted(c)}") for c in parent.columns if c != key]
+    return joined.select("child.*", *others)
+
+
 def parent_keys(parent: DataFrame, key: str, carry: dict[str, Column] | None = None) -> DataFrame:
     """One row per trimmed parent key, with aggregated columns to carry along.
 
@@ -30,12 +47,10 @@ def with_parent(
     key: str,
     marker: str = FOUND,
     carry: dict[str, Column] | None = None,
-    hot: HotKeys = NO_HOT_KEYS,
-    salt_from: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join on the distinct parent keys; ``marker`` is TRUE where a parent exists, else NULL."""
     lookup = parent_keys(parent, key, carry).withColumn(marker, F.lit(True))
-    return spread_join(child, lookup, key, "left", hot, salt_from)
+    return split_join(child, lookup, key, "left")
 
 
 def orphan(key: str, marker: str = FOUND) -> str:

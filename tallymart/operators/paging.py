@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -9,15 +10,14 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.session import ensure_checkpoint_dir
+from tallymart.session import shared_folder
 
 # The page sizes offered for detail tables.
 PAGE_SIZES = (25, 50, 100)
-# Pages that end beyond this row are cut out of a range-sorted copy instead of one task's heap.
-HEAP_ROWS = 100_000
-# monotonically_increasing_id() keeps the row number within its partition in the low 33 bits.
-ROW_NUMBER_MASK = (1 << 33) - 1
+# Pages that end beyond this row are read from a range-sorted copy instead of one task's heap.
+HEAP_ROWS = 1000
 PART, ROW = "__part", "__row"
+ROW_NUMBER_MASK = (1 << 33) - 1
 
 
 @dataclass(frozen=True)
@@ -57,24 +57,27 @@ def page(df: DataFrame, limit: int, offset: int, *order: Column) -> DataFrame:
 class SortedPages:
     """Any page of a totally ordered result, however far down, for one distributed sort.
 
-    The rows are range-partitioned, sorted and numbered within their partition,
-    and this copy is checkpointed in the shared folder.  A page then needs the
-    row count of each partition (one number per partition on the driver) and
-    reads only the one or two partitions it lies in.  Keep the object to serve
-    further pages of the same result.  The order should end with a key: rows that
-    agree in every order column cannot be separated by range.
+    The rows are range-partitioned, sorted and numbered within their part, and written to
+    the shared folder with one directory per part.  A page needs the row count of each part
+    (one number per part on the driver); the filter on the part prunes the read to the one
+    or two directories the page lies in, and the row range is pushed into their files.
+    Keep the object to serve further pages of the same result.
+    The order should end with a key: rows that agree in every order column cannot be
+    separated by range.
     """
 
     def __init__(self, df: DataFrame, *order: Column) -> None:
-        ensure_checkpoint_dir(df.sparkSession)
+        spark = df.sparkSession
         self._columns = df.columns
-        self._rows = (
+        path = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+        numbered = (
             df.repartitionByRange(*order)
             .sortWithinPartitions(*order)
             .withColumn(PART, F.spark_partition_id())
             .withColumn(ROW, F.monotonically_increasing_id().bitwiseAND(ROW_NUMBER_MASK))
-            .checkpoint()
         )
+        numbered.write.partitionBy(PART).parquet(path)
+        self._rows = spark.read.schema(numbered.schema).parquet(path)
         counts = self._rows.groupBy(PART).count().collect()
         self._sizes = sorted((r[PART], r["count"]) for r in counts)
 

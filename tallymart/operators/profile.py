@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.operators.rules import any_of
+from tallymart.operators.rules import any_of, quoted
 
+# Output name and place of the quartiles.
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-# Relative rank error of the quantiles is 1 / ACCURACY.
-ACCURACY = 10_000
+# The first pass brackets each rank within this part of the values; any value gives the same result.
+BRACKET = 0.001
 
 
 def row_count(df: DataFrame, name: str = "total_rows") -> DataFrame:
@@ -21,7 +22,7 @@ def row_count(df: DataFrame, name: str = "total_rows") -> DataFrame:
 def completeness(df: DataFrame, columns: dict[str, str], total: str = "total_rows") -> DataFrame:
     """Rows and non-NULL values per column; ``columns`` maps a column to its output name."""
     return df.agg(
-        F.count(F.lit(1)).alias(total), *[F.count(c).alias(name) for c, name in columns.items()]
+        F.count(F.lit(1)).alias(total), *[F.count(F.col(quoted(c))).alias(name) for c, name in columns.items()]
     )
 
 
@@ -29,7 +30,7 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     """Rows and NULLs per column, in one pass over the named (default: all) columns."""
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.expr(f"count_if({c} IS NULL) AS {c}_nulls") for c in columns or df.columns],
+        *[F.count_if(F.col(quoted(c)).isNull()).alias(f"{c}_nulls") for c in columns or df.columns],
     )
 
 
@@ -37,7 +38,7 @@ def conditional_counts(df: DataFrame, conditions: dict[str, str]) -> DataFrame:
     """Rows and the number of rows that meet each condition (SQL predicates by output name)."""
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.expr(f"count_if({test}) AS {name}") for name, test in conditions.items()],
+        *[F.expr(f"count_if({test})").alias(name) for name, test in conditions.items()],
     )
 
 
@@ -61,7 +62,7 @@ def missing_by_group(df: DataFrame, group: str, column: str, total: str, name: s
 
 def combination_counts(df: DataFrame, flags: dict[str, str]) -> DataFrame:
     """Rows per combination of computed booleans (SQL predicates by output name)."""
-    tests = [f"{test} AS {name}" for name, test in flags.items()]
+    tests = [f"{test} AS {quoted(name)}" for name, test in flags.items()]
     return df.selectExpr(*tests).groupBy(*flags).count()
 
 
@@ -84,40 +85,52 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(F.asc_nulls_first(column))
 
 
-def distribution(df: DataFrame, columns: Iterable[str], accuracy: int = ACCURACY) -> DataFrame:
-    """One row per numeric column: count, minimum, quartiles, maximum.
+def distribution(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """One row per numeric column: count, minimum, exact quartiles (values that occur), maximum.
 
-    All columns are aggregated in one scan; the single wide row is turned into
-    long form afterwards.
+    A quartile is the least value with at least that part of the values not above it.  Two
+    passes: approximate quantiles bracket each rank and travel on as one row a column; then
+    the rows below a bracket are only counted, and those inside are summed up by value, so
+    no task needs all values.
     """
-    columns = list(columns)
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count(c).alias("value_count"),
-                F.min(c).cast("double").alias("min_value"),
-                F.percentile_approx(c, list(QUARTILES.values()), accuracy).alias("quartiles"),
-                F.max(c).cast("double").alias("max_value"),
-            ).alias(c)
-            for c in columns
-        ]
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).cast("double").alias("value")) for c in columns]
+    long = df.select(F.explode(F.array(*pairs)).alias("r")).select("r.*").where("value IS NOT NULL")
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    edges = [min(max(q + d, 0.0), 1.0) for q in QUARTILES.values() for d in (-BRACKET, BRACKET)]
+    totals = long.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("value_count"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+        F.percentile_approx("value", edges, int(4 / BRACKET)).alias("edges"),
     )
-    rows = wide.select(F.explode(F.array(*[_as_double(c) for c in columns])).alias("r"))
-    return rows.select("r.*")
-
-
-def _as_double(column: str) -> Column:
-    part = F.col(column)
-    return F.struct(
-        part["column_name"].alias("column_name"),
-        part["value_count"].alias("value_count"),
-        part["min_value"].alias("min_value"),
-        *[
-            part["quartiles"][position].cast("double").alias(name)
-            for position, name in enumerate(QUARTILES)
-        ],
-        part["max_value"].alias("max_value"),
+    ranks = totals.select(
+        "column_name",
+        F.posexplode(F.array(*[F.ceil(F.col("value_count") * q) for q in QUARTILES.values()])).alias("q", "rank"),
+        F.expr("edges[2 * q]").alias("low"),
+        F.expr("edges[2 * q + 1]").alias("high"),
+    )
+    # a value below the bracket counts as one group, so the running count starts right
+    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
+    near = (
+        long.join(F.broadcast(ranks), "column_name")  # three rows a column
+        .where("value <= high")
+        .groupBy("column_name", "q", "rank", inside.alias("value"))
+        .count()
+    )
+    running = F.sum("count").over(Window.partitionBy("column_name", "q").orderBy(F.asc_nulls_first("value")))
+    found = (
+        near.withColumn("up_to", running)
+        .where("up_to >= rank AND value IS NOT NULL")
+        .groupBy("column_name")
+        .agg(*[F.min(F.when(F.col("q") == n, F.col("value"))).alias(name) for n, name in enumerate(QUARTILES)])
+    )
+    wide = names.join(totals.drop("edges"), "column_name", "left").join(found, "column_name", "left")
+    return wide.select(
+        "column_name",
+        F.coalesce("value_count", F.lit(0)).alias("value_count"),
+        "min_value",
+        *QUARTILES,
+        "max_value",
     )
 
 

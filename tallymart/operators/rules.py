@@ -20,6 +20,11 @@ class Rule:
     predicate: str
 
 
+def quoted(column: str) -> str:
+    """A column name as SQL identifier, whatever characters it has."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def literal(value) -> str:
     """A Python string or number as SQL literal."""
     if isinstance(value, str):
@@ -84,12 +89,12 @@ def any_of(predicates: Iterable[str]) -> str:
 
 def apply_rules(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Add every flag in one projection."""
-    return df.selectExpr("*", *[f"{rule.predicate} AS {rule.name}" for rule in rules])
+    return df.selectExpr("*", *[f"{rule.predicate} AS {quoted(rule.name)}" for rule in rules])
 
 
 def count_flags(flags: Iterable[str]) -> list[Column]:
     """One counter per flag column; a NULL flag is not counted."""
-    return [F.expr(f"count_if({flag}) AS {flag}") for flag in flags]
+    return [F.expr(f"count_if({quoted(flag)}) AS {quoted(flag)}") for flag in flags]
 
 
 def summarise(df: DataFrame, flags: Iterable[str], extra: Iterable[Column] = ()) -> DataFrame:
@@ -99,4 +104,4 @@ def summarise(df: DataFrame, flags: Iterable[str], extra: Iterable[Column] = ())
 
 def flagged_rows(df: DataFrame, flags: Iterable[str]) -> DataFrame:
     """Investigation view: rows for which at least one flag is set."""
-    return df.filter(any_of(flags))
+    return df.filter(any_of(map(quoted, flags)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import exact_sum, rounded_ratio
-from tallymart.operators.skew import HotKeys, find_hot_keys, spread_join
+from tallymart.operators.lookups import split_join
 from tallymart.plans.silver import Silver, SilverPlan
 
 PERSON = "customer_unique_id"
@@ -28,12 +28,7 @@ def sales(silver: Silver | SilverPlan) -> DataFrame:
         "product_id": silver.products.select("product_id", "product_category_name"),
         "seller_id": silver.sellers.select("seller_id", "seller_state"),
     }
-    hot = find_hot_keys(items, *parents)
-    wide = reduce(
-        lambda facts, key: spread_join(facts, parents[key], key, "left", hot[key], items.columns),
-        parents,
-        items,
-    )
+    wide = reduce(lambda facts, key: facts.join(parents[key], key, "left"), parents, items)
     return wide.select(
         "order_id",
         "order_item_id",
@@ -75,7 +70,7 @@ def _review_scores(silver: Silver | SilverPlan) -> DataFrame:
 
 
 def _per_customer_order(
-    silver: Silver | SilverPlan, order_facts: list[DataFrame], hot: dict[str, HotKeys]
+    silver: Silver | SilverPlan, order_facts: list[DataFrame]
 ) -> DataFrame:
     """One row per (customer, order) plus one order-less row per customer.
 
@@ -86,12 +81,12 @@ def _per_customer_order(
     """
     base = ["order_id", "customer_id", "order_purchase_timestamp"]
     orders = reduce(
-        lambda left, facts: spread_join(left, facts, "order_id", "left", hot["order_id"], base),
+        lambda left, facts: split_join(left, facts, "order_id", "left"),
         order_facts,
         silver.orders.select(*base),
     )
     customers = silver.customers.select("customer_id", *PERSON_ADDRESS)
-    placed = spread_join(orders, customers, "customer_id", "inner", hot["customer_id"], base)
+    placed = orders.join(customers, "customer_id")
     return placed.unionByName(customers, allowMissingColumns=True)
 
 
@@ -130,8 +125,7 @@ def customers(silver: Silver | SilverPlan, grain: str = "address") -> DataFrame:
     Sales and engagement are two branches that meet at the person: a report that
     needs only one of them makes Catalyst drop the other with all of its scans.
     """
-    hot = find_hot_keys(silver.orders, "order_id", "customer_id")
-    bought = _per_customer_order(silver, [_item_totals(silver)], hot)
+    bought = _per_customer_order(silver, [_item_totals(silver)])
     if grain == "address":
         metrics = _sales_metrics(bought, PERSON_ADDRESS)
     elif grain == "person":
@@ -139,14 +133,8 @@ def customers(silver: Silver | SilverPlan, grain: str = "address") -> DataFrame:
         metrics = _sales_metrics(bought, [PERSON], home).select("*", "home.*").drop("home")
     else:
         raise ValueError(f"unknown grain {grain!r}")
-    engaged = _per_customer_order(silver, [_payment_counts(silver), _review_scores(silver)], hot)
-    combined = spread_join(
-        metrics,
-        _engagement_metrics(engaged),
-        PERSON,
-        "left",
-        find_hot_keys(silver.customers, PERSON)[PERSON],
-    )
+    engaged = _per_customer_order(silver, [_payment_counts(silver), _review_scores(silver)])
+    combined = split_join(metrics, _engagement_metrics(engaged), PERSON, "left")
     return combined.select(
         *PERSON_ADDRESS,
         "first_order_date",

@@ -387,7 +387,9 @@ def delivery_kpis(gold: Marts, chosen: DeliveryFilter = ALL_DELIVERIES) -> DataF
     return _deliveries(gold, chosen).agg(
         _rows("total_orders"),
         _or_zero(F.avg("delivery_days")).alias("average_delivery_days"),
-        F.percentile_approx("delivery_days", 0.5).alias("median_delivery_days"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY delivery_days)")
+        .cast("bigint")
+        .alias("median_delivery_days"),
         _or_zero(F.avg("days_late")).alias("average_days_late"),
         _ones(late > 0).alias("late_orders"),
         _ones(late == 0).alias("on_time_orders"),

@@ -12,7 +12,6 @@ from tallymart.functions import whole_days
 from tallymart.operators import rules as r
 from tallymart.operators.lookups import orphan, orphan_or_unknown, with_parent
 from tallymart.operators.rules import Rule, apply_rules
-from tallymart.operators.skew import find_hot_keys
 from tallymart.sources.adapters import Bronze, BronzePlan
 
 # Allowed domains.
@@ -206,31 +205,24 @@ def order_items(
         "price",
         "freight_value",
     )
-    hot = find_hot_keys(standard, "order_id", "product_id", "seller_id")
     with_order = with_parent(
         standard,
         silver_orders,
         "order_id",
         marker="order_found",
         carry={"purchased_at": F.max("order_purchase_timestamp")},
-        hot=hot["order_id"],
-        salt_from=standard.columns,
     )
     with_product = with_parent(
         with_order,
         bronze_products,
         "product_id",
         marker="product_found",
-        hot=hot["product_id"],
-        salt_from=standard.columns,
     )
     with_seller = with_parent(
         with_product,
         bronze_sellers,
         "seller_id",
         marker="seller_found",
-        hot=hot["seller_id"],
-        salt_from=standard.columns,
     )
     checked = apply_rules(
         with_seller,
@@ -339,8 +331,6 @@ def order_payments(bronze_payments: DataFrame, silver_orders: DataFrame) -> Data
         silver_orders,
         "order_id",
         marker="order_found",
-        hot=find_hot_keys(standard, "order_id")["order_id"],
-        salt_from=standard.columns,
     )
     reference = Rule("invalid_order_reference", orphan_or_unknown("order_id", "order_found"))
     checked = apply_rules(joined, [*payment_rules(), reference])
@@ -397,8 +387,6 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
         silver_orders,
         "order_id",
         marker="order_found",
-        hot=find_hot_keys(standard, "order_id")["order_id"],
-        salt_from=standard.columns,
     )
     known_form = f"order_id RLIKE {r.literal(ID_PATTERN)}"
     reference = Rule(

@@ -2,40 +2,14 @@
 
 from __future__ import annotations
 
-from tempfile import mkdtemp
-
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Spark's own defaults already turn adaptive execution, the splitting of skewed join
-# partitions and the merging of small partitions on.  This one lets a skewed join be
-# split even where the next operator would otherwise have reused its partitioning.
-RUNTIME = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings that the application was not started with."""
-    for key, value in RUNTIME.items():
-        if not spark.sparkContext.getConf().contains(key):
-            spark.conf.set(key, value)
-    return spark
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors reach.  A local session may do without the setting, a cluster not."""
+    """Folder that all executors reach: that of the setting, or one beside the warehouse."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    return mkdtemp(prefix="tallymart-")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable without touching a directory that is already set."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -> SparkSession:
@@ -52,4 +26,4 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return tune(spark)
+    return spark

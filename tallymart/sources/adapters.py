@@ -11,8 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.sources.tables import spread_small_scan
-
 # Entity -> (source table, output column -> expression).
 ADAPTERS: dict[str, tuple[str, dict[str, str]]] = {
     "orders": (
@@ -64,7 +62,7 @@ ADAPTERS: dict[str, tuple[str, dict[str, str]]] = {
         {
             "customer_id": """md5(concat('c', CAST(CASE WHEN c_custkey % 97 = 0
                 THEN -c_custkey - 1 ELSE c_custkey END AS STRING)))""",
-            "customer_unique_id": "md5(concat('u', CAST(c_custkey % 1000 AS STRING)))",
+            "customer_unique_id": "md5(concat('u', CAST(c_custkey - c_custkey % 3 AS STRING)))",
             "customer_zip_code_prefix": """CASE WHEN c_custkey % 53 = 0 THEN NULL
                 WHEN c_custkey % 59 = 0 THEN 500
                 ELSE CAST(1000 + (c_custkey * 7919) % 99000 AS INT) END""",
@@ -175,7 +173,7 @@ class BronzePlan:
             raise AttributeError(entity)
         table, _ = ADAPTERS[entity]
         source = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
-        frame = adapt(spread_small_scan(source, source.columns[0]), entity)
+        frame = adapt(source, entity)
         setattr(self, entity, frame)
         return frame
 

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 DEFAULT_FORMAT = "parquet"
 # Formats that can replace the schema of an existing table in place.
 SCHEMA_REPLACING = {"delta"}
-MIN_SPREAD_BYTES = 1024 * 1024
-FULL_SPLIT_BYTES = 128 * 1024 * 1024
-# Spark reports the largest BIGINT for inputs whose size it cannot know.
-UNKNOWN_BYTES = 1 << 62
 
 
 def create_layer(spark: SparkSession, layer: str) -> None:
@@ -48,28 +44,6 @@ def write_table(
     return df.sparkSession.table(name)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the tables and files a frame is read from, by Spark's own statistics."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-    return sum(int(str(size)) for size in sizes)
-
-
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a table that is worth it but has too few row groups to be split.
-
-    Applies only below one full-sized split per core, so the exchange stays small;
-    larger tables bring enough splits of their own.  Hashing an id needs none of the
-    sorting that makes a round-robin exchange repeatable.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = input_bytes(df)
-    if MIN_SPREAD_BYTES <= size < cores * FULL_SPLIT_BYTES:
-        return df.repartition(cores, key)
-    return df
-
-
 def list_tables(spark: SparkSession, layer: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {layer}")
 

@@ -11,7 +11,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from tallymart.session import local_session  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
-NEVER = str(10**30)
 
 
 @pytest.fixture(scope="session")
@@ -23,8 +22,6 @@ def spark(tmp_path_factory):
         spark__sql__warehouse__dir=str(base / "warehouse"),
         spark__checkpoint__dir=str(base / "shared"),
         spark__sql__shuffle__partitions="4",
-        # In-memory frames have no known size and would all be searched for hot keys.
-        spark__tallymart__skewCheckBytes=NEVER,
     )
     yield session
     session.stop()

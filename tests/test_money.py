@@ -51,4 +51,17 @@ def test_values_that_are_no_amounts_show_in_the_sum(spark):
     only_nan = df.filter("isnan(x)").agg(exact_sum("x")).first()[0]
     assert math.isnan(only_nan)
     ratio = df.select(rounded_ratio(F.col("x"), F.lit(2))).collect()
-    assert [r[0] for r in ratio] == [None, 1.0, None]
+    assert math.isnan(ratio[0][0]) and [r[0] for r in ratio][1:] == [1.0, None]
+
+
+def test_nothing_is_rounded_away_and_nothing_overflows(spark):
+    small = spark.range(1_000_000).select(F.lit(1e-7).alias("x"))
+    assert math.isclose(small.agg(exact_sum("x")).first()[0], 0.1, rel_tol=1e-9)
+    large = spark.range(2000).select(F.lit(9e15).alias("x"), F.lit(8.9e9).alias("y"))
+    row = large.agg(exact_sum("x"), F.sum("x"), exact_sum("y"), exact_avg("x")).first()
+    assert row[0] == row[1] == 1.8e19 and row[2] == 1.78e13 and row[3] == 9e15
+    mixed = spark.createDataFrame([(-0.01, ), (-5e9,), (1e-9,), (0.25,)], "x double")
+    assert math.isclose(mixed.agg(exact_sum("x")).first()[0], -4999999999.76, rel_tol=1e-15)
+    ratio = spark.createDataFrame([(2e18, 2), (1.0, 10**17)], "x double, n bigint")
+    found = [r[0] for r in ratio.select(rounded_ratio(F.col("x"), F.col("n"))).collect()]
+    assert found == [1e18, 0.0]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from datetime import date, datetime
 
@@ -89,21 +90,20 @@ def test_out_of_order_ignores_unknown_stages(spark):
     assert rows(pf.out_of_order(df, "a", "b", "c")) == [(1, 3, 2), (2, 1, None)]
 
 
-def test_quantiles_are_within_the_promised_rank_error(spark):
+@pytest.mark.parametrize("bracket", [0.001, 0.2])
+def test_quantiles_are_exact(spark, monkeypatch, bracket):
+    monkeypatch.setattr(pf, "BRACKET", bracket)
     rng = random.Random(3)
-    values = sorted(round(rng.lognormvariate(3, 1.5), 2) for _ in range(20_000))
-    df = spark.createDataFrame([(v,) for v in values], "price double").repartition(6)
-    for accuracy in (100, 10_000):
-        row = pf.distribution(df, ["price"], accuracy).first()
-        assert (row["value_count"], row["min_value"], row["max_value"]) == (20_000, values[0], values[-1])
-        for name, probability in pf.QUARTILES.items():
-            slack = len(values) / accuracy + 1
-            rank = probability * len(values)
-            low = values[max(0, int(rank - slack))]
-            high = values[min(len(values) - 1, int(rank + slack))]
-            assert low <= row[name] <= high
+    values = sorted(round(rng.lognormvariate(3, 1.5), 2) for _ in range(20_001))
+    df = spark.createDataFrame([(v, None) for v in values], "price double, `no value` int").repartition(6)
+    found = {row["column_name"]: row for row in pf.distribution(df, ["price", "no value"]).collect()}
+    row = found["price"]
+    assert (row["value_count"], row["min_value"], row["max_value"]) == (20_001, values[0], values[-1])
+    for name, probability in pf.QUARTILES.items():
+        assert row[name] == values[math.ceil(probability * len(values)) - 1]
+    assert tuple(found["no value"]) == ("no value", 0, None, None, None, None, None)
     text = {r[0]: r[1] for r in pf.summary(df, "price").collect()}
-    assert text["count"] == "20000" and float(text["max"]) == values[-1]
+    assert text["count"] == "20001" and float(text["max"]) == values[-1]
 
 
 def test_bands(spark):

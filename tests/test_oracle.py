@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from compare import connect, differences
 from conftest import DATA
 
 import __spark_entry__ as contract
-from tallymart.checks.compare import connect, differences
+from tallymart.checks.oracle import all_sql
+from tallymart.checks.registry import all_queries
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,9 +18,9 @@ def duck():
     return connect(DATA)
 
 
-def test_every_query_but_the_approximate_one_has_sql():
-    assert set(QUERIES) - set(SQL) == {"profile_items_distribution"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

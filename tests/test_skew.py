@@ -1,98 +1,69 @@
-"""Spread joins give the same rows as plain joins and put a hot key on many tasks."""
+"""Lookups split a hot key and NULL keys over many tasks, and give the rows of a plain join."""
 
 from __future__ import annotations
 
 import pytest
-from conftest import NEVER, rows
+from conftest import rows
 from pyspark.sql import functions as F
 
-from tallymart.operators.skew import HotKeys, find_hot_keys, spread_join
+from tallymart.operators.integrity import orphan_rows
+from tallymart.operators.lookups import split_join, with_parent
+
+ROWS = 60_000
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.shuffle.partitions": "16",
+}
 
 
 @pytest.fixture(scope="module")
 def child(spark):
-    """9000 rows: a third on one key, a third with a NULL key, the rest spread out."""
-    return spark.range(9000).select(
+    """A third on one key, a third with a NULL key, the rest spread out."""
+    return spark.range(0, ROWS, 1, 16).select(
         F.when(F.col("id") % 3 == 0, "hot")
         .when(F.col("id") % 3 == 2, F.concat(F.lit("k"), F.col("id") % 500))
         .alias("key"),
-        F.col("id").alias("n"),
+        F.md5(F.col("id").cast("string")).alias("n"),
     )
 
 
 @pytest.fixture(scope="module")
 def parent(spark):
-    return spark.createDataFrame(
-        [("hot", 1), (None, 2), ("k2", 3), ("k5", 4), ("k5", 5), ("unused", 6)],
-        "key string, tag int",
-    )
-
-
-def test_hot_keys_are_found_above_the_size_limit_only(child):
-    found = find_hot_keys(child, "key", "n", min_bytes=0)
-    assert found == {"key": HotKeys(("hot",), nulls=True), "n": HotKeys()}
-    assert not find_hot_keys(child, "key", min_bytes=10**30)["key"]
-
-
-def test_hot_keys_of_a_large_input_are_found_in_a_sample(spark, child, tmp_path, monkeypatch):
-    from tallymart.operators import skew
-    from tallymart.sources.tables import input_bytes
-
-    child.write.parquet(str(tmp_path / "child"))
-    stored = spark.read.parquet(str(tmp_path / "child"))
-    monkeypatch.setattr(skew, "SAMPLE_BYTES", input_bytes(stored) // 10)
-    found = find_hot_keys(stored, "key", "n", min_bytes=0)
-    assert found == {"key": HotKeys(("hot",), nulls=True), "n": HotKeys()}
+    found = [("hot",), (None,), ("k2",), ("k5",), ("k5",), ("unused",)]
+    return spark.createDataFrame(found, "key string")
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot", [HotKeys(("hot",)), HotKeys((), True), HotKeys(("hot", "k5"), True)])
-def test_same_rows_as_a_plain_join(child, parent, how, hot):
-    plain = child.join(parent, "key", how)
-    assert rows(spread_join(child, parent, "key", how, hot)) == rows(plain)
-
-
-def test_hot_rows_reach_many_tasks(spark, child, parent):
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
+def test_same_rows_as_a_plain_join(child, parent, how):
+    few, unique = child.limit(3000), parent.distinct().withColumn("tag", F.lit(1))
+    assert rows(split_join(few, unique, "key", how)) == rows(few.join(unique, "key", how).select(*split_join(few, unique, "key", how).columns))
 
-    def largest_task(hot):
-        joined = spread_join(child, parent, "key", "left", hot)
-        return joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
+@pytest.mark.parametrize("operator", ["with_parent", "orphan_rows"])
+def test_hot_rows_reach_many_tasks(spark, child, parent, operator):
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
     try:
-        for key, value in settings.items():
+        for key, value in SETTINGS.items():
             spark.conf.set(key, value)
-        hot = find_hot_keys(child, "key", min_bytes=0)["key"]
-        assert largest_task(HotKeys()) >= 3000
-        assert largest_task(hot) < 1200
+        if operator == "with_parent":
+            joined = with_parent(child, parent, "key")
+        else:
+            joined = orphan_rows(child, parent.where("key != 'hot'"), "key")
+        read = [F.max(c) for c in joined.columns]  # else the join or the wide column is pruned
+        by_task = joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n_rows"), *read)
+        counts = [r["n_rows"] for r in by_task.collect()]
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    # of what 16 tasks would get on average
+    assert max(counts) < 2 * ROWS / 16
 
 
-def test_builders_give_the_same_rows_with_salting(spark, tiny, tiny_silver, tiny_gold):
-    """With the size limit at zero every lookup of the builders looks for hot keys and salts."""
-    from tallymart.operators.skew import CHECK_BYTES_SETTING
-    from tallymart.plans.gold import GoldPlan
-    from tallymart.plans.silver import SilverPlan
-
-    entities, names = ("order_items", "order_payments", "order_reviews"), ("sales", "customers")
-    plain = {name: rows(getattr(tiny_silver, name)) for name in entities}
-    plain |= {name: rows(getattr(tiny_gold, name)) for name in names}
-    spark.conf.set(CHECK_BYTES_SETTING, "0")
-    try:
-        silver = SilverPlan(tiny)
-        gold = GoldPlan(silver)
-        assert find_hot_keys(silver.orders, "customer_id")["customer_id"]
-        for entity in entities:
-            assert rows(getattr(silver, entity)) == plain[entity]
-        for mart in names:
-            assert rows(getattr(gold, mart)) == plain[mart]
-    finally:
-        spark.conf.set(CHECK_BYTES_SETTING, NEVER)
+def test_unused_lookups_are_dropped(child, parent):
+    plan = with_parent(child, parent, "key").select("n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
