@@ -30,6 +30,9 @@ WINDOW, STEP = 32, 24
 TRAIN_ROWS, TRAIN_CHARACTERS = 4000, 20_000
 WORDS, GRAMS, INPUT, HIDDEN = 1 << 14, 1 << 12, 12, 8
 EPOCHS, BATCH, RATE = 6, 32, 0.02
+#: Documents by which a word's class odds are drawn to the overall ones, so that a word met
+#: once tells little, and the decay of word and trigram vectors.
+PRIOR, DECAY = 50.0, 0.02
 #: Words whose gate inputs a task keeps at a time; it starts anew when there are more.
 REMEMBERED = 150_000
 SCHEMA = "doc_id long, score double"
@@ -307,9 +310,9 @@ def train(pairs: list[tuple[str, int]]) -> Network:
     seen = np.zeros((2, WORDS), np.float32)
     for row, label in zip(rows, y, strict=True):
         seen[int(label), np.unique(slot[row])] += 1
-    n1, n0 = y.sum(), len(y) - y.sum()
-    odds = np.log((seen[1] + 1) / (n1 + 2)) - np.log((seen[0] + 1) / (n0 + 2))
-    net.p["word"][:, 0] = np.clip(odds, -3, 3)
+    rate = y.mean()
+    odds = (seen[1] + PRIOR * rate) / (seen[0] + PRIOR * (1 - rate)) * (1 - rate) / rate
+    net.p["word"][:, 0] = np.clip(np.log(odds), -3, 3)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
     order, step = np.random.default_rng(5), 0
     for epoch in range(EPOCHS):
@@ -331,13 +334,14 @@ def train(pairs: list[tuple[str, int]]) -> Network:
             logit = net.forward(net.gates(x), ids.reshape(mask.shape), mask, keep=True)
             grads = net.backward((_sigmoid(logit) - y[part]) / len(part), x)
             step += 1
-            rate = RATE * (0.5 ** (epoch // 2))
+            rate = RATE * 0.5 ** (epoch // 2)
             for k, grad in grads.items():
                 m, v = moment[k]
                 m += 0.1 * (grad - m)
                 v += 0.001 * (grad * grad - v)
                 rate_now = rate * (1 - 0.999**step) ** 0.5 / (1 - 0.9**step)
-                net.p[k] = (net.p[k] - rate_now * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
+                kept = 1 - rate * DECAY if k in ("word", "gram") else 1.0
+                net.p[k] = (net.p[k] * kept - rate_now * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
     return net
 
 
