@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from tallymart.plans.silver import ORDER_STATUSES, PAYMENT_TYPES
+from tallymart.plans.silver import KEYS, ORDER_STATUSES, PAYMENT_TYPES
 from tallymart.sources.adapters import ADAPTERS, adapter_sql
 
 STATES = (
@@ -450,6 +450,20 @@ def entity_sql() -> dict[str, str]:
         COUNT(DISTINCT (order_id, payment_sequential)) FILTER
             (WHERE order_id IS NOT NULL AND payment_sequential IS NOT NULL)
             AS distinct_payment_keys, {_flag_counts("order_payments")} FROM s_order_payments"""
+    for entity, key in KEYS.items():
+        whole = " AND ".join(f"{c} IS NOT NULL" for c in key)
+        distinct = f"COUNT(DISTINCT ({', '.join(key)})) FILTER (WHERE {whole}) AS distinct_keys," if key else ""
+        found[f"layers_verify_{entity}"] = f"""SELECT COUNT(*) AS total_rows, {distinct}
+            {_flag_counts(entity)} FROM s_{entity}"""
+    found["layers_grain_customers"] = """SELECT COUNT(*) AS total_rows,
+        COUNT(DISTINCT (customer_unique_id, customer_city, customer_state)) FILTER
+            (WHERE customer_unique_id IS NOT NULL AND customer_city IS NOT NULL
+                AND customer_state IS NOT NULL) AS addresses,
+        COUNT(DISTINCT customer_unique_id) AS persons FROM g_customers"""
+    found["layers_grain_sales"] = """SELECT COUNT(*) AS total_rows,
+        COUNT(DISTINCT (order_id, order_item_id)) FILTER
+            (WHERE order_id IS NOT NULL AND order_item_id IS NOT NULL) AS items,
+        COUNT(DISTINCT order_id) AS orders FROM g_sales"""
     found["gold_sales"] = "SELECT * FROM g_sales"
     found["gold_customers"] = "SELECT * FROM g_customers"
     found["gold_customers_by_person"] = "SELECT * FROM g_persons"

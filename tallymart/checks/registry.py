@@ -15,7 +15,8 @@ from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFil
 from tallymart.plans import gold as marts
 from tallymart.plans import reports
 from tallymart.plans.gold import GoldPlan
-from tallymart.plans.silver import FLAGS, SilverPlan
+from tallymart.plans.layers import verify_persisted
+from tallymart.plans.silver import FLAGS, KEYS, SilverPlan
 from tallymart.session import shared_folder
 from tallymart.sources.adapters import BronzePlan
 from tallymart.sources.ingest import read_csv
@@ -339,6 +340,19 @@ def entity_queries() -> dict[str, Query]:
             FLAGS["order_payments"],
         )
     )
+    for entity in KEYS:
+        found[f"layers_verify_{entity}"] = _silver(
+            lambda s, entity=entity: verify_persisted(getattr(s, entity), entity)
+        )
+    found["layers_grain_customers"] = _gold(
+        lambda g: ig.grain_check(
+            g.customers,
+            {"addresses": marts.PERSON_ADDRESS, "persons": [marts.PERSON]},
+        )
+    )
+    found["layers_grain_sales"] = _gold(
+        lambda g: ig.grain_check(g.sales, {"items": ["order_id", "order_item_id"], "orders": ["order_id"]})
+    )
     found["gold_sales"] = _gold(lambda g: g.sales)
     found["gold_customers"] = _gold(lambda g: g.customers)
     found["gold_customers_by_person"] = _silver(lambda s: marts.customers(s, grain="person"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.operators.rules import count_flags
+from tallymart.operators.rules import quoted
 from tallymart.operators.lookups import split_join
 
 
@@ -87,11 +89,26 @@ def assert_row_parity(source: DataFrame, target: DataFrame, label: str) -> int:
 def grain_check(
     df: DataFrame, keys: dict[str, Iterable[str]], flags: Iterable[str] = ()
 ) -> DataFrame:
-    """Rows, distinct keys of one or more grains and flag counts, all on one row."""
-    distinct: list[Column] = [
-        F.count_distinct(*[F.col(c) for c in columns]).alias(name) for name, columns in keys.items()
-    ]
-    return df.agg(F.count(F.lit(1)).alias("total_rows"), *distinct, *count_flags(flags))
+    """Rows, distinct keys of one or more grains and flag counts, all on one row.
+
+    Keys with a NULL part are not counted.  Rows are merged by the widest key first, then by
+    the narrower ones, each of which must be part of the one before: rows are never repeated
+    as they are for several distinct counts in one aggregate.
+    """
+    grains = sorted(((name, list(columns)) for name, columns in keys.items()), key=lambda g: -len(g[1]))
+    flags = list(flags)
+    counters = {"total_rows": F.count(F.lit(1))}
+    counters |= {flag: F.count_if(F.col(quoted(flag))) for flag in flags}
+    for name, columns in grains:
+        merged = df.groupBy(*[F.col(quoted(c)) for c in columns]).agg(
+            *[value.alias(done) for done, value in counters.items()]
+        )
+        whole = reduce(and_, [F.col(quoted(c)).isNotNull() for c in columns])
+        counters = {done: F.sum(F.col(quoted(done))) for done in counters}
+        counters[name] = F.count_if(whole)
+        df = merged
+    order = ["total_rows", *keys, *flags]
+    return df.agg(*[F.coalesce(counters[name], F.lit(0)).alias(name) for name in order])
 
 
 def repeated_persons(gold_customers: DataFrame) -> DataFrame:

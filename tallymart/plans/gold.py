@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions import exact_sum, rounded_ratio
-from tallymart.operators.lookups import split_join
 from tallymart.plans.silver import Silver, SilverPlan
 
 PERSON = "customer_unique_id"
@@ -69,28 +68,26 @@ def _review_scores(silver: Silver | SilverPlan) -> DataFrame:
     )
 
 
-def _per_customer_order(
-    silver: Silver | SilverPlan, order_facts: list[DataFrame]
-) -> DataFrame:
+def _per_customer_order(silver: Silver | SilverPlan) -> DataFrame:
     """One row per (customer, order) plus one order-less row per customer.
 
     The order-less rows keep customers without orders and have no effect on the
     aggregates of the others, so the join itself can be an inner one: that lets
     the order side, where one customer may hold most rows, be split.  Order
-    facts are aggregated to one row per order before they are joined.
+    facts are aggregated to one row per order, whose partitioning the joins use
+    again; facts of which no column is asked for are dropped with their scans.
     """
     base = ["order_id", "customer_id", "order_purchase_timestamp"]
     orders = reduce(
-        lambda left, facts: split_join(left, facts, "order_id", "left"),
-        order_facts,
+        lambda left, facts: left.join(facts, "order_id", "left"),
+        [_item_totals(silver), _payment_counts(silver), _review_scores(silver)],
         silver.orders.select(*base),
     )
     customers = silver.customers.select("customer_id", *PERSON_ADDRESS)
-    placed = orders.join(customers, "customer_id")
-    return placed.unionByName(customers, allowMissingColumns=True)
+    return orders.join(customers, "customer_id").unionByName(customers, allowMissingColumns=True)
 
 
-def _sales_metrics(orders: DataFrame, group: list[str], *extra: Column) -> DataFrame:
+def _customer_metrics(orders: DataFrame, group: list[str], *extra: Column) -> DataFrame:
     totals = orders.groupBy(*group).agg(
         *extra,
         F.min("order_purchase_timestamp").alias("first_order_date"),
@@ -100,41 +97,48 @@ def _sales_metrics(orders: DataFrame, group: list[str], *extra: Column) -> DataF
         exact_sum("product_value").alias("total_product_value"),
         exact_sum("freight").alias("total_freight_value"),
         exact_sum("product_value", "freight").alias("total_spend"),
+        F.sum("payments").alias("payments"),
+        F.sum("reviews").alias("reviews"),
+        F.sum(F.rint(F.col("score") * 100).cast("bigint")).alias("score_cents"),
+        F.count("score").alias("scores"),
     )
     # A group without orders has no spend: NULL instead of a division by zero.
     average = rounded_ratio(F.col("total_spend"), F.col("total_orders"))
     return totals.withColumn("average_order_value", average)
 
 
-def _engagement_metrics(orders: DataFrame) -> DataFrame:
-    return orders.groupBy(PERSON).agg(
-        F.sum("payments").alias("total_payments"),
-        F.sum("reviews").alias("total_reviews"),
-        rounded_ratio(exact_sum("score"), F.count("score")).alias("average_review_score"),
-    )
-
-
 def customers(silver: Silver | SilverPlan, grain: str = "address") -> DataFrame:
     """Customer mart.
 
     ``grain="address"`` (default): one row per person, city and state; payment and
     review figures are those of the person and repeat on each address row.
     ``grain="person"``: one row per person, with the first city and state in
-    alphabetical order.
+    alphabetical order.  A row without person has no payment and review figures.
 
-    Sales and engagement are two branches that meet at the person: a report that
-    needs only one of them makes Catalyst drop the other with all of its scans.
+    Orders are read once.  The person's figures are sums over the few address rows
+    of a person; rows without person, which may be many, do not meet in one task.
     """
-    bought = _per_customer_order(silver, [_item_totals(silver)])
+    bought = _per_customer_order(silver)
     if grain == "address":
-        metrics = _sales_metrics(bought, PERSON_ADDRESS)
+        metrics = _customer_metrics(bought, PERSON_ADDRESS)
     elif grain == "person":
         home = F.min(F.struct("customer_city", "customer_state")).alias("home")
-        metrics = _sales_metrics(bought, [PERSON], home).select("*", "home.*").drop("home")
+        metrics = _customer_metrics(bought, [PERSON], home).select("*", "home.*").drop("home")
     else:
         raise ValueError(f"unknown grain {grain!r}")
-    engaged = _per_customer_order(silver, [_payment_counts(silver), _review_scores(silver)])
-    combined = split_join(metrics, _engagement_metrics(engaged), PERSON, "left")
+    apart = F.when(F.col(PERSON).isNull(), F.struct("customer_city", "customer_state"))
+    person = Window.partitionBy(PERSON, apart)
+
+    def of_person(name: str) -> Column:
+        return F.when(F.col(PERSON).isNotNull(), F.sum(name).over(person))
+
+    combined = metrics.withColumns(
+        {
+            "total_payments": of_person("payments"),
+            "total_reviews": of_person("reviews"),
+            "average_review_score": rounded_ratio(of_person("score_cents") / 100, of_person("scores")),
+        }
+    )
     return combined.select(
         *PERSON_ADDRESS,
         "first_order_date",

@@ -6,17 +6,20 @@ costs at most a part of one table, and no plan carries the lineage of a whole la
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tallymart.operators.integrity import assert_row_parity, grain_check
+from tallymart.operators.rules import count_flags
 from tallymart.plans import gold as marts
 from tallymart.plans import silver as entities
 from tallymart.plans.gold import Gold
 from tallymart.plans.silver import FLAGS, KEYS, Silver
 from tallymart.sources.adapters import Bronze
-from tallymart.sources.tables import DEFAULT_FORMAT, create_layer, write_table
+from tallymart.sources.tables import DEFAULT_FORMAT, clustered, create_layer, write_table
 
 
 @dataclass(frozen=True)
@@ -26,7 +29,7 @@ class LayerNames:
     gold: str = "gold"
 
 
-# Columns by whose range the marts are clustered when ``cluster=True``: date filters then
+# Columns by whose range the marts are clustered unless ``cluster=False``: date filters then
 # skip files.  Each ends with the key, so that one busy moment still spreads over many tasks.
 CLUSTER_BY = {
     "sales": ["order_purchase_timestamp", "order_id", "order_item_id", "product_id", "seller_id"],
@@ -41,6 +44,46 @@ def verify_persisted(table: DataFrame, entity: str) -> DataFrame:
     return grain_check(table, {"distinct_keys": key} if key else {}, FLAGS[entity])
 
 
+class VerificationError(AssertionError):
+    """A table that was written differs from what was to be written."""
+
+
+def write_verified(
+    df: DataFrame,
+    name: str,
+    fmt: str,
+    flags: Iterable[str] = (),
+    key: Iterable[str] = (),
+    source: DataFrame | None = None,
+    unique: bool = False,
+    range_by: Iterable[str] = (),
+) -> DataFrame:
+    """Write ``df`` beside the table ``name``, check what was written, then put it in its place.
+
+    Rows and flag counts seen while writing must be those of the written table; its rows
+    those of ``source``; and the key must be unique where that is promised.  On failure the
+    old table is as it was, and the new one stays as ``<name>__new`` to be looked at.
+    """
+    spark, aside = df.sparkSession, f"{name}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {aside}")
+    # a range exchange reads its input twice, so rows are counted behind it
+    df = clustered(df, range_by)
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("total_rows"), *count_flags(flags))
+    table = write_table(counted, aside, fmt)
+    found = grain_check(table, {"distinct_keys": key} if key else {}, flags).first().asDict()
+    wrong = {k: (v, found[k]) for k, v in seen.get.items() if found[k] != v}
+    if source is not None and not wrong:
+        assert_row_parity(source, table, name)
+    if unique and found["distinct_keys"] != found["total_rows"]:
+        wrong["distinct_keys"] = (found["total_rows"], found["distinct_keys"])
+    if wrong:
+        raise VerificationError(f"{name}: (expected, written) {wrong}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    return spark.table(name)
+
+
 def build_silver(
     spark: SparkSession, bronze: Bronze, layer: str = "silver", fmt: str = DEFAULT_FORMAT
 ) -> Silver:
@@ -48,11 +91,8 @@ def build_silver(
     create_layer(spark, layer)
 
     def save(entity: str, df: DataFrame) -> DataFrame:
-        table = write_table(
-            df, f"{layer}.{entity}", fmt, replace_schema=entity == "order_reviews"
-        )
-        assert_row_parity(getattr(bronze, entity), table, f"{layer}.{entity}")
-        return table
+        source = getattr(bronze, entity)
+        return write_verified(df, f"{layer}.{entity}", fmt, FLAGS[entity], KEYS[entity], source)
 
     orders = save("orders", entities.orders(bronze.orders))
     return Silver(
@@ -76,14 +116,14 @@ def build_gold(
     silver: Silver,
     layer: str = "gold",
     fmt: str = DEFAULT_FORMAT,
-    cluster: bool = False,
+    cluster: bool = True,
 ) -> Gold:
+    """Write the three marts.  The customer mart has one row per person and address."""
     create_layer(spark, layer)
 
-    def save(mart: str, df: DataFrame) -> DataFrame:
-        return write_table(
-            df, f"{layer}.{mart}", fmt, range_by=CLUSTER_BY[mart] if cluster else ()
-        )
+    def save(mart: str, df: DataFrame, **checks) -> DataFrame:
+        order = CLUSTER_BY[mart] if cluster else ()
+        return write_verified(df, f"{layer}.{mart}", fmt, range_by=order, **checks)
 
     return Gold(
         sales=save("sales", marts.sales(silver)),
@@ -97,7 +137,7 @@ def build_layers(
     bronze: Bronze,
     names: LayerNames = LayerNames(),
     fmt: str = DEFAULT_FORMAT,
-    cluster: bool = False,
+    cluster: bool = True,
 ) -> Gold:
     return build_gold(spark, build_silver(spark, bronze, names.silver, fmt), names.gold, fmt, cluster)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,6 +37,9 @@ MULTILINE = {"multiLine": "true", "escape": '"'}
 FILE_PREFIX = "^olist_"
 FILE_SUFFIX = "_dataset$"
 
+# Files that are loaded at the same time; each is a Spark job of its own.
+FILES_AT_ONCE = 8
+
 
 @dataclass(frozen=True)
 class IngestOptions:
@@ -159,8 +163,9 @@ def ingest_folder(
     create_audit_table(spark, audit, options.fmt)
     results: list[IngestResult] = []
     try:
-        for path in list_csv_files(spark, folder):
-            results.append(ingest_file(spark, path, options, run_id))
+        with ThreadPoolExecutor(FILES_AT_ONCE) as pool:  # the jobs run in Spark
+            paths = list_csv_files(spark, folder)
+            results.extend(pool.map(lambda path: ingest_file(spark, path, options, run_id), paths))
     finally:
         write_audit(spark, audit, results, options.fmt)
     return results

@@ -20,6 +20,12 @@ def read_table(spark: SparkSession, layer: str, table: str) -> DataFrame:
     return spark.table(f"{layer}.{table}")
 
 
+def clustered(df: DataFrame, range_by: Iterable[str] = ()) -> DataFrame:
+    """Rows dealt out and sorted by a range of these columns; as they are if there is none."""
+    range_by = list(range_by)
+    return df.repartitionByRange(*range_by).sortWithinPartitions(*range_by) if range_by else df
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -34,10 +40,7 @@ def write_table(
     range filters skip whole files by their statistics.  End it with the key of
     the table: then a frequent leading value still spreads over many tasks.
     """
-    range_by = list(range_by)
-    if range_by:
-        df = df.repartitionByRange(*range_by).sortWithinPartitions(*range_by)
-    writer = df.write.format(fmt).mode(mode)
+    writer = clustered(df, range_by).write.format(fmt).mode(mode)
     if replace_schema and fmt in SCHEMA_REPLACING:
         writer = writer.option("overwriteSchema", "true")
     writer.saveAsTable(name)

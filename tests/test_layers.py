@@ -66,3 +66,15 @@ def test_from_csv_files_to_reports(spark, lazy, tmp_path):
     rebuilt = layers.build_layers(spark, bronze_from_layer(spark, "csv_bronze"), layer_names)
     assert rebuilt.customers.count() == gold.customers.count()
     assert rows(reports.overview_kpis(rebuilt)) == rows(reports.overview_kpis(gold))
+
+
+def test_a_failing_check_keeps_the_old_table(spark, built):
+    old = spark.table("t_silver.sellers")
+    fewer = old.limit(3)
+    with pytest.raises(AssertionError):
+        layers.write_verified(fewer, "t_silver.sellers", "parquet", source=old)
+    twice = old.unionByName(old)
+    with pytest.raises(layers.VerificationError):
+        layers.write_verified(twice, "t_silver.sellers", "parquet", key=KEYS["sellers"], unique=True)
+    assert spark.table("t_silver.sellers").count() == old.count() > 3
+    assert spark.table("t_silver.sellers__new").count() == 2 * old.count()
