@@ -76,9 +76,11 @@ SILVER = {
             i.order_id IS NOT NULL AND i.order_id NOT IN
                 (SELECT order_id FROM s_orders WHERE order_id IS NOT NULL)
                 AS invalid_order_reference,
-            i.product_id IS NOT NULL AND i.product_id NOT IN (SELECT product_id FROM b_products)
+            i.product_id IS NOT NULL AND i.product_id NOT IN
+                (SELECT product_id FROM b_products WHERE product_id IS NOT NULL)
                 AS invalid_product_reference,
-            i.seller_id IS NOT NULL AND i.seller_id NOT IN (SELECT seller_id FROM b_sellers)
+            i.seller_id IS NOT NULL AND i.seller_id NOT IN
+                (SELECT seller_id FROM b_sellers WHERE seller_id IS NOT NULL)
                 AS invalid_seller_reference,
             i.shipping_limit_date IS NULL AS missing_shipping_limit_date,
             COALESCE(i.shipping_limit_date < o.order_purchase_timestamp, FALSE)
@@ -385,7 +387,9 @@ def profile_sql() -> dict[str, str]:
 
 def integrity_sql() -> dict[str, str]:
     def orphans(child: str, parent: str, key: str) -> str:
-        return f"SELECT {key} FROM b_{child} EXCEPT SELECT {key} FROM b_{parent}"
+        # a NULL key matches no parent
+        return f"""SELECT DISTINCT {key} FROM b_{child} c
+            WHERE NOT EXISTS (SELECT 1 FROM b_{parent} p WHERE p.{key} = c.{key})"""
 
     def duplicates(table: str, *keys: str) -> str:
         listed = ", ".join(keys)
@@ -468,7 +472,10 @@ def entity_sql() -> dict[str, str]:
     found["gold_customers"] = "SELECT * FROM g_customers"
     found["gold_customers_by_person"] = "SELECT * FROM g_persons"
     found["gold_deliveries"] = "SELECT * FROM g_deliveries"
-    found["source_csv_scan"] = "SELECT * FROM b_order_payments"
+    # CSV does not tell an empty text from none
+    found["source_csv_scan"] = """SELECT order_id, payment_sequential,
+        NULLIF(payment_type, '') AS payment_type, payment_installments, payment_value
+        FROM b_order_payments"""
     return found
 
 
