@@ -444,6 +444,8 @@ def entity_sql() -> dict[str, str]:
     for entity in ADAPTERS:
         found[f"silver_{entity}"] = f"SELECT * FROM s_{entity}"
         found[f"dq_{entity}"] = f"SELECT {_flag_counts(entity)} FROM s_{entity}"
+    found["dq_order_reviews"] = f"""SELECT COUNT(*) AS total_rows,
+        {_flag_counts("order_reviews")} FROM s_order_reviews"""
     found["dq_orders"] = f"""SELECT MIN(delivery_days) AS min_delivery_days,
         MAX(delivery_days) AS max_delivery_days,
         COUNT(*) - COUNT(delivery_days) AS delivery_days_nulls, MIN(days_late) AS min_days_late,

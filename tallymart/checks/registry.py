@@ -327,6 +327,11 @@ def entity_queries() -> dict[str, Query]:
     for entity in FLAGS:
         found[f"silver_{entity}"] = _silver(lambda s, e=entity: getattr(s, e))
         found[f"dq_{entity}"] = _silver(lambda s, e=entity: rules.summarise(getattr(s, e), FLAGS[e]))
+    found["dq_order_reviews"] = _silver(
+        lambda s: rules.summarise(
+            s.order_reviews, FLAGS["order_reviews"], [F.count(F.lit(1)).alias("total_rows")]
+        )
+    )
     found["dq_orders"] = _silver(
         lambda s: rules.summarise(s.orders, FLAGS["orders"], _day_ranges())
     )
