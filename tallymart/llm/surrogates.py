@@ -6,7 +6,11 @@ a card and its check digit, valid octets.  Names after a title are replaced by n
 title's gender in the script of the name.  A surrogate is a function of key, kind,
 canonical form and attempt.  All distinct entities are checked together: where surrogates
 of two entities meet, or one is itself an entity of the data, later attempts are taken for
-all but one, until none meet.  Rows are joined only to the few entities with such attempts.
+all but one, until none meet.  Later attempts draw from wider sets, so that they come to an
+end however many entities there are: a name gets one more family name with each attempt;
+from ``WIDER`` on octets may have any length, and mail addresses and phone numbers of few
+digits get one more character with each attempt.  The other kinds are as wide as their
+format.  Rows are joined only to the few entities with such attempts.
 
 Only DataFrame and SQL functions run on the executors.
 """
@@ -18,6 +22,10 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.shared import stage
 
+#: Attempt from which short formats are left, and the most family names and added characters.
+WIDER, FAMILIES, ADDED = 2, 28, {"email": 48, "phone": 8}
+#: Attempts after which the data is taken to hold more entities than their format has places for.
+ATTEMPTS = 100
 # Titles by gender, and names to choose from by script and gender.
 TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Г-жа", "Госпожа", "Κυρία"],
@@ -104,7 +112,8 @@ def _number(h: str, at: str) -> str:
 
 def _octet(h: str, of: str, at: int) -> str:
     part, n = f"split_part({of}, '.', {at + 1})", _number(h, str(at))
-    return f"case length({part}) when 3 then 100 + {n} % 156 when 2 then 10 + {n} % 90 else {n} % 10 end"
+    as_long = f"case length({part}) when 3 then 100 + {n} % 156 when 2 then 10 + {n} % 90 else {n} % 10 end"
+    return f"if(a >= {WIDER}, {n} % 256, {as_long})"
 
 
 def _chosen(lists: dict, script: str, gender: str, number: str) -> str:
@@ -133,18 +142,24 @@ def surrogate(kind: str, canonical: str, attempt: str, key: str) -> str:
     digits = by_character("(k = 'card' and i = 1) or (k = 'phone' and i <= length(c) - 10)")
     checked = f"concat(substr(d, 1, length(d) - 1), string((10 - {_luhn("concat(substr(d, 1, length(d) - 1), '0')")} % 10) % 10))"
     card = f"element_at(transform(array({digits}), d -> if({_luhn('c')} % 10 = 0, {checked}, d)), 1)"
+    # what later attempts add: letters before an address, digits after a short number
+    more = f"sequence(1, least(a - {WIDER} + 1, {{}}))"
+    letters, figures = (
+        f"if(a >= {WIDER}, array_join(transform({more.format(ADDED[k])}, n -> substr(translate(h, {of}), 129 - n, 1)), ''), '')"
+        for k, of in (("email", "'0123456789abcdef', 'bcdfghklmnprstvz'"), ("phone", "'abcdef', '274905'"))
+    )
+    phone = f"concat({digits}, if(length(c) < 10, {figures}, ''))"
     ip = "concat_ws('.', " + ", ".join(_octet("h", "c", n) for n in range(4)) + ")"
     script = "case when c rlike '\\\\p{IsCyrillic}' then 'Cyrillic' when c rlike '\\\\p{IsGreek}' then 'Greek' else 'Latin' end"
     gender = "substr(c, 1, 1)"
     given = _chosen(GIVEN, script, gender, _number("h", "0"))
-    family = _chosen(FAMILY, script, gender, _number("h", "1"))
-    second = _chosen(FAMILY, script, gender, _number("h", "2"))
-    # one word for one word; further attempts join two family names
-    family = f"if(a > 0, concat({family}, '-', {second}), {family})"
+    # one word for one word; further attempts join ever more family names
+    family = _chosen(FAMILY, script, gender, _number("h", "n"))
+    family = f"array_join(transform(sequence(1, least(a + 1, {FAMILIES})), n -> {family}), '-')"
     name = f"concat({gender}, ':', if(c like '% %', concat({given}, ' ', {family}), {family}))"
     body = (
-        f"case k when 'email' then {by_character(top)} when 'ip' then {ip} when 'name' then {name} "
-        f"when 'card' then {card} when 'iban' then {by_character('i <= 4')} else {digits} end"
+        f"case k when 'email' then concat({letters}, {by_character(top)}) when 'ip' then {ip} when 'name' then {name} "
+        f"when 'card' then {card} when 'iban' then {by_character('i <= 4')} when 'phone' then {phone} else {digits} end"
     )
     # the names k, c, a and h are bound once
     bound = f"array(named_struct('k', {kind}, 'c', {canonical}, 'a', {attempt}, 'h', {seed}))"
@@ -168,10 +183,12 @@ def dressed(kind: str, spelling: str, new: str) -> str:
         f"array_join(transform(sequence(1, length({spelling})), i -> if(substr({spelling}, i, 1) rlike '[0-9]', "
         f"substr({new}, {place}, 1), substr({spelling}, i, 1))), '')"
     )
+    added = f"(length({new}) - length({spelling}))"
     case = (
-        f"array_join(transform(sequence(1, length({spelling})), i -> if(substr({spelling}, i, 1) rlike '[A-Z]', "
-        f"upper(substr({new}, i, 1)), substr({new}, i, 1))), '')"
+        f"concat(substr({new}, 1, {added}), array_join(transform(sequence(1, length({spelling})), i -> "
+        f"if(substr({spelling}, i, 1) rlike '[A-Z]', upper(substr({new}, {added} + i, 1)), substr({new}, {added} + i, 1))), ''))"
     )
+    further = f"substr({new}, 1 + length(regexp_replace({spelling}, '[^0-9]', '')))"
     before = f"length(replace(substr({spelling}, 1, i), ' ', ''))"
     spaced = (
         f"array_join(transform(sequence(1, length({spelling})), i -> if(substr({spelling}, i, 1) = ' ', ' ', "
@@ -180,15 +197,16 @@ def dressed(kind: str, spelling: str, new: str) -> str:
     title = f"regexp_extract({spelling}, {quoted(f'^(?:{_title})[.]? ')}, 0)"
     return (
         f"case {kind} when 'email' then {case} when 'ip' then {new} when 'iban' then {spaced} "
-        f"when 'name' then concat({title}, substr({new}, 3)) else {digits} end"
+        f"when 'name' then concat({title}, substr({new}, 3)) when 'phone' then concat({digits}, {further}) else {digits} end"
     )
 
 
 def settled(entities: DataFrame, key: str) -> DataFrame:
     """k, c, attempt of all distinct entities (k, c): no two of a kind share a surrogate, and
-    none is an entity of the data."""
+    none is an entity of the data.  Fails only where a format has no place left for that
+    (more than half of all numbers of nine digits, say)."""
     table = stage(entities.distinct().withColumn("attempt", F.lit(0)), "entities")
-    while True:
+    for _ in range(ATTEMPTS):
         named = table.withColumn("s", F.expr(f"lower({surrogate('k', 'c', 'attempt', key)})"))
         named = stage(named, "surrogates")
         shared = named.groupBy("k", "s").agg(F.min("c").alias("least"), F.count("*").alias("n"))
@@ -202,6 +220,9 @@ def settled(entities: DataFrame, key: str) -> DataFrame:
         table = stage(
             marked.select("k", "c", (F.col("attempt") + F.col("again").cast("int")).alias("attempt")), "entities"
         )
+    kinds = [r.k for r in marked.where("again").select("k").distinct().collect()]
+    raise ValueError(f"no distinct surrogates are left in the format of these kinds: {sorted(kinds)}")
+
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, key: str) -> DataFrame:

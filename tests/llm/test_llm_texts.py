@@ -61,6 +61,32 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(new)) == len(ips) and not set(new) & set(ips)
 
 
+def test_surrogates_of_more_entities_than_short_formats_hold(spark):
+    """1,000 one-word names of one gender, addresses with nothing or little to replace, numbers
+    and octets of which the data holds every one of that length."""
+    letters = "abcdefghij"
+    names = ["Mr N" + x + y + z for x in letters for y in letters for z in letters]
+    greek = ["Κυρία Α" + x + y for x in "αβγδεζηθικ" for y in "αβγδεζηθικ"]
+    mails = ["_@-.com", "+@-.--"] + [f"{x}@{y}.com" for x in "abcdefghijklmnopqrstuv" for y in "abcdefghijklmnopqrst"]
+    ips = [".".join(f"{i:04}") for i in range(10_000)]
+    phones = [f"+1 {i} 12 34" for i in range(10)]
+    every = [*names, *greek, *mails, *ips, *phones]
+    docs = spark.createDataFrame([(i, f"{x} ;") for i, x in enumerate(every)], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.surrogates(spark, docs, "k").collect()}
+    new = [got[i].text.removesuffix(" ;") for i in range(len(every))]
+    assert len(set(new)) == len(every) and not set(new) & set(every)
+    at = 0
+    for kind, part in (("name", names), ("name", greek), ("email", mails), ("ip", ips), ("phone", phones)):
+        mine = range(at, at := at + len(part))
+        assert all(got[i][f"n_{kind}"] == 1 for i in mine), kind
+        again = spark.createDataFrame([(i, f"{new[i]} ;") for i in mine], "doc_id long, text string")
+        found = again.selectExpr(f"regexp_extract(text, {surrogates.quoted(surrogates.ENTITY)}, 0) = replace(text, ' ;', '') as whole")
+        assert found.where("not whole").count() == 0, kind
+    assert all(x.startswith("Mr ") and x.count(" ") == 1 for x in new[:1000])
+    assert all(re.fullmatch("Κυρία [\u0370-\u03ff-]+", x) for x in new[1000:1100])
+    assert all(max(map(int, x.split("."))) < 256 for x in new[-10_010:-10])
+
+
 def library():
     r, pattern = ranks()
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=r, special_tokens={})
