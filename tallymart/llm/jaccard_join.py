@@ -4,7 +4,8 @@ Texts of equal n-gram sets are one node with a MinHash signature.  A run splits
 recursively: each bucket samples ``BRANCHES`` coordinates, its nodes go to the bucket of the
 token they hold there, until a bucket is small, or stays nearly whole when split.  The
 nodes of such a leaf are compared all with all, in blocks of bounded size.  Runs are
-repeated until a pair at the threshold is missed with a probability below ``MISS``.
+repeated until a pair at the threshold is missed with a probability below ``MISS``, however
+deep the buckets are split and with all runs sampling the same coordinates.
 
 Signatures rule out most pairs of a leaf; what is left is decided by the sets themselves.
 A pair that shares several leaves counts in the least of them.  Only counts of links and a
@@ -14,6 +15,7 @@ spanning forest of each block leave the tasks, never the pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +34,47 @@ COORDINATES, BRANCHES, MISS = 32, 2, 1e-4
 LEAF, SIDE = 1024, 512
 #: A bucket with this part of its parent's nodes is not split any more.
 DENSE, LEVELS = 0.5, 6
-#: Standard deviations by which a signature may miss the threshold.
-SLACK = 5.0
+#: Part of ``MISS`` that a signature which misses the threshold may take.
+SLACK = 0.1
 _seeds = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, COORDINATES, dtype=np.uint64) * U(2) + U(1)
 
 
-def runs_needed(threshold: float = THRESHOLD, levels: int = 3, miss: float = MISS) -> int:
-    """Runs after which a pair at the threshold that must pass so many levels is found."""
-    found = (1 - (1 - threshold) ** BRANCHES) ** levels
-    return max(1, int(np.ceil(np.log(miss) / np.log(1 - found))))
+def agreements(threshold: float) -> np.ndarray:
+    """Probabilities that a pair at the threshold agrees in 0, 1 ... of the coordinates."""
+    n = COORDINATES
+    return np.array([comb(n, k) * threshold**k * (1 - threshold) ** (n - k) for k in range(n + 1)])
+
+
+def least_agreement(threshold: float = THRESHOLD, miss: float = MISS) -> int:
+    """Agreeing coordinates that a signature needs for its pair to be compared."""
+    below = np.concatenate([[0.0], np.cumsum(agreements(threshold))])
+    return max(1, int(np.searchsorted(below, SLACK * miss, side="right")) - 1)
+
+
+def missed(runs: int, threshold: float = THRESHOLD, levels: int = LEVELS, miss: float = MISS) -> float:
+    """Probability that no run, each as many levels deep, finds a pair at the threshold.
+
+    All runs sample the same coordinates, so the average is taken over the number in which
+    the pair agrees.  Given that, a bucket that holds both sends them on together in each of
+    its branches with equal chance, apart from each other, and the rest of the levels follows
+    below each; a bucket that is split no further has found them.
+    """
+    agree = np.arange(COORDINATES + 1) / COORDINATES
+    found = np.ones(COORDINATES + 1)
+    for _ in range(levels):
+        found = 1 - (1 - agree * found) ** BRANCHES
+    found[: least_agreement(threshold, miss)] = 0
+    return float(agreements(threshold) @ (1 - found) ** runs)
+
+
+def runs_needed(threshold: float = THRESHOLD, levels: int = LEVELS, miss: float = MISS) -> int:
+    """Least number of runs after which a pair at the threshold is missed with less than ``miss``."""
+    if missed(1 << 20, threshold, levels, miss) >= miss:
+        raise ValueError(f"{COORDINATES} coordinates cannot find pairs at {threshold} with a miss below {miss}")
+    runs = 1
+    while missed(runs, threshold, levels, miss) >= miss:
+        runs += 1
+    return runs
 
 
 def sets_of(block: Block, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,8 +237,7 @@ def _common(lists: list[np.ndarray], a: np.ndarray, b: np.ndarray, path: int) ->
 
 def hopeful(leaf_rows: DataFrame, threshold: float) -> DataFrame:
     """Rows of each block that have a partner by their signatures."""
-    spread = np.sqrt(threshold * (1 - threshold) / COORDINATES)
-    least = max(1, int(np.ceil(COORDINATES * (threshold - SLACK * spread))))
+    least = least_agreement(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, KEY):

@@ -142,6 +142,55 @@ def test_jaccard_blocks_and_recursion(spark, monkeypatch):
     assert found_links(spark, docs) == want
 
 
+def test_jaccard_default_runs_at_every_depth():
+    """The promised miss, by an own simulation of pairs at 0.8 over 32 shared coordinates."""
+    import numpy as np
+
+    assert jaccard_join.least_agreement() == 15
+    rng = np.random.default_rng(6)
+    n, runs = 1_000_000, jaccard_join.runs_needed()
+    agree = rng.binomial(32, 0.8, n)
+    for levels in (1, 3, jaccard_join.LEVELS):
+        lost = np.arange(n)
+        for _ in range(runs):
+            # buckets of a run that still hold both
+            together = np.ones(len(lost), int)
+            for _ in range(levels):
+                together = rng.binomial(2 * together, agree[lost] / 32)
+            lost = lost[together == 0]
+        assert len(lost) / n < jaccard_join.MISS
+        assert abs(len(lost) / n - jaccard_join.missed(runs, levels=levels)) < 3e-5
+
+
+def test_jaccard_recursion_with_default_runs(spark, monkeypatch):
+    docs = near_copies()
+    monkeypatch.setattr(jaccard_join, "LEAF", 1)
+    monkeypatch.setattr(jaccard_join, "DENSE", 2.0)
+    assert found_links(spark, docs) == brute_links(docs)
+
+
+def test_leaves_find_pairs_as_often_as_computed(spark, monkeypatch):
+    """1,000 pairs that agree in half of the coordinates, in one run of the greatest depth."""
+    import numpy as np
+
+    monkeypatch.setattr(jaccard_join, "LEAF", 1)
+    monkeypatch.setattr(jaccard_join, "DENSE", 2.0)
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(1000):
+        a, b = rng.integers(0, 2**31, (2, 32))
+        same = rng.permutation(32)[:16]
+        b[same] = a[same]
+        rows += [(2 * i, 40, a.tolist()), (2 * i + 1, 40, b.tolist())]
+    nodes = spark.createDataFrame(rows, "node long, size int, sig array<int>")
+    ended = jaccard_join.leaves(nodes, 1).collect()
+    part = len({r.node // 2 for r in ended}) / 1000
+    found = 1.0
+    for _ in range(jaccard_join.LEVELS):
+        found = 1 - (1 - found / 2) ** 2
+    assert abs(part - found) < 0.06
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (100, 60), (60, 60), (50, 100)]
     got = components.components(spark.createDataFrame(edges, "a long, b long"))
