@@ -4,7 +4,8 @@ boundaries agree, and the pieces between the cuts are encoded; decoding joins ra
 A text of up to ``CHUNK`` characters is one chunk and never leaves its task.  A longer one
 is cut into chunks that overlap by ``OVERLAP`` on either side.  The pattern looks ahead but
 never back, so from a boundary that two neighbours share both go on alike: the first such
-boundary in their overlap is the cut.  A text with an overlap that has none (one run of
+boundary in their overlap is the cut.  A boundary behind white space is none: how such a
+run divides depends on what follows it, which the piece before the cut does not see.  A text with an overlap that has none (one run of
 letters, say) is encoded whole.  Any text gives the ids that one pass over it would give.
 """
 
@@ -213,7 +214,8 @@ def _boundaries(spark: SparkSession, ranks: dict[bytes, int], pattern: str):
             for k, begin, text in zip(part["k"], part["begin"], part["text"], strict=True):
                 at = [begin + s for s in encoder.starts(text)]
                 left.append([x for x in at if k and x < k * CHUNK + OVERLAP])
-                right.append([x for x in at if x >= (k + 1) * CHUNK - OVERLAP])
+                near = (x for x in at if x >= (k + 1) * CHUNK - OVERLAP)
+                right.append([x for x in near if not text[x - begin - 1].isspace()])
             out = part[["doc_id", "digest", "k"]].copy()
             out["left"], out["right"] = left, right
             yield out

@@ -118,6 +118,22 @@ def test_bpe_table(spark):
         assert bytes(r.decoded).decode() == text[r.doc_id]
 
 
+def test_bpe_of_white_space_before_a_chunk(spark):
+    """Runs of white space that end where a later chunk begins, or shortly before and behind."""
+    lib, at = library(), 2 * byte_bpe.CHUNK - byte_bpe.OVERLAP
+    texts = [
+        ("ab " * at)[: at - len(run) + shift].rstrip(" ").ljust(at - len(run) + shift, "c") + run + "Foo bar " * 6000
+        for run in ("\n\n", "   ", "\n\n\n", " \n", "\u3000\u3000", "\t")
+        for shift in (-1, 0, 1)
+    ]
+    texts.append(("ab " * at)[: byte_bpe.CHUNK - byte_bpe.OVERLAP - 2] + "\n\n" + "Foo bar " * 500)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in byte_bpe.encode(spark, df, *ranks()).collect()}
+    for i, text in enumerate(texts):
+        want = lib.encode_ordinary(text)
+        assert got[i].n_tokens == len(want) and got[i].ids == " ".join(map(str, want)), i
+
+
 def test_merges_of_any_piece():
     encoder, enc = byte_bpe.Encoder(*ranks()), library()
     rng = random.Random(1)
