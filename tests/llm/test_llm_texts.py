@@ -243,3 +243,20 @@ def test_secret_rows(spark):
         added += "model" in r.spans
     assert added >= 15
     assert secrets_scan.secrets(spark, empty(spark)).count() == 0
+
+
+def test_secrets_are_learned_where_they_are_rare(spark, monkeypatch):
+    """30 documents with a finding among 3,000 and a sample of 50; one finding lies far behind."""
+    monkeypatch.setattr(secrets_scan, "TRAIN_ROWS", 50)
+    rng = random.Random(12)
+    rows = [(i, f"plain words of document number {i} and more") for i in range(2970)]
+    secret = ["".join(rng.choices("ABCDEFGHabcdefgh0123456789", k=24)) for _ in range(30)]
+    rows += [(9000 + i, f"some words then token = {x} end") for i, x in enumerate(secret[:29])]
+    rows.append((9999, "word " * 8000 + f"token = {secret[29]} end"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen = []
+    train = secrets_scan.train
+    monkeypatch.setattr(secrets_scan, "train", lambda texts: seen.extend(texts) or train(texts))
+    assert secrets_scan.fit(df).threshold < 1
+    assert all(any(x in t for t in seen) for x in secret)
+    assert any(not secrets_scan.base(t) for t in seen) and len(seen) < 150
