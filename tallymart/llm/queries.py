@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import byte_bpe, decontamination, exact_dedup, jaccard_join, language, quality, secrets_scan, substring_dedup, surrogates, toxicity
+from tallymart.llm import (
+    anomalies,
+    byte_bpe,
+    collocations,
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    language,
+    periodic_runs,
+    quality,
+    secrets_scan,
+    substring_dedup,
+    surrogates,
+    toxicity,
+)
 from tallymart.llm.shared import ship
 
 
@@ -68,6 +82,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomalies.anomalies(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -80,6 +106,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_language": op9_language,
         "op10_toxicity": op10_toxicity,
+        "op11_anomalies": op11_anomalies,
+        "op12_collocations": op12_collocations,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
@@ -128,10 +157,41 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) a
 from words left join kept using (doc_id)
 """
 
+COLLOCATIONS_SQL = r"""
+with lowered as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from lowered)),
+grams as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as f
+  from pieces, range(1, 4) s(k), range(1, len(w) - k + 2) t(i) group by all),
+totals as (select lang, cast(sum(f) as bigint) as n from grams where k = 1 group by lang),
+frequent as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from grams where k > 1 and f >= 10),
+cuts as (
+  select c.*, j, x.f as l, y.f as r, (1000000::hugeint * a * a) // (x.f::hugeint * y.f) as score
+  from (select *, unnest(range(1, k)) as j from frequent) c
+  join grams x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:j], ' ')
+  join grams y on y.lang = c.lang and y.phrase = array_to_string(c.w[j + 1:c.k], ' ')),
+worst as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (
+  select lang, phrase, max(f) as most from (
+    select lang, array_to_string(w[i:i + 1], ' ') as phrase, a as f from frequent, range(1, 3) t(i) where k = 3)
+  group by all),
+kept as (
+  select worst.* from worst left join inside using (lang, phrase)
+  where k = 3 or most is null or 100 * most < 50 * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP_SQL,
         "op3_jaccard_join": JACCARD_SQL,
         "op7_substring_dedup": SUBSTRING_SQL,
+        "op12_collocations": COLLOCATIONS_SQL,
     }
