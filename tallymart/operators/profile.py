@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.operators.quantiles import order_statistics
 from tallymart.operators.rules import any_of, quoted
 
 # Output name and place of the quartiles.
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-# The first pass brackets each rank within this part of the values; any value gives the same result.
-BRACKET = 0.001
 
 
 def row_count(df: DataFrame, name: str = "total_rows") -> DataFrame:
@@ -88,50 +87,15 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def distribution(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """One row per numeric column: count, minimum, exact quartiles (values that occur), maximum.
 
-    A quartile is the least value with at least that part of the values not above it.  Two
-    passes: approximate quantiles bracket each rank and travel on as one row a column; then
-    the rows below a bracket are only counted, and those inside are summed up by value, so
-    no task needs all values.
+    A quartile is the least value with at least that part of the values not above it.  The
+    figures are computed when the function is called, by ``quantiles.order_statistics``.
     """
-    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).cast("double").alias("value")) for c in columns]
-    long = df.select(F.explode(F.array(*pairs)).alias("r")).select("r.*").where("value IS NOT NULL")
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
-    edges = [min(max(q + d, 0.0), 1.0) for q in QUARTILES.values() for d in (-BRACKET, BRACKET)]
-    totals = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("value_count"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        F.percentile_approx("value", edges, int(4 / BRACKET)).alias("edges"),
-    )
-    ranks = totals.select(
-        "column_name",
-        F.posexplode(F.array(*[F.ceil(F.col("value_count") * q) for q in QUARTILES.values()])).alias("q", "rank"),
-        F.expr("edges[2 * q]").alias("low"),
-        F.expr("edges[2 * q + 1]").alias("high"),
-    )
-    # a value below the bracket counts as one group, so the running count starts right
-    inside = F.when(F.col("value") >= F.col("low"), F.col("value"))
-    near = (
-        long.join(F.broadcast(ranks), "column_name")  # three rows a column
-        .where("value <= high")
-        .groupBy("column_name", "q", "rank", inside.alias("value"))
-        .count()
-    )
-    running = F.sum("count").over(Window.partitionBy("column_name", "q").orderBy(F.asc_nulls_first("value")))
-    found = (
-        near.withColumn("up_to", running)
-        .where("up_to >= rank AND value IS NOT NULL")
-        .groupBy("column_name")
-        .agg(*[F.min(F.when(F.col("q") == n, F.col("value"))).alias(name) for n, name in enumerate(QUARTILES)])
-    )
-    wide = names.join(totals.drop("edges"), "column_name", "left").join(found, "column_name", "left")
-    return wide.select(
-        "column_name",
-        F.coalesce("value_count", F.lit(0)).alias("value_count"),
-        "min_value",
-        *QUARTILES,
-        "max_value",
-    )
+    columns = list(columns)
+    found = order_statistics(df, columns, QUARTILES.values())
+    rows = [(c, s.count, s.least, *(s.quantiles[q] for q in QUARTILES.values()), s.greatest) for c, s in found.items()]
+    quartiles = ", ".join(f"{name} double" for name in QUARTILES)
+    schema = f"column_name string, value_count long, min_value double, {quartiles}, max_value double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def summary(df: DataFrame, *columns: str) -> DataFrame:
