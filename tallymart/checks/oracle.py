@@ -648,6 +648,7 @@ def report_sql() -> dict[str, str]:
     ]
     found["report_sales_uncategorized_contradiction"] = chosen["uncategorized"]
     found["report_sales_detail_page_3"] = f"{everything['detail']} LIMIT 50 OFFSET 100"
+    found["report_sales_detail_far_page"] = f"{everything['detail']} LIMIT 100 OFFSET 5000"
     for name in ("report_sales_detail", "report_sales_detail_filtered"):
         found[name] += " LIMIT 25"
     overview = _sales_reports("TRUE", (10, 10))

@@ -414,6 +414,7 @@ def report_queries() -> dict[str, Query]:
         found[name] = _gold(function)
         found[f"{name}_filtered"] = _gold(function, chosen)
     found["report_sales_detail_page_3"] = _gold(reports.sales_detail, limit=50, offset=100)
+    found["report_sales_detail_far_page"] = _gold(reports.sales_detail, limit=100, offset=5000)
     found["report_customer_detail_page_2"] = _gold(reports.customer_detail, limit=100, offset=100)
     found["report_customer_kpis_zero_minimum"] = _gold(reports.customer_kpis, CUSTOMER_FILTER_ZERO)
     found["report_sales_uncategorized_contradiction"] = _gold(

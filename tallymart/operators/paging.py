@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallymart.session import shared_folder
+from tallymart.operators.rules import quoted
 
 # The page sizes offered for detail tables.
 PAGE_SIZES = (25, 50, 100)
-# Pages that end beyond this row are read from a range-sorted copy instead of one task's heap.
-HEAP_ROWS = 1000
-PART, ROW = "__part", "__row"
-ROW_NUMBER_MASK = (1 << 33) - 1
+# Rows that a page's task may have to pass before the page begins.
+PASSED = 2000
+# Ranges into which one pass divides the rows, and rows looked at per range to choose where.
+RANGES, LOOKED_AT = 64, 20
 
 
 @dataclass(frozen=True)
@@ -41,52 +40,162 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(max(1, int(n)))
 
 
-def page(df: DataFrame, limit: int, offset: int, *order: Column) -> DataFrame:
-    """Rows offset+1 .. offset+limit of a total order.
+@dataclass(frozen=True)
+class Key:
+    """A column to order by.  NULLs come first in ascending order and last in descending order."""
 
-    Spark finds such rows by passing the first offset+limit ones through a single
-    task.  That is right for the first pages; a page far down is taken from
-    ``SortedPages`` instead.
-    """
-    limit, offset = max(1, int(limit)), max(0, int(offset))
-    if offset + limit <= HEAP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    return SortedPages(df, *order).page(limit, offset)
-
-
-class SortedPages:
-    """Any page of a totally ordered result, however far down, for one distributed sort.
-
-    The rows are range-partitioned, sorted and numbered within their part, and written to
-    the shared folder with one directory per part.  A page needs the row count of each part
-    (one number per part on the driver); the filter on the part prunes the read to the one
-    or two directories the page lies in, and the row range is pushed into their files.
-    Keep the object to serve further pages of the same result.
-    The order should end with a key: rows that agree in every order column cannot be
-    separated by range.
+    name: str
+    descending: bool = False
+
+    def column(self) -> Column:
+        found = F.col(quoted(self.name))
+        return found.desc_nulls_last() if self.descending else found.asc_nulls_first()
+
+
+def asc(name: str) -> Key:
+    return Key(name)
+
+
+def desc(name: str) -> Key:
+    return Key(name, descending=True)
+
+
+@dataclass
+class Range:
+    """Rows from ``lower`` (included) to ``upper`` (not), both in order; None: open.  ``start`` rows come
+    before them, ``size`` are in it; ``parts`` divide it, once they were asked for."""
+
+    lower: tuple | None
+    upper: tuple | None
+    start: int
+    size: int
+    parts: list[Range] | None = None
+
+
+class Pages:
+    """Any page of a totally ordered result, however far down, without sorting or copying it.
+
+    Rows are counted by range of the order: a pass chooses up to ``RANGES`` - 1 rows that occur as
+    the borders, from a small sample (any choice gives the same pages), and a second counts exactly the
+    rows between them.  The range that the page begins in is divided again until at most
+    ``PASSED`` of its rows come before the page.  Then only the rows from its first to the page's last
+    border are read: the borders are range predicates on the order columns, which
+    reach the files, and a heap of ``PASSED`` rows and a page finds the page among them.  The first
+    page needs no pass but the last one.  Counts stay with the object, for further pages.
+
+    The order should end with a key.  Rows that agree in every order column are not divided;
+    if more than ``PASSED`` of them do, the heap has to hold them.
     """
 
-    def __init__(self, df: DataFrame, *order: Column) -> None:
-        spark = df.sparkSession
-        self._columns = df.columns
-        path = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
-        numbered = (
-            df.repartitionByRange(*order)
-            .sortWithinPartitions(*order)
-            .withColumn(PART, F.spark_partition_id())
-            .withColumn(ROW, F.monotonically_increasing_id().bitwiseAND(ROW_NUMBER_MASK))
-        )
-        numbered.write.partitionBy(PART).parquet(path)
-        self._rows = spark.read.schema(numbered.schema).parquet(path)
-        counts = self._rows.groupBy(PART).count().collect()
-        self._sizes = sorted((r[PART], r["count"]) for r in counts)
+    def __init__(self, df: DataFrame, *order: Key) -> None:
+        self.df, self.order = df, order
+        self._root: Range | None = None
 
     def page(self, limit: int, offset: int) -> DataFrame:
-        pieces, start = [], 0
-        for part, size in self._sizes:
-            first, last = max(offset - start, 0), min(offset + limit - start, size) - 1
-            if first <= last:
-                pieces.append((F.col(PART) == part) & F.col(ROW).between(first, last))
-            start += size
-        wanted = reduce(or_, pieces, F.lit(False))
-        return self._rows.filter(wanted).orderBy(PART, ROW).select(*self._columns)
+        limit, offset = max(1, int(limit)), max(0, int(offset))
+        start, lower, upper = 0, None, None
+        if offset > PASSED:
+            here = self._whole()
+            if offset >= here.size:
+                return self.df.limit(0)
+            stop = min(offset + limit, here.size)
+            while offset - here.start > PASSED and self._divided(here):
+                if stop <= here.start + here.size:  # else the page runs on, to the border found before
+                    upper = next(r for r in here.parts if stop <= r.start + r.size).upper
+                here = next(r for r in here.parts if offset < r.start + r.size)
+            start, lower = here.start, here.lower
+        columns = [k.column() for k in self.order]
+        rows = self.df.filter(self._within(lower, upper))
+        return rows.orderBy(*columns).offset(offset - start).limit(limit)
+
+    def _whole(self) -> Range:
+        if self._root is None:
+            self._root = Range(None, None, 0, self.df.count())
+        return self._root
+
+    def _divided(self, here: Range) -> bool:
+        """Counts the parts of a range; False where it does not divide."""
+        if here.parts is None:
+            rows = self.df.filter(self._within(here.lower, here.upper))
+            borders = self._borders(rows, here.size)
+            place = self._place(borders, 0, len(borders)).alias("place")
+            counts = {r.place: r["count"] for r in rows.groupBy(place).count().collect()}
+            here.parts, start = [], here.start
+            edges = [here.lower, *borders, here.upper]
+            for i, (lower, upper) in enumerate(zip(edges, edges[1:])):
+                size = counts.get(i, 0)
+                if size:
+                    here.parts.append(Range(lower, upper, start, size))
+                start += size
+        return len(here.parts) > 1
+
+    def _borders(self, rows: DataFrame, size: int) -> list[tuple]:
+        share = min(1.0, RANGES * LOOKED_AT / size)
+        types = {f.name: f.dataType for f in self.df.schema.fields}
+        sample = rows.sample(share, seed=7).orderBy(*[k.column() for k in self.order])
+        found = sample.select(*[_held(k.name, types[k.name]) for k in self.order]).collect()
+        step = max(1, len(found) // RANGES)
+        return list(dict.fromkeys(tuple(r) for r in found[step::step]))
+
+    def _place(self, borders: list[tuple], low: int, high: int) -> Column:
+        """How many of the borders a row is not before, by bisection."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        left, right = self._place(borders, low, middle), self._place(borders, middle + 1, high)
+        return F.when(self._from(borders[middle]), right).otherwise(left)
+
+    def _within(self, lower: tuple | None, upper: tuple | None) -> Column:
+        found = F.lit(True)
+        if lower is not None:
+            found = self._reaching(lower, after=True) & self._from(lower)
+        if upper is not None:
+            found = found & self._reaching(upper, after=False) & ~self._from(upper)
+        return found
+
+    def _reaching(self, border: tuple, after: bool) -> Column:
+        """What the first order column tells on its own: simple enough for the files' statistics."""
+        key, value = self.order[0], self._literal(self.order[0], border[0])
+        column = F.col(quoted(key.name))
+        if border[0] is None:
+            return F.lit(True)
+        if after != key.descending:
+            return column >= value
+        # the other side is where NULLs are
+        return column.isNull() | (column <= value)
+
+    def _from(self, border: tuple) -> Column:
+        """Whether a row is the border or comes after it.  Never NULL."""
+
+        def further(rest: Column | None, part: tuple[Key, object]) -> Column:
+            key, held = part
+            column, value = F.col(quoted(key.name)), self._literal(key, held)
+            if held is None:
+                # NULLs first: all values come after; NULLs last: nothing does
+                after = F.lit(False) if key.descending else column.isNotNull()
+                same = column.isNull()
+            else:
+                after = column.isNull() | (column < value) if key.descending else column > value
+                same = column == value
+            found = after | (same if rest is None else same & rest)
+            return F.coalesce(found, F.lit(False))
+
+        return reduce(further, list(zip(self.order, border))[::-1], None)
+
+    def _literal(self, key: Key, held: object) -> Column:
+        kind = self.df.schema[key.name].dataType
+        value = F.lit(held)
+        return F.timestamp_micros(value) if isinstance(kind, T.TimestampType) else value.cast(kind)
+
+
+def _held(name: str, kind: T.DataType) -> Column:
+    """A column in a form that comes to the driver and back as it was, whatever the time zones."""
+    column = F.col(quoted(name))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).alias(name)
+    return (column.cast("string") if isinstance(kind, T.TimestampNTZType) else column).alias(name)
+
+
+def page(df: DataFrame, limit: int, offset: int, *order: Key) -> DataFrame:
+    """Rows offset+1 .. offset+limit of a total order; see ``Pages``, which serves several."""
+    return Pages(df, *order).page(limit, offset)

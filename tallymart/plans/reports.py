@@ -18,7 +18,7 @@ from tallymart.functions import (
     two_day_bucket,
 )
 from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFilter
-from tallymart.operators.paging import page, top
+from tallymart.operators.paging import asc, desc, page, top
 from tallymart.plans.gold import Gold, GoldPlan
 
 Marts = Gold | GoldPlan
@@ -259,9 +259,9 @@ def sales_detail(
         rows,
         limit,
         offset,
-        F.desc_nulls_last("order_purchase_timestamp"),
+        desc("order_purchase_timestamp"),
         *[
-            F.asc_nulls_first(name)
+            asc(name)
             for name in (
                 "order_id",
                 "order_item_id",
@@ -358,12 +358,9 @@ def customer_detail(
         rows,
         limit,
         offset,
-        F.desc_nulls_last("total_spend"),
-        F.desc_nulls_last("total_orders"),
-        *[
-            F.asc_nulls_first(name)
-            for name in ("customer_unique_id", "customer_city", "customer_state")
-        ],
+        desc("total_spend"),
+        desc("total_orders"),
+        *[asc(name) for name in ("customer_unique_id", "customer_city", "customer_state")],
     )
 
 
