@@ -253,7 +253,7 @@ def with_ctes(body: str) -> str:
         needed |= todo
         todo = set().union(*(used(CTES[name]) for name in todo)) - needed
     definitions = ", ".join(f"{name} AS ({CTES[name]})" for name in CTES if name in needed)
-    return f"WITH {definitions} {body}"
+    return f"WITH {definitions} {body}" if definitions else body
 
 
 def _flag_counts(entity: str) -> str:
@@ -478,6 +478,29 @@ def entity_sql() -> dict[str, str]:
     found["source_csv_scan"] = """SELECT order_id, payment_sequential,
         NULLIF(payment_type, '') AS payment_type, payment_installments, payment_value
         FROM b_order_payments"""
+    found["source_ingest_audit"] = " UNION ALL ".join(
+        f"""SELECT 'olist_{entity}_dataset.csv' AS source_file, '{entity}' AS target_table,
+            COUNT(*) AS rows_read, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message,
+            TRUE AS stamped FROM b_{entity}"""
+        for entity in ("sellers", "products", "customers")
+    )
+    damaged = "(s_suppkey % 7 = 0 OR s_suppkey % 11 = 0 OR s_suppkey % 13 = 0)"
+    found["source_quarantine"] = f"""SELECT COUNT(*) AS rows_read,
+        COUNT(*) FILTER (WHERE NOT {damaged}) AS rows_loaded,
+        CAST(SUM(s_suppkey * 2) FILTER (WHERE NOT {damaged}) AS BIGINT) AS amount_loaded,
+        COUNT(*) FILTER (WHERE {damaged}) AS rows_quarantined,
+        MAX(CASE WHEN s_suppkey % 7 = 0 THEN concat('lost', s_suppkey)
+            WHEN s_suppkey % 11 = 0 THEN concat_ws(',', s_suppkey, 'name', s_suppkey, 'more')
+            WHEN s_suppkey % 13 = 0 THEN concat_ws(',', s_suppkey, 'name', 'many') END) AS last_record
+        FROM supplier"""
+    found["source_table_catalog"] = """
+        SELECT 'list' AS operator, 'nations plain' AS value
+        UNION ALL SELECT 'describe', 'n_name n_nationkey n_regionkey'
+        UNION ALL SELECT 'rows', CAST(COUNT(*) AS VARCHAR) FROM nation
+        UNION ALL SELECT 'preview', CAST(LEAST(COUNT(*), 10) AS VARCHAR) FROM nation
+        UNION ALL SELECT 'plain', CAST(COUNT(*) AS VARCHAR) FROM nation WHERE n_regionkey = 1
+        UNION ALL SELECT 'bound query', CAST(COUNT(*) AS VARCHAR) FROM nation WHERE n_nationkey >= 20
+        UNION ALL SELECT 'statistics', CAST(COUNT(*) AS VARCHAR) FROM nation"""
     return found
 
 
@@ -725,4 +748,6 @@ def report_sql() -> dict[str, str]:
 
 def all_sql() -> dict[str, str]:
     parts = {**profile_sql(), **integrity_sql(), **entity_sql(), **report_sql()}
+    for name in ("table_counts", "freshness", "null_counts"):
+        parts[f"layers_state_{name}"] = parts[f"report_gold_{name}"]
     return {name: with_ctes(body) for name, body in parts.items()}

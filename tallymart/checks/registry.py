@@ -13,13 +13,15 @@ from tallymart.operators import profile as pf
 from tallymart.operators import rules
 from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFilter
 from tallymart.plans import gold as marts
-from tallymart.plans import reports
+from tallymart.plans import reports, state
 from tallymart.plans.gold import GoldPlan
-from tallymart.plans.layers import verify_persisted
+from tallymart.plans.layers import LayerNames, build_layers, verify_persisted
 from tallymart.plans.silver import FLAGS, KEYS, SilverPlan
 from tallymart.session import shared_folder
 from tallymart.sources.adapters import BronzePlan
-from tallymart.sources.ingest import read_csv
+from tallymart.sources import tables
+from tallymart.sources.ingest import CORRUPT, QUARANTINE, IngestOptions, audit_log, ingest_paths, read_csv
+from tallymart.sources.versions import publish, published, rollback, write_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +80,93 @@ def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+#: Layers that were written for a session and a folder.
+_layers: dict[tuple[str, str], LayerNames] = {}
+
+
+def written(spark: SparkSession, folder: str) -> LayerNames:
+    """Silver and gold tables of a folder, written and verified once a session."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _layers:
+        mark = uuid.uuid4().hex[:8]
+        names = LayerNames(silver=f"checked_silver_{mark}", gold=f"checked_gold_{mark}")
+        build_layers(spark, BronzePlan(spark, folder), names)
+        _layers[key] = names
+    return _layers[key]
+
+
+INGESTED = ("sellers", "products", "customers")
+
+
+def ingest_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV files of three entities, ingested; what the audit log says of the run."""
+    mark = uuid.uuid4().hex[:8]
+    paths = []
+    for entity in INGESTED:
+        paths.append(f"{shared_folder(spark)}/{mark}/olist_{entity}_dataset.csv")
+        getattr(BronzePlan(spark, folder), entity).write.option("header", "true").csv(paths[-1])
+    options = IngestOptions(layer=f"checked_raw_{mark}")
+    ingest_paths(spark, paths, options, run_id=mark)
+    log = audit_log(spark, f"{options.layer}.{options.audit_table}").where(F.col("run_id") == mark)
+    table = F.substring_index("target_table", ".", -1).alias("target_table")
+    stamped = F.col("ingestion_timestamp").isNotNull().alias("stamped")
+    return log.select("source_file", table, "rows_read", "status", "error_message", stamped)
+
+
+# Lines of a file, of which some lack fields, have too many, or a word for a number.
+DAMAGED_LINES = """SELECT CASE WHEN s_suppkey % 7 = 0 THEN concat('lost', s_suppkey)
+    WHEN s_suppkey % 11 = 0 THEN concat_ws(',', s_suppkey, 'name', s_suppkey, 'more')
+    WHEN s_suppkey % 13 = 0 THEN concat_ws(',', s_suppkey, 'name', 'many')
+    ELSE concat_ws(',', s_suppkey, 'name', s_suppkey * 2) END AS value FROM {lines}"""
+
+
+def quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """A file with damaged lines, ingested: rows read, rows of the table and of its quarantine."""
+    mark = uuid.uuid4().hex[:8]
+    path = f"{shared_folder(spark)}/{mark}/lines.csv"
+    spark.sql(DAMAGED_LINES, lines=spark.read.parquet(f"{folder}/supplier.parquet")).write.text(path)
+    schema = "supplier long, name string, amount long"
+    options = IngestOptions(
+        layer=f"checked_raw_{mark}", reader={"header": "false"}, schemas={"lines": schema}, quarantine=True
+    )
+    ingest_paths(spark, [path], options)
+    log = spark.table(f"{options.layer}.{options.audit_table}")
+    loaded = spark.table(f"{options.layer}.lines").agg(
+        F.count(F.lit(1)).alias("rows_loaded"), F.sum("amount").alias("amount_loaded")
+    )
+    aside = spark.table(f"{options.layer}.lines{QUARANTINE}").agg(
+        F.count(F.col(CORRUPT)).alias("rows_quarantined"), F.max(CORRUPT).alias("last_record")
+    )
+    both = loaded.select(F.struct("*").alias("t"), aside.select(F.struct("*")).scalar().alias("q"))
+    return both.select(log.select("rows_read").scalar().alias("rows_read"), "t.*", "q.*")
+
+
+def table_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """What the operators on tables say of one that was written, changed and set back."""
+    layer = f"checked_tables_{uuid.uuid4().hex[:8]}"
+    nation = spark.read.parquet(f"{folder}/nation.parquet")
+    tables.create_layer(spark, layer)
+    publish(spark, write_version(nation, f"{layer}.nations"))
+    publish(spark, write_version(nation.select("n_name").limit(3), f"{layer}.nations"))
+    rollback(spark, f"{layer}.nations")
+    tables.write_table(nation.where("n_regionkey = 1"), f"{layer}.plain")
+    here = tables.read_table(spark, layer, "nations")
+    listed = tables.list_tables(spark, layer).agg(F.array_join(F.sort_array(F.collect_list("tableName")), " ").alias("value"))
+    described = tables.describe_table(spark, f"{layer}.nations").where("col_name LIKE 'n\\_%'")
+    listing = F.array_join(F.sort_array(F.collect_list("col_name")), " ").alias("value")
+    above = tables.query(spark, f"SELECT count(*) FROM {layer}.nations WHERE n_nationkey >= :least", least=20)
+    values = {
+        "list": tables.scalar(listed),
+        "describe": tables.scalar(described.agg(listing)),
+        "rows": here.count(),
+        "preview": pf.preview(here, 10).count(),
+        "plain": spark.table(f"{layer}.plain").count(),
+        "bound query": tables.scalar(above),
+        "statistics": published(spark, f"{layer}.nations").statistics.rows,
+    }
+    return spark.createDataFrame([(k, str(v)) for k, v in values.items()], "operator string, value string")
+
+
 DELIVERED = "order_status = 'delivered'"
 UNDELIVERED = "order_status <> 'delivered'"
 ITEM_SIGNS = {
@@ -346,8 +435,12 @@ def entity_queries() -> dict[str, Query]:
         )
     )
     for entity in KEYS:
-        found[f"layers_verify_{entity}"] = _silver(
-            lambda s, entity=entity: verify_persisted(getattr(s, entity), entity)
+        found[f"layers_verify_{entity}"] = lambda spark, folder, entity=entity: verify_persisted(
+            spark.table(f"{written(spark, folder).silver}.{entity}"), entity
+        )
+    for name in ("table_counts", "freshness", "null_counts"):
+        found[f"layers_state_{name}"] = lambda spark, folder, name=name: getattr(state, name)(
+            spark, written(spark, folder).gold
         )
     found["layers_grain_customers"] = _gold(
         lambda g: ig.grain_check(
@@ -363,6 +456,9 @@ def entity_queries() -> dict[str, Query]:
     found["gold_customers_by_person"] = _silver(lambda s: marts.customers(s, grain="person"))
     found["gold_deliveries"] = _gold(lambda g: g.deliveries)
     found["source_csv_scan"] = csv_scan
+    found["source_ingest_audit"] = ingest_audit
+    found["source_quarantine"] = quarantine
+    found["source_table_catalog"] = table_catalog
     return found
 
 

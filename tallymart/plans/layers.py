@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators.integrity import assert_row_parity, grain_check
-from tallymart.operators.rules import count_flags
 from tallymart.plans import gold as marts
 from tallymart.plans import silver as entities
 from tallymart.plans.gold import Gold
 from tallymart.plans.silver import FLAGS, KEYS, Silver
 from tallymart.sources.adapters import Bronze
-from tallymart.sources.tables import DEFAULT_FORMAT, clustered, create_layer, write_table
+from tallymart.sources.tables import DEFAULT_FORMAT, create_layer
+from tallymart.sources.versions import publish, write_version
 
 
 @dataclass(frozen=True)
@@ -51,64 +51,66 @@ class VerificationError(AssertionError):
 def write_verified(
     df: DataFrame,
     name: str,
-    fmt: str,
+    fmt: str = DEFAULT_FORMAT,
     flags: Iterable[str] = (),
     key: Iterable[str] = (),
-    source: DataFrame | None = None,
+    source: DataFrame | Observation | None = None,
     unique: bool = False,
     range_by: Iterable[str] = (),
+    replace_schema: bool = False,
 ) -> DataFrame:
-    """Write ``df`` beside the table ``name``, check what was written, then put it in its place.
+    """Write ``df`` as the next version of the table ``name``, check what was written, publish it.
 
-    Rows and flag counts seen while writing must be those of the written table; its rows
-    those of ``source``; and the key must be unique where that is promised.  On failure the
-    old table is as it was, and the new one stays as ``<name>__new`` to be looked at.
+    Rows and flag counts seen while writing must be those of the written version; its rows those
+    of ``source`` (a frame, or what was observed as ``source_rows`` by the job that writes); and the key
+    must be unique where that is promised.  On failure readers go on to see the version they saw, and the
+    new one stays unpublished, to be looked at.
     """
-    spark, aside = df.sparkSession, f"{name}__new"
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    # a range exchange reads its input twice, so rows are counted behind it
-    df = clustered(df, range_by)
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("total_rows"), *count_flags(flags))
-    table = write_table(counted, aside, fmt)
+    spark, flags = df.sparkSession, list(flags)
+    version = write_version(df, name, fmt, flags, range_by, replace_schema)
+    seen = {"total_rows": version.statistics.rows} | version.statistics.flags
+    table = spark.table(version.stored)
     found = grain_check(table, {"distinct_keys": key} if key else {}, flags).first().asDict()
-    wrong = {k: (v, found[k]) for k, v in seen.get.items() if found[k] != v}
-    if source is not None and not wrong:
+    wrong = {k: (v, found[k]) for k, v in seen.items() if found[k] != v}
+    if isinstance(source, Observation) and source.get["source_rows"] != found["total_rows"]:
+        wrong["source_rows"] = (source.get["source_rows"], found["total_rows"])
+    elif isinstance(source, DataFrame) and not wrong:
         assert_row_parity(source, table, name)
     if unique and found["distinct_keys"] != found["total_rows"]:
         wrong["distinct_keys"] = (found["total_rows"], found["distinct_keys"])
     if wrong:
         raise VerificationError(f"{name}: (expected, written) {wrong}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-    return spark.table(name)
+    return publish(spark, version)
 
 
 def build_silver(
     spark: SparkSession, bronze: Bronze, layer: str = "silver", fmt: str = DEFAULT_FORMAT
 ) -> Silver:
-    """Write the seven entities; orders come first, because three others look them up."""
-    create_layer(spark, layer)
+    """Write the seven entities; orders come first, because three others look them up.
 
-    def save(entity: str, df: DataFrame) -> DataFrame:
-        source = getattr(bronze, entity)
-        return write_verified(df, f"{layer}.{entity}", fmt, FLAGS[entity], KEYS[entity], source)
-
-    orders = save("orders", entities.orders(bronze.orders))
-    return Silver(
-        orders=orders,
-        order_items=save(
-            "order_items",
-            entities.order_items(bronze.order_items, orders, bronze.products, bronze.sellers),
-        ),
-        customers=save("customers", entities.customers(bronze.customers)),
-        products=save("products", entities.products(bronze.products)),
-        sellers=save("sellers", entities.sellers(bronze.sellers)),
-        order_payments=save(
-            "order_payments", entities.order_payments(bronze.order_payments, orders)
+    Each source is read once: its rows are counted by the job that writes the entity.
+    """
+    create_layer(spark, layer)
+    # orders, products and sellers are also read as parents of others, uncounted
+    builders = {
+        "orders": lambda rows, done: entities.orders(rows),
+        "order_items": lambda rows, done: entities.order_items(
+            rows, done["orders"], bronze.products, bronze.sellers
         ),
-        order_reviews=save("order_reviews", entities.order_reviews(bronze.order_reviews, orders)),
-    )
+        "customers": lambda rows, done: entities.customers(rows),
+        "products": lambda rows, done: entities.products(rows),
+        "sellers": lambda rows, done: entities.sellers(rows),
+        "order_payments": lambda rows, done: entities.order_payments(rows, done["orders"]),
+        "order_reviews": lambda rows, done: entities.order_reviews(rows, done["orders"]),
+    }
+    done: dict[str, DataFrame] = {}
+    for entity, build in builders.items():
+        counted = Observation()
+        rows = getattr(bronze, entity).observe(counted, F.count(F.lit(1)).alias("source_rows"))
+        done[entity] = write_verified(
+            build(rows, done), f"{layer}.{entity}", fmt, FLAGS[entity], KEYS[entity], counted
+        )
+    return Silver(**done)
 
 
 def build_gold(

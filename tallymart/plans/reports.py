@@ -510,15 +510,23 @@ def gold_table_counts(gold: Marts) -> DataFrame:
     return _labelled({name: df.agg(_rows("row_count")) for name, df in _marts(gold).items()})
 
 
+# The column that tells how new a mart is, and the fields whose NULLs are watched.
+NEWEST = {
+    "sales": "order_purchase_timestamp",
+    "customers": "last_order_date",
+    "deliveries": "order_purchase_timestamp",
+}
+WATCHED = {
+    "sales": ["product_category_name", "seller_state"],
+    "customers": ["customer_state", "first_order_date", "average_review_score"],
+    "deliveries": ["order_delivered_customer_date", "order_estimated_delivery_date", "days_late"],
+}
+
+
 def gold_freshness(gold: Marts) -> DataFrame:
-    newest = {
-        "sales": "order_purchase_timestamp",
-        "customers": "last_order_date",
-        "deliveries": "order_purchase_timestamp",
-    }
     return _labelled(
         {
-            name: df.agg(F.max(newest[name]).alias("latest_business_timestamp"))
+            name: df.agg(F.max(NEWEST[name]).alias("latest_business_timestamp"))
             for name, df in _marts(gold).items()
         }
     )
@@ -526,18 +534,9 @@ def gold_freshness(gold: Marts) -> DataFrame:
 
 def gold_null_counts(gold: Marts) -> DataFrame:
     """NULLs of the watched fields: one aggregate per mart, then turned into long form."""
-    watched = {
-        "sales": ["product_category_name", "seller_state"],
-        "customers": ["customer_state", "first_order_date", "average_review_score"],
-        "deliveries": [
-            "order_delivered_customer_date",
-            "order_estimated_delivery_date",
-            "days_late",
-        ],
-    }
     long = {
-        name: df.agg(*[_ones(F.col(c).isNull()).alias(c) for c in watched[name]]).unpivot(
-            [], watched[name], "field_name", "null_count"
+        name: df.agg(*[_ones(F.col(c).isNull()).alias(c) for c in WATCHED[name]]).unpivot(
+            [], WATCHED[name], "field_name", "null_count"
         )
         for name, df in _marts(gold).items()
     }

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.operators.rules import quoted
 from tallymart.sources.tables import DEFAULT_FORMAT, create_layer, newest_first
+from tallymart.sources.versions import publish, write_version
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 
@@ -27,6 +30,11 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 
+# Column that holds the text of a record which does not fit the schema.
+CORRUPT = "_corrupt_record"
+# What the name of a table's quarantine has behind the table's own.
+QUARANTINE = "__quarantine"
+
 # Records with quoted line breaks survive with these reader options; the default
 # read keeps the source's one-line-one-record behaviour.
 MULTILINE = {"multiLine": "true", "escape": '"'}
@@ -52,6 +60,11 @@ class IngestOptions:
     reader: dict[str, str] = field(default_factory=dict)
     # Explicit schema per table name; saves the inference pass over the file.
     schemas: dict[str, T.StructType | str] = field(default_factory=dict)
+    # Records that do not fit the schema go to ``<table>__quarantine``; else they stay, with NULLs
+    # for what could not be read, as the source pipeline has it.
+    quarantine: bool = False
+    # Each load may change the schema of its table, as the source pipeline has it.
+    replace_schema: bool = True
 
 
 @dataclass(frozen=True)
@@ -62,17 +75,21 @@ class IngestResult:
     rows_read: int
     status: str
     error_message: str | None = None
+    rows_quarantined: int = 0
+
+    @property
+    def rows_loaded(self) -> int:
+        return self.rows_read - self.rows_quarantined
 
 
 def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the ``*.csv`` files of a folder on any Hadoop file system, empty files included."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return sorted(
-        file.getPath().toString()
-        for file in files
-        if file.isFile() and file.getPath().getName().endswith(".csv")
-    )
+    """Paths of the ``*.csv`` files of a folder on any file system, empty files included.
+
+    The files are those that a data source would read; nothing of their content is.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    # the scan itself would leave empty files out, and its names are escaped
+    return sorted(unquote(path) for path in files.inputFiles())
 
 
 def table_name(file_name: str, prefix: str = FILE_PREFIX, suffix: str = FILE_SUFFIX) -> str:
@@ -92,6 +109,20 @@ def read_csv(
     return reader.option("inferSchema", "true").csv(path)
 
 
+def with_corrupt_column(
+    spark: SparkSession,
+    path: str,
+    options: dict[str, str] | None = None,
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """The rows of ``read_csv`` and, beside them, the text of each record that does not fit its schema
+    (wrong number of fields, a value of another type); NULL for those that do."""
+    kind = read_csv(spark, path, options, schema).schema
+    whole = T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
+    held = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return read_csv(spark, path, {**(options or {}), **held}, whole)
+
+
 def create_audit_table(spark: SparkSession, name: str, fmt: str = DEFAULT_FORMAT) -> None:
     columns = ", ".join(
         f"{c} {t}"
@@ -135,16 +166,39 @@ def audit_log(spark: SparkSession, name: str) -> DataFrame:
 def ingest_file(
     spark: SparkSession, path: str, options: IngestOptions, run_id: str
 ) -> IngestResult:
-    """Load one file into its table.  The row count is observed while the table is written."""
-    file_name = path.rsplit("/", 1)[-1]
+    """Load one file as the next version of its table, and show it once all of it is written.
+
+    The rows are counted while they are written; ``rows_read`` counts those in quarantine too.
+    """
+    file_name = path.rstrip("/").rsplit("/", 1)[-1]
     short = table_name(file_name, options.prefix, options.suffix)
     target = f"{options.layer}.{short}"
+    reader, schema = options.reader, options.schemas.get(short)
+
+    def write(df: DataFrame, name: str):
+        return write_version(df, name, options.fmt, replace_schema=options.replace_schema)
+
     try:
-        rows = Observation()
-        df = read_csv(spark, path, options.reader, options.schemas.get(short))
-        df = df.observe(rows, F.count(F.lit(1)).alias("rows_read"))
-        df.write.format(options.fmt).mode("overwrite").saveAsTable(target)
-        return IngestResult(run_id, file_name, target, rows.get["rows_read"], SUCCESS)
+        if not options.quarantine:
+            version = write(read_csv(spark, path, reader, schema), target)
+            publish(spark, version)
+            return IngestResult(run_id, file_name, target, version.statistics.rows, SUCCESS)
+        records = with_corrupt_column(spark, path, reader, schema)
+        damaged = F.col(quoted(CORRUPT)).isNotNull()
+        seen = Observation()
+        counted = records.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(damaged).alias("damaged"))
+        version = write(counted.filter(~damaged).drop(CORRUPT), target)
+        # the damaged records of this file, none too, so that the table tells of the last load
+        aside = records.filter(damaged).withColumns({"run_id": F.lit(run_id), "source_file": F.lit(file_name)})
+        apart = write(aside, target + QUARANTINE)
+        rows, bad = seen.get["rows"], seen.get["damaged"]
+        if (version.statistics.rows, apart.statistics.rows) != (rows - bad, bad):
+            written = f"{version.statistics.rows} + {apart.statistics.rows}"
+            raise ValueError(f"{rows} records read, {bad} of them damaged, but {written} written")
+        publish(spark, apart)
+        publish(spark, version)
+        note = f"{bad} of {rows} records are in {target}{QUARANTINE}" if bad else None
+        return IngestResult(run_id, file_name, target, rows, SUCCESS, note, bad)
     except Exception as error:  # one bad file must not stop the others
         return IngestResult(run_id, file_name, target, 0, FAILED, str(error))
 
@@ -156,6 +210,16 @@ def ingest_folder(
     run_id: str | None = None,
 ) -> list[IngestResult]:
     """Load every CSV file of a folder; a failing file is recorded and the run goes on."""
+    return ingest_paths(spark, lambda: list_csv_files(spark, folder), options, run_id)
+
+
+def ingest_paths(
+    spark: SparkSession,
+    paths: Iterable[str] | Callable[[], Iterable[str]],
+    options: IngestOptions | None = None,
+    run_id: str | None = None,
+) -> list[IngestResult]:
+    """As ``ingest_folder``, for files (or folders of part files) that are known or listed by a function."""
     options = options or IngestOptions()
     run_id = run_id or str(uuid.uuid4())
     audit = f"{options.layer}.{options.audit_table}"
@@ -163,8 +227,8 @@ def ingest_folder(
     create_audit_table(spark, audit, options.fmt)
     results: list[IngestResult] = []
     try:
+        paths = paths() if callable(paths) else paths
         with ThreadPoolExecutor(FILES_AT_ONCE) as pool:  # the jobs run in Spark
-            paths = list_csv_files(spark, folder)
             results.extend(pool.map(lambda path: ingest_file(spark, path, options, run_id), paths))
     finally:
         write_audit(spark, audit, results, options.fmt)

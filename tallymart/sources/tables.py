@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_FORMAT = "parquet"
+# What the name of a version of a table has behind the table's own (see ``versions``).
+VERSION_NAME = r"__v([0-9]{6,})_[0-9a-f]{8}"
 # Formats that can replace the schema of an existing table in place.
 SCHEMA_REPLACING = {"delta"}
 
@@ -47,8 +49,10 @@ def write_table(
     return df.sparkSession.table(name)
 
 
-def list_tables(spark: SparkSession, layer: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {layer}")
+def list_tables(spark: SparkSession, layer: str, versions: bool = False) -> DataFrame:
+    """Tables of a layer; their stored versions too where asked for."""
+    found = spark.sql(f"SHOW TABLES IN {layer}")
+    return found if versions else found.filter(~F.col("tableName").rlike(VERSION_NAME + "$"))
 
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:

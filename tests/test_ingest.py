@@ -6,6 +6,7 @@ from tallymart.sources.ingest import (
     FAILED,
     MULTILINE,
     SUCCESS,
+    CORRUPT,
     IngestOptions,
     audit_log,
     create_audit_table,
@@ -95,6 +96,71 @@ def test_explicit_schema_and_reader_options(spark, folder):
     assert spark.table("raw2.reviews").count() == 2
 
 
+DAMAGED = 'id,qty,price\n1,2,3.5\n2,x,4.5\n3,1\n4,5,6.5,7\n"5",6,7.5\n'
+
+
+@pytest.fixture()
+def damaged(tmp_path):
+    (tmp_path / "olist_lines_dataset.csv").write_text(DAMAGED)
+    (tmp_path / "whole.csv").write_text("id,qty,price\n1,2,3.5\n")
+    (tmp_path / "empty.csv").write_text("")
+    return str(tmp_path)
+
+
+SCHEMA = "id int, qty int, price double"
+
+
+def test_damaged_records_go_to_quarantine(spark, damaged):
+    options = IngestOptions(layer="raw4", quarantine=True, schemas={"lines": SCHEMA, "whole": SCHEMA})
+    found = {r.source_file: r for r in ingest_folder(spark, damaged, options, run_id="run-4")}
+    lines, whole = found["olist_lines_dataset.csv"], found["whole.csv"]
+    assert (lines.status, lines.rows_read, lines.rows_loaded, lines.rows_quarantined) == (SUCCESS, 5, 2, 3)
+    assert (whole.status, whole.rows_read, whole.rows_quarantined, whole.error_message) == (SUCCESS, 1, 0, None)
+    assert found["empty.csv"].status == FAILED
+    assert [tuple(r) for r in spark.table("raw4.lines").orderBy("id").collect()] == [(1, 2, 3.5), (5, 6, 7.5)]
+    aside = spark.table("raw4.lines__quarantine").orderBy("id").collect()
+    assert [r[CORRUPT] for r in aside] == ["2,x,4.5", "3,1", "4,5,6.5,7"]
+    assert {(r.run_id, r.source_file) for r in aside} == {("run-4", "olist_lines_dataset.csv")}
+    assert spark.table("raw4.whole__quarantine").count() == 0
+    note = audit_log(spark, "raw4.ingestion_audit").filter("source_file LIKE '%lines%'").first()
+    assert note["rows_read"] == 5 and "3 of 5" in note["error_message"]
+
+    # by default they stay, with NULLs for what could not be read
+    kept = ingest_folder(spark, damaged, IngestOptions(layer="raw5", schemas={"lines": SCHEMA}))
+    assert {r.source_file: r.rows_read for r in kept}["olist_lines_dataset.csv"] == 5
+    assert spark.table("raw5.lines").filter("price IS NULL OR qty IS NULL").count() == 2
+
+
+def test_quarantine_with_inferred_types(spark, damaged):
+    found = ingest_folder(spark, damaged, IngestOptions(layer="raw6", quarantine=True))
+    lines = next(r for r in found if "lines" in r.source_file)
+    # a column with a word in it is text, so only the number of fields tells
+    assert (lines.rows_read, lines.rows_loaded, lines.rows_quarantined) == (5, 3, 2)
+
+
+def test_a_failing_load_keeps_the_table(spark, damaged):
+    options = IngestOptions(layer="raw7", replace_schema=False)
+    ingest_folder(spark, damaged, options)
+    assert spark.table("raw7.whole").count() == 1
+    with open(f"{damaged}/whole.csv", "w") as file:
+        file.write("id,qty,price\n1,2,many\n3,4,few\n")
+    again = {r.source_file: r for r in ingest_folder(spark, damaged, options)}["whole.csv"]
+    assert again.status == FAILED and "incompatible price" in again.error_message
+    assert [tuple(r) for r in spark.table("raw7.whole").collect()] == [(1, 2, 3.5)]
+    replaced = ingest_folder(spark, damaged, IngestOptions(layer="raw7"))
+    assert {r.source_file: r.status for r in replaced}["whole.csv"] == SUCCESS
+    assert dict(spark.table("raw7.whole").dtypes)["price"] == "string"
+
+
+def test_listing_uses_no_private_handles(spark, damaged):
+    import inspect
+
+    from tallymart.sources import ingest
+
+    assert "_jvm" not in inspect.getsource(ingest) and "_jsc" not in inspect.getsource(ingest)
+    assert len(list_csv_files(spark, damaged)) == 3
+
+
 def test_header_only_and_ambiguous_files(spark, tmp_path):
     (tmp_path / "nothing_yet.csv").write_text("a,b\n")
     (tmp_path / "twice.csv").write_text("a,a\n1,2\n")
