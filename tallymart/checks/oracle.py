@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from tallymart.plans.silver import KEYS, ORDER_STATUSES, PAYMENT_TYPES
+from tallymart.plans.sql_reports import REPORTS
 from tallymart.sources.adapters import ADAPTERS, adapter_sql
 
 STATES = (
@@ -748,6 +749,12 @@ def report_sql() -> dict[str, str]:
 
 def all_sql() -> dict[str, str]:
     parts = {**profile_sql(), **integrity_sql(), **entity_sql(), **report_sql()}
+    # the reports that are table functions too; all sellers instead of the first ten
+    for name in REPORTS:
+        for suffix in ("", "_filtered"):
+            of = "sales_top_sellers" if name == "sales_by_seller" else name
+            text = parts[f"report_{of}{suffix}"]
+            parts[f"sql_{name}{suffix}"] = re.sub(r"\s+LIMIT \d+\s*$", "", text)
     for name in ("table_counts", "freshness", "null_counts"):
         parts[f"layers_state_{name}"] = parts[f"report_gold_{name}"]
     return {name: with_ctes(body) for name, body in parts.items()}

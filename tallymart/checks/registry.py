@@ -13,7 +13,7 @@ from tallymart.operators import profile as pf
 from tallymart.operators import rules
 from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFilter
 from tallymart.plans import gold as marts
-from tallymart.plans import reports, state
+from tallymart.plans import reports, sql_reports, state
 from tallymart.plans.gold import GoldPlan
 from tallymart.plans.layers import LayerNames, build_layers, verify_persisted
 from tallymart.plans.silver import FLAGS, KEYS, SilverPlan
@@ -167,6 +167,23 @@ def table_catalog(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(k, str(v)) for k, v in values.items()], "operator string, value string")
 
 
+# Calls of table functions with the values of the filters above.
+SALES_CALL = """(start_date => DATE'1996-01-01', end_date => DATE'1999-06-30',
+    order_statuses => array('delivered', ' shipped ', NULL, ''), seller_states => array('SP', 'PR'),
+    product_categories => array('promo', 'economy', 'standard'))"""
+CUSTOMER_CALL = "(array('SP', 'RJ'), 100000, minimum_total_orders => 3)"
+DELIVERY_CALL = "(DATE'1996-03-01', DATE'1998-09-15', array('delivered'))"
+
+
+def table_function(name: str, call: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        layer = written(spark, folder).gold
+        sql_reports.register(spark, layer, prefix=f"{layer}_")
+        return spark.sql(f"SELECT * FROM {layer}_{name}{call}")
+
+    return run
+
+
 DELIVERED = "order_status = 'delivered'"
 UNDELIVERED = "order_status <> 'delivered'"
 ITEM_SIGNS = {
@@ -516,6 +533,10 @@ def report_queries() -> dict[str, Query]:
     found["report_sales_uncategorized_contradiction"] = _gold(
         reports.sales_uncategorized_summary, SALES_FILTER
     )
+    calls = {"sales": SALES_CALL, "customers": CUSTOMER_CALL, "deliveries": DELIVERY_CALL}
+    for name, report in sql_reports.REPORTS.items():
+        found[f"sql_{name}"] = table_function(name, "()")
+        found[f"sql_{name}_filtered"] = table_function(name, calls[report.mart])
     found["report_delivery_band_labels"] = _gold(
         lambda g: reports.delivery_band_labels(reports.delivery_time_distribution(g))
     )

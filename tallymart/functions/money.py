@@ -42,7 +42,8 @@ def _beyond(name: str) -> str:
     return f"CASE WHEN {_counted(name)} THEN 0D ELSE {name} END"
 
 
-def _sum_text(*names: str) -> str:
+def sum_text(*names: str) -> str:
+    """``exact_sum`` as SQL."""
     upper = " + ".join(f"CAST(try_sum(shiftright({_whole(n)}, 26)) AS DECIMAL(20, 0))" for n in names)
     lower = " + ".join(f"CAST(try_sum(({_whole(n)}) & {HALF - 1}L) AS DECIMAL(20, 0))" for n in names)
     beyond = " + ".join(f"sum({_beyond(n)})" for n in names)
@@ -54,12 +55,12 @@ def _sum_text(*names: str) -> str:
 
 def exact_sum(*names: str) -> Column:
     """Sum of one DOUBLE money column, or of several added up; NULL if one of them has no value."""
-    return F.expr(_sum_text(*names))
+    return F.expr(sum_text(*names))
 
 
 def exact_avg(name: str) -> Column:
     """Mean of a DOUBLE money column over its non-NULL values."""
-    return F.expr(f"try_divide({_sum_text(name)}, count({name}))")
+    return F.expr(f"try_divide({sum_text(name)}, count({name}))")
 
 
 def rounded_ratio(amount: Column, n: Column, digits: int = 2) -> Column:
