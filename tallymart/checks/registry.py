@@ -18,7 +18,7 @@ from tallymart.plans.gold import GoldPlan
 from tallymart.plans.layers import LayerNames, build_layers, verify_persisted
 from tallymart.plans.silver import FLAGS, KEYS, SilverPlan
 from tallymart.session import shared_folder
-from tallymart.sources.adapters import BronzePlan
+from tallymart.sources.adapters import Bronze, BronzePlan, bronze_from_layer
 from tallymart.sources import tables
 from tallymart.sources.ingest import CORRUPT, QUARANTINE, IngestOptions, audit_log, ingest_paths, read_csv
 from tallymart.sources.versions import publish, published, rollback, write_version
@@ -48,17 +48,26 @@ DELIVERY_FILTER = DeliveryFilter(
 )
 
 
-def _bronze(query: Callable[[BronzePlan], DataFrame]) -> Query:
-    return lambda spark, folder: query(BronzePlan(spark, folder))
+#: Layers of bronze tables that stand for a folder: queries read them instead of its raw tables.
+BRONZE_LAYERS: dict[str, str] = {}
+
+
+def bronze_of(spark: SparkSession, folder: str) -> Bronze | BronzePlan:
+    layer = BRONZE_LAYERS.get(folder)
+    return bronze_from_layer(spark, layer) if layer else BronzePlan(spark, folder)
+
+
+def _bronze(query: Callable[[Bronze], DataFrame]) -> Query:
+    return lambda spark, folder: query(bronze_of(spark, folder))
 
 
 def _silver(query: Callable[[SilverPlan], DataFrame]) -> Query:
-    return lambda spark, folder: query(SilverPlan(BronzePlan(spark, folder)))
+    return lambda spark, folder: query(SilverPlan(bronze_of(spark, folder)))
 
 
 def _both(query: Callable[[BronzePlan, SilverPlan], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        bronze = BronzePlan(spark, folder)
+        bronze = bronze_of(spark, folder)
         return query(bronze, SilverPlan(bronze))
 
     return run
@@ -66,7 +75,7 @@ def _both(query: Callable[[BronzePlan, SilverPlan], DataFrame]) -> Query:
 
 def _gold(query: Callable[..., DataFrame], *args, **options) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        gold = GoldPlan(SilverPlan(BronzePlan(spark, folder)))
+        gold = GoldPlan(SilverPlan(bronze_of(spark, folder)))
         return query(gold, *args, **options)
 
     return run

@@ -6,12 +6,14 @@ costs at most a part of one table, and no plan carries the lineage of a whole la
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.operators.curve import Curve, along
 from tallymart.operators.integrity import assert_row_parity, grain_check
 from tallymart.plans import gold as marts
 from tallymart.plans import silver as entities
@@ -29,12 +31,18 @@ class LayerNames:
     gold: str = "gold"
 
 
-# Columns by whose range the marts are clustered unless ``cluster=False``: date filters then
-# skip files.  Each ends with the key, so that one busy moment still spreads over many tasks.
+# Curves along which the marts are clustered unless ``cluster=False``: filters on any of the
+# columns, alone or together, then skip files.  Each ends with the key, so that one busy place
+# still spreads over many tasks.
 CLUSTER_BY = {
-    "sales": ["order_purchase_timestamp", "order_id", "order_item_id", "product_id", "seller_id"],
-    "customers": ["customer_state", "customer_unique_id", "customer_city"],
-    "deliveries": ["order_purchase_timestamp", "order_id"],
+    "sales": Curve(
+        ("order_purchase_timestamp", "seller_state", "product_category_name"),
+        ("order_id", "order_item_id", "product_id", "seller_id"),
+    ),
+    "customers": Curve(
+        ("customer_state", "total_spend", "total_orders"), ("customer_unique_id", "customer_city")
+    ),
+    "deliveries": Curve(("order_purchase_timestamp", "order_status"), ("order_id",)),
 }
 
 
@@ -56,18 +64,29 @@ def write_verified(
     key: Iterable[str] = (),
     source: DataFrame | Observation | None = None,
     unique: bool = False,
-    range_by: Iterable[str] = (),
+    curve: Curve | None = None,
     replace_schema: bool = False,
 ) -> DataFrame:
     """Write ``df`` as the next version of the table ``name``, check what was written, publish it.
 
+    With a ``curve`` the rows are stored once as they come, then dealt out along it, so that what
+    ``df`` stands for (joins, aggregates) is computed once.
+
     Rows and flag counts seen while writing must be those of the written version; its rows those
     of ``source`` (a frame, or what was observed as ``source_rows`` by the job that writes); and the key
     must be unique where that is promised.  On failure readers go on to see the version they saw, and the
     new one stays unpublished, to be looked at.
     """
     spark, flags = df.sparkSession, list(flags)
-    version = write_version(df, name, fmt, flags, range_by, replace_schema)
+    aside = f"{name}__staged_{uuid.uuid4().hex[:8]}"
+    try:
+        if curve is not None:
+            df.write.format(fmt).saveAsTable(aside)
+            df = along(spark.table(aside), curve)
+        version = write_version(df, name, fmt, flags, replace_schema=replace_schema)
+    finally:
+        if curve is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {aside}")
     seen = {"total_rows": version.statistics.rows} | version.statistics.flags
     table = spark.table(version.stored)
     found = grain_check(table, {"distinct_keys": key} if key else {}, flags).first().asDict()
@@ -124,8 +143,7 @@ def build_gold(
     create_layer(spark, layer)
 
     def save(mart: str, df: DataFrame, **checks) -> DataFrame:
-        order = CLUSTER_BY[mart] if cluster else ()
-        return write_verified(df, f"{layer}.{mart}", fmt, range_by=order, **checks)
+        return write_verified(df, f"{layer}.{mart}", fmt, curve=CLUSTER_BY[mart] if cluster else None, **checks)
 
     return Gold(
         sales=save("sales", marts.sales(silver)),
