@@ -14,14 +14,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.llm.shared import fold, sample
 
 SLOTS = 1 << 15
-#: Bound on the training sample: rows expected, and characters of each (training only).
-TRAIN_ROWS, TRAIN_CHARACTERS = 4000, 3000
+#: Bound on the training sample (training only): rows expected, and characters of each, taken in
+#: so many stretches evenly from the whole text.
+TRAIN_ROWS, TRAIN_CHARACTERS, STRETCHES = 4000, 3000, 10
 EPOCHS, ALPHA, BETA, L1, L2 = 2, 0.5, 1.0, 0.02, 0.01
 UNKNOWN = "und"
 _tables: list[np.ndarray] = []
@@ -167,9 +168,17 @@ def inverse_frequencies(rows: DataFrame) -> np.ndarray:
     return np.log((1 + total[-1]) / (1 + total[:-1])) + 1
 
 
+def stretches(text: Column) -> Column:
+    """A text of up to ``TRAIN_CHARACTERS``; of a longer one as many, evenly from its beginning to its end."""
+    width = TRAIN_CHARACTERS // STRETCHES
+    begin = lambda i: F.floor(i * (F.length(text) - width) / (STRETCHES - 1)).cast("int") + 1
+    parts = [F.substring(text, begin(F.lit(i)), F.lit(width)) for i in range(STRETCHES)]
+    return F.when(F.length(text) <= TRAIN_CHARACTERS, text).otherwise(F.concat_ws(" ", *parts))
+
+
 def fit(docs: DataFrame) -> Model:
     rows = learning_rows(docs)
-    taken = sample(rows.select("doc_id", "text", "lang"), TRAIN_ROWS, TRAIN_CHARACTERS)
+    taken = sample(rows.select("doc_id", stretches(F.col("text")).alias("text"), "lang"), TRAIN_ROWS)
     return train([(r.text, r.lang) for r in taken], inverse_frequencies(rows))
 
 

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.shared import fold, labelled, sample, stage
 from tallymart.llm.words import Block, blocks
+from tallymart.operators.quantiles import order_statistics
 
-#: Bounds on the training sample: rows expected, characters of each, preference pairs.
-TRAIN_ROWS, TRAIN_CHARACTERS, PAIRS = 6000, 20_000, 60_000
+#: Bounds on the training sample: rows expected (whole texts), preference pairs.
+TRAIN_ROWS, PAIRS = 6000, 60_000
 STEPS, RATE, RIDGE = 400, 0.05, 1e-4
 THRESHOLD = 0.3
 _kind = np.zeros((8, 256), np.float32)
@@ -125,7 +126,7 @@ def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFram
     Null texts count as empty; empty ones have features of their own.  Rows of equal text
     have equal scores; repeated rows stay; an empty table gives none.
     """
-    taken = sample(labelled(docs, labels, "quality", 5), TRAIN_ROWS, TRAIN_CHARACTERS)
+    taken = sample(labelled(docs, labels, "quality", 5), TRAIN_ROWS)
     weights, centre, quantile, slope = train([(r.text, r.y) for r in taken])
 
     def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +140,8 @@ def quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFram
     found = stage(
         docs.select("doc_id", "text").mapInArrow(strengths, "doc_id long, strength double"), "strengths"
     )
-    cut = found.agg(F.percentile_approx("strength", quantile, 100_000)).first()[0] or 0.0
+    # exact, so that the same rows fall on the same side however they are dealt out
+    cut = order_statistics(found, ["strength"], [quantile])["strength"].quantiles[quantile] or 0.0
     if quantile >= 1:
         cut = float(np.nextafter(cut, np.inf))
     base = float(np.log(THRESHOLD / (1 - THRESHOLD)))

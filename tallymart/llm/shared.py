@@ -5,10 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 from shutil import make_archive, rmtree
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,19 +52,18 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int) -> Da
     )
 
 
-def sample(df: DataFrame, rows: int, characters: int) -> list:
-    """About ``rows`` rows (all if there are fewer), chosen by a hash of id and text; the text
-    of each is cut to ``characters``.  For training only: the bounds are the callers' documented
-    parameters.  The same rows come at every parallelism, in the order of that hash."""
+def sample(df: DataFrame, rows: int) -> Iterator[Row]:
+    """About ``rows`` rows (all if there are fewer), chosen by a hash of id and text; texts are whole.
+
+    For training only: the bound is the callers' documented parameter.  Repeated rows count once, so
+    that one row repeated very often cannot fill the driver.  The same rows come at every
+    parallelism, in the order of that hash, one partition at a time.
+    """
     n = df.select("doc_id").count()
     part = min(1.0, rows / max(n, 1))
     mark = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    return (
-        df.where(mark < int(part * (1 << 30)))
-        .withColumn("text", F.substring("text", 1, characters))
-        .orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-        .collect()
-    )
+    taken = df.where(mark < int(part * (1 << 30))).distinct()
+    return taken.orderBy(F.xxhash64("doc_id", "text"), *[F.col(c) for c in sorted(df.columns)]).toLocalIterator()
 
 
 _shipped: set[str] = set()

@@ -14,7 +14,8 @@ products with the gates' matrices are computed once, then gathered per position.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -26,8 +27,10 @@ from tallymart.llm.shared import fold, labelled, sample
 
 #: Words of a window and the step between windows.
 WINDOW, STEP = 32, 24
-#: Bound on the training sample: documents, and characters of each (training only).
-TRAIN_ROWS, TRAIN_CHARACTERS = 4000, 20_000
+#: Bound on the training sample: documents, whole (training only).
+TRAIN_ROWS = 4000
+#: Words of the sample that are scored at a time while training.
+HELD = 60_000
 WORDS, GRAMS, INPUT, HIDDEN = 1 << 14, 1 << 12, 12, 8
 EPOCHS, BATCH, RATE = 6, 32, 0.02
 #: Documents by which a word's class odds are drawn to the overall ones, so that a word met
@@ -45,11 +48,46 @@ def tokens(text: str | None) -> list[str]:
 
 def features(word: str) -> tuple[int, list[int]]:
     """Slots of the word and of its character trigrams."""
-    w = f"<{word[:40]}>"
+    w = f"<{word}>"
     grams = [crc32(w[i : i + 3].encode()) % GRAMS for i in range(len(w) - 2)]
     return crc32(word.encode()) % WORDS, grams
 
 
+class Slots:
+    """Slots of many words and their trigrams, in flat arrays."""
+
+    def __init__(self, word: np.ndarray, grams: np.ndarray, edges: np.ndarray):
+        self.word, self.grams, self.edges = word, grams, edges
+
+    def __len__(self) -> int:
+        return len(self.word)
+
+    @classmethod
+    def of(cls, words: Iterable[str]) -> Slots:
+        word, grams, edges = array("i"), array("H"), array("q", [0])
+        for w in words:
+            slot, mine = features(w)
+            word.append(slot)
+            grams.extend(mine)
+            edges.append(len(grams))
+        return cls(*(np.frombuffer(x, x.typecode) if len(x) else np.zeros(0, x.typecode) for x in (word, grams, edges)))
+
+    def take(self, at: np.ndarray) -> Slots:
+        sizes = self.edges[at + 1] - self.edges[at]
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        grams = np.repeat(self.edges[at] - edges[:-1], sizes) + np.arange(edges[-1])
+        return Slots(self.word[at], self.grams[grams], edges)
+
+
+def window_places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, start and size of every window of texts of these lengths; see ``windows``."""
+    over = np.maximum(lengths - WINDOW, 0)
+    count = -(-over // STEP) + 1
+    bag = np.repeat(np.arange(len(lengths)), count)
+    place = np.arange(len(bag)) - np.repeat(np.cumsum(count) - count, count)
+    return bag, np.minimum(place * STEP, over[bag]), np.minimum(lengths, WINDOW)[bag]
+
+
 def windows(n: int) -> list[tuple[int, int]]:
     """Overlapping windows that cover n words; one, maybe empty, for a short text."""
     if n <= WINDOW:
@@ -85,17 +123,16 @@ class Network:
             "o": np.array([-1.0], np.float32),
         }
 
-    def inputs(self, slots: list[tuple[int, list[int]]]) -> np.ndarray:
-        word = np.fromiter((s for s, _ in slots), np.int64, len(slots))
-        sizes = np.fromiter((len(g) for _, g in slots), np.int64, len(slots))
-        grams = np.fromiter((x for _, g in slots for x in g), np.int64, int(sizes.sum()))
-        at = np.repeat(np.arange(len(slots)), sizes)
+    def inputs(self, slots: Slots) -> np.ndarray:
+        """A row per word."""
+        sizes = np.diff(slots.edges)
         total = np.zeros((len(slots), INPUT), np.float32)
-        if len(grams):
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            total = np.add.reduceat(self.p["gram"][grams], starts, axis=0)
-        self.looked = word, grams, at, sizes
-        return self.p["word"][word] + total / np.maximum(sizes, 1)[:, None].astype(np.float32)
+        if len(slots.grams):
+            # each word has a trigram, as its ends are marked, but words of no text may have none
+            some = np.flatnonzero(sizes)
+            total[some] = np.add.reduceat(self.p["gram"][slots.grams], slots.edges[:-1][some], axis=0)
+        self.looked = slots.word, slots.grams, np.repeat(np.arange(len(slots)), sizes), sizes
+        return self.p["word"][slots.word] + total / np.maximum(sizes, 1)[:, None].astype(np.float32)
 
     def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: bool):
         """x: (time, batch, 3 hidden) gate inputs.  Padding leaves the state as it is."""
@@ -198,7 +235,7 @@ class Reader:
         new = list(self.rows)[self.known :]
         if not new:
             return
-        gates = self.net.gates(self.net.inputs([features(w) for w in new]))
+        gates = self.net.gates(self.net.inputs(Slots.of(new)))
         for d, g in zip("fb", gates, strict=True):
             if self.table[d].shape[1] < len(self.rows):
                 grown = np.zeros((3 * HIDDEN, 2 * len(self.rows)), np.float32)
@@ -245,19 +282,17 @@ class Reader:
         w /= np.maximum(w.sum(axis=0), np.float32(1e-9))
         return np.einsum("tm,thm,h->m", w, s, self.p["v"], optimize=True) + self.p["o"]
 
-    def all_windows(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Text, start, size and logit of every window of texts given as word rows."""
-        lengths = np.array([len(r) for r in rows])
-        base = np.concatenate([[0], np.cumsum(lengths)])
-        flat = np.concatenate([*rows, [0]]).astype(np.int64)
-        self.learn()
-        bag, begin, size = (
-            np.array(x, dtype=np.int64)
-            for x in zip(
-                *((k, base[k] + a, b - a) for k, n in enumerate(lengths) for a, b in windows(int(n))),
-                strict=True,
-            )
-        )
+    def hold(self, slots: Slots) -> None:
+        """Gate inputs of some words, in place of those known so far; their rows are their numbers."""
+        gates = self.net.gates(self.net.inputs(slots))
+        self.table = {d: np.ascontiguousarray((g * self.half).T) for d, g in zip("fb", gates, strict=True)}
+
+    def all_windows(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, start, size and logit of every window of texts given as rows of words, end to end."""
+        base = np.cumsum(lengths) - lengths
+        flat = np.append(flat, 0)
+        bag, start, size = window_places(lengths)
+        begin = base[bag] + start
         logit = np.empty(len(begin), np.float32)
         by_size = np.argsort(size, kind="stable")
         cuts = np.flatnonzero(np.diff(size[by_size] == WINDOW, prepend=False))
@@ -267,7 +302,7 @@ class Reader:
                 t = np.arange(max(1, size[mine].max()))[:, None]
                 where = begin[mine] + np.minimum(t, np.maximum(size[mine] - 1, 0))
                 logit[mine] = self.logits(flat[where], size[mine])
-        return bag, begin - base[bag], size, logit
+        return bag, start, size, logit
 
     def score(self, texts: list[str | None], held_words: int = 60_000) -> np.ndarray:
         """Highest window score of each text; some ``held_words`` words are held at a time."""
@@ -276,7 +311,9 @@ class Reader:
             rows.append(self.look_up(tokens(text)))
             held += len(rows[-1])
             if held >= held_words or i + 1 == len(texts):
-                bag, _, _, logit = self.all_windows(rows)
+                self.learn()
+                lengths = np.array([len(r) for r in rows])
+                bag, _, _, logit = self.all_windows(np.concatenate(rows), lengths)
                 best = np.full(len(rows), -np.inf)
                 np.maximum.at(best, bag, logit)
                 out[first : i + 1] = 1 / (1 + np.exp(-best))
@@ -286,51 +323,52 @@ class Reader:
         return out
 
 
-def train(pairs: list[tuple[str, int]]) -> Network:
+def train(pairs: Iterable[tuple[str, int]]) -> Network:
     """Fit on (text, 0/1) pairs.  With one class only, or none, the bias alone is set.
 
-    Each epoch scores all windows of the sample and trains on each text's highest one.
+    Of the texts only numbers are kept.  Each epoch scores all windows of the sample, some
+    ``HELD`` words at a time, and trains on each text's highest one.
     """
     net = Network()
-    base_rate = (sum(y for _, y in pairs) + 0.5) / (len(pairs) + 1)
-    if len({y for _, y in pairs}) < 2:
+    vocabulary: dict[str, int] = {}
+    rows, labels = [], []
+    for text, label in pairs:
+        found = (vocabulary.setdefault(w, len(vocabulary)) for w in tokens(text))
+        rows.append(np.fromiter(found, np.int32))
+        labels.append(label)
+    y = np.array(labels, np.float32)
+    base_rate = (y.sum() + 0.5) / (len(y) + 1)
+    if len(set(labels)) < 2:
         net.p["v"][:] = 0
         net.p["o"][:] = np.log(base_rate / (1 - base_rate))
         return net
-    vocabulary: dict[str, int] = {}
-    rows = [
-        np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens(text)], np.int64)
-        for text, _ in pairs
-    ]
-    words = list(vocabulary)
-    slots = [features(w) for w in words] or [(0, [0])]
-    y = np.array([y for _, y in pairs], np.float32)
+    slots = Slots.of(vocabulary or [""])
+    del vocabulary
+    lengths = np.array([len(r) for r in rows])
+    base = np.concatenate([[0], np.cumsum(lengths)])
+    flat = np.concatenate(rows)
+    del rows
     # the first input starts as the class log-odds of the word's slot, from all training rows
-    slot = np.array([s for s, _ in slots])
     seen = np.zeros((2, WORDS), np.float32)
-    for row, label in zip(rows, y, strict=True):
-        seen[int(label), np.unique(slot[row])] += 1
+    for i, label in enumerate(labels):
+        seen[int(label), np.unique(slots.word[flat[base[i] : base[i + 1]]])] += 1
     rate = y.mean()
     odds = (seen[1] + PRIOR * rate) / (seen[0] + PRIOR * (1 - rate)) * (1 - rate) / rate
     net.p["word"][:, 0] = np.clip(np.log(odds), -3, 3)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
     order, step = np.random.default_rng(5), 0
     for epoch in range(EPOCHS):
-        reader = Reader(net)
-        reader.rows = vocabulary
-        bag, begin, size, logit = reader.all_windows(rows)
-        best = np.lexsort((-logit, bag))
-        best = best[np.searchsorted(bag[best], np.arange(len(rows)))]
-        at = order.permutation(len(rows))
+        begin, size = highest_windows(Reader(net), slots, flat, lengths)
+        at = order.permutation(len(lengths))
         for i in range(0, len(at), BATCH):
             part = at[i : i + BATCH]
-            mine = [rows[j][begin[best[j]] : begin[best[j]] + size[best[j]]] for j in part]
-            lengths = np.array([len(w) for w in mine])
-            ids = np.zeros((max(1, lengths.max()), len(mine)), np.int64)
-            mask = (np.arange(len(ids))[:, None] < lengths).astype(np.float32)
+            mine = [flat[base[j] + begin[j] : base[j] + begin[j] + size[j]] for j in part]
+            sizes = size[part]
+            ids = np.zeros((max(1, sizes.max()), len(mine)), np.int64)
+            mask = (np.arange(len(ids))[:, None] < sizes).astype(np.float32)
             ids.T[mask.T > 0] = np.concatenate(mine)
             used, ids = np.unique(ids, return_inverse=True)
-            x = net.inputs([slots[w] for w in used])
+            x = net.inputs(slots.take(used))
             logit = net.forward(net.gates(x), ids.reshape(mask.shape), mask, keep=True)
             grads = net.backward((_sigmoid(logit) - y[part]) / len(part), x)
             step += 1
@@ -345,17 +383,37 @@ def train(pairs: list[tuple[str, int]]) -> Network:
     return net
 
 
+def highest_windows(reader: Reader, slots: Slots, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of the highest window of each text; ties go to the first."""
+    begin, size = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    ends = np.cumsum(lengths)
+    first = 0
+    while first < len(lengths):
+        low = ends[first] - lengths[first]
+        to = max(first + 1, int(np.searchsorted(ends, low + HELD, side="right")))
+        words, local = np.unique(flat[low : ends[to - 1]], return_inverse=True)
+        reader.hold(slots.take(words) if len(words) else slots.take(np.zeros(1, np.int64)))
+        bag, start, width, logit = reader.all_windows(local, lengths[first:to])
+        best = np.lexsort((-logit, bag))
+        best = best[np.searchsorted(bag[best], np.arange(to - first))]
+        begin[first:to], size[first:to] = start[best], width[best]
+        first = to
+    return begin, size
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
-    """Train on at most ``TRAIN_ROWS`` labelled documents outside the held-out fold."""
-    rows = sample(labelled(docs, labels, "toxic", 5), TRAIN_ROWS, TRAIN_CHARACTERS)
-    return train([(r.text, r.y) for r in rows])
+    """Train on about ``TRAIN_ROWS`` labelled documents, whole ones, outside the held-out fold."""
+    return train((r.text, r.y) for r in sample(labelled(docs, labels, "toxic", 5), TRAIN_ROWS))
 
 
-def scored(spark: SparkSession, docs: DataFrame, net: Network) -> DataFrame:
-    """``docs`` with a column ``toxicity_score``; every window of every text is read.
+def scored(spark: SparkSession, docs: DataFrame, net: Network, name: str = "toxicity_score") -> DataFrame:
+    """``docs`` with the score in a further column ``name``; every window of every text is read.
 
-    Null and empty texts score as an empty window does.  Columns of ``docs`` stay.
+    Null and empty texts score as an empty window does.  The columns of ``docs`` stay; one that
+    is called ``name`` already is refused.
     """
+    if name in docs.columns:
+        raise ValueError(f"there is a column {name}")
     shared = spark.sparkContext.broadcast(net.p)  # about 1 MB, whatever the input
 
     @F.pandas_udf("double")
@@ -366,13 +424,13 @@ def scored(spark: SparkSession, docs: DataFrame, net: Network) -> DataFrame:
         for texts in parts:
             yield pd.Series(reader.score(texts.tolist()), dtype="float64")
 
-    return docs.withColumn("toxicity_score", score("text"))
+    return docs.withColumn(name, score("text"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
-    Repeated rows give repeated rows; a null id counts as not held out unless the crc32
+    Repeated rows give repeated rows, an empty table none; a null id counts as not held out unless the crc32
     of the empty text says so (it does: remainder 0).
     """
     net = fit(docs, labels)
@@ -386,6 +444,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold:
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Documents below the threshold, with their columns as they were."""
-    out = scored(spark, docs, fit(docs, labels))
-    return out.where(F.col("toxicity_score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Documents below the threshold, with their columns as they were, whatever their names.
+
+    Null and empty texts are judged by the score of an empty window; repeated rows go or stay
+    together; an empty table stays one, and without labels nothing is learned but their rate.
+    """
+    name = next(n for n in (f"toxicity_score_{i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    out = scored(spark, docs, fit(docs, labels), name)
+    return out.where(F.col(name) < threshold).drop(name)
