@@ -672,6 +672,13 @@ def report_sql() -> dict[str, str]:
     ]
     found["report_sales_uncategorized_contradiction"] = chosen["uncategorized"]
     found["report_sales_detail_page_3"] = f"{everything['detail']} LIMIT 50 OFFSET 100"
+    found["distinct_orders"] = "SELECT COUNT(DISTINCT order_id) AS orders FROM g_sales"
+    found["distinct_orders_by_status"] = """SELECT order_status, COUNT(DISTINCT order_id) AS orders
+        FROM g_sales GROUP BY order_status"""
+    found["distinct_orders_by_state_filtered"] = """SELECT seller_state, COUNT(DISTINCT order_id) AS orders
+        FROM g_sales WHERE order_purchase_timestamp >= TIMESTAMP '1996-01-01'
+            AND order_purchase_timestamp < TIMESTAMP '1999-07-01' AND order_status IN ('delivered', 'shipped')
+        GROUP BY seller_state"""
     found["report_sales_detail_far_page"] = f"{everything['detail']} LIMIT 100 OFFSET 5000"
     for name in ("report_sales_detail", "report_sales_detail_filtered"):
         found[name] += " LIMIT 25"

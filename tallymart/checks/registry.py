@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallymart.operators import integrity as ig
 from tallymart.operators import profile as pf
 from tallymart.operators import rules
+from tallymart.operators.distinct import DistinctCounts
 from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFilter
 from tallymart.plans import gold as marts
 from tallymart.plans import reports, sql_reports, state
@@ -184,6 +185,24 @@ CUSTOMER_CALL = "(array('SP', 'RJ'), 100000, minimum_total_orders => 3)"
 DELIVERY_CALL = "(DATE'1996-03-01', DATE'1998-09-15', array('delivered'))"
 
 
+def order_counts(*by: str, where: str | None = None) -> Query:
+    """Distinct orders from bitmaps per day, status and state; the bitmaps are written once a session."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        key = spark.sparkContext.applicationId, folder
+        if key not in _counts:
+            sales = GoldPlan(SilverPlan(bronze_of(spark, folder))).sales
+            _counts[key] = DistinctCounts.of(
+                sales, "order_id", "order_purchase_timestamp", ["order_status", "seller_state"]
+            )
+        return _counts[key].count(*by, name="orders", where=where)
+
+    return run
+
+
+_counts: dict[tuple[str, str], DistinctCounts] = {}
+
+
 def table_function(name: str, call: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         layer = written(spark, folder).gold
@@ -536,6 +555,12 @@ def report_queries() -> dict[str, Query]:
         found[name] = _gold(function)
         found[f"{name}_filtered"] = _gold(function, chosen)
     found["report_sales_detail_page_3"] = _gold(reports.sales_detail, limit=50, offset=100)
+    days = "day BETWEEN DATE'1996-01-01' AND DATE'1999-06-30'"
+    found["distinct_orders"] = order_counts()
+    found["distinct_orders_by_status"] = order_counts("order_status")
+    found["distinct_orders_by_state_filtered"] = order_counts(
+        "seller_state", where=f"{days} AND order_status IN ('delivered', 'shipped')"
+    )
     found["report_sales_detail_far_page"] = _gold(reports.sales_detail, limit=100, offset=5000)
     found["report_customer_detail_page_2"] = _gold(reports.customer_detail, limit=100, offset=100)
     found["report_customer_kpis_zero_minimum"] = _gold(reports.customer_kpis, CUSTOMER_FILTER_ZERO)
