@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallymart.functions import delivery_timing, spend_band, two_day_bucket
 from tallymart.operators import integrity as ig
 from tallymart.operators import profile as pf
+from tallymart.operators import quantiles
 from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFilter, one_of
 from tallymart.operators.paging import asc, desc, page, page_bounds, top
 from tallymart.sources import tables
@@ -90,9 +91,9 @@ def test_out_of_order_ignores_unknown_stages(spark):
     assert rows(pf.out_of_order(df, "a", "b", "c")) == [(1, 3, 2), (2, 1, None)]
 
 
-@pytest.mark.parametrize("bracket", [0.001, 0.2])
-def test_quantiles_are_exact(spark, monkeypatch, bracket):
-    monkeypatch.setattr(pf, "BRACKET", bracket)
+@pytest.mark.parametrize("digit", [16, 8])
+def test_quantiles_are_exact(spark, monkeypatch, digit):
+    monkeypatch.setattr(quantiles, "DIGIT", digit)
     rng = random.Random(3)
     values = sorted(round(rng.lognormvariate(3, 1.5), 2) for _ in range(20_001))
     df = spark.createDataFrame([(v, None) for v in values], "price double, `no value` int").repartition(6)
