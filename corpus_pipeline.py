@@ -1,7 +1,10 @@
 """The corpus pipeline: toxicity, exact dedup, n-gram Jaccard join, decontamination, BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
-and read again as the next stage's docs.  All but the last return the columns of documents.
+and read again as the next stage's docs.  All but the last return the columns of documents, whatever
+their names.  A null text counts as an empty one and a null id sorts last.  Equal rows are told apart by
+their place in the files, so of repeated rows a stage that keeps one keeps exactly one.  An empty
+table stays empty through all stages.
 """
 
 from __future__ import annotations
@@ -18,30 +21,33 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5 by a network trained on the labels."""
+    """Documents scored below 0.5 by a network trained on the labels; null and empty texts by the score
+    of an empty window, rows of equal text alike."""
     return toxicity.keep_clean(spark, docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first row of each group of equal texts."""
+    """The row of least id of each group of equal texts, of equal ids the first in the files; null and
+    empty texts are one group."""
     return exact_dedup.keep_first(spark, docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first row of each class of similar texts."""
+    """The row of least id of each class of similar texts, of equal ids the first in the files; texts without
+    words are one class."""
     ship(spark)
     return jaccard_join.keep_one(spark, docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item; null and empty texts hold none."""
     return decontamination.keep_clean(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what is left."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what is left; a null or empty text has no tokens."""
     ship(spark)
-    return byte_bpe.digests(byte_bpe.encode(spark, docs, *ranks()))
+    return byte_bpe.digests(spark, docs, *ranks())
 
 
 STAGES = [

@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from hashlib import sha256
 
 import pandas as pd
 import regex
@@ -23,8 +24,10 @@ from pyspark.sql import functions as F
 from tallymart.llm.shared import stage
 
 CHUNK, OVERLAP = 1 << 15, 1 << 10
-#: Pre-tokens whose ids a task remembers; it starts anew when there are more.
-REMEMBERED = 500_000
+#: Pre-tokens whose ids a process remembers (some 50 MB); it starts anew when there are more.
+REMEMBERED = 150_000
+#: Bytes of a pre-token up to which its pairs are looked through for each merge.
+SHORT = 24
 #: Characters of text after which a task hands on what it has.
 HANDED_ON = 1 << 21
 
@@ -40,14 +43,36 @@ class Encoder:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.bytes_of = {str(i): token for token, i in ranks.items()}
-        self.known: dict[str, str] = {}
+        self.known: dict[str, tuple[str, bytes]] = {}  # ids of pre-tokens, and what these ids decode to
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: the adjacent pair of lowest rank, leftmost first, merges."""
         ranks = self.ranks
         if piece in ranks:
             return [ranks[piece]]
-        n = len(piece)
+        return self._merge_short(piece) if len(piece) <= SHORT else self._merge_long(piece)
+
+    def _merge_short(self, piece: bytes) -> list[int]:
+        """Looks through all pairs for each merge."""
+        rank_of, none = self.ranks.get, len(self.ranks) + 256
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        pairs = [rank_of(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        while pairs:
+            least = min(pairs)
+            if least == none:
+                break
+            i = pairs.index(least)
+            parts[i] += parts.pop(i + 1)
+            pairs.pop(i)
+            if i < len(pairs):
+                pairs[i] = rank_of(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank_of(parts[i - 1] + parts[i], none)
+        return [self.ranks[part] for part in parts]
+
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """Keeps the pairs in a heap, as a long piece has many."""
+        ranks, n = self.ranks, len(piece)
         end = list(range(1, n + 1))  # of the part that starts here
         before = list(range(-1, n - 1))
         heap = [(ranks[piece[i : i + 2]], i, i + 2) for i in range(n - 1) if piece[i : i + 2] in ranks]
@@ -80,18 +105,26 @@ class Encoder:
 
     def encode(self, text: str) -> str:
         """Decimal ids joined by one space."""
+        return " ".join([ids for ids, _ in self.pieces(text)])
+
+    def pieces(self, text: str) -> list[tuple[str, bytes]]:
+        """Per pre-token its decimal ids, joined by one space, and the bytes that these ids stand for."""
         known, pieces = self.known, self.pattern.findall(text)
         out = list(map(known.get, pieces))
         if None in out:
             if len(known) >= REMEMBERED:
                 known.clear()
-            for i, ids in enumerate(out):
-                if ids is None:
+            for i, found in enumerate(out):
+                if found is None:
                     piece = pieces[i]
-                    ids = out[i] = known.get(piece) or " ".join(map(str, self.merge(piece.encode())))
-                    if len(piece) < 64:
-                        known[piece] = ids
-        return " ".join(out)
+                    found = known.get(piece)
+                    if found is None:
+                        ids = " ".join(map(str, self.merge(piece.encode())))
+                        found = ids, self.decode(ids)
+                        if len(piece) < 64:
+                            known[piece] = found
+                    out[i] = found
+        return out
 
     def decode(self, ids: str) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.split(" "))) if ids else b""
@@ -100,23 +133,45 @@ class Encoder:
         return [m.start() for m in self.pattern.finditer(text)]
 
 
-def _encoding(spark: SparkSession, ranks: dict[bytes, int], pattern: str, keys: list[str]):
-    """A mapInPandas function: ``keys`` stay, text becomes n_tokens, ids and decoded."""
-    shared = spark.sparkContext.broadcast((ranks, pattern))  # one vocabulary
+#: The encoder of this Python process, by the digest of its ranks and pattern: what it remembers
+#: serves all tasks that the process runs.
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(digest: str, ranks: dict[bytes, int], pattern: str) -> Encoder:
+    if digest not in _encoders:
+        _encoders.clear()
+        _encoders[digest] = Encoder(ranks, pattern)
+    return _encoders[digest]
+
+
+def _digest(ranks: dict[bytes, int], pattern: str) -> str:
+    found = sha256(pattern.encode())
+    for token, rank in sorted(ranks.items()):
+        found.update(b"%d:%d:%b" % (rank, len(token), token))
+    return found.hexdigest()
+
+
+def _encoding(spark: SparkSession, ranks: dict[bytes, int], pattern: str, keys: list[str], hashed: bool = False):
+    """A mapInPandas function: ``keys`` stay, text becomes n_tokens, ids and decoded, or their sha256."""
+    shared = spark.sparkContext.broadcast((_digest(ranks, pattern), ranks, pattern))  # one vocabulary
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(*shared.value)
+        encoder = _encoder(*shared.value)
         for part in parts:
             texts, done = part["text"].tolist(), 0
             while done < len(texts):
-                ids, held, first = [], 0, done
+                counts, ids, decoded, held, first = [], [], [], 0, done
                 while done < len(texts) and held < HANDED_ON:
-                    ids.append(encoder.encode(texts[done]))
+                    pieces = encoder.pieces(texts[done])
+                    joined, raw = " ".join([p[0] for p in pieces]), b"".join([p[1] for p in pieces])
+                    counts.append(joined.count(" ") + 1 if joined else 0)
+                    ids.append(sha256(joined.encode()).hexdigest() if hashed else joined)
+                    decoded.append(sha256(raw).hexdigest() if hashed else raw)
                     held += len(texts[done])
                     done += 1
                 out = part[keys].iloc[first:done].copy()
-                out["n_tokens"] = [x.count(" ") + 1 if x else 0 for x in ids]
-                out["ids"], out["decoded"] = ids, [encoder.decode(x) for x in ids]
+                out["n_tokens"], out["ids"], out["decoded"] = counts, ids, decoded
                 yield out
 
     return run
@@ -125,15 +180,34 @@ def _encoding(spark: SparkSession, ranks: dict[bytes, int], pattern: str, keys:
 def encode(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids (decimal, one space between), decoded (binary).
 
-    A null text is empty and has no ids.  Repeated rows give repeated rows; ids may be null.
+    A null text is empty and has no ids.  Repeated rows give repeated rows; a doc_id may be null; an
+    empty table gives none.  Further columns are not read.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    size = F.length("text")
-    out = "n_tokens long, ids string, decoded binary"
-    short = rows.where(size <= CHUNK).mapInPandas(
-        _encoding(spark, ranks, pattern, ["doc_id"]), f"doc_id long, {out}"
+    short, long = _parts(docs)
+    out = "doc_id long, n_tokens long, ids string, decoded binary"
+    short = short.mapInPandas(_encoding(spark, ranks, pattern, ["doc_id"]), out)
+    return short.unionByName(_encode_long(spark, long, ranks, pattern))
+
+
+def digests(spark: SparkSession, docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_tokens, and the sha256 of ids and of decoded bytes of ``encode``.
+
+    Texts of one chunk are hashed where they are encoded, so that neither leaves its task.
+    """
+    short, long = _parts(docs)
+    out = "doc_id long, n_tokens long, ids string, decoded string"
+    short = short.mapInPandas(_encoding(spark, ranks, pattern, ["doc_id"], hashed=True), out)
+    long = _encode_long(spark, long, ranks, pattern).withColumns(
+        {"ids": F.sha2("ids", 256), "decoded": F.sha2("decoded", 256)}
     )
-    return short.unionByName(_encode_long(spark, rows.where(size > CHUNK), ranks, pattern))
+    both = short.unionByName(long)
+    return both.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
+
+
+def _parts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id and text of the texts of one chunk, and of longer ones."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.where(F.length("text") <= CHUNK), rows.where(F.length("text") > CHUNK)
 
 
 def _encode_long(spark: SparkSession, rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
@@ -221,12 +295,3 @@ def _boundaries(spark: SparkSession, ranks: dict[bytes, int], pattern: str):
             yield out
 
     return run
-
-
-def digests(encoded: DataFrame) -> DataFrame:
-    return encoded.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )

@@ -58,7 +58,7 @@ def ranks() -> tuple[dict[bytes, int], str]:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return byte_bpe.digests(byte_bpe.encode(spark, table(spark, sf_dir, "documents"), *ranks()))
+    return byte_bpe.digests(spark, table(spark, sf_dir, "documents"), *ranks())
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
