@@ -23,14 +23,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.llm.shared import stage
 from tallymart.llm.words import TOKEN_BYTES, Block, blocks, shingles
 
 PASSAGE, BLOCK_ITEMS = 64, 4
 K1, B = 1.2, 0.75
 #: Least score, and least share of an item's question and answer trigrams.
 THRESHOLD, OVERLAP = 0.5, 0.5
-#: Items of one index; a larger benchmark is queried index by index.
-INDEX_ITEMS = 20_000
+#: Items of one index; a larger benchmark is queried index by index.  What a score rests on (number of
+#: items, their mean length, document frequencies, length of a passage) is that of all of them.
+INDEX_ITEMS = 10_000
 _SENTENCE_END = re.compile(r"[.!?…。][\s\"')\]]*\s|\n")
 
 
@@ -71,54 +73,81 @@ class Index:
     terms: np.ndarray  # sorted hashes
     postings: list[dict[int, tuple[list[int], list[float]]]]  # of each block: by term
     most: np.ndarray  # of each term
-    block_most: np.ndarray  # of each term in each block of items
+    edges: np.ndarray  # blocks of term i, and its most in each of them: edges[i]:edges[i + 1]
+    block_of: np.ndarray
+    block_most: np.ndarray
     questions: list[np.ndarray]
     answers: list[np.ndarray]
     step: int
     present: np.ndarray = field(default_factory=lambda: np.zeros(1 << 20, bool))
 
 
-def build(items: list[tuple[object, str]]) -> Index | None:
-    """None where no item has a token."""
+@dataclass
+class Statistics:
+    """What BM25 needs to know of all items, whichever of them an index holds."""
+
+    items: int  # with a token
+    words: int
+    longest: int
+    df: dict[int, int]  # items with a term
+
+    @property
+    def step(self) -> int:
+        return max(PASSAGE, self.longest)
+
+
+def statistics(tokens: list[np.ndarray]) -> Statistics:
+    tokens = [h for h in tokens if len(h)]
+    df = dict(zip(*(x.tolist() for x in np.unique(np.concatenate([np.unique(h) for h in tokens]), return_counts=True)), strict=True)) if tokens else {}
+    return Statistics(len(tokens), sum(map(len, tokens)), max(map(len, tokens), default=0), df)
+
+
+def build(items: list[tuple[object, str]], known: Statistics | None = None) -> Index | None:
+    """None where no item has a token.  ``known`` is what all items say; by default these are all."""
     items = sorted((i for i in items if i[1]), key=lambda x: (str(type(x[0])), x[0]))
     tokens = hashed([t for _, t in items])
     rows = [(i, t, h) for (i, t), h in zip(items, tokens, strict=True) if len(h)]
     if not rows:
         return None
-    mean = sum(len(h) for _, _, h in rows) / len(rows)
+    known = known or statistics(tokens)
+    mean = known.words / known.items
     by_term: dict[int, list[tuple[int, float]]] = {}
-    counted = [np.unique(h, return_counts=True) for _, _, h in rows]
-    df: dict[int, int] = {}
-    for terms, _ in counted:
-        for t in terms.tolist():
-            df[t] = df.get(t, 0) + 1
-    for n, (terms, tf) in enumerate(counted):
-        length = K1 * (1 - B + B * len(rows[n][2]) / mean)
-        idf = np.array([np.log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5)) for t in terms.tolist()])
-        impact = idf * tf * (K1 + 1) / (tf + length)
+    for n, (_, _, h) in enumerate(rows):
+        terms, tf = np.unique(h, return_counts=True)
+        length = K1 * (1 - B + B * len(h) / mean)
+        df = np.array([known.df[t] for t in terms.tolist()])
+        impact = np.log(1 + (known.items - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + length)
         impact /= impact.sum()
         for t, x in zip(terms.tolist(), impact.tolist(), strict=True):
             by_term.setdefault(t, []).append((n, x))
     order = sorted(by_term)
-    blocks_of = np.zeros((len(order), -(-len(rows) // BLOCK_ITEMS)), np.float32)
-    postings: list[dict[int, tuple[list[int], list[float]]]] = [{} for _ in blocks_of.T]
+    postings: list[dict[int, tuple[list[int], list[float]]]] = [{} for _ in range(-(-len(rows) // BLOCK_ITEMS))]
+    edges, block_of, block_most = [0], [], []
     for k, t in enumerate(order):
         for n, x in by_term[t]:
             b = n // BLOCK_ITEMS
-            items_of, impacts = postings[b].setdefault(k, ([], []))
+            if k not in postings[b]:
+                postings[b][k] = [], []
+                block_of.append(b)
+                block_most.append(0.0)
+            items_of, impacts = postings[b][k]
             items_of.append(n)
             impacts.append(x)
-            blocks_of[k, b] = max(blocks_of[k, b], x)
+            block_most[-1] = max(block_most[-1], x)
+        edges.append(len(block_of))
     split = [parts(t) for _, t, _ in rows]
+    most = np.array(block_most)
     index = Index(
         [i for i, _, _ in rows],
         np.array(order, np.uint64),
         postings,
-        blocks_of.max(axis=1),
-        blocks_of,
+        np.maximum.reduceat(most, edges[:-1]),
+        np.array(edges),
+        np.array(block_of),
+        most,
         [grams(h) for h in hashed([q for q, _ in split])],
         [grams(h) for h in hashed([a for _, a in split])],
-        max(PASSAGE, max(len(h) for _, _, h in rows)),
+        known.step,
     )
     index.present[index.terms & np.uint64((1 << 20) - 1)] = True
     return index
@@ -196,7 +225,13 @@ def matches(index: Index, block: Block, threshold: float = THRESHOLD) -> list[tu
     edges = np.append(begin, len(passage))
     for i in range(0, len(begin), 512):
         a, b = edges[i], edges[min(i + 512, len(begin))]
-        sums = np.add.reduceat(index.block_most[terms[a:b]], begin[i : i + 512] - a, axis=0)
+        # per passage the sum of its terms' maxima in each block that has any of them
+        mine, row = terms[a:b], np.repeat(np.arange(len(begin[i : i + 512])), np.diff([*begin[i : i + 512], b]))
+        sizes = index.edges[mine + 1] - index.edges[mine]
+        at = np.repeat(index.edges[mine] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        n, width = len(begin[i : i + 512]), len(index.postings)
+        place = np.repeat(row, sizes) * width + index.block_of[at]
+        sums = np.bincount(place, index.block_most[at], minlength=n * width).reshape(n, width)
         hopeful = sums >= threshold - 1e-5
         for k in np.flatnonzero(hopeful.any(axis=1)):
             p = int(passage[begin[i + k]])
@@ -225,12 +260,42 @@ def share(wanted: np.ndarray, held: dict[int, np.ndarray]) -> float:
 
 
 def indexes(benchmark: DataFrame, item_id: str = "item_id") -> Iterator[Index]:
-    """Indexes of at most ``INDEX_ITEMS`` items each, over all items."""
+    """Indexes of about ``INDEX_ITEMS`` items each, over all items, with the statistics of all items.
+
+    These are counted in the tasks; of the document frequencies each index gets those of its terms.
+    """
     items = benchmark.select(F.col(item_id).alias("item_id"), "text").where(F.col("text").isNotNull())
-    shards = max(1, -(-items.count() // (INDEX_ITEMS // 2)))
+    items = items.dropDuplicates()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """term, words and shard of each distinct term of each item; one row without a term has its length."""
+        for batch in batches:
+            for block in tokenised(batch.column("text")):
+                h, n = block.hashes().view(np.int64), np.diff(block.bounds)
+                text = np.repeat(np.arange(block.n), n)
+                pairs = np.unique(np.stack([text, h]), axis=1) if len(h) else np.zeros((2, 0), np.int64)
+                shard = batch.column("shard").slice(block.first, block.n).to_numpy()
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([pa.array(pairs[1]), pa.nulls(len(some), pa.int64())]),
+                        pa.array(np.concatenate([np.zeros(pairs.shape[1], np.int64), n[some]])),
+                        pa.array(np.concatenate([shard[pairs[0]], shard[some]])),
+                    ],
+                    ["term", "words", "shard"],
+                )
+
+    shards = max(1, -(-items.count() // INDEX_ITEMS))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
+    rows = stage(items.mapInArrow(count, "term long, words long, shard int"), "terms")
+    whole = rows.where(F.col("term").isNull()).agg(F.count("*"), F.sum("words"), F.max("words")).first()
+    df = rows.where(F.col("term").isNotNull()).groupBy("term").agg(F.count("*").alias("df"))
     for k in range(shards):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k)
-        index = build([(r.item_id, r.text) for r in mine.dropDuplicates().collect()])
+        terms = rows.where((F.col("shard") == k) & F.col("term").isNotNull()).select("term").distinct()
+        known = terms.join(df, "term").collect()  # of at most INDEX_ITEMS items
+        mine = items.where(F.col("shard") == k).collect()
+        frequencies = {r.term % 2**64: r.df for r in known}
+        index = build([(r.item_id, r.text) for r in mine], Statistics(*whole, frequencies) if whole[0] else None)
         if index:
             yield index
 
@@ -240,7 +305,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     found in a row of ``docs``.
 
     Null or empty texts and items match nothing, nor does an empty benchmark.  Items of equal
-    text are found together; repeated rows of ``docs`` are found each; ids may be null.
+    text are found together; repeated rows of ``docs`` are found each; ids may be null.  Texts of any
+    length are read whole.  Scores do not depend on how many items one index holds.
     """
     fields = "doc_id long, item_id long, score double, question_share double, answer_share double"
     out = None
@@ -269,7 +335,10 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs`` in which no benchmark item is found, with their columns as they were."""
+    """Rows of ``docs`` in which no benchmark item is found, with their columns as they were.
+
+    Null and empty texts stay, repeated rows go or stay together, an empty table stays one.
+    """
     at = docs.columns.index("text")
     for index in indexes(benchmark):
         shared = spark.sparkContext.broadcast(index)

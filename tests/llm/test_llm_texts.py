@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -98,7 +99,7 @@ def test_bpe_equals_library(spark):
     mixed = "".join(rng.choices(["don't ", "  ", "\n\n", "été", "12345", "!!!", "日本", " a", "🙂", "\t x"], k=30_000))
     rows += [(50, mixed), (50, mixed), (51, "y" * 70_000), (52, " " * 40_000 + "z"), (53, "<|endoftext|> a")]
     df = frame(spark, [(i, t, None, None, None) for i, t in rows])
-    got = byte_bpe.digests(byte_bpe.encode(spark, df, *ranks())).collect()
+    got = byte_bpe.digests(spark, df, *ranks()).collect()
     enc = library()
     sha = lambda b: hashlib.sha256(b).hexdigest()
     want = []
@@ -138,8 +139,12 @@ def test_merges_of_any_piece():
     encoder, enc = byte_bpe.Encoder(*ranks()), library()
     rng = random.Random(1)
     for n in (1, 2, 5, 17, 100, 700):
-        piece = "".join(rng.choices("abcdeé日 ", k=n)).replace(" ", "x")
-        assert encoder.merge(piece.encode()) == enc.encode_ordinary(piece)
+        for _ in range(20):
+            piece = "".join(rng.choices("abcdeé日 ", k=n)).replace(" ", "x")
+            raw, want = piece.encode(), enc.encode_ordinary(piece)
+            assert encoder.merge(raw) == want
+            if raw not in encoder.ranks:
+                assert encoder._merge_long(raw) == encoder._merge_short(raw) == want
 
 
 def brute_matches(index, tokens):
@@ -197,6 +202,49 @@ def test_decontamination_rows(spark):
     assert decontamination.contaminated(spark, empty(spark), benchmark).count() == 0
 
 
+def test_scores_do_not_depend_on_the_size_of_an_index(spark, monkeypatch):
+    """One index of all items, and many of a few: the same rows and, to the last bits, the same scores."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    part = [(5000 + r.item_id, " ".join(w if i % 9 else "other" for i, w in enumerate(r.text.split()))) for r in benchmark.collect()]
+    docs = docs.unionByName(spark.createDataFrame(part, docs.schema))
+    # items of other lengths and common words, so that the parts' own statistics would differ
+    more = spark.createDataFrame([(9000 + i, "the and of " * i + f"the item{i} is of a kind") for i in range(1, 60)], "item_id long, text string")
+    benchmark = benchmark.select("item_id", "text").unionByName(more)
+
+    def rows():
+        found = decontamination.contaminated(spark, docs, benchmark).collect()
+        return sorted((r.doc_id, r.item_id, round(r.score, 9), r.question_share, r.answer_share) for r in found)
+
+    whole = rows()
+    assert len(whole) > 10 and len({r[2] for r in whole}) > 5
+    monkeypatch.setattr(decontamination, "INDEX_ITEMS", 20)
+    assert len(list(decontamination.indexes(benchmark))) >= 4
+    assert rows() == whole
+
+
+def test_statistics_of_all_items(spark):
+    items = [(1, "a b b"), (2, "b c"), (3, None), (4, "..."), (1, "a b b"), (None, "d")]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    (index,) = decontamination.indexes(df)
+    plain = decontamination.build([(1, "a b b"), (2, "b c"), (None, "d")])
+    assert index.ids == plain.ids and np.allclose(index.most, plain.most) and index.step == plain.step
+    known = decontamination.statistics(decontamination.hashed(["a b b", "b c", "d"]))
+    assert (known.items, known.words, known.longest, sorted(known.df.values())) == (3, 6, 3, [1, 1, 1, 2])
+
+
+def test_items_in_very_long_texts(spark):
+    """An item far behind in a text of a million characters, across the border of passages."""
+    rng = random.Random(3)
+    item = " ".join(rng.choices([f"q{i}" for i in range(500)], k=40)) + ". " + " ".join(rng.choices([f"r{i}" for i in range(500)], k=8))
+    filler = [f"w{i}" for i in range(3000)]
+    for at in (100_063, 100_100):
+        text = " ".join(rng.choices(filler, k=at)) + " " + item + " " + " ".join(rng.choices(filler, k=50_000))
+        df = spark.createDataFrame([(1, text), (2, text.replace("q", "z"))], "doc_id long, text string")
+        benchmark = spark.createDataFrame([(5, item)], "item_id long, text string")
+        assert [(r.doc_id, r.item_id) for r in decontamination.contaminated(spark, df, benchmark).collect()] == [(1, 5)]
+
+
 def plain_base(text):
     """The contract's patterns, applied as they are written."""
     assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -256,7 +304,65 @@ def test_secrets_are_learned_where_they_are_rare(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     seen = []
     train = secrets_scan.train
-    monkeypatch.setattr(secrets_scan, "train", lambda texts: seen.extend(texts) or train(texts))
+    monkeypatch.setattr(secrets_scan, "train", lambda texts: train(seen.extend(texts) or seen))
     assert secrets_scan.fit(df).threshold < 1
     assert all(any(x in t for t in seen) for x in secret)
     assert any(not secrets_scan.base(t) for t in seen) and len(seen) < 150
+
+
+def test_candidates_that_touch_no_finding():
+    """Against a look at every pair; and many findings in a long text take no time that grows with both."""
+    rng = random.Random(14)
+    for _ in range(300):
+        spans = sorted((a, rng.randint(0, 2), a + rng.randint(1, 12)) for a in (rng.randint(0, 120) for _ in range(8)))
+        places, at = [], 0
+        while at < 130:
+            at += rng.randint(1, 9)
+            places.append((at, at + rng.randint(1, 9)))
+            at = places[-1][1]
+        want = [(a, b) for a, b in places if not any(s < b and a < e for s, _, e in spans)]
+        assert secrets_scan.untouched(places, spans) == want
+    text = "token = abcdef1 Zq8yT0pLw3xVb6nMk2 " * 30_000
+    start = time.process_time()
+    assert len(secrets_scan.candidates(text, secrets_scan.base(text))) == 30_000
+    assert time.process_time() - start < 20
+
+
+def test_long_candidates_are_seen_whole():
+    inside, before = secrets_scan.INSIDE, secrets_scan.BEFORE
+    for n in (16, inside, inside + 1, 100, 1000):
+        value = "".join(chr(97 + i % 26) for i in range(n))
+        rows = secrets_scan.seen(f"key {value} end", 4, 4 + n)
+        codes = secrets_scan._CLASS[[ord(c) for c in value]]
+        got = np.zeros(n, int)
+        for row in rows:
+            window = row[before : before + inside]
+            width = int((window > 0).sum())
+            places = [i for i in range(n - width + 1) if (codes[i : i + width] == window[:width]).all()]
+            assert places
+            for i in places:
+                got[i : i + width] = 1
+        assert got.all()
+        assert (rows[:, :before] == rows[0, :before]).all() and (rows[:, before + inside :] == rows[0, before + inside :]).all()
+
+
+def test_a_secret_behind_plain_characters_is_found(spark):
+    """The first 44 characters of the candidate look like words, what follows does not."""
+    rng = random.Random(15)
+    secret = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    plain = ["some-ordinary-long-path/with/words/and/more_words", "the-quick-brown-fox-jumps-over-the-lazy-dog-again"]
+    train = [f"words here token = {secret(30)} and more {rng.choice(plain)} words user@mail{i}.example.org" for i in range(400)]
+    net = secrets_scan.train(train)
+    long = plain[0] + "/" + secret(48)
+    text = f"see {long} there and {plain[1]}2"
+    score = lambda a, b: net.score(secrets_scan.seen(text, a, b)).max()
+    windows = net.score(secrets_scan.seen(text, 4, 4 + len(long)))
+    assert len(windows) > 2 and score(4, 4 + len(long)) == windows.max() > 0.5 > windows[0]
+    assert windows.max() > score(text.index(plain[1]), len(text))
+    assert net.precision > 0.9
+
+
+def test_secret_rows_repeat_and_clash(spark):
+    rows = [(7, "token = abcdef123 " * 500, None, None, None)] * 3 + [(None, "AKIA" + "Z" * 30, None, None, None)]
+    found = secrets_scan.report(secrets_scan.secrets(spark, frame(spark, rows))).collect()
+    assert Counter((r.doc_id, r.n_assign, r.n_access) for r in found) == {(7, 500, 0): 3, (None, 0, 1): 1}
