@@ -52,6 +52,47 @@ def test_exact_state_goes_on(spark, tmp_path):
     assert sorted((r["first"].doc_id, r.n) for r in state.collect()) == [(1, 2), (6, 1), (9, 1)]
 
 
+def weak(text):
+    return F.encode(F.length(text).cast("string"), "utf-8")
+
+
+def grouped(spark, rows, **kw):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.group(spark, docs, **kw).collect())
+
+
+def test_bytes_are_compared_across_calls(spark, tmp_path):
+    """Equal digests of different texts, met in different calls: the earlier content is opened."""
+    folder = str(tmp_path / "state")
+    assert grouped(spark, [(5, "aaa"), (6, "cc")], digest=weak, folder=folder, batch="one") == [
+        (5, 5, 1, True),
+        (6, 6, 1, True),
+    ]
+    got = grouped(spark, [(7, "bbb"), (8, "cc"), (1, "ddd")], digest=weak, folder=folder, batch="two")
+    assert got == [(1, 1, 1, True), (5, 5, 1, True), (6, 6, 2, True), (7, 7, 1, True), (8, 6, 2, False)]
+    got = grouped(spark, [(9, "bbb"), (3, "cc")], digest=weak, folder=folder, batch="three")
+    keeps = {i: (keep, size, kept) for i, keep, size, kept in got}
+    assert keeps == {
+        1: (1, 1, True), 5: (5, 1, True), 7: (7, 2, True), 9: (7, 2, False),
+        3: (3, 3, True), 6: (3, 3, False), 8: (3, 3, False),
+    }
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    folder, rows = str(tmp_path / "state"), [(5, "a"), (6, "a"), (7, "b")]
+    first = grouped(spark, rows, folder=folder, batch="one")
+    assert first == grouped(spark, rows, folder=folder, batch="one") == [(5, 5, 2, True), (6, 5, 2, False), (7, 7, 1, True)]
+    # taken in as files, but not yet by the stream: as after a failure between the two
+    docs = spark.createDataFrame([(1, "b"), (2, "c")], "doc_id long, text string")
+    arrivals = exact_dedup.located(docs).select("doc_id", "file", "row", exact_dedup.sha256(F.col("text")).alias("digest"))
+    arrivals.write.parquet(f"{folder}/arrivals/two")
+    state = exact_dedup.state_after(spark, arrivals, folder, "two")
+    again = exact_dedup.state_after(spark, arrivals, folder, "two")
+    want = [(1, 2), (2, 1), (5, 2)]
+    assert sorted((r["first"].doc_id, r.n) for r in state.collect()) == want
+    assert sorted((r["first"].doc_id, r.n) for r in again.collect()) == want
+
+
 @pytest.mark.parametrize("keep", [exact_dedup.keep_first, jaccard_join.keep_one])
 def test_filters_return_their_columns(spark, keep):
     docs = frame(spark)
