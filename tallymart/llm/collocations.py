@@ -1,21 +1,24 @@
 """Phrase collocations: tries of Apriori-safe candidates, counted level by level.
 
 A phrase can be frequent only if its parts are.  So the candidates of two words are the pairs
-seen whose words both are frequent, those of three words the triples seen whose pairs both are; a fixed-size
-bitmap of the frequent parts says so (it may let others through, never keeps one out), and
-what the tasks together have not seen ``least`` times is left out.  That last test adds up
-numbers that each block cuts off at ``least``; it can tell who is frequent, not how frequent.
-
-Counting is the tries' work.  Candidates are dealt into shards of about ``SHARD``; the trie of
-a shard (language, word, word, word) is broadcast, a task moves the states of all places of
-its texts on together, one level at a time, adds up the accepting ones with ``bincount``, and
-the counts of all tasks are summed by phrase.  A shard more is a pass more, never a
-larger broadcast.
+seen whose words both are frequent, those of three words the triples seen whose pairs both are; a
+fixed-size bitmap of the frequent parts says so (it may let others through, never keeps one
+out).  Of these, those whose hash of 32 bits the tasks together have not seen ``least`` times are
+left out too: a phrase is in its hash's bucket with all its occurrences, whoever shares it.
+
+Counting is the tries' work.  Candidates are dealt into shards of about ``SHARD``, a task builds
+the trie of each (language, word, word, word), and the tries are broadcast, ``AT_A_TIME`` to a pass.
+A task moves the states of all places of its texts on together, one level at a time, adds up the
+accepting ones with ``bincount``, and the counts of all tasks are summed by candidate.  More
+candidates are more passes, never a larger broadcast.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,12 +31,13 @@ from tallymart.llm import filters
 from tallymart.llm.names import codes, joined
 from tallymart.llm.shared import stage
 from tallymart.llm.tries import build
-from tallymart.llm.words import BYTE_BASE, _BYTE_VALUES, blocks, mix, prefix, run_hash
+from tallymart.llm.words import BYTE_BASE, _BYTE_VALUES, Block, blocks, mix, prefix, run_hash
 
-#: Candidates of a trie: some 40 MB of slots, words and phrases.
-SHARD = 1 << 19
+#: Candidates of a trie (some 15 MB of slots and words, a third of it while it travels), and tries of a
+#: pass over the texts.
+SHARD, AT_A_TIME = 1 << 19, 2
 #: Bytes of text that a task reads at a time.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
 #: Rows of a language that one task sorts; more are first cut down in parts.
 RANKED = 1 << 16
 NO_LANGUAGE = "und"
@@ -54,54 +58,89 @@ def hashes(values: pa.Array) -> np.ndarray:
     return run_hash(prefix(_BYTE_VALUES[data], BYTE_BASE), at[:-1], at[1:], BYTE_BASE)
 
 
-def slots(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-    """Places in the bitmap of phrases, from hashes of their language and words."""
+def phrase_hashes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """Hashes of phrases, from those of their language and words."""
     h = lang
     for w in words:
         h = mix(h * U(0x9E3779B97F4A7C15) + w)
-    return (mix(h) % U(filters.BITS)).astype(np.int64)
+    return mix(h)
+
+
+def slots(hashed: np.ndarray) -> np.ndarray:
+    """Places of hashes in a bitmap."""
+    return (hashed % U(filters.BITS)).astype(np.int64)
 
 
 class Places:
-    """Words of a block of texts: ``piece`` tells which follow each other."""
+    """Words of a block of texts: ``piece`` tells which follow each other.  What a pass does not
+    use, the words themselves say, is not computed."""
 
-    def __init__(self, block, langs: pa.Array):
-        data = block.data
-        self.piece = np.cumsum(_CUTS[data])[block.starts] if len(block.starts) else np.zeros(0, np.int64)
+    def __init__(self, block: Block, langs: pa.Array):
+        self.block = block
+        self.piece = np.cumsum(_CUTS[block.data], dtype=np.int32)[block.starts]
         text = np.repeat(np.arange(block.n), np.diff(block.bounds))
-        self.piece = self.piece + text * (len(data) + 1)
-        words = joined(data, block.starts, block.ends)
-        found = pc.dictionary_encode(words)
-        self.words = found.dictionary.cast(pa.large_string())
-        self.word = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.piece = self.piece + text * (len(block.data) + 1)
         found = pc.dictionary_encode(langs)
         self.langs = found.dictionary.cast(pa.large_string())
         self.lang = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
         # places whose word is followed by another one of the piece
         self.follows = np.append(self.piece[1:] == self.piece[:-1], np.zeros(min(len(text), 1), bool))
 
+    @cached_property
+    def hash(self) -> np.ndarray:
+        return self.block.hashes()
+
+    def encoded(self, at: np.ndarray | slice = slice(None)) -> tuple[pa.Array, np.ndarray]:
+        """Distinct words at some places, in order, and which of them each place has."""
+        words = joined(self.block.data, self.block.starts[at], self.block.ends[at])
+        found = pc.dictionary_encode(words)
+        return found.dictionary.cast(pa.large_string()), found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+    @cached_property
+    def whole(self) -> tuple[pd.Series, np.ndarray]:
+        """All distinct words, and which of them each place has."""
+        words, word = self.encoded()
+        return words.to_pandas(), word
+
     def counted(self, at: np.ndarray, k: int) -> tuple[list[pa.Array], np.ndarray]:
         """Distinct (language, k words) at the places ``at``, and how often each is there."""
+        used = np.zeros(len(self.piece), bool)
+        for j in range(k):
+            used[at + j] = True
+        words, found = self.encoded(np.flatnonzero(used))
+        word = (np.cumsum(used) - 1)[at]  # the place among those used; k words are side by side there
         key = self.lang[at]
         for j in range(k):
-            key = codes(pa.array(key)) * len(self.words) + self.word[at + j]
+            key = codes(pa.array(key)) * len(words) + found[word + j]
         _, first, count = np.unique(key, return_index=True, return_counts=True)
-        first = at[first]
-        parts = [pc.take(self.words, pa.array(self.word[first + j])) for j in range(k)]
+        parts = [pc.take(words, pa.array(found[word[first] + j])) for j in range(k)]
         phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-        return [pc.take(self.langs, pa.array(self.lang[first])), phrase], count
+        return [pc.take(self.langs, pa.array(self.lang[at[first]])), phrase], count
 
-    def among(self, bitmap: np.ndarray, k: int) -> np.ndarray:
-        """Whether the k words from each place on, of one piece, may be frequent."""
-        h, lang = hashes(self.words)[self.word], hashes(self.langs)[self.lang]
-        n = len(h)
-        good = np.ones(n, bool)
+    def runs(self, k: int) -> np.ndarray:
+        """Places from which k words of one piece go on."""
+        good = np.ones(len(self.piece), bool)
         for j in range(1, k):
-            good[: n - j] &= self.piece[: n - j] == self.piece[j:]
-            good[max(0, n - j) :] = False
-        at = np.flatnonzero(good)
-        good[at] = filters.held(bitmap, slots(lang[at], [h[at + j] for j in range(k)]))
-        return good
+            good[: len(good) - j] &= self.piece[: len(good) - j] == self.piece[j:]
+            good[max(0, len(good) - j) :] = False
+        return np.flatnonzero(good)
+
+    def hashed(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of the k words from each place on."""
+        lang = hashes(self.langs)[self.lang[at]]
+        return phrase_hashes(lang, [self.hash[at + j] for j in range(k)])
+
+    def held(self, bitmap: np.ndarray, k: int) -> np.ndarray:
+        """Places from which k words of one piece go on that may be frequent."""
+        at = self.runs(k)
+        return at[filters.held(bitmap, slots(self.hashed(at, k)))]
+
+    def candidates(self, bitmap: np.ndarray, k: int) -> np.ndarray:
+        """Places from which k words of one piece go on whose parts of k - 1 words may be frequent."""
+        good = np.zeros(len(self.piece) + 1, bool)
+        good[self.held(bitmap, k - 1)] = True
+        at = self.runs(k)
+        return at[good[at] & good[at + 1]]
 
 
 def places(batch: pa.RecordBatch) -> Iterator[Places]:
@@ -111,6 +150,7 @@ def places(batch: pa.RecordBatch) -> Iterator[Places]:
     for block in blocks(text, AT_ONCE, _INSIDE):
         block.data = _LOWER[block.data]
         yield Places(block, lang.slice(block.first, block.n))
+    pa.default_memory_pool().release_unused()  # idle workers stay, what they held should not
 
 
 def _batch(columns: list, count: np.ndarray) -> pa.RecordBatch:
@@ -124,8 +164,8 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p in places(batch):
-                if len(p.word):
-                    columns, count = p.counted(np.arange(len(p.word)), 1)
+                if len(p.piece):
+                    columns, count = p.counted(np.arange(len(p.piece)), 1)
                     yield _batch(columns, count)
                     total = np.bincount(p.lang, minlength=len(p.langs))
                     yield _batch([p.langs, pa.nulls(len(p.langs), pa.string())], total)
@@ -141,50 +181,84 @@ def bitmap_of(phrases: DataFrame) -> bytes:
         for batch in batches:
             words = batch.column("phrase").to_pandas().str.split(" ", expand=True)
             parts = [hashes(pa.array(words[c], pa.large_string())) for c in words.columns]
-            at = slots(hashes(batch.column("lang").cast(pa.large_string())), parts)
+            at = slots(phrase_hashes(hashes(batch.column("lang").cast(pa.large_string())), parts))
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], ["slot"])
 
     return filters.bitmap(phrases.select("lang", "phrase").mapInArrow(run, "slot long"))
 
 
+def seen_often(texts: DataFrame, shorter: bytes, k: int, least: int) -> bytes:
+    """Bitmap of the hashes that k words on candidate places have ``least`` times or more."""
+    shared = texts.sparkSession.sparkContext.broadcast(shorter)  # of a fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            for p in places(batch):
+                hashed = p.hashed(p.candidates(bitmap, k), k).astype(np.uint32)
+                hashed, count = np.unique(hashed, return_counts=True)
+                columns = [pa.array(hashed.view(np.int32)), pa.array(np.minimum(count, least), pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["hash", "f"])
+
+    seen = texts.mapInArrow(run, "hash int, f int").groupBy("hash").agg(F.sum("f").alias("f"))
+    # the slot of the whole hash, as BITS divides 2**32
+    return filters.bitmap(seen.where(F.col("f") >= least).select(F.pmod("hash", F.lit(filters.BITS)).alias("slot")))
+
+
 def candidates(texts: DataFrame, shorter: DataFrame, k: int, least: int) -> DataFrame:
-    """lang, phrase of k words that occur ``least`` times, from the frequent ones of k - 1."""
-    bitmap = texts.sparkSession.sparkContext.broadcast(bitmap_of(shorter))  # of a fixed size
+    """lang, phrase of k words that may occur ``least`` times, from the frequent ones of k - 1."""
+    parts = bitmap_of(shorter)
+    shared = texts.sparkSession.sparkContext.broadcast((parts, seen_often(texts, parts, k, least)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = np.frombuffer(bitmap.value, np.uint8)
+        parts, whole = (np.frombuffer(b, np.uint8) for b in shared.value)
         for batch in batches:
             for p in places(batch):
-                good = p.among(filled, k - 1)
-                at = np.flatnonzero(good[:-1] & good[1:] & p.follows[:-1])
+                at = p.candidates(parts, k)
+                at = at[filters.held(whole, slots(p.hashed(at, k)))]
                 if len(at):
-                    columns, count = p.counted(at, k)
-                    yield _batch(columns, np.minimum(count, least))
+                    columns = [c.cast(pa.string()) for c in p.counted(at, k)[0]]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase"])
 
-    seen = texts.mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return seen.where(F.col("f") >= least).select("lang", "phrase")
+    return texts.mapInArrow(run, "lang string, phrase string").distinct()
 
 
 class Counter:
     """The trie of some candidates, with what it takes to read texts by it."""
 
-    def __init__(self, lang: pd.Series, phrase: pd.Series):
-        words = phrase.str.split(" ", expand=True)
-        many = pd.concat([words[c] for c in words.columns]).dropna()
-        self.words = many.value_counts().index  # common words have low symbols, so tries are dense
-        self.langs = pd.Index(lang.unique())
-        rows = [len(self.words) + 1 + self.langs.get_indexer(lang)]
-        rows += [self.words.get_indexer(words[c]) + 1 for c in words.columns]
-        self.trie, self.slot = build(np.stack(rows, axis=1))
-        self.lang, self.phrase = pa.array(lang, pa.string()), pa.array(phrase, pa.string())
-        self.depth = len(words.columns)
-
-    def add(self, total: np.ndarray, p: Places) -> None:
-        """Adds the accepting states of all places of a block to ``total``."""
-        word = self.words.get_indexer(p.words.to_pandas()) + 1
-        lang = self.langs.get_indexer(p.langs.to_pandas())
+    def __init__(self, lang: pa.Array, phrase: pa.Array):
+        split = pc.split_pattern(phrase.cast(pa.large_string()), " ")
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        flat = pc.dictionary_encode(split.flatten())
+        word = flat.indices.to_numpy(zero_copy_only=False)
+        # common words have low symbols, so that tries are dense
+        often = np.bincount(word, minlength=len(flat.dictionary))
+        symbol = np.empty(len(often), np.int64)
+        symbol[np.argsort(-often, kind="stable")] = np.arange(1, len(often) + 1)
+        self.words, self.symbols = flat.dictionary, symbol
+        found = pc.dictionary_encode(lang)
+        self.langs = found.dictionary
+        rows = np.zeros((len(lang), 1 + int(sizes.max(initial=0))), np.int64)
+        rows[:, 0] = len(symbol) + 1 + found.indices.to_numpy(zero_copy_only=False)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        rows[np.repeat(np.arange(len(lang)), sizes), 1 + place] = symbol[word]
+        self.depth = rows.shape[1] - 1
+        self.trie, slot = build(rows)
+        self.slot = slot.astype(np.int32)  # of each candidate
+
+    def start(self) -> None:
+        """Makes ready for counting: in the task that counts, as it need not travel."""
+        self.known = {kind: pd.Index(values.to_pandas()) for kind, values in (("word", self.words), ("lang", self.langs))}
+        self.symbol_of = np.append(self.symbols, 0)  # the last one stands for other words
+        self.total = np.zeros(len(self.trie.check), np.int64)
+
+    def add(self, p: Places) -> None:
+        """Counts the accepting states of all places of a block."""
+        words, place = p.whole
+        word = self.symbol_of[self.known["word"].get_indexer(words)]
+        lang = self.known["lang"].get_indexer(p.langs.to_pandas())
         begin = self.trie.step(np.zeros(len(lang), np.int64), np.where(lang < 0, 0, len(self.words) + 1 + lang))
-        symbol, state = word[p.word], begin[p.lang]
+        symbol, state = word[place], begin[p.lang]
         at = np.flatnonzero(state > 0)
         state = state[at]
         for level in range(self.depth):
@@ -193,35 +267,66 @@ class Counter:
                 at, state = at[on], state[on]
             state = self.trie.step(state, symbol[at + level])
             at, state = at[state > 0], state[state > 0]
-            total += np.bincount(state, minlength=len(total))
+            self.total += np.bincount(state, minlength=len(self.total))
+
+    def counts(self, shard: int) -> pa.RecordBatch:
+        """Candidates that were seen, by their number, and how often."""
+        seen = self.total[self.slot]
+        at = np.flatnonzero(seen)
+        columns = [pa.array(np.full(len(at), shard), pa.int32()), pa.array(at, pa.int32()), pa.array(seen[at])]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "number", "f"])
+
+
+def tries_of(phrases: DataFrame, shards: int) -> DataFrame:
+    """shard, number, lang, phrase of a table of phrases, dealt into shards of about ``SHARD`` and numbered in
+    each; the first row of a shard also has its packed trie, as counter."""
+
+    def run(part: pa.Table) -> pa.Table:
+        part = part.combine_chunks()
+        lang, phrase = (part.column(c).combine_chunks() for c in ("lang", "phrase"))
+        counter = zlib.compress(pickle.dumps(Counter(lang, phrase)), 1)
+        packed = pa.chunked_array([pa.array([counter], pa.binary()), pa.nulls(len(lang) - 1, pa.binary())])
+        number = pa.array(np.arange(len(lang)), pa.int32())
+        columns = {"shard": part.column("shard"), "number": number, "lang": lang, "phrase": phrase, "counter": packed}
+        return pa.table(columns)
+
+    shard = F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)).cast("int")
+    schema = "shard int, number int, lang string, phrase string, counter binary"
+    return phrases.withColumn("shard", shard).groupBy("shard").applyInArrow(run, schema)
 
 
 def trie_counts(texts: DataFrame, phrases: DataFrame, shard: int = SHARD) -> DataFrame:
     """lang, phrase, f of all ``phrases`` (a staged table), by tries of about ``shard`` of them."""
     spark = texts.sparkSession
     shards = -(-phrases.count() // shard)
-    parts = [stage(spark.createDataFrame([], COUNTED), "counts")]
-    for i in range(shards):
-        mine = phrases.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)) == i).toPandas()
-        shared = spark.sparkContext.broadcast(Counter(mine["lang"], mine["phrase"]))
+    counted = "shard int, number int, f long"
+    parts: list[DataFrame] = []
+    tries = stage(tries_of(phrases, max(shards, 1)), "tries")
+    for first in range(0, shards, AT_A_TIME):
+        few = F.col("shard").between(first, first + AT_A_TIME - 1)
+        mine = tries.where(few & F.col("counter").isNotNull()).select("shard", "counter").collect()
+        shared = spark.sparkContext.broadcast([(r.shard, bytes(r.counter)) for r in mine])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counter = shared.value
-            total = np.zeros(len(counter.trie.check), np.int64)
+            counters = [(i, pickle.loads(zlib.decompress(c))) for i, c in shared.value]
+            for _, counter in counters:
+                counter.start()
             for batch in batches:
                 for p in places(batch):
-                    counter.add(total, p)
-            seen = total[counter.slot]
-            at = pa.array(np.flatnonzero(seen))
-            yield _batch([pc.take(counter.lang, at), pc.take(counter.phrase, at)], seen[seen > 0])
+                    for _, counter in counters:
+                        counter.add(p)
+            for i, counter in counters:
+                yield counter.counts(i)
 
-        found = texts.mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        found = texts.mapInArrow(run, counted).groupBy("shard", "number").agg(F.sum("f").alias("f"))
         parts.append(stage(found, "counts"))
         shared.destroy()
+    if not parts:
+        return phrases.withColumn("f", F.lit(0).cast("long"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return tries.select("shard", "number", "lang", "phrase").join(out, ["shard", "number"]).select("lang", "phrase", "f")
 
 
 def looked_up(rows: DataFrame, counts: DataFrame, key: str, name: str, words: int) -> DataFrame:
@@ -301,7 +406,8 @@ def collocations(
     words = words.where(F.col("phrase").isNotNull())
     pairs = stage(candidates(texts, words, 2, least), "pairs")
     triples = stage(candidates(texts, pairs, 3, least), "triples")
-    phrases = trie_counts(texts, pairs.unionByName(triples), shard)
+    phrases = trie_counts(texts, pairs.unionByName(triples), shard).where(F.col("f") >= least)
+    phrases = stage(phrases, "phrases")
     everything = totals.agg(F.sum("n")).first()[0] or 0
     rows = stage(not_inside(scored(words.unionByName(phrases), everything)), "scored")
     # one row a language: no more than 2,000 of a language's rows are left to meet it

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_awkward import empty, frame, texts
 
-from tallymart.llm import collocations, tries
+from tallymart.llm import collocations, filters, tries
 from tallymart.llm.shared import stage
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -101,6 +101,8 @@ def test_large_tries_are_dense():
 @pytest.mark.parametrize("least, shard, limit", [(10, 1 << 19, 2000), (3, 40, 2000), (2, 100, 7)])
 def test_phrases(spark, monkeypatch, least, shard, limit):
     rows = some_rows()
+    if shard < 1000:
+        monkeypatch.setattr(collocations, "AT_A_TIME", 2)
     if limit == 7:
         monkeypatch.setattr(collocations, "RANKED", 50)
         monkeypatch.setattr(collocations, "AT_ONCE", 300)
@@ -135,4 +137,5 @@ def test_hashes_tell_phrases_apart():
     h = collocations.hashes(words)
     assert len(set(h.tolist())) == 4 and (collocations.hashes(words.slice(1, 2)) == h[1:3]).all()
     lang = h[:1]
-    assert collocations.slots(lang, [h[:1], h[1:2]]) != collocations.slots(lang, [h[1:2], h[:1]])
+    both = [collocations.phrase_hashes(lang, [h[i : i + 1], h[j : j + 1]]) for i, j in ((0, 1), (1, 0))]
+    assert both[0] != both[1] and (collocations.slots(both[0]) < filters.BITS).all()
