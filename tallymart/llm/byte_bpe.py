@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tallymart.llm.shared import stage
 
 CHUNK, OVERLAP = 1 << 15, 1 << 10
-#: Pre-tokens whose ids a process remembers (some 50 MB); it starts anew when there are more.
-REMEMBERED = 150_000
+#: Pre-tokens whose ids a process remembers (some 20 MB); it starts anew when there are more.
+REMEMBERED = 50_000
 #: Bytes of a pre-token up to which its pairs are looked through for each merge.
 SHORT = 24
 #: Characters of text after which a task hands on what it has.

@@ -37,7 +37,7 @@ EPOCHS, BATCH, RATE = 6, 32, 0.02
 #: once tells little, and the decay of word and trigram vectors.
 PRIOR, DECAY = 50.0, 0.02
 #: Words whose gate inputs a task keeps at a time; it starts anew when there are more.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 SCHEMA = "doc_id long, score double"
 _TOKEN = re.compile(r"[^\W\d_]+|\d+")
 
