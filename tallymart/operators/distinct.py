@@ -22,7 +22,7 @@ PART, ROW, NUMBER, DAY, PIECE, BITS = "__part", "__row", "__number", "day", "pie
 ROW_MASK = (1 << 33) - 1
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read back: numbers must not change when a task runs again."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -45,7 +45,7 @@ def numbered(df: DataFrame, key: str, by: str) -> DataFrame:
             F.monotonically_increasing_id().bitwiseAND(ROW_MASK).alias(ROW),
         )
     )
-    placed = _stored(placed, "numbers")
+    placed = stored(placed, "numbers")
     starts, total = [], 1
     for r in sorted(placed.groupBy(PART).count().collect()):
         starts.append((r[PART], total))
@@ -72,7 +72,7 @@ class DistinctCounts:
         piece = F.bitmap_bucket_number(NUMBER).alias(PIECE)
         bits = F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias(BITS)
         found = rows.groupBy(DAY, *[F.col(quoted(g)) for g in groups], piece).agg(bits)
-        return cls(_stored(found, "bitmaps"), groups)
+        return cls(stored(found, "bitmaps"), groups)
 
     def count(self, *by: str, name: str = "count", where: Column | str | None = None) -> DataFrame:
         """Distinct keys per value of some of the groups, or of all rows; ``where`` tests day and groups."""

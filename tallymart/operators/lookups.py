@@ -10,12 +10,17 @@ the result is that of a join on the key, and both sides are dealt anew.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.operators.distinct import stored
 from tallymart.operators.rules import quoted
 
 FOUND = "__found"
+# Orphaned keys that a lookup sends to all tasks; with more of them the child is shuffled instead.
+FEW_ORPHANS = 200_000
 
 
 def split_join(child: DataFrame, parent: DataFrame, key: str, how: str = "left") -> DataFrame:
@@ -61,3 +66,35 @@ def orphan(key: str, marker: str = FOUND) -> str:
 def orphan_or_unknown(key: str, marker: str = FOUND) -> str:
     """As ``orphan``, but NULL where the key itself is NULL."""
     return f"if({key} IS NULL, NULL, {marker} IS NULL)"
+
+
+def with_orphans(child: DataFrame, parent: DataFrame, key: str, marker: str, few: int = FEW_ORPHANS) -> DataFrame:
+    """``marker`` is TRUE where a key is present but has no parent, else NULL; rows as in ``child``.
+
+    The distinct orphaned keys are stored in the shared folder and counted.  Where they are few, they
+    are sent to the child, whose rows then need no shuffle, however large the parent; otherwise it
+    is the join of ``with_parent``.
+    """
+    keys = child.select(quoted(key)).where(F.col(quoted(key)).isNotNull()).distinct()
+    lost = stored(split_join(keys, parent_keys(parent, key), key, "left_anti"), "orphans")
+    if lost.limit(few + 1).count() <= few:
+        return split_join(child, F.broadcast(lost.withColumn(marker, F.lit(True))), key, "left")
+    found = with_parent(child, parent, key)
+    return found.withColumn(marker, F.expr(f"if({orphan(quoted(key))}, true, NULL)")).drop(FOUND)
+
+
+def unique_parents(parents: dict[str, DataFrame]) -> set[str]:
+    """Those keys that no two rows of their parent share.  NULL keys, which no child finds, may repeat."""
+    keys = [
+        parent.select(F.lit(key).alias("name"), F.col(quoted(key)).alias("value")).dropna()
+        for key, parent in parents.items()
+    ]
+    repeated = reduce(DataFrame.unionAll, keys).groupBy("name", "value").count().where("count > 1")
+    return set(parents) - {r.name for r in repeated.select("name").distinct().collect()}
+
+
+def one_per_key(parent: DataFrame, key: str) -> DataFrame:
+    """A parent whose key is unique, as an aggregate on it: a left join with it that nothing is asked
+    from can be removed, as it cannot multiply the child."""
+    others = [F.first(F.col(quoted(c))).alias(c) for c in parent.columns if c != key]
+    return parent.where(F.col(quoted(key)).isNotNull()).groupBy(quoted(key)).agg(*others)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions import whole_days
 from tallymart.operators import rules as r
-from tallymart.operators.lookups import orphan, orphan_or_unknown, with_parent
+from tallymart.operators.lookups import orphan, orphan_or_unknown, with_orphans, with_parent
 from tallymart.operators.rules import Rule, apply_rules
 from tallymart.sources.adapters import Bronze, BronzePlan
 
@@ -185,6 +185,22 @@ def order_item_rules() -> list[Rule]:
     ]
 
 
+# Flags of an item that need the id of its product or seller.
+ITEM_PARENT_FLAGS = ("missing_product_id", "missing_seller_id")
+
+
+def item_facts(bronze_items: DataFrame) -> DataFrame:
+    """The items without their flags."""
+    return bronze_items.select(
+        *trimmed("order_id"),
+        "order_item_id",
+        *trimmed("product_id", "seller_id"),
+        "shipping_limit_date",
+        "price",
+        "freight_value",
+    )
+
+
 def order_items(
     bronze_items: DataFrame,
     silver_orders: DataFrame,
@@ -194,43 +210,33 @@ def order_items(
     """Parents are looked up by distinct key, so a duplicate parent cannot multiply items.
 
     The orders lookup brings the marker and the purchase time at once; where an
-    order id occurs twice, the latest purchase time is the one compared.  Flags
-    are added after the joins, so that the shuffled rows stay narrow.
+    order id occurs twice, the latest purchase time is the one compared.  It is the only one
+    that shuffles the items: products and sellers are looked up by their orphans, before it, so
+    that what is only asked whether a product or seller is known need not carry their ids.
     """
-    standard = bronze_items.select(
-        *trimmed("order_id"),
-        "order_item_id",
-        *trimmed("product_id", "seller_id"),
-        "shipping_limit_date",
-        "price",
-        "freight_value",
-    )
+    standard = item_facts(bronze_items)
+    with_product = with_orphans(standard, bronze_products, "product_id", "product_lost")
+    with_seller = with_orphans(with_product, bronze_sellers, "seller_id", "seller_lost")
+    named = apply_rules(
+        with_seller,
+        [
+            *[rule for rule in order_item_rules() if rule.name in ITEM_PARENT_FLAGS],
+            Rule("invalid_product_reference", "product_lost IS NOT NULL"),
+            Rule("invalid_seller_reference", "seller_lost IS NOT NULL"),
+        ],
+    ).drop("product_lost", "seller_lost")
     with_order = with_parent(
-        standard,
+        named,
         silver_orders,
         "order_id",
         marker="order_found",
         carry={"purchased_at": F.max("order_purchase_timestamp")},
     )
-    with_product = with_parent(
-        with_order,
-        bronze_products,
-        "product_id",
-        marker="product_found",
-    )
-    with_seller = with_parent(
-        with_product,
-        bronze_sellers,
-        "seller_id",
-        marker="seller_found",
-    )
     checked = apply_rules(
-        with_seller,
+        with_order,
         [
-            *order_item_rules(),
+            *[rule for rule in order_item_rules() if rule.name not in ITEM_PARENT_FLAGS],
             Rule("invalid_order_reference", orphan("order_id", "order_found")),
-            Rule("invalid_product_reference", orphan("product_id", "product_found")),
-            Rule("invalid_seller_reference", orphan("seller_id", "seller_found")),
             Rule("shipping_limit_before_purchase", r.before("shipping_limit_date", "purchased_at")),
         ],
     )
@@ -426,6 +432,10 @@ class Silver:
     order_payments: DataFrame
     order_reviews: DataFrame
 
+    @property
+    def item_facts(self) -> DataFrame:
+        return self.order_items
+
 
 class SilverPlan:
     """The seven entities as lazy plans over bronze, each built when it is first asked for."""
@@ -442,6 +452,10 @@ class SilverPlan:
         bronze = self._bronze
         return order_items(bronze.order_items, self.orders, bronze.products, bronze.sellers)
 
+    @cached_property
+    def item_facts(self) -> DataFrame:
+        return item_facts(self._bronze.order_items)
+
     @cached_property
     def customers(self) -> DataFrame:
         return customers(self._bronze.customers)

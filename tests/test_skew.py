@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tallymart.operators import lookups
 from tallymart.operators.integrity import orphan_rows
 from tallymart.operators.lookups import split_join, with_parent
 
@@ -67,3 +68,12 @@ def test_hot_rows_reach_many_tasks(spark, child, parent, operator):
 def test_unused_lookups_are_dropped(child, parent):
     plan = with_parent(child, parent, "key").select("n")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_orphans_are_found_without_a_shuffle_of_the_child(child, parent):
+    expected = [(r.key, r.n, r.key is not None and r.key not in ("hot", "k2", "k5") or None) for r in child.limit(3000).collect()]
+    for few in (lookups.FEW_ORPHANS, 1):  # sent to the child; shuffled
+        found = lookups.with_orphans(child.limit(3000), parent, "key", "lost", few)
+        assert rows(found) == sorted(expected, key=lambda r: tuple((v is not None, str(v)) for v in r))
+    plan = lookups.with_orphans(child, parent, "key", "lost").select("lost", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
