@@ -74,8 +74,8 @@ def write_verified(
 
     Rows and flag counts seen while writing must be those of the written version; its rows those
     of ``source`` (a frame, or what was observed as ``source_rows`` by the job that writes); and the key
-    must be unique where that is promised.  On failure readers go on to see the version they saw, and the
-    new one stays unpublished, to be looked at.
+    must be unique where that is promised (else it is not counted, which would shuffle all rows).  On
+    failure readers go on to see the version they saw, and the new one stays unpublished, to be looked at.
     """
     spark, flags = df.sparkSession, list(flags)
     aside = f"{name}__staged_{uuid.uuid4().hex[:8]}"
@@ -89,7 +89,7 @@ def write_verified(
             spark.sql(f"DROP TABLE IF EXISTS {aside}")
     seen = {"total_rows": version.statistics.rows} | version.statistics.flags
     table = spark.table(version.stored)
-    found = grain_check(table, {"distinct_keys": key} if key else {}, flags).first().asDict()
+    found = grain_check(table, {"distinct_keys": key} if unique else {}, flags).first().asDict()
     wrong = {k: (v, found[k]) for k, v in seen.items() if found[k] != v}
     if isinstance(source, Observation) and source.get["source_rows"] != found["total_rows"]:
         wrong["source_rows"] = (source.get["source_rows"], found["total_rows"])

@@ -107,3 +107,20 @@ def test_a_failing_check_keeps_the_old_table(spark, built):
     # what failed stays beside it, unpublished
     last = versions.versions(spark, "t_silver.sellers")[-1]
     assert spark.table(last).count() == 2 * old.count()
+
+
+def test_keys_that_may_repeat_are_not_counted(spark, monkeypatch):
+    from tallymart.operators.integrity import grain_check
+
+    asked = []
+
+    def noted(df, keys, flags=()):
+        asked.append(dict(keys))
+        return grain_check(df, keys, flags)
+
+    monkeypatch.setattr(layers, "grain_check", noted)
+    layers.create_layer(spark, "keyed")
+    df = spark.createDataFrame([("a", True), ("b", None)], "k string, f boolean")
+    layers.write_verified(df, "keyed.free", flags=["f"], key=["k"])
+    layers.write_verified(df, "keyed.bound", flags=["f"], key=["k"], unique=True)
+    assert asked == [{}, {"distinct_keys": ["k"]}]
