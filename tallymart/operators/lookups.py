@@ -83,18 +83,28 @@ def with_orphans(child: DataFrame, parent: DataFrame, key: str, marker: str, few
     return found.withColumn(marker, F.expr(f"if({orphan(quoted(key))}, true, NULL)")).drop(FOUND)
 
 
-def unique_parents(parents: dict[str, DataFrame]) -> set[str]:
-    """Those keys that no two rows of their parent share.  NULL keys, which no child finds, may repeat."""
+def unique_parents(child: DataFrame, parents: dict[str, DataFrame], few: int = FEW_ORPHANS) -> set[str]:
+    """Those keys of which no row of ``child`` finds two parents.
+
+    Keys that repeat in a parent are stored; where they are few, the child is searched for them,
+    without a shuffle.  NULL keys, which no child finds, may repeat.
+    """
     keys = [
         parent.select(F.lit(key).alias("name"), F.col(quoted(key)).alias("value")).dropna()
         for key, parent in parents.items()
     ]
     repeated = reduce(DataFrame.unionAll, keys).groupBy("name", "value").count().where("count > 1")
-    return set(parents) - {r.name for r in repeated.select("name").distinct().collect()}
+    repeated = stored(repeated.select("name", "value"), "repeated")
+    unique = set(parents)
+    for name, n in repeated.groupBy("name").count().collect():
+        values = F.broadcast(repeated.where(F.col("name") == name).select(F.col("value").alias(name)))
+        if n > few or not child.select(quoted(name)).join(values, name, "left_semi").isEmpty():
+            unique.remove(name)
+    return unique
 
 
 def one_per_key(parent: DataFrame, key: str) -> DataFrame:
-    """A parent whose key is unique, as an aggregate on it: a left join with it that nothing is asked
-    from can be removed, as it cannot multiply the child."""
+    """One row per key, as an aggregate on it: a left join with it that nothing is asked from
+    can be removed, as it cannot multiply the child.  For keys that ``unique_parents`` names."""
     others = [F.first(F.col(quoted(c))).alias(c) for c in parent.columns if c != key]
     return parent.where(F.col(quoted(key)).isNotNull()).groupBy(quoted(key)).agg(*others)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -9,25 +10,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.functions import exact_sum, rounded_ratio
+from tallymart.operators.lookups import one_per_key, split_join, unique_parents
 from tallymart.plans.silver import Silver, SilverPlan
 
 PERSON = "customer_unique_id"
 PERSON_ADDRESS = [PERSON, "customer_city", "customer_state"]
 
 
-def sales(silver: Silver | SilverPlan) -> DataFrame:
-    """Items drive; orders, products and sellers only add attributes (NULL where unknown)."""
-    items = silver.order_items.select(
-        "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
-    )
-    parents = {
+def sales_parents(silver: Silver | SilverPlan) -> dict[str, DataFrame]:
+    """What the sales mart adds to an item, by the key that it is found with."""
+    return {
         "order_id": silver.orders.select(
             "order_id", "customer_id", "order_purchase_timestamp", "order_status"
         ),
         "product_id": silver.products.select("product_id", "product_category_name"),
         "seller_id": silver.sellers.select("seller_id", "seller_state"),
     }
-    wide = reduce(lambda facts, key: facts.join(parents[key], key, "left"), parents, items)
+
+
+def sales(silver: Silver | SilverPlan, unique: Iterable[str] = ()) -> DataFrame:
+    """Items drive; orders, products and sellers only add attributes (NULL where unknown).
+
+    A parent whose key is known to be ``unique`` is looked up so that the join, and the shuffle of
+    all items for it, goes where none of its attributes is asked for.
+    """
+    wide = silver.item_facts.select(
+        "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
+    )
+    for key, parent in sales_parents(silver).items():
+        if key in unique:
+            wide = split_join(wide, one_per_key(parent, key), key)
+        else:
+            wide = wide.join(parent, key, "left")
     return wide.select(
         "order_id",
         "order_item_id",
@@ -45,7 +59,7 @@ def sales(silver: Silver | SilverPlan) -> DataFrame:
 
 
 def _item_totals(silver: Silver | SilverPlan) -> DataFrame:
-    return silver.order_items.groupBy("order_id").agg(
+    return silver.item_facts.groupBy("order_id").agg(
         F.count("order_item_id").alias("items"),
         exact_sum("price").alias("product_value"),
         exact_sum("freight_value").alias("freight"),
@@ -183,6 +197,11 @@ class Gold:
     customers: DataFrame
     deliveries: DataFrame
 
+    @property
+    def late(self) -> dict[str, DataFrame]:
+        """Parents of the sales mart whose attributes are better looked up for chosen rows: none, they are stored."""
+        return {}
+
 
 class GoldPlan:
     """The marts as lazy plans over the silver entities, each built when it is first asked for."""
@@ -192,7 +211,21 @@ class GoldPlan:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return sales(self._silver)
+        return sales(self._silver, self.unique)
+
+    @cached_property
+    def unique(self) -> set[str]:
+        """Keys with which no item finds two parents; the keys are read for it."""
+        return unique_parents(self._silver.item_facts, sales_parents(self._silver))
+
+    @cached_property
+    def late(self) -> dict[str, DataFrame]:
+        """Products and sellers, one row per key, by their key, where no item finds two."""
+        keys = ("product_id", "seller_id")
+        if not self.unique.issuperset(keys):
+            return {}
+        parents = sales_parents(self._silver)
+        return {key: one_per_key(parents[key], key) for key in keys}
 
     @cached_property
     def customers(self) -> DataFrame:

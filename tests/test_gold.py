@@ -1,9 +1,12 @@
 from __future__ import annotations
 
-from conftest import ts
+from conftest import rows, ts
 
 from tallymart.operators.integrity import repeated_persons
 from tallymart.plans import gold as marts
+from tallymart.plans import reports
+from tallymart.plans.gold import GoldPlan
+from tallymart.plans.silver import SilverPlan
 
 HEX = "a" * 32
 
@@ -83,3 +86,39 @@ def test_unused_branches_leave_the_plan(tiny_gold):
     plan = tiny_gold.customers.select("customer_state", "total_spend")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "payment" not in text and "review" not in text
+
+
+class Parts:
+    """Silver entities of which some are replaced."""
+
+    def __init__(self, silver, **others):
+        for entity in ("orders", "products", "sellers", "item_facts"):
+            setattr(self, entity, others.get(entity, getattr(silver, entity)))
+
+
+class SalesOnly:
+    """The sales mart in the place of all three."""
+
+    def __init__(self, gold):
+        self.sales = self.customers = self.deliveries = gold.sales
+
+
+def joins(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+
+def test_parents_that_nothing_is_asked_from_are_not_joined(spark, tiny):
+    silver = SilverPlan(tiny)
+    keys = {"orders": "order_id", "products": "product_id", "sellers": "seller_id"}
+    parts = Parts(silver, **{e: getattr(silver, e).dropDuplicates([k]) for e, k in keys.items()})
+    twice = GoldPlan(Parts(parts, products=parts.products.unionAll(parts.products)))
+    unasked = spark.createDataFrame([("", None), ("", "x")], "product_id string, product_category_name string")
+    more = parts.products.unionByName(unasked, allowMissingColumns=True)  # no item has that key
+    once = GoldPlan(Parts(parts, products=more))
+    assert once.unique == {"order_id", "product_id", "seller_id"}
+    assert twice.unique == {"order_id", "seller_id"}
+    assert joins(reports.gold_table_counts(SalesOnly(once))) == 0
+    assert joins(reports.overview_revenue_by_category(once)) == 1
+    for gold in (once, twice):
+        assert rows(gold.sales) == rows(marts.sales(gold._silver))
+        assert rows(reports.sales_detail(gold, limit=50)) == rows(gold.sales.drop("customer_id"))
