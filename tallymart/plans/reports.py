@@ -18,6 +18,7 @@ from tallymart.functions import (
     two_day_bucket,
 )
 from tallymart.operators.filters import CustomerFilter, DeliveryFilter, SalesFilter
+from tallymart.operators.lookups import split_join
 from tallymart.operators.paging import asc, desc, page, top
 from tallymart.plans.gold import Gold, GoldPlan
 
@@ -254,11 +255,10 @@ def sales_order_status_distribution(gold: Marts, chosen: SalesFilter = ALL_SALES
 def sales_detail(
     gold: Marts, chosen: SalesFilter = ALL_SALES, limit: int = 25, offset: int = 0
 ) -> DataFrame:
+    """Attributes of products and sellers, which the order does not ask for, are looked up for
+    the page's rows only, where that cannot change their number."""
     rows = _sales(gold, chosen).drop("customer_id")
-    return page(
-        rows,
-        limit,
-        offset,
+    order = [
         desc("order_purchase_timestamp"),
         *[
             asc(name)
@@ -271,7 +271,15 @@ def sales_detail(
                 "freight_value",
             )
         ],
-    )
+    ]
+    late = gold.late
+    attributes = [c for key, parent in late.items() for c in parent.columns if c != key]
+    found = page(rows.drop(*attributes), limit, offset, *order)
+    if not late:
+        return found
+    for key, parent in late.items():
+        found = split_join(found, parent, key)
+    return found.select(*rows.columns).orderBy(*[key.column() for key in order])
 
 
 # --- customers -------------------------------------------------------------
