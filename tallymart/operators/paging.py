@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.operators.distinct import stored
 from tallymart.operators.rules import quoted
 
 # The page sizes offered for detail tables.
@@ -17,6 +18,8 @@ PAGE_SIZES = (25, 50, 100)
 PASSED = 2000
 # Ranges into which one pass divides the rows, and rows looked at per range to choose where.
 RANGES, LOOKED_AT = 64, 20
+# Part of all rows that a range may have at most for its rows to be kept while it is divided.
+KEPT = 1 / 8
 
 
 @dataclass(frozen=True)
@@ -63,22 +66,27 @@ def desc(name: str) -> Key:
 @dataclass
 class Range:
     """Rows from ``lower`` (included) to ``upper`` (not), both in order; None: open.  ``start`` rows come
-    before them, ``size`` are in it; ``parts`` divide it, once they were asked for."""
+    before them, ``size`` are in it; ``parts`` divide it, once they were asked for; ``rows`` are its
+    stored rows or those of a range around it, which ends ``within`` so many rows of all."""
 
     lower: tuple | None
     upper: tuple | None
     start: int
     size: int
     parts: list[Range] | None = None
+    rows: DataFrame | None = None
+    within: int = 0
 
 
 class Pages:
-    """Any page of a totally ordered result, however far down, without sorting or copying it.
+    """Any page of a totally ordered result, however far down, without sorting or copying all of it.
 
     Rows are counted by range of the order: a pass chooses up to ``RANGES`` - 1 rows that occur as
     the borders, from a small sample (any choice gives the same pages), and a second counts exactly the
-    rows between them.  The range that the page begins in is divided again until at most
-    ``PASSED`` of its rows come before the page.  Then only the rows from its first to the page's last
+    rows between them.  All rows are first divided by the leading column alone, so that a result with
+    joins moves nothing else for it.  The range that the page begins in is divided again until at most
+    ``PASSED`` of its rows come before the page; a range of at most ``KEPT`` of all rows is stored
+    before that, so that the result is not computed again for each pass.  Then only the rows from its first to the page's last
     border are read: the borders are range predicates on the order columns, which
     reach the files, and a heap of ``PASSED`` rows and a page finds the page among them.  The first
     page needs no pass but the last one.  Counts stay with the object, for further pages.
@@ -93,7 +101,7 @@ class Pages:
 
     def page(self, limit: int, offset: int) -> DataFrame:
         limit, offset = max(1, int(limit)), max(0, int(offset))
-        start, lower, upper = 0, None, None
+        start, lower, upper, source = 0, None, None, self.df
         if offset > PASSED:
             here = self._whole()
             if offset >= here.size:
@@ -104,8 +112,10 @@ class Pages:
                     upper = next(r for r in here.parts if stop <= r.start + r.size).upper
                 here = next(r for r in here.parts if offset < r.start + r.size)
             start, lower = here.start, here.lower
+            if here.rows is not None and stop <= here.within:
+                source = here.rows
         columns = [k.column() for k in self.order]
-        rows = self.df.filter(self._within(lower, upper))
+        rows = source.filter(self._within(lower, upper))
         return rows.orderBy(*columns).offset(offset - start).limit(limit)
 
     def _whole(self) -> Range:
@@ -116,24 +126,37 @@ class Pages:
     def _divided(self, here: Range) -> bool:
         """Counts the parts of a range; False where it does not divide."""
         if here.parts is None:
-            rows = self.df.filter(self._within(here.lower, here.upper))
-            borders = self._borders(rows, here.size)
-            place = self._place(borders, 0, len(borders)).alias("place")
-            counts = {r.place: r["count"] for r in rows.groupBy(place).count().collect()}
-            here.parts, start = [], here.start
-            edges = [here.lower, *borders, here.upper]
-            for i, (lower, upper) in enumerate(zip(edges, edges[1:])):
-                size = counts.get(i, 0)
-                if size:
-                    here.parts.append(Range(lower, upper, start, size))
-                start += size
+            if here is self._root:
+                here.parts = self._parts(here, 1)
+            elif here.rows is None and here.size <= KEPT * self._root.size:
+                rows = self.df.filter(self._within(here.lower, here.upper))
+                here.rows, here.within = stored(rows, "range"), here.start + here.size
+            if here.parts is None or len(here.parts) < 2:
+                here.parts = self._parts(here, len(self.order))
         return len(here.parts) > 1
 
-    def _borders(self, rows: DataFrame, size: int) -> list[tuple]:
+    def _parts(self, here: Range, leading: int) -> list[Range]:
+        """The parts of a range by so many leading columns of the order."""
+        rows = (self.df if here.rows is None else here.rows).filter(self._within(here.lower, here.upper))
+        borders = self._borders(rows, here.size, leading)
+        place = self._place(borders, 0, len(borders)).alias("place")
+        counts = {r.place: r["count"] for r in rows.groupBy(place).count().collect()}
+        parts, start = [], here.start
+        edges = [here.lower, *borders, here.upper]
+        for i, (lower, upper) in enumerate(zip(edges, edges[1:])):
+            size = counts.get(i, 0)
+            if size:
+                parts.append(Range(lower, upper, start, size, rows=here.rows, within=here.within))
+            start += size
+        return parts
+
+    def _borders(self, rows: DataFrame, size: int, leading: int) -> list[tuple]:
         share = min(1.0, RANGES * LOOKED_AT / size)
         types = {f.name: f.dataType for f in self.df.schema.fields}
-        sample = rows.sample(share, seed=7).orderBy(*[k.column() for k in self.order])
-        found = sample.select(*[_held(k.name, types[k.name]) for k in self.order]).collect()
+        order = self.order[:leading]
+        sample = rows.select(*[quoted(k.name) for k in order]).sample(share, seed=7)
+        sample = sample.orderBy(*[k.column() for k in order])
+        found = sample.select(*[_held(k.name, types[k.name]) for k in order]).collect()
         step = max(1, len(found) // RANGES)
         return list(dict.fromkeys(tuple(r) for r in found[step::step]))
 

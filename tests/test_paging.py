@@ -97,3 +97,15 @@ def test_rows_that_do_not_divide(spark, monkeypatch):
     df = spark.range(500).select(F.lit(1).alias("k"), "id")
     assert page(df, 7, 490, desc("k")).count() == 7
     assert page(df.where("id < 0"), 7, 490, desc("k")).count() == 0
+
+
+def test_a_far_page_divides_by_the_leading_column_and_keeps_its_range(spark, monkeypatch):
+    monkeypatch.setattr(paging, "PASSED", 100)
+    n = F.col("id")
+    df = spark.range(0, 60_000, 1, 4).select((n % 300).alias("day"), F.md5(n.cast("string")).alias("name"))
+    pages = Pages(df, desc("day"), asc("name"))
+    wanted = [tuple(r) for r in df.orderBy(F.desc("day"), "name").offset(30_030).limit(20).collect()]
+    assert [tuple(r) for r in pages.page(20, 30_030).collect()] == wanted
+    assert all(len(r.upper or "x") == 1 for r in pages._root.parts)
+    kept = [r for r in pages._root.parts if r.rows is not None]
+    assert [r.rows.count() for r in kept] == [r.size for r in kept] and len(kept) == 1
