@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 import tiktoken
 from llm_awkward import DATA, empty, frame, texts
 
@@ -310,6 +311,31 @@ def test_secrets_are_learned_where_they_are_rare(spark, monkeypatch):
     assert any(not secrets_scan.base(t) for t in seen) and len(seen) < 150
 
 
+def test_secrets_are_learned_from_all_rows(spark, monkeypatch):
+    """Samples of 20 among 600: threshold and precision are those of the examples of all rows, at every parallelism."""
+    monkeypatch.setattr(secrets_scan, "TRAIN_ROWS", 20)
+    monkeypatch.setattr(secrets_scan, "GROUP", 200)
+    rng = random.Random(21)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(i, f"plain words of document number {i} sent by user{i}@mail.example.org") for i in range(300)]
+    rows += [(1000 + i, f"here token = {''.join(rng.choices(letters, k=24))} ends and more") for i in range(300)]
+    rows += [(None, None), (1, ""), *rows[:50]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    examples = {(r.tobytes(), y) for _, t in rows for r, y in zip(*secrets_scan.examples([t or ""]), strict=True)}
+    seen = np.array([list(r) for r, _ in examples], np.uint8)
+    y = np.array([y for _, y in examples])
+    assert y.sum() == 300
+    held = secrets_scan.held_out(seen)
+    net = secrets_scan.fit(df.repartition(3))
+    score = net.score(seen[held])
+    secret = np.sort(score[y[held] == 1])
+    assert net.threshold == pytest.approx(secret[int((1 - secrets_scan.RECALL) * len(secret))], rel=1e-9)
+    above = score >= net.threshold * (1 - 1e-9)
+    assert net.precision == pytest.approx((above & (y[held] == 1)).sum() / above.sum()) and net.precision > 0.9
+    again = secrets_scan.fit(df.repartition(7))
+    assert all((again.p[k] == net.p[k]).all() for k in net.p) and again.threshold == net.threshold
+
+
 def test_candidates_that_touch_no_finding():
     """Against a look at every pair; and many findings in a long text take no time that grows with both."""
     rng = random.Random(14)
