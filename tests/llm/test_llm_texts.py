@@ -148,6 +148,42 @@ def test_merges_of_any_piece():
                 assert encoder._merge_long(raw) == encoder._merge_short(raw) == want
 
 
+def test_the_pattern_spelled_out():
+    """Finds what the pattern finds, in texts of any characters up to U+FFFF; others go to the pattern itself."""
+    encoder, rng = byte_bpe.Encoder(*ranks()), random.Random(8)
+    every = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    common = ["'s", "'ll", "'", " ", "  ", "\n", "\t", "\u3000", "\x1c", "\x85", "\xa0", "ab", "7", "½", "é", "日", "!", "_"]
+    found = ["".join(every), "".join(c + " " + c for c in every)]
+    found += ["".join(rng.choices(common, k=40) + rng.choices(every, k=5) + rng.choices(common, k=40)) for _ in range(3000)]
+    for text in found:
+        assert encoder.matcher(text) is encoder.plain
+        assert encoder.plain.findall(text) == encoder.pattern.findall(text)
+    assert encoder.matcher("a 🙂 b") is encoder.pattern
+    for other in (r"\bab", "[[:alpha:]]", "a{2}", "(?i)ab", "(?<=a)b", "[]a]", r"[a&&\p{L}]", r"(a)\1"):
+        assert byte_bpe.spelled_out(other) is None
+
+
+def test_pre_tokens_that_come_again_are_merged_once(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 50)
+    encoder, enc, merged = byte_bpe.Encoder(*ranks()), library(), Counter()
+    merge = encoder.merge
+    monkeypatch.setattr(encoder, "merge", lambda piece: merged.update([piece]) or merge(piece))
+    often = [f"qzx{a}vkj" for a in "abcdefghij"]
+    for i in range(100):
+        text = " ".join([*often, *(f"wq{a}jx{chr(97 + i % 26)}{chr(97 + i // 26)}" for a in "abcdefgh")])
+        ids, decoded = encoder.both(text)
+        assert ids == " ".join(map(str, enc.encode_ordinary(text))) and decoded == text.encode()
+        assert len(encoder.known) <= 50 and len(encoder.before) <= 50
+    assert all(merged[f" {x}".encode()] == 1 for x in often[1:])
+
+
+def test_ids_that_stand_for_other_bytes():
+    """Two tokens of one id: the text decodes to the later one of them, near and far."""
+    encoder = byte_bpe.Encoder({b"a": 0, b"b": 0, b" ": 1}, ranks()[1])
+    for text, raw in (("a b", b"b b"), ("a" * 100, b"b" * 100), ("a", b"b")):
+        assert encoder.both(text)[1] == raw
+
+
 def brute_matches(index, tokens):
     """Every item against every passage of one text, without bounds or blocks."""
     found = {}
