@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.components import components
 from tallymart.llm.filters import bitmap, held, slot
 from tallymart.llm.rows import located, without
-from tallymart.llm.shared import stage
+from tallymart.llm.shared import arrow_batches, stage
 from tallymart.llm.words import SECOND_BASE, Block, U, blocks, mix, prefix, run_hash, shingles
 
 WORDS, THRESHOLD = 5, 0.8
@@ -34,6 +34,8 @@ COORDINATES, BRANCHES, MISS = 32, 2, 1e-4
 LEAF, SIDE = 1024, 512
 #: A bucket with this part of its parent's nodes is not split any more.
 DENSE, LEVELS = 0.5, 6
+#: Bytes of an Arrow batch: texts and sets are long rows, 10,000 of them at a time fill tasks and executors.
+BATCH = 1 << 21
 #: Part of ``MISS`` that a signature which misses the threshold may take.
 SLACK = 0.1
 _seeds = np.random.Generator(np.random.PCG64(77)).integers(1, 2**63, COORDINATES, dtype=np.uint64) * U(2) + U(1)
@@ -377,6 +379,12 @@ def near_duplicates(
     without words are copies of each other and link to nothing.  Null ids come last; rows of
     the same id are told apart by their place.  An empty table gives no rows.
     """
+    with arrow_batches(spark, BATCH):
+        return _near_duplicates(spark, docs, threshold, words, runs or runs_needed(threshold))
+
+
+def _near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float, words: int, runs: int) -> DataFrame:
+    """All Python functions run in staged frames; what is returned only joins them."""
     rows = located(docs)
     prints = stage(described(rows, words), "signatures")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")
@@ -384,7 +392,7 @@ def near_duplicates(
         F.min(place).alias("first"), F.max("size").alias("size"), F.max("sig").alias("sig")
     )
     nodes = stage(nodes, "nodes")
-    ended = stage(leaves(nodes, runs or runs_needed(threshold)), "leaves")
+    ended = stage(leaves(nodes, runs), "leaves")
     of_node = ended.groupBy("node").agg(
         F.array_sort(F.collect_set("path")).alias("leaves"),
         F.collect_set(F.struct("path", "members")).alias("own"),

@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from shutil import make_archive, rmtree
 
@@ -30,6 +31,19 @@ def stage(df: DataFrame, name: str, reader: SparkSession | None = None) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is run inside sends Arrow batches of about ``size`` bytes to its Python functions, or one row, instead of
+    so many rows however long they are.  For what is staged inside; a lazy frame is not bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -183,6 +183,33 @@ def test_jaccard_blocks_and_recursion(spark, monkeypatch):
     assert found_links(spark, docs) == want
 
 
+def test_jaccard_sends_batches_of_bounded_size(spark):
+    """500 texts of 20 KB, pairs of which differ in a word: no batch holds many of them, whatever the session sets."""
+    setting, bound = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 21
+    largest = spark.sparkContext.accumulator(0)
+    described, linked = jaccard_join.described, jaccard_join.linked
+
+    def watched(df):
+        def run(batches):
+            for batch in batches:
+                largest.add(batch.nbytes > 2 * bound)
+                yield batch
+
+        return df.mapInArrow(run, df.schema)
+
+    words = ["".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(5000)]
+    rows = [(i, " ".join(words[(i // 2 * 7919 + j * (1 + i // 2)) % 5000] for j in range(5000)) + f" {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(setting)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard_join, "described", lambda df, n: described(watched(df), n))
+        patch.setattr(jaccard_join, "linked", lambda df, t: linked(watched(df), t))
+        got = jaccard_join.near_duplicates(spark, docs).collect()
+    assert spark.conf.get(setting) == before
+    assert largest.value == 0
+    assert {(r.doc_id, r.class_id) for r in got} >= {(i, i - i % 2) for i in range(2, 500)}
+
+
 def test_jaccard_default_runs_at_every_depth():
     """The promised miss, by an own simulation of pairs at 0.8 over 32 shared coordinates."""
     import numpy as np
