@@ -1,16 +1,22 @@
 """Phrase collocations: tries of Apriori-safe candidates, counted level by level.
 
-A phrase can be frequent only if its parts are.  So the candidates of two words are the pairs
-seen whose words both are frequent, those of three words the triples seen whose pairs both are; a
-fixed-size bitmap of the frequent parts says so (it may let others through, never keeps one
-out).  Of these, those whose hash of 32 bits the tasks together have not seen ``least`` times are
-left out too: a phrase is in its hash's bucket with all its occurrences, whoever shares it.
-
-Counting is the tries' work.  Candidates are dealt into shards of about ``SHARD``, a task builds
-the trie of each (language, word, word, word), and the tries are broadcast, ``AT_A_TIME`` to a pass.
-A task moves the states of all places of its texts on together, one level at a time, adds up the
-accepting ones with ``bincount``, and the counts of all tasks are summed by candidate.  More
-candidates are more passes, never a larger broadcast.
+A phrase can be frequent only if its parts are.  The texts are read twice: once to count words, and
+once to write them down as numbers of the frequent ones (by the exact word and language; the most
+frequent have the least), with a 0 where a piece ends or a word is not frequent.  All further passes
+read these numbers.
+
+The candidates of two words are the pairs seen whose words both are frequent, those of three words the
+triples seen whose pairs both may be.  Of these, those whose hash of 32 bits the tasks together
+have not seen ``least`` times are left out: a phrase is in its hash's bucket with all its
+occurrences, whoever shares it.  A bitmap of fixed size says so to the next pass (it may let others
+through, never keeps one out).
+
+Counting is the tries' work.  Candidates are dealt by their first word into shards of about ``SHARD`` (a word
+that many begin with into several), a task builds the trie of each (word, word, word), and the tries
+are broadcast, ``AT_A_TIME`` to a pass.  A task moves the states of all places whose word begins a
+phrase of the trie on together, one level at a time, adds up the accepting ones with ``bincount``,
+and the counts of all tasks are summed by candidate.  More candidates are more passes, never a larger
+broadcast.
 """
 
 from __future__ import annotations
@@ -18,18 +24,17 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm import filters
 from tallymart.llm.names import codes, joined
-from tallymart.llm.shared import stage
+from tallymart.llm.shared import arrow_batches, stage
 from tallymart.llm.tries import build
 from tallymart.llm.words import BYTE_BASE, _BYTE_VALUES, Block, blocks, mix, prefix, run_hash
 
@@ -38,6 +43,10 @@ from tallymart.llm.words import BYTE_BASE, _BYTE_VALUES, Block, blocks, mix, pre
 SHARD, AT_A_TIME = 1 << 19, 2
 #: Bytes of text that a task reads at a time.
 AT_ONCE = 1 << 20
+#: Bytes of an Arrow batch, and places whose phrases a task holds before it sums them up.
+BATCH, HELD = 1 << 22, 1 << 22
+#: Candidates of a trie whose counts one task adds up.
+SLICE = 1 << 13
 #: Rows of a language that one task sorts; more are first cut down in parts.
 RANKED = 1 << 16
 NO_LANGUAGE = "und"
@@ -72,75 +81,27 @@ def slots(hashed: np.ndarray) -> np.ndarray:
 
 
 class Places:
-    """Words of a block of texts: ``piece`` tells which follow each other.  What a pass does not
-    use, the words themselves say, is not computed."""
+    """Words of a block of texts: ``follows`` tells behind which of them the piece goes on."""
 
     def __init__(self, block: Block, langs: pa.Array):
         self.block = block
-        self.piece = np.cumsum(_CUTS[block.data], dtype=np.int32)[block.starts]
+        piece = np.cumsum(_CUTS[block.data], dtype=np.int32)[block.starts]
         text = np.repeat(np.arange(block.n), np.diff(block.bounds))
-        self.piece = self.piece + text * (len(block.data) + 1)
+        piece = piece + text * (len(block.data) + 1)
         found = pc.dictionary_encode(langs)
         self.langs = found.dictionary.cast(pa.large_string())
         self.lang = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
-        # places whose word is followed by another one of the piece
-        self.follows = np.append(self.piece[1:] == self.piece[:-1], np.zeros(min(len(text), 1), bool))
-
-    @cached_property
-    def hash(self) -> np.ndarray:
-        return self.block.hashes()
-
-    def encoded(self, at: np.ndarray | slice = slice(None)) -> tuple[pa.Array, np.ndarray]:
-        """Distinct words at some places, in order, and which of them each place has."""
-        words = joined(self.block.data, self.block.starts[at], self.block.ends[at])
-        found = pc.dictionary_encode(words)
-        return found.dictionary.cast(pa.large_string()), found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-
-    @cached_property
-    def whole(self) -> tuple[pd.Series, np.ndarray]:
-        """All distinct words, and which of them each place has."""
-        words, word = self.encoded()
-        return words.to_pandas(), word
-
-    def counted(self, at: np.ndarray, k: int) -> tuple[list[pa.Array], np.ndarray]:
-        """Distinct (language, k words) at the places ``at``, and how often each is there."""
-        used = np.zeros(len(self.piece), bool)
-        for j in range(k):
-            used[at + j] = True
-        words, found = self.encoded(np.flatnonzero(used))
-        word = (np.cumsum(used) - 1)[at]  # the place among those used; k words are side by side there
-        key = self.lang[at]
-        for j in range(k):
-            key = codes(pa.array(key)) * len(words) + found[word + j]
-        _, first, count = np.unique(key, return_index=True, return_counts=True)
-        parts = [pc.take(words, pa.array(found[word[first] + j])) for j in range(k)]
-        phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-        return [pc.take(self.langs, pa.array(self.lang[at[first]])), phrase], count
-
-    def runs(self, k: int) -> np.ndarray:
-        """Places from which k words of one piece go on."""
-        good = np.ones(len(self.piece), bool)
-        for j in range(1, k):
-            good[: len(good) - j] &= self.piece[: len(good) - j] == self.piece[j:]
-            good[max(0, len(good) - j) :] = False
-        return np.flatnonzero(good)
-
-    def hashed(self, at: np.ndarray, k: int) -> np.ndarray:
-        """Hashes of the k words from each place on."""
-        lang = hashes(self.langs)[self.lang[at]]
-        return phrase_hashes(lang, [self.hash[at + j] for j in range(k)])
-
-    def held(self, bitmap: np.ndarray, k: int) -> np.ndarray:
-        """Places from which k words of one piece go on that may be frequent."""
-        at = self.runs(k)
-        return at[filters.held(bitmap, slots(self.hashed(at, k)))]
-
-    def candidates(self, bitmap: np.ndarray, k: int) -> np.ndarray:
-        """Places from which k words of one piece go on whose parts of k - 1 words may be frequent."""
-        good = np.zeros(len(self.piece) + 1, bool)
-        good[self.held(bitmap, k - 1)] = True
-        at = self.runs(k)
-        return at[good[at] & good[at + 1]]
+        self.follows = np.append(piece[1:] == piece[:-1], np.zeros(min(len(text), 1), bool))
+
+    def distinct(self) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """Distinct (language, word): which language, the word; which of them each place has, and the number of places of each."""
+        found = pc.dictionary_encode(joined(self.block.data, self.block.starts, self.block.ends))
+        word = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        both = pc.dictionary_encode(pa.array(self.lang * len(found.dictionary) + word))
+        place = both.indices.to_numpy(zero_copy_only=False)
+        lang, word = np.divmod(both.dictionary.to_numpy(), max(1, len(found.dictionary)))
+        words = pc.take(found.dictionary.cast(pa.large_string()), pa.array(word))
+        return lang, words, place, np.bincount(place, minlength=len(lang))
 
 
 def places(batch: pa.RecordBatch) -> Iterator[Places]:
@@ -164,9 +125,9 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p in places(batch):
-                if len(p.piece):
-                    columns, count = p.counted(np.arange(len(p.piece)), 1)
-                    yield _batch(columns, count)
+                if len(p.lang):
+                    lang, words, _, count = p.distinct()
+                    yield _batch([pc.take(p.langs, pa.array(lang)), words], count)
                     total = np.bincount(p.lang, minlength=len(p.langs))
                     yield _batch([p.langs, pa.nulls(len(p.langs), pa.string())], total)
 
@@ -174,159 +135,345 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
     return found.where((F.col("f") >= least) | F.col("phrase").isNull())
 
 
-def bitmap_of(phrases: DataFrame) -> bytes:
-    """Fixed-size bitmap of the phrases of a table."""
+class Vocabulary:
+    """The frequent words of all languages: word i has number i + 1."""
+
+    def __init__(self, lang: pa.Array, word: pa.Array):
+        found = pc.dictionary_encode(lang.cast(pa.large_string()))
+        self.langs, self.lang = found.dictionary, found.indices.to_numpy(zero_copy_only=False)
+        self.word = word.cast(pa.large_string())
+        hashed = phrase_hashes(hashes(self.langs)[self.lang], [hashes(self.word)])
+        self.order = np.argsort(hashed, kind="stable").astype(np.int32)
+        self.hash = hashed[self.order]
+
+    def numbers(self, langs: pa.Array, lang: np.ndarray, words: pa.Array) -> np.ndarray:
+        """Number of each word of a language; 0 for those that are not there.  Hashes lead to them, bytes decide."""
+        out = np.zeros(len(words), np.int32)
+        hashed = phrase_hashes(hashes(langs)[lang], [hashes(words)])
+        mine = pc.fill_null(pc.index_in(langs, value_set=self.langs), -1).to_numpy(zero_copy_only=False)[lang]
+        at = np.searchsorted(self.hash, hashed)
+        left = np.arange(len(out))
+        while True:
+            left = left[at[left] < len(self.hash)]
+            left = left[self.hash[at[left]] == hashed[left]]
+            if not len(left):
+                return out
+            known = self.order[at[left]]
+            same = pc.equal(pc.take(self.word, pa.array(known)), pc.take(words, pa.array(left)))
+            same = same.to_numpy(zero_copy_only=False) & (self.lang[known] == mine[left])
+            out[left[same]] = known[same] + 1
+            left = left[~same]
+            at[left] += 1
+
+    def phrases(self, columns: list[np.ndarray]) -> list[pa.Array]:
+        """Language and phrase of rows of numbers, 0 behind their end."""
+        lang = pc.take(self.langs, pa.array(self.lang[columns[0] - 1]))
+        words = [pc.take(self.word, pa.array(c - 1, mask=c == 0)) for c in columns]
+        return [lang, pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()), null_handling="skip")]
+
+
+def vocabulary(words: DataFrame) -> Vocabulary:
+    """Of a table of frequent words; the most frequent ones have the least numbers."""
+    rows = words.orderBy(F.desc("f"), "lang", "phrase").select("lang", "phrase").toArrow().combine_chunks()
+    return Vocabulary(*(pa.concat_arrays([pa.array([], pa.string()), *rows.column(c).chunks]) for c in ("lang", "phrase")))
+
+
+def numbered(texts: DataFrame, shared: Broadcast) -> DataFrame:
+    """numbers: those of a text's words, of 4 bytes each; a 0 stands for whatever parts frequent words, and ends each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("phrase").to_pandas().str.split(" ", expand=True)
-            parts = [hashes(pa.array(words[c], pa.large_string())) for c in words.columns]
-            at = slots(phrase_hashes(hashes(batch.column("lang").cast(pa.large_string())), parts))
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], ["slot"])
+            for p in places(batch):
+                if not len(p.lang):
+                    continue
+                lang, words, place, _ = p.distinct()
+                number = shared.value.numbers(p.langs, lang, words)[place]
+                ends = ~p.follows
+                at = np.arange(len(number)) + np.cumsum(ends) - ends
+                flat = np.zeros(at[-1] + 2, np.int32)
+                flat[at] = number
+                keep = flat > 0
+                keep[1:] |= flat[:-1] > 0
+                edges = np.append(at, len(flat))[p.block.bounds]
+                edges = np.unique(np.append(0, np.cumsum(keep))[edges])
+                yield pa.RecordBatch.from_arrays([packed(flat[keep], edges)], ["numbers"])
 
-    return filters.bitmap(phrases.select("lang", "phrase").mapInArrow(run, "slot long"))
+    return texts.mapInArrow(run, "numbers binary")
 
 
-def seen_often(texts: DataFrame, shorter: bytes, k: int, least: int) -> bytes:
-    """Bitmap of the hashes that k words on candidate places have ``least`` times or more."""
-    shared = texts.sparkSession.sparkContext.broadcast(shorter)  # of a fixed size
+def packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Parts of an array, one behind the other, as bytes."""
+    buffers = [None, pa.py_buffer((edges * values.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, buffers).cast(pa.binary())
+
+
+def unpacked(column: pa.Array, kind: type) -> np.ndarray:
+    """The values of all rows of ``packed``, end to end."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[edges[0] : edges[-1]].view(kind) if edges[-1] > edges[0] else np.zeros(0, kind)
+
+
+def flat_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in batches:
+        if batch.num_rows:
+            yield unpacked(batch.column("numbers"), np.int32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(shared.value, np.uint8)
-        for batch in batches:
-            for p in places(batch):
-                hashed = p.hashed(p.candidates(bitmap, k), k).astype(np.uint32)
-                hashed, count = np.unique(hashed, return_counts=True)
-                columns = [pa.array(hashed.view(np.int32)), pa.array(np.minimum(count, least), pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["hash", "f"])
 
-    seen = texts.mapInArrow(run, "hash int, f int").groupBy("hash").agg(F.sum("f").alias("f"))
-    # the slot of the whole hash, as BITS divides 2**32
-    return filters.bitmap(seen.where(F.col("f") >= least).select(F.pmod("hash", F.lit(filters.BITS)).alias("slot")))
+def hashed(flat: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of 32 bits of the k words from each place on."""
+    words = [flat[at + j].astype(np.uint64) for j in range(k)]
+    return phrase_hashes(np.zeros(len(at), np.uint64), words).astype(np.uint32)
 
 
-def candidates(texts: DataFrame, shorter: DataFrame, k: int, least: int) -> DataFrame:
-    """lang, phrase of k words that may occur ``least`` times, from the frequent ones of k - 1."""
-    parts = bitmap_of(shorter)
-    shared = texts.sparkSession.sparkContext.broadcast((parts, seen_often(texts, parts, k, least)))
+def may_be(flat: np.ndarray, at: np.ndarray, bitmap: np.ndarray, k: int) -> np.ndarray:
+    """Those of the places from which k words go on that may be frequent."""
+    return at[filters.held(bitmap, slots(hashed(flat, at, k).astype(np.uint64)))]
+
+
+def going_on(flat: np.ndarray, often: list[np.ndarray]) -> np.ndarray:
+    """Places of phrases that are one word longer than the longest bitmap's, whose parts may be frequent."""
+    good = flat > 0
+    at = np.flatnonzero(good[:-1] & good[1:])
+    for k, bitmap in enumerate(often, 2):
+        good = np.zeros(len(flat), bool)
+        good[may_be(flat, at, bitmap, k)] = True
+        at = np.flatnonzero(good[:-1] & good[1:])
+    return at
+
+
+def parts_of(spark: SparkSession) -> int:
+    """Into how many parts hashes are dealt: some to a partition, so that partitions are alike."""
+    return min(1 << 16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def seen_often(numbers: DataFrame, often: list[bytes], least: int) -> bytes:
+    """Bitmap of the hashes that phrases on such places have ``least`` times or more.
+
+    A task sends its distinct hashes in parts, by their upper halves; of each it sends the lower half, and how
+    many share an upper one.
+    """
+    spark, k = numbers.sparkSession, len(often) + 2
+    shared = spark.sparkContext.broadcast(often)  # of a fixed size
+    parts = parts_of(spark)
+    begin = (np.arange(parts + 1) << 16) // parts  # upper halves of each part
+    kind = np.min_scalar_type(least)
+
+    def summed(found: list[np.ndarray]) -> pa.RecordBatch:
+        values, count = np.unique(np.concatenate(found), return_counts=True)
+        edges = np.searchsorted(values, begin.astype(np.uint64) << U(16))
+        size = np.bincount(values >> 16, minlength=1 << 16).astype(np.uint32)
+        columns = [packed(values.astype(np.uint16), edges), packed(size, begin)]
+        columns += [packed(np.minimum(count, least).astype(kind), edges)]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(parts), pa.int32()), *columns], ["part", "lower", "size", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, whole = (np.frombuffer(b, np.uint8) for b in shared.value)
-        for batch in batches:
-            for p in places(batch):
-                at = p.candidates(parts, k)
-                at = at[filters.held(whole, slots(p.hashed(at, k)))]
-                if len(at):
-                    columns = [c.cast(pa.string()) for c in p.counted(at, k)[0]]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase"])
+        bitmaps = [np.frombuffer(b, np.uint8) for b in shared.value]
+        found, n = [], 0
+        for flat in flat_numbers(batches):
+            found.append(hashed(flat, going_on(flat, bitmaps), k))
+            n += len(found[-1])
+            if n >= HELD:
+                yield summed(found)
+                found, n = [], 0
+        if n:
+            yield summed(found)
+        pa.default_memory_pool().release_unused()
+
+    def merged(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lower, size, f = (
+            unpacked(table.column(c).chunk(0), t) for c, t in (("lower", np.uint16), ("size", np.uint32), ("f", kind))
+        )
+        part = table.column("part")[0].as_py()
+        upper = np.tile(np.arange(begin[part], begin[part + 1]), table.num_rows)
+        values, place = np.unique(np.repeat(upper, size) << 16 | lower, return_inverse=True)
+        values = values[np.bincount(place, f, len(values)) >= least]
+        # the slot of the whole hash, as BITS divides 2**32
+        return pa.table({"slot": pa.array(slots(values.astype(np.uint64)), pa.int64())})
+
+    seen = numbers.mapInArrow(run, "part int, lower binary, size binary, f binary").where(F.length("f") > 0)
+    return filters.bitmap(seen.groupBy("part").applyInArrow(merged, "slot long"))
+
+
+def distinct_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Columns of numbers with each row once."""
+    key = columns[0].astype(np.int64)
+    for c in columns[1:]:
+        width = int(c.max(initial=0)) + 1
+        if int(key.max(initial=0)) + 1 > (1 << 62) // width:
+            key = codes(pa.array(key))
+        key = key * width + c
+    _, first = np.unique(key, return_index=True)
+    return [c[first] for c in columns]
+
+
+PHRASE = ("a", "b", "c")
+
+
+def candidates(numbers: DataFrame, often: list[bytes]) -> DataFrame:
+    """a, b, c (0 where there are two words): the phrases that the last of the bitmaps and their parts allow."""
+    spark, k = numbers.sparkSession, len(often) + 1
+    shared = spark.sparkContext.broadcast(often)
+    parts, names = parts_of(spark), PHRASE[: len(often) + 1]
+
+    def batch(found: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = distinct_rows([np.concatenate(c) for c in zip(*found, strict=True)])
+        words = [c.astype(np.uint64) for c in columns]
+        part = phrase_hashes(np.zeros(len(columns[0]), np.uint64), words) % U(parts)
+        order = np.argsort(part.astype(np.uint16), kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+        columns = [packed(c[order], edges) for c in columns]
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(parts), pa.int32()), *columns], ["part", *names])
 
-    return texts.mapInArrow(run, "lang string, phrase string").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmaps = [np.frombuffer(b, np.uint8) for b in shared.value]
+        found, n = [], 0
+        for flat in flat_numbers(batches):
+            at = may_be(flat, going_on(flat, bitmaps[:-1]), bitmaps[-1], k)
+            found.append([flat[at + j] for j in range(k)])
+            n += len(at)
+            if n >= HELD // 2:
+                yield batch(found)
+                found, n = [], 0
+        if n:
+            yield batch(found)
+        pa.default_memory_pool().release_unused()
+
+    def merged(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        columns = distinct_rows([unpacked(table.column(c).chunk(0), np.int32) for c in names])
+        columns += [np.zeros(len(columns[0]), np.int32)] * (len(PHRASE) - k)
+        return pa.table(dict(zip(PHRASE, map(pa.array, columns), strict=True)))
+
+    seen = numbers.mapInArrow(run, "part int, " + ", ".join(f"{c} binary" for c in names)).where(F.length("a") > 0)
+    return seen.groupBy("part").applyInArrow(merged, "a int, b int, c int")
 
 
 class Counter:
-    """The trie of some candidates, with what it takes to read texts by it."""
+    """The trie of some candidates, with what it takes to read numbers by it."""
 
-    def __init__(self, lang: pa.Array, phrase: pa.Array):
-        split = pc.split_pattern(phrase.cast(pa.large_string()), " ")
-        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-        flat = pc.dictionary_encode(split.flatten())
-        word = flat.indices.to_numpy(zero_copy_only=False)
+    def __init__(self, rows: np.ndarray):
+        self.depth = rows.shape[1]
+        word, place, often = np.unique(rows, return_inverse=True, return_counts=True)
+        often[word == 0] = len(rows) * rows.shape[1] + 1  # keeps symbol 0, which leads nowhere
         # common words have low symbols, so that tries are dense
-        often = np.bincount(word, minlength=len(flat.dictionary))
-        symbol = np.empty(len(often), np.int64)
-        symbol[np.argsort(-often, kind="stable")] = np.arange(1, len(often) + 1)
-        self.words, self.symbols = flat.dictionary, symbol
-        found = pc.dictionary_encode(lang)
-        self.langs = found.dictionary
-        rows = np.zeros((len(lang), 1 + int(sizes.max(initial=0))), np.int64)
-        rows[:, 0] = len(symbol) + 1 + found.indices.to_numpy(zero_copy_only=False)
-        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        rows[np.repeat(np.arange(len(lang)), sizes), 1 + place] = symbol[word]
-        self.depth = rows.shape[1] - 1
-        self.trie, slot = build(rows)
+        symbol = np.empty(len(word), np.int64)
+        low = 0 if len(word) and word[0] == 0 else 1
+        symbol[np.argsort(-often, kind="stable")] = np.arange(low, len(word) + low)
+        self.word, self.symbol = word, symbol
+        self.trie, slot = build(symbol[place].reshape(rows.shape))
         self.slot = slot.astype(np.int32)  # of each candidate
 
-    def start(self) -> None:
-        """Makes ready for counting: in the task that counts, as it need not travel."""
-        self.known = {kind: pd.Index(values.to_pandas()) for kind, values in (("word", self.words), ("lang", self.langs))}
-        self.symbol_of = np.append(self.symbols, 0)  # the last one stands for other words
+    def start(self, words: int) -> None:
+        """Makes ready for counting texts of numbers up to ``words``: in the task that counts, as it need not travel."""
+        self.symbol_of = np.zeros(words + 1, np.int32)  # 0 stands for other words
+        self.symbol_of[self.word] = self.symbol
+        self.first = np.maximum(self.trie.step(np.zeros(words + 1, np.int64), self.symbol_of), 0).astype(np.int32)
         self.total = np.zeros(len(self.trie.check), np.int64)
 
-    def add(self, p: Places) -> None:
-        """Counts the accepting states of all places of a block."""
-        words, place = p.whole
-        word = self.symbol_of[self.known["word"].get_indexer(words)]
-        lang = self.known["lang"].get_indexer(p.langs.to_pandas())
-        begin = self.trie.step(np.zeros(len(lang), np.int64), np.where(lang < 0, 0, len(self.words) + 1 + lang))
-        symbol, state = word[place], begin[p.lang]
-        at = np.flatnonzero(state > 0)
+    def add(self, flat: np.ndarray) -> None:
+        """Counts the accepting states of all places."""
+        state = self.first[flat]
+        at = np.flatnonzero(state)
         state = state[at]
-        for level in range(self.depth):
-            if level:
-                on = p.follows[at + level - 1]
-                at, state = at[on], state[on]
-            state = self.trie.step(state, symbol[at + level])
-            at, state = at[state > 0], state[state > 0]
+        for level in range(1, self.depth):
+            # behind the last number there is a 0, from which no state goes on
+            state = self.trie.step(state, self.symbol_of[flat[at + level]])
+            on = state > 0
+            at, state = at[on], state[on]
             self.total += np.bincount(state, minlength=len(self.total))
 
     def counts(self, shard: int) -> pa.RecordBatch:
-        """Candidates that were seen, by their number, and how often."""
+        """Of each slice with candidates that were seen their numbers, and how often, in bytes of some width."""
         seen = self.total[self.slot]
         at = np.flatnonzero(seen)
-        columns = [pa.array(np.full(len(at), shard), pa.int32()), pa.array(at, pa.int32()), pa.array(seen[at])]
-        return pa.RecordBatch.from_arrays(columns, ["shard", "number", "f"])
+        slices = -(-len(seen) // SLICE)
+        edges = np.searchsorted(at, np.arange(slices + 1) * SLICE)
+        f = seen[at].astype(np.min_scalar_type(int(seen.max(initial=0))))
+        columns = [pa.array(np.full(slices, c), pa.int32()) for c in (shard, f.itemsize)]
+        columns += [pa.array(np.arange(slices), pa.int32()), packed((at % SLICE).astype(np.uint16), edges), packed(f, edges)]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "width", "slice", "number", "f"])
 
 
-def tries_of(phrases: DataFrame, shards: int) -> DataFrame:
-    """shard, number, lang, phrase of a table of phrases, dealt into shards of about ``SHARD`` and numbered in
-    each; the first row of a shard also has its packed trie, as counter."""
+def tries_of(phrases: DataFrame, shards: int, shard: int) -> DataFrame:
+    """shard, slice, rows, counter: a table of phrases, dealt into shards of about ``shard`` by their first words, in
+    slices, as numbers end to end; the first row of a shard also has its packed trie."""
 
     def run(part: pa.Table) -> pa.Table:
-        part = part.combine_chunks()
-        lang, phrase = (part.column(c).combine_chunks() for c in ("lang", "phrase"))
-        counter = zlib.compress(pickle.dumps(Counter(lang, phrase)), 1)
-        packed = pa.chunked_array([pa.array([counter], pa.binary()), pa.nulls(len(lang) - 1, pa.binary())])
-        number = pa.array(np.arange(len(lang)), pa.int32())
-        columns = {"shard": part.column("shard"), "number": number, "lang": lang, "phrase": phrase, "counter": packed}
-        return pa.table(columns)
-
-    shard = F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)).cast("int")
-    schema = "shard int, number int, lang string, phrase string, counter binary"
-    return phrases.withColumn("shard", shard).groupBy("shard").applyInArrow(run, schema)
-
-
-def trie_counts(texts: DataFrame, phrases: DataFrame, shard: int = SHARD) -> DataFrame:
-    """lang, phrase, f of all ``phrases`` (a staged table), by tries of about ``shard`` of them."""
-    spark = texts.sparkSession
+        rows = np.stack([part.column(c).to_numpy() for c in PHRASE], axis=1)
+        counter = zlib.compress(pickle.dumps(Counter(rows)), 1)
+        slices = -(-len(rows) // SLICE)
+        edges = np.minimum(np.arange(slices + 1) * SLICE, len(rows)) * len(PHRASE)
+        columns = {"shard": pa.array([part.column("shard")[0].as_py()] * slices, pa.int32())}
+        columns |= {"slice": pa.array(np.arange(slices), pa.int32()), "rows": packed(rows.ravel(), edges)}
+        return pa.table(columns | {"counter": pa.array([counter] + [None] * (slices - 1), pa.binary())})
+
+    # first words of more than a quarter of a shard: no more than four a shard
+    many = phrases.groupBy("a").agg(F.ceil(F.count("*") * 4 / shard).alias("pieces")).where("pieces > 1")
+    rows = phrases.join(F.broadcast(many), "a", "left")
+    piece = F.pmod(F.xxhash64("b"), F.coalesce("pieces", F.lit(1)))
+    rows = rows.select(*PHRASE, F.pmod(F.xxhash64("a", piece), F.lit(shards)).cast("int").alias("shard"))
+    return rows.groupBy("shard").applyInArrow(run, "shard int, slice int, rows binary, counter binary")
+
+
+def _slice_counts(table: pa.Table) -> pa.Table:
+    """a, b, c, f of the candidates of a slice: one row has them, the others what the tasks have seen."""
+    table = table.select(["rows", "width", "number", "f"])
+    rows = next(np.frombuffer(r, np.int32).reshape(-1, len(PHRASE)) for r in table.column("rows").to_pylist() if r)
+    total = np.zeros(len(rows), np.int64)
+    for width, number, f in zip(*(table.column(c) for c in ("width", "number", "f")), strict=True):
+        if number.is_valid:
+            total[np.frombuffer(number.as_buffer(), np.uint16)] += np.frombuffer(f.as_buffer(), f"u{width}").astype(np.int64)
+    at = np.flatnonzero(total)
+    columns = dict(zip(PHRASE, map(pa.array, np.ascontiguousarray(rows[at].T)), strict=True))
+    return pa.table(columns | {"f": pa.array(total[at])})
+
+
+def trie_counts(numbers: DataFrame, phrases: DataFrame, words: int, shard: int = SHARD) -> DataFrame:
+    """a, b, c, f of those of ``phrases`` (a staged table) that are seen, by tries of about ``shard`` of them."""
+    spark = numbers.sparkSession
     shards = -(-phrases.count() // shard)
-    counted = "shard int, number int, f long"
     parts: list[DataFrame] = []
-    tries = stage(tries_of(phrases, max(shards, 1)), "tries")
-    for first in range(0, shards, AT_A_TIME):
-        few = F.col("shard").between(first, first + AT_A_TIME - 1)
-        mine = tries.where(few & F.col("counter").isNotNull()).select("shard", "counter").collect()
+    tries = stage(tries_of(phrases, max(shards, 1), shard), "tries")
+    seen = "shard int, width int, slice int, number binary, f binary"
+    for first in range(0, max(shards, 1), AT_A_TIME):
+        few = tries.where(F.col("shard").between(first, first + AT_A_TIME - 1))
+        mine = few.where(F.col("counter").isNotNull()).select("shard", "counter").collect()
         shared = spark.sparkContext.broadcast([(r.shard, bytes(r.counter)) for r in mine])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counters = [(i, pickle.loads(zlib.decompress(c))) for i, c in shared.value]
             for _, counter in counters:
-                counter.start()
-            for batch in batches:
-                for p in places(batch):
-                    for _, counter in counters:
-                        counter.add(p)
+                counter.start(words)
+            for flat in flat_numbers(batches):
+                for _, counter in counters:
+                    counter.add(flat)
             for i, counter in counters:
                 yield counter.counts(i)
+            pa.default_memory_pool().release_unused()
 
-        found = texts.mapInArrow(run, counted).groupBy("shard", "number").agg(F.sum("f").alias("f"))
+        found = numbers.mapInArrow(run, seen).where(F.length("f") > 0)
+        found = found.unionByName(few.select("shard", "slice", "rows"), allowMissingColumns=True)
+        found = found.groupBy("shard", "slice").applyInArrow(_slice_counts, "a int, b int, c int, f long")
         parts.append(stage(found, "counts"))
         shared.destroy()
-    if not parts:
-        return phrases.withColumn("f", F.lit(0).cast("long"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return tries.select("shard", "number", "lang", "phrase").join(out, ["shard", "number"]).select("lang", "phrase", "f")
+    return out
+
+
+def worded(rows: DataFrame, shared: Broadcast) -> DataFrame:
+    """lang, phrase, f of rows of numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = shared.value.phrases([batch.column(c).to_numpy() for c in PHRASE])
+            yield _batch(columns, batch.column("f").to_numpy())
+
+    return rows.mapInArrow(run, COUNTED)
 
 
 def looked_up(rows: DataFrame, counts: DataFrame, key: str, name: str, words: int) -> DataFrame:
@@ -400,16 +547,28 @@ def collocations(
     Equal scores go by count, then by the phrase's bytes, so ranks are the same at
     every parallelism.  Only text and lang of ``docs`` are read.
     """
+    with arrow_batches(spark, BATCH):
+        rows, totals = _scored(spark, docs, least, shard)
+    # one row a language: no more than 2,000 of a language's rows are left to meet it
+    out = best(rows, limit).join(totals, "lang")
+    return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def _scored(spark: SparkSession, docs: DataFrame, least: int, shard: int) -> tuple[DataFrame, DataFrame]:
+    """The scored phrases, and the words of each language; all in staged frames."""
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text")
     words = stage(word_counts(texts, least), "words")
     totals = words.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
     words = words.where(F.col("phrase").isNotNull())
-    pairs = stage(candidates(texts, words, 2, least), "pairs")
-    triples = stage(candidates(texts, pairs, 3, least), "triples")
-    phrases = trie_counts(texts, pairs.unionByName(triples), shard).where(F.col("f") >= least)
-    phrases = stage(phrases, "phrases")
+    known = vocabulary(words)
+    size, shared = len(known.word), spark.sparkContext.broadcast(known)  # one vocabulary
+    numbers = stage(numbered(texts, shared), "numbers", codec="zstd")
+    often: list[bytes] = []
+    phrases = []
+    for name in ("pairs", "triples"):
+        often.append(seen_often(numbers, often, least))
+        phrases.append(stage(candidates(numbers, often), name))
+    counted = trie_counts(numbers, phrases[0].unionByName(phrases[1]), size, shard).where(F.col("f") >= least)
+    counted = stage(worded(counted, shared), "phrases")
     everything = totals.agg(F.sum("n")).first()[0] or 0
-    rows = stage(not_inside(scored(words.unionByName(phrases), everything)), "scored")
-    # one row a language: no more than 2,000 of a language's rows are left to meet it
-    out = best(rows, limit).join(totals, "lang")
-    return out.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return stage(not_inside(scored(words.unionByName(counted), everything)), "scored"), totals

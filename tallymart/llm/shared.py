@@ -22,12 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, reader: SparkSession | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, reader: SparkSession | None = None, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and rows read
     from it stay what they were when a task runs again."""
     spark = reader or df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

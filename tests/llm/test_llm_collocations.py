@@ -139,3 +139,38 @@ def test_hashes_tell_phrases_apart():
     lang = h[:1]
     both = [collocations.phrase_hashes(lang, [h[i : i + 1], h[j : j + 1]]) for i, j in ((0, 1), (1, 0))]
     assert both[0] != both[1] and (collocations.slots(both[0]) < filters.BITS).all()
+
+
+def test_texts_are_read_twice(spark, monkeypatch):
+    """Once to count words, once to number them, however many passes count phrases; those read numbers."""
+    rows = some_rows()
+    read, places = spark.sparkContext.accumulator(0), collocations.places
+
+    def counted(batch):
+        read.add(batch.num_rows)
+        return places(batch)
+
+    monkeypatch.setattr(collocations, "places", counted)
+    assert sorted(found(spark, rows, least=3, shard=40)) == sorted(brute(rows, 3))
+    assert read.value == 2 * len(rows)
+
+
+def test_numbers_are_told_by_bytes(monkeypatch):
+    """Words and languages whose hashes are equal have numbers of their own."""
+    monkeypatch.setattr(collocations, "phrase_hashes", lambda lang, words: np.zeros(len(lang), np.uint64) + np.uint64(5))
+    known = collocations.Vocabulary(pa.array(["en", "fr", "en"]), pa.array(["a", "a", "b"]))
+    langs = pa.array(["fr", "xx", "en"], pa.large_string())
+    words = pa.array(["a", "a", "b", "c", "a"], pa.large_string())
+    assert known.numbers(langs, np.array([2, 0, 2, 2, 1]), words).tolist() == [1, 2, 3, 0, 0]
+    phrase = known.phrases([np.array(c, np.int32) for c in ([1, 3], [3, 1], [0, 3])])
+    assert [c.to_pylist() for c in phrase] == [["en", "en"], ["a b", "b a b"]]
+
+
+def test_a_first_word_of_many_phrases_is_split(spark):
+    """4,000 pairs begin with the same word: no trie holds more than some of them."""
+    rows = [(1, i, 0) for i in range(2, 4002)] + [(i, i + 1, 0) for i in range(2, 102)]
+    phrases = stage(spark.createDataFrame(rows, "a int, b int, c int"), "phrases")
+    dealt = collocations.tries_of(phrases, 9, 500).groupBy("shard").agg({"rows": "collect_list"}).collect()
+    held = {r.shard: np.frombuffer(b"".join(map(bytes, r[1])), np.int32).reshape(-1, 3) for r in dealt}
+    assert sorted(tuple(x) for part in held.values() for x in part.tolist()) == sorted(rows)
+    assert len(held) > 3 and max(map(len, held.values())) < 2500
