@@ -430,7 +430,8 @@ def _near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float, wor
         return pd.Series(held(np.frombuffer(shared.value, np.uint8), slots.to_numpy()))
 
     texts = docs.select("doc_id", "text").where(among(slot(F.col("doc_id")))).alias("d")
-    texts = texts.join(wanted.alias("w"), F.expr("d.doc_id <=> w.doc_id")).select("d.text", "w.node")
+    # a shuffle, also of few: without it a task runs both functions, in two Python workers that stay
+    texts = texts.join(wanted.hint("merge").alias("w"), F.expr("d.doc_id <=> w.doc_id")).select("d.text", "w.node")
     grams = _gram_rows(texts, words).dropDuplicates(["node"])
     sets = found.join(grams, "node").repartition(*KEY).sortWithinPartitions(*KEY)
     links = stage(linked(sets, threshold), "links")

@@ -31,17 +31,19 @@ def stage(df: DataFrame, name: str, reader: SparkSession | None = None, codec: s
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
     """What is run inside sends Arrow batches of about ``size`` bytes to its Python functions, or one row, instead of
     so many rows however long they are.  For what is staged inside; a lazy frame is not bound."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, size)
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, size)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(BATCH_BYTES, before)
 
 
 def fold(doc_id: Column, modulus: int) -> Column:

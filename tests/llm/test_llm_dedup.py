@@ -210,6 +210,20 @@ def test_jaccard_sends_batches_of_bounded_size(spark):
     assert {(r.doc_id, r.class_id) for r in got} >= {(i, i - i % 2) for i in range(2, 500)}
 
 
+def test_jaccard_runs_one_python_worker_a_task(spark, monkeypatch):
+    """The texts that are read again are shuffled between the two functions that see them, however few they are."""
+    plans, gram_rows = [], jaccard_join._gram_rows
+
+    def watched(texts, words):
+        plans.append(texts._jdf.queryExecution().executedPlan().toString())
+        return gram_rows(texts, words)
+
+    monkeypatch.setattr(jaccard_join, "_gram_rows", watched)
+    jaccard_join.near_duplicates(spark, frame(spark)).collect()
+    assert len(plans) == 1 and "ArrowEvalPython" in plans[0]
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
+
+
 def test_jaccard_default_runs_at_every_depth():
     """The promised miss, by an own simulation of pairs at 0.8 over 32 shared coordinates."""
     import numpy as np
