@@ -10,11 +10,13 @@ the result is that of a join on the key, and both sides are dealt anew.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.operators.compact import compact, restored
 from tallymart.operators.distinct import stored
 from tallymart.operators.rules import quoted
 
@@ -34,13 +36,15 @@ def split_join(child: DataFrame, parent: DataFrame, key: str, how: str = "left")
     return joined.select("child.*", *others)
 
 
-def parent_keys(parent: DataFrame, key: str, carry: dict[str, Column] | None = None) -> DataFrame:
+def parent_keys(
+    parent: DataFrame, key: str, carry: dict[str, Column] | None = None, trim: bool = True
+) -> DataFrame:
     """One row per trimmed parent key, with aggregated columns to carry along.
 
     Being an aggregate on the join key, it lets Catalyst remove the whole join
     when a caller selects nothing that depends on it.
     """
-    trimmed = parent.withColumn(key, F.trim(key))
+    trimmed = parent.withColumn(key, F.trim(key)) if trim else parent
     if not carry:
         return trimmed.select(key).distinct()
     return trimmed.groupBy(key).agg(*[value.alias(name) for name, value in carry.items()])
@@ -52,8 +56,17 @@ def with_parent(
     key: str,
     marker: str = FOUND,
     carry: dict[str, Column] | None = None,
+    ids: Iterable[str] = (),
 ) -> DataFrame:
-    """Left join on the distinct parent keys; ``marker`` is TRUE where a parent exists, else NULL."""
+    """Left join on the distinct parent keys; ``marker`` is TRUE where a parent exists, else NULL.
+
+    Rows are shuffled with the columns of ``ids``, among them the key, as bytes (``compact``).
+    """
+    ids = list(ids)
+    if key in ids:
+        parent = compact(parent.withColumn(key, F.trim(key)), [key])
+        lookup = parent_keys(parent, key, carry, trim=False).withColumn(marker, F.lit(True))
+        return restored(split_join(compact(child, ids), lookup, key, "left"), ids)
     lookup = parent_keys(parent, key, carry).withColumn(marker, F.lit(True))
     return split_join(child, lookup, key, "left")
 

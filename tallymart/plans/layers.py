@@ -7,20 +7,22 @@ costs at most a part of one table, and no plan carries the lineage of a whole la
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.operators.compact import compact, restored
 from tallymart.operators.curve import Curve, along
 from tallymart.operators.integrity import assert_row_parity, grain_check
 from tallymart.plans import gold as marts
 from tallymart.plans import silver as entities
 from tallymart.plans.gold import Gold
-from tallymart.plans.silver import FLAGS, KEYS, Silver
+from tallymart.plans.silver import FLAGS, IDS, KEYS, Silver
 from tallymart.sources.adapters import Bronze
-from tallymart.sources.tables import DEFAULT_FORMAT, create_layer
+from tallymart.sources.tables import DEFAULT_FORMAT, create_layer, writer
 from tallymart.sources.versions import publish, write_version
 
 
@@ -46,6 +48,24 @@ CLUSTER_BY = {
 }
 
 
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is planned and run inside gives its shuffle files back when it ends.  Otherwise those of all
+    tables stay on the executors' disks until the driver happens to collect its garbage."""
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+
+
 def verify_persisted(table: DataFrame, entity: str) -> DataFrame:
     """One-row check of a written silver table: rows, distinct keys and all flag counts."""
     key = KEYS[entity]
@@ -66,11 +86,13 @@ def write_verified(
     unique: bool = False,
     curve: Curve | None = None,
     replace_schema: bool = False,
+    packed: Iterable[str] = (),
 ) -> DataFrame:
     """Write ``df`` as the next version of the table ``name``, check what was written, publish it.
 
     With a ``curve`` the rows are stored once as they come, then dealt out along it, so that what
-    ``df`` stands for (joins, aggregates) is computed once.
+    ``df`` stands for (joins, aggregates) is computed once.  Columns named ``packed`` that ``df`` has are
+    ``compact`` and stay so on the way; they are written as they were before.
 
     Rows and flag counts seen while writing must be those of the written version; its rows those
     of ``source`` (a frame, or what was observed as ``source_rows`` by the job that writes); and the key
@@ -81,8 +103,9 @@ def write_verified(
     aside = f"{name}__staged_{uuid.uuid4().hex[:8]}"
     try:
         if curve is not None:
-            df.write.format(fmt).saveAsTable(aside)
+            writer(df, fmt).saveAsTable(aside)
             df = along(spark.table(aside), curve)
+        df = restored(df, packed)
         version = write_version(df, name, fmt, flags, replace_schema=replace_schema)
     finally:
         if curve is not None:
@@ -123,12 +146,13 @@ def build_silver(
         "order_reviews": lambda rows, done: entities.order_reviews(rows, done["orders"]),
     }
     done: dict[str, DataFrame] = {}
-    for entity, build in builders.items():
-        counted = Observation()
-        rows = getattr(bronze, entity).observe(counted, F.count(F.lit(1)).alias("source_rows"))
-        done[entity] = write_verified(
-            build(rows, done), f"{layer}.{entity}", fmt, FLAGS[entity], KEYS[entity], counted
-        )
+    with released_shuffles(spark):
+        for entity, build in builders.items():
+            counted = Observation()
+            rows = getattr(bronze, entity).observe(counted, F.count(F.lit(1)).alias("source_rows"))
+            done[entity] = write_verified(
+                build(rows, done), f"{layer}.{entity}", fmt, FLAGS[entity], KEYS[entity], counted
+            )
     return Silver(**done)
 
 
@@ -143,13 +167,16 @@ def build_gold(
     create_layer(spark, layer)
 
     def save(mart: str, df: DataFrame, **checks) -> DataFrame:
-        return write_verified(df, f"{layer}.{mart}", fmt, curve=CLUSTER_BY[mart] if cluster else None, **checks)
-
-    return Gold(
-        sales=save("sales", marts.sales(silver)),
-        customers=save("customers", marts.customers(silver)),
-        deliveries=save("deliveries", marts.deliveries(silver)),
-    )
+        curve = CLUSTER_BY[mart] if cluster else None
+        return write_verified(df, f"{layer}.{mart}", fmt, curve=curve, packed=IDS, **checks)
+
+    with released_shuffles(spark):
+        rows = Silver(**{f.name: compact(getattr(silver, f.name), IDS) for f in fields(Silver)})
+        return Gold(
+            sales=save("sales", marts.sales(rows, lookups=("product_id", "seller_id", "order_id"))),
+            customers=save("customers", marts.customers(rows)),
+            deliveries=save("deliveries", marts.deliveries(rows)),
+        )
 
 
 def build_layers(

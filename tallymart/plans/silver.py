@@ -129,6 +129,9 @@ KEYS: dict[str, tuple[str, ...]] = {
     "order_reviews": (),
 }
 
+# Columns that hold ids, whatever the entity.
+IDS = ("order_id", "customer_id", "customer_unique_id", "product_id", "seller_id", "review_id")
+
 
 def trimmed(*names: str) -> list[Column]:
     return [F.expr(f"trim({name}) AS {name}") for name in names]
@@ -231,6 +234,7 @@ def order_items(
         "order_id",
         marker="order_found",
         carry={"purchased_at": F.max("order_purchase_timestamp")},
+        ids=IDS,
     )
     checked = apply_rules(
         with_order,
@@ -337,6 +341,7 @@ def order_payments(bronze_payments: DataFrame, silver_orders: DataFrame) -> Data
         silver_orders,
         "order_id",
         marker="order_found",
+        ids=IDS,
     )
     reference = Rule("invalid_order_reference", orphan_or_unknown("order_id", "order_found"))
     checked = apply_rules(joined, [*payment_rules(), reference])
@@ -393,6 +398,7 @@ def order_reviews(bronze_reviews: DataFrame, silver_orders: DataFrame) -> DataFr
         silver_orders,
         "order_id",
         marker="order_found",
+        ids=IDS,
     )
     known_form = f"order_id RLIKE {r.literal(ID_PATTERN)}"
     reference = Rule(

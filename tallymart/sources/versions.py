@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tallymart.operators.rules import count_flags, literal, quoted
 from tallymart.sources.schemas import SchemaError, Shape, compare, shaped
-from tallymart.sources.tables import DEFAULT_FORMAT, VERSION_NAME, clustered
+from tallymart.sources.tables import DEFAULT_FORMAT, VERSION_NAME, clustered, writer
 
 PREFIX = "tallymart."
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
@@ -131,7 +131,7 @@ def write_version(
         F.struct(F.lit(0).alias("_"), *[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in df.columns]).alias("nulls"),
         F.struct(F.lit(0).alias("_"), *[held(f.name, f.dataType).alias(f.name) for f in times]).alias("greatest"),
     )
-    counted.write.format(fmt).saveAsTable(stored)
+    writer(counted, fmt).saveAsTable(stored)
     parts = {part: values.asDict() for part, values in seen.get.items()}
     for values in parts.values():
         values.pop("_", None)
