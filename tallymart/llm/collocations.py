@@ -8,15 +8,16 @@ read these numbers.
 The candidates of two words are the pairs seen whose words both are frequent, those of three words the
 triples seen whose pairs both may be.  Of these, those whose hash of 32 bits the tasks together
 have not seen ``least`` times are left out: a phrase is in its hash's bucket with all its
-occurrences, whoever shares it.  A bitmap of fixed size says so to the next pass (it may let others
+occurrences, whoever shares it.  A bitmap of 4 MB, of more for more words, says so to the next pass (it may let others
 through, never keeps one out).
 
 Counting is the tries' work.  Candidates are dealt by their first word into shards of about ``SHARD`` (a word
-that many begin with into several), a task builds the trie of each (word, word, word), and the tries
-are broadcast, ``AT_A_TIME`` to a pass.  A task moves the states of all places whose word begins a
+that many begin with into several), a task builds the trie of each (word, word, word).  A few tries are
+broadcast, ``AT_A_TIME`` to a pass.  With more than ``PASSES`` passes would have, each reading all numbers, one pass deals
+the places that may begin a candidate to the tries instead, equal ones of a task once with their number; so
+the work grows with the places, not with places times tries.  A task moves the states of all places whose word begins a
 phrase of the trie on together, one level at a time, adds up the accepting ones with ``bincount``,
-and the counts of all tasks are summed by candidate.  More candidates are more passes, never a larger
-broadcast.
+and the counts of all tasks are summed by candidate.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,12 +42,16 @@ from tallymart.llm.words import BYTE_BASE, _BYTE_VALUES, Block, blocks, mix, pre
 #: Candidates of a trie (some 15 MB of slots and words, a third of it while it travels), and tries of a
 #: pass over the texts.
 SHARD, AT_A_TIME = 1 << 19, 2
+#: Passes over the numbers for which tries are broadcast; and tasks that share the places of a trie otherwise.
+PASSES, SHARED = 3, 8
 #: Bytes of text that a task reads at a time.
 AT_ONCE = 1 << 20
 #: Bytes of an Arrow batch, and places whose phrases a task holds before it sums them up.
 BATCH, HELD = 1 << 22, 1 << 22
 #: Candidates of a trie whose counts one task adds up.
 SLICE = 1 << 13
+#: Bits of a bitmap at most.
+MOST_BITS = 1 << 28
 #: Rows of a language that one task sorts; more are first cut down in parts.
 RANKED = 1 << 16
 NO_LANGUAGE = "und"
@@ -75,9 +80,18 @@ def phrase_hashes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return mix(h)
 
 
-def slots(hashed: np.ndarray) -> np.ndarray:
+def slots(hashed: np.ndarray, bits: int = filters.BITS) -> np.ndarray:
     """Places of hashes in a bitmap."""
-    return (hashed % U(filters.BITS)).astype(np.int64)
+    return (hashed % U(bits)).astype(np.int64)
+
+
+def bits_for(words: int) -> int:
+    """Bits of a bitmap for texts of so many words, so that it does not fill up as they grow: phrases that it
+    lets through by mistake are candidates.  32 MB at most."""
+    bits = filters.BITS
+    while bits < MOST_BITS and bits * 4 < words:
+        bits *= 2
+    return bits
 
 
 class Places:
@@ -229,7 +243,7 @@ def hashed(flat: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
 
 def may_be(flat: np.ndarray, at: np.ndarray, bitmap: np.ndarray, k: int) -> np.ndarray:
     """Those of the places from which k words go on that may be frequent."""
-    return at[filters.held(bitmap, slots(hashed(flat, at, k).astype(np.uint64)))]
+    return at[filters.held(bitmap, slots(hashed(flat, at, k).astype(np.uint64), 8 * len(bitmap)))]
 
 
 def going_on(flat: np.ndarray, often: list[np.ndarray]) -> np.ndarray:
@@ -248,14 +262,14 @@ def parts_of(spark: SparkSession) -> int:
     return min(1 << 16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def seen_often(numbers: DataFrame, often: list[bytes], least: int) -> bytes:
-    """Bitmap of the hashes that phrases on such places have ``least`` times or more.
+def seen_often(numbers: DataFrame, often: list[bytes], least: int, bits: int = filters.BITS) -> bytes:
+    """Bitmap of ``bits`` of the hashes that phrases on such places have ``least`` times or more.
 
     A task sends its distinct hashes in parts, by their upper halves; of each it sends the lower half, and how
     many share an upper one.
     """
     spark, k = numbers.sparkSession, len(often) + 2
-    shared = spark.sparkContext.broadcast(often)  # of a fixed size
+    shared = spark.sparkContext.broadcast(often)  # of a bounded size
     parts = parts_of(spark)
     begin = (np.arange(parts + 1) << 16) // parts  # upper halves of each part
     kind = np.min_scalar_type(least)
@@ -290,23 +304,28 @@ def seen_often(numbers: DataFrame, often: list[bytes], least: int) -> bytes:
         upper = np.tile(np.arange(begin[part], begin[part + 1]), table.num_rows)
         values, place = np.unique(np.repeat(upper, size) << 16 | lower, return_inverse=True)
         values = values[np.bincount(place, f, len(values)) >= least]
-        # the slot of the whole hash, as BITS divides 2**32
-        return pa.table({"slot": pa.array(slots(values.astype(np.uint64)), pa.int64())})
+        # the slot of the whole hash, as bits divide 2**32
+        return pa.table({"slot": pa.array(slots(values.astype(np.uint64), bits), pa.int64())})
 
     seen = numbers.mapInArrow(run, "part int, lower binary, size binary, f binary").where(F.length("f") > 0)
-    return filters.bitmap(seen.groupBy("part").applyInArrow(merged, "slot long"))
+    return filters.bitmap(seen.groupBy("part").applyInArrow(merged, "slot long"), bits)
 
 
 def distinct_rows(columns: list[np.ndarray]) -> list[np.ndarray]:
     """Columns of numbers with each row once."""
+    return counted_rows(columns)[0]
+
+
+def counted_rows(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns of numbers with each row once, and how often it was there."""
     key = columns[0].astype(np.int64)
     for c in columns[1:]:
         width = int(c.max(initial=0)) + 1
         if int(key.max(initial=0)) + 1 > (1 << 62) // width:
             key = codes(pa.array(key))
         key = key * width + c
-    _, first = np.unique(key, return_index=True)
-    return [c[first] for c in columns]
+    _, first, count = np.unique(key, return_index=True, return_counts=True)
+    return [c[first] for c in columns], count
 
 
 PHRASE = ("a", "b", "c")
@@ -385,6 +404,18 @@ class Counter:
             at, state = at[on], state[on]
             self.total += np.bincount(state, minlength=len(self.total))
 
+    def add_rows(self, columns: list[np.ndarray], times: np.ndarray) -> None:
+        """Counts the accepting states of places given as rows of words (0 behind their end), each so many times."""
+        state = self.first[columns[0]]
+        at = np.flatnonzero(state)
+        state = state[at]
+        for level in range(1, self.depth):
+            state = self.trie.step(state, self.symbol_of[columns[level][at]])
+            on = state > 0
+            at, state = at[on], state[on]
+            # sums of a row's numbers stay below 2**53
+            self.total += np.bincount(state, times[at], minlength=len(self.total)).astype(np.int64)
+
     def counts(self, shard: int) -> pa.RecordBatch:
         """Of each slice with candidates that were seen their numbers, and how often, in bytes of some width."""
         seen = self.total[self.slot]
@@ -397,9 +428,38 @@ class Counter:
         return pa.RecordBatch.from_arrays(columns, ["shard", "width", "slice", "number", "f"])
 
 
-def tries_of(phrases: DataFrame, shards: int, shard: int) -> DataFrame:
+Many = tuple[np.ndarray, np.ndarray]
+
+
+def begun_often(phrases: DataFrame, shard: int) -> Many:
+    """First words of more than a quarter of a shard, ascending, and into how many pieces their phrases are dealt: no
+    more than four words a shard."""
+    pieces = F.ceil(F.count("*") * 4 / shard).alias("pieces")
+    rows = sorted(phrases.groupBy("a").agg(pieces).where("pieces > 1").collect())
+    return np.array([r.a for r in rows], np.int32), np.array([r.pieces for r in rows], np.uint64)
+
+
+def shards_of(a: np.ndarray, b: np.ndarray, many: Many, shards: int) -> np.ndarray:
+    """Shards of phrases by their first word, and by the second too where many phrases begin with the first."""
+    words, pieces = many
+    of = np.ones(len(a), np.uint64)
+    if len(words):
+        at = np.minimum(np.searchsorted(words, a), len(words) - 1)
+        of = np.where(words[at] == a, pieces[at], U(1))
+    none = np.zeros(len(a), np.uint64)
+    piece = phrase_hashes(none, [b.astype(np.uint64)]) % of
+    return (phrase_hashes(none, [a.astype(np.uint64), piece]) % U(shards)).astype(np.int32)
+
+
+def tries_of(phrases: DataFrame, shards: int, shard: int, many: Many | None = None) -> DataFrame:
     """shard, slice, rows, counter: a table of phrases, dealt into shards of about ``shard`` by their first words, in
     slices, as numbers end to end; the first row of a shard also has its packed trie."""
+    many = begun_often(phrases, shard) if many is None else many
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = shards_of(batch.column("a").to_numpy(), batch.column("b").to_numpy(), many, shards)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of)], [*PHRASE, "shard"])
 
     def run(part: pa.Table) -> pa.Table:
         rows = np.stack([part.column(c).to_numpy() for c in PHRASE], axis=1)
@@ -410,11 +470,7 @@ def tries_of(phrases: DataFrame, shards: int, shard: int) -> DataFrame:
         columns |= {"slice": pa.array(np.arange(slices), pa.int32()), "rows": packed(rows.ravel(), edges)}
         return pa.table(columns | {"counter": pa.array([counter] + [None] * (slices - 1), pa.binary())})
 
-    # first words of more than a quarter of a shard: no more than four a shard
-    many = phrases.groupBy("a").agg(F.ceil(F.count("*") * 4 / shard).alias("pieces")).where("pieces > 1")
-    rows = phrases.join(F.broadcast(many), "a", "left")
-    piece = F.pmod(F.xxhash64("b"), F.coalesce("pieces", F.lit(1)))
-    rows = rows.select(*PHRASE, F.pmod(F.xxhash64("a", piece), F.lit(shards)).cast("int").alias("shard"))
+    rows = phrases.select(*PHRASE).mapInArrow(deal, "a int, b int, c int, shard int")
     return rows.groupBy("shard").applyInArrow(run, "shard int, slice int, rows binary, counter binary")
 
 
@@ -431,16 +487,93 @@ def _slice_counts(table: pa.Table) -> pa.Table:
     return pa.table(columns | {"f": pa.array(total[at])})
 
 
-def trie_counts(numbers: DataFrame, phrases: DataFrame, words: int, shard: int = SHARD) -> DataFrame:
-    """a, b, c, f of those of ``phrases`` (a staged table) that are seen, by tries of about ``shard`` of them."""
+def dealt(numbers: DataFrame, often: list[bytes], shards: int, many: Many) -> DataFrame:
+    """shard, sub, a, b, c, times: the places that may begin a candidate, by the trie that its phrases are in, as
+    arrays; equal places of a task once.  c is 0 where only two words go on."""
+    shared, names = numbers.sparkSession.sparkContext.broadcast(often), PHRASE
+
+    def batch(found: list[list[np.ndarray]], sub: int) -> pa.RecordBatch:
+        columns, times = counted_rows([np.concatenate(c) for c in zip(*found, strict=True)])
+        of = shards_of(columns[0], columns[1], many, shards)
+        order = np.argsort(of, kind="stable")
+        edges = np.searchsorted(of[order], np.arange(shards + 1))
+        columns = [packed(c[order], edges) for c in (*columns, times.astype(np.uint32))]
+        keys = [pa.array(np.arange(shards), pa.int32()), pa.array(np.full(shards, sub), pa.int32())]
+        return pa.RecordBatch.from_arrays([*keys, *columns], ["shard", "sub", *names, "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, triples = (np.frombuffer(b, np.uint8) for b in shared.value)
+        found, n, sub = [], 0, TaskContext.get().partitionId()
+        for flat in flat_numbers(batches):
+            at = may_be(flat, going_on(flat, []), pairs, 2)
+            third = np.zeros(len(flat), np.int32)
+            longer = may_be(flat, going_on(flat, [pairs]), triples, 3)
+            third[longer] = flat[longer + 2]
+            found.append([flat[at], flat[at + 1], third[at]])
+            n += len(at)
+            if n >= HELD // 2:
+                yield batch(found, sub % SHARED)
+                found, n, sub = [], 0, sub + 1
+        if n:
+            yield batch(found, sub % SHARED)
+        pa.default_memory_pool().release_unused()
+
+    kinds = ", ".join(f"{c} binary" for c in (*names, "times"))
+    return numbers.mapInArrow(run, f"shard int, sub int, {kinds}").where(F.length("times") > 0)
+
+
+SEEN = "shard int, width int, slice int, number binary, f binary"
+
+
+def counts_of_dealt(places: DataFrame, tries: DataFrame, words: int) -> DataFrame:
+    """What each of the tasks that share a trie has seen at its places; a trie comes to them before its places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, counter = -1, None
+        for batch in batches:
+            packs = [batch.column(c) for c in (*PHRASE, "times")]
+            for i in range(batch.num_rows):
+                trie = batch.column("counter")[i]
+                if trie.is_valid:
+                    if counter is not None:
+                        yield counter.counts(shard)
+                    shard, counter = batch.column("shard")[i].as_py(), pickle.loads(zlib.decompress(trie.as_buffer()))
+                    counter.start(words)
+                else:
+                    *columns, times = (np.frombuffer(p[i].as_buffer(), np.uint32) for p in packs)
+                    counter.add_rows(columns, times)
+        if counter is not None:
+            yield counter.counts(shard)
+        pa.default_memory_pool().release_unused()
+
+    each = F.explode(F.sequence(F.lit(0), F.lit(SHARED - 1)))
+    tries = tries.where(F.col("counter").isNotNull()).select("shard", each.alias("sub"), "counter")
+    both = places.unionByName(tries, allowMissingColumns=True).repartition("shard", "sub")
+    both = both.sortWithinPartitions("shard", "sub", F.col("counter").isNull())
+    return both.mapInArrow(run, SEEN)
+
+
+def trie_counts(
+    numbers: DataFrame, phrases: DataFrame, words: int, often: list[bytes], shard: int = SHARD
+) -> DataFrame:
+    """a, b, c, f of those of ``phrases`` (a staged table) that are seen, by tries of about ``shard`` of them; places
+    without a bit in the bitmaps of pairs and of triples have none."""
     spark = numbers.sparkSession
-    shards = -(-phrases.count() // shard)
+    shards, many = max(-(-phrases.count() // shard), 1), begun_often(phrases, shard)
+    tries = stage(tries_of(phrases, shards, shard, many), "tries")
+    sliced = tries.select("shard", "slice", "rows")
+
+    def summed(seen: DataFrame, of: DataFrame) -> DataFrame:
+        both = seen.where(F.length("f") > 0).unionByName(of, allowMissingColumns=True)
+        both = both.groupBy("shard", "slice").applyInArrow(_slice_counts, "a int, b int, c int, f long")
+        return stage(both, "counts")
+
+    if shards > PASSES * AT_A_TIME:
+        return summed(counts_of_dealt(dealt(numbers, often, shards, many), tries, words), sliced)
     parts: list[DataFrame] = []
-    tries = stage(tries_of(phrases, max(shards, 1), shard), "tries")
-    seen = "shard int, width int, slice int, number binary, f binary"
-    for first in range(0, max(shards, 1), AT_A_TIME):
-        few = tries.where(F.col("shard").between(first, first + AT_A_TIME - 1))
-        mine = few.where(F.col("counter").isNotNull()).select("shard", "counter").collect()
+    for first in range(0, shards, AT_A_TIME):
+        few = F.col("shard").between(first, first + AT_A_TIME - 1)
+        mine = tries.where(few).where(F.col("counter").isNotNull()).select("shard", "counter").collect()
         shared = spark.sparkContext.broadcast([(r.shard, bytes(r.counter)) for r in mine])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,10 +587,7 @@ def trie_counts(numbers: DataFrame, phrases: DataFrame, words: int, shard: int =
                 yield counter.counts(i)
             pa.default_memory_pool().release_unused()
 
-        found = numbers.mapInArrow(run, seen).where(F.length("f") > 0)
-        found = found.unionByName(few.select("shard", "slice", "rows"), allowMissingColumns=True)
-        found = found.groupBy("shard", "slice").applyInArrow(_slice_counts, "a int, b int, c int, f long")
-        parts.append(stage(found, "counts"))
+        parts.append(summed(numbers.mapInArrow(run, SEEN), sliced.where(few)))
         shared.destroy()
     out = parts[0]
     for part in parts[1:]:
@@ -563,12 +693,12 @@ def _scored(spark: SparkSession, docs: DataFrame, least: int, shard: int) -> tup
     known = vocabulary(words)
     size, shared = len(known.word), spark.sparkContext.broadcast(known)  # one vocabulary
     numbers = stage(numbered(texts, shared), "numbers", codec="zstd")
+    everything = totals.agg(F.sum("n")).first()[0] or 0
     often: list[bytes] = []
     phrases = []
     for name in ("pairs", "triples"):
-        often.append(seen_often(numbers, often, least))
+        often.append(seen_often(numbers, often, least, bits_for(everything)))
         phrases.append(stage(candidates(numbers, often), name))
-    counted = trie_counts(numbers, phrases[0].unionByName(phrases[1]), size, shard).where(F.col("f") >= least)
+    counted = trie_counts(numbers, phrases[0].unionByName(phrases[1]), size, often, shard).where(F.col("f") >= least)
     counted = stage(worded(counted, shared), "phrases")
-    everything = totals.agg(F.sum("n")).first()[0] or 0
     return stage(not_inside(scored(words.unionByName(counted), everything)), "scored"), totals

@@ -174,3 +174,46 @@ def test_a_first_word_of_many_phrases_is_split(spark):
     held = {r.shard: np.frombuffer(b"".join(map(bytes, r[1])), np.int32).reshape(-1, 3) for r in dealt}
     assert sorted(tuple(x) for part in held.values() for x in part.tolist()) == sorted(rows)
     assert len(held) > 3 and max(map(len, held.values())) < 2500
+
+
+def test_numbers_are_read_as_often_with_many_tries(spark, monkeypatch):
+    """Two bitmaps, two kinds of candidates, and the places dealt to the tries: five passes, not one for each two tries."""
+    rows, read = some_rows(), {}
+    flat_numbers, tries_of = collocations.flat_numbers, collocations.tries_of
+    for shard in (1 << 19, 40):
+        seen, shards = spark.sparkContext.accumulator(0), []
+
+        def counted(batches):
+            for flat in flat_numbers(batches):
+                seen.add(len(flat))
+                yield flat
+
+        def noted(phrases, n, *more):
+            shards.append(n)
+            return tries_of(phrases, n, *more)
+
+        monkeypatch.setattr(collocations, "flat_numbers", counted)
+        monkeypatch.setattr(collocations, "tries_of", noted)
+        assert sorted(found(spark, rows, least=3, shard=shard)) == sorted(brute(rows, 3))
+        read[shards[0]] = seen.value
+    few, many = sorted(read)
+    assert few == 1 and many > 10 and read[many] == read[few]
+
+
+def test_a_place_of_many_times_counts_as_often(spark):
+    """Texts repeated many times are dealt once a task, with their number; a split first word keeps its places."""
+    rows = [("en", "a b c . a b d")] * 300 + [("en", f"a w{i % 40} z") for i in range(200)] + some_rows()
+    assert sorted(found(spark, rows, least=3, shard=6)) == sorted(brute(rows, 3))
+
+
+def test_bitmaps_grow_with_the_words(spark, monkeypatch):
+    """Half full or more, a bitmap would let most phrases through; larger ones keep them out and change no result."""
+    assert [collocations.bits_for(n) >> 25 for n in (0, 1 << 27, (1 << 27) + 1, 1 << 29, 1 << 40)] == [1, 1, 2, 4, 8]
+    monkeypatch.setattr(collocations, "bits_for", lambda words: 1 << 27)
+    rows = some_rows()
+    assert sorted(found(spark, rows, least=3, shard=40)) == sorted(brute(rows, 3))
+    flat = np.array([3, 1, 2, 0], np.int32)
+    numbers = stage(spark.createDataFrame([(flat.tobytes(),)] * 9, "numbers binary"), "numbers")
+    bitmap = np.frombuffer(collocations.seen_often(numbers, [], 9, 1 << 27), np.uint8)
+    assert len(bitmap) == 1 << 24 and np.unpackbits(bitmap).sum() == 2
+    assert collocations.may_be(flat, np.array([0, 1]), bitmap, 2).tolist() == [0, 1]
